@@ -114,7 +114,8 @@ def _bucketed(df, compute, spec, K, unit):
     # Last K rows of each bucket (map-side group limit keeps the shuffle small).
     wdesc = Window.partitionBy(key, "_bkt").orderBy(*order_cols(spec, descending=True))
     tails = b.withColumn("_rd", F.row_number().over(wdesc)).filter(F.col("_rd") <= K)
-    halo = (tails.join(pairs, [key, "_bkt"])
+    # Both sides grow with the bucket count: shuffle join, never a guessed broadcast.
+    halo = (tails.join(pairs.hint("shuffle_hash"), [key, "_bkt"])
             .filter(F.col("_rd") <= F.col("_need"))
             .select(*cols, "_part", F.lit(True).alias("_halo")))
     own = b.select(*cols, F.col("_bkt").alias("_part"), F.lit(False).alias("_halo"))

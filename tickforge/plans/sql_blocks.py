@@ -96,3 +96,47 @@ SELECT *, CASE WHEN rsi_signal = 'BUY' AND macd_signal_trade = 'BUY' THEN 'STRON
                WHEN rsi_signal = 'SELL' OR macd_signal_trade = 'SELL' THEN 'SELL'
                ELSE 'HOLD' END AS combined_signal
 FROM q"""
+
+
+def series_select(extra: str, src: str = TICKS, order: str = "watermark_time, event_id") -> str:
+    """SELECT *, <extra window columns> over ordered ticks; ``{W(n)}`` in
+    ``extra`` is replaced by the window clause."""
+    out = extra
+    for n in (None, 9, 12, 14, 20, 26):
+        out = out.replace("{W(%s)}" % ("" if n is None else n), w(n, order))
+    return f"SELECT *, {out} FROM ({src}) AS s"
+
+
+PRICE_CHANGE = series_select(
+    "lag(price) OVER {W()} AS price_lag_1, price - lag(price) OVER {W()} AS price_change,"
+    " (price - lag(price) OVER {W()}) / NULLIF(lag(price) OVER {W()}, 0) * 100 AS price_change_pct")
+SMA = series_select("avg(price) OVER {W(20)} AS sma_20")
+EMA_ROLLING = series_select("avg(price) OVER {W(20)} AS ema_20")
+BOLLINGER = f"""SELECT *, bb_middle + bb_std * 2.0 AS bb_upper, bb_middle - bb_std * 2.0 AS bb_lower
+FROM ({series_select("avg(price) OVER {W(20)} AS bb_middle, stddev_samp(price) OVER {W(20)} AS bb_std")}) AS b"""
+ANOMALIES = f"""SELECT *, abs(z_score) > 2.5 AS is_anomaly,
+  CASE WHEN z_score > 2.5 THEN 'price_spike' WHEN z_score < -2.5 THEN 'price_drop' ELSE 'normal' END AS anomaly_type
+FROM (SELECT *, (price - price_mean) / NULLIF(price_stddev, 0) AS z_score
+      FROM ({series_select("avg(price) OVER {W(20)} AS price_mean, stddev_samp(price) OVER {W(20)} AS price_stddev")}) AS a) AS z"""
+VOLATILITY = f"""SELECT *, stddev_samp("return") OVER {w(20)} AS volatility
+FROM ({series_select('(price / NULLIF(lag(price) OVER {W()}, 0) - 1) * 100 AS "return"')}) AS r"""
+RSI = f"""WITH c AS ({series_select("price - lag(price) OVER {W()} AS price_change")}),
+g AS (SELECT *, CASE WHEN price_change > 0 THEN price_change ELSE 0.0 END AS gain,
+        CASE WHEN price_change < 0 THEN -price_change ELSE 0.0 END AS loss FROM c),
+a AS (SELECT *, avg(gain) OVER {w(14)} AS avg_gain, avg(loss) OVER {w(14)} AS avg_loss FROM g),
+r AS (SELECT *, avg_gain / NULLIF(avg_loss, 0) AS rs FROM a)
+SELECT *, 100 - 100 / (1 + rs) AS rsi FROM r"""
+MACD = f"""WITH e AS ({series_select("avg(price) OVER {W(12)} AS ema_12, avg(price) OVER {W(26)} AS ema_26")}),
+m AS (SELECT *, ema_12 - ema_26 AS macd_line FROM e),
+s AS (SELECT *, avg(macd_line) OVER {w(9)} AS macd_signal FROM m)
+SELECT *, macd_line - macd_signal AS macd_histogram FROM s"""
+
+
+def ema_recursive(alpha: float, src: str = TICKS, order: str = "watermark_time, event_id") -> str:
+    return f"""WITH RECURSIVE s AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {order}) AS rn FROM ({src}) AS t),
+r AS (SELECT symbol, rn, price AS ema FROM s WHERE rn = 1
+      UNION ALL
+      SELECT s.symbol, s.rn, (1 - {alpha!r}) * r.ema + {alpha!r} * s.price
+      FROM r JOIN s ON s.symbol = r.symbol AND s.rn = r.rn + 1)
+SELECT s.* EXCLUDE (rn), r.ema AS ema_20_exp FROM s JOIN r USING (symbol, rn)"""
