@@ -140,3 +140,19 @@ r AS (SELECT symbol, rn, price AS ema FROM s WHERE rn = 1
       SELECT s.symbol, s.rn, (1 - {alpha!r}) * r.ema + {alpha!r} * s.price
       FROM r JOIN s ON s.symbol = r.symbol AND s.rn = r.rn + 1)
 SELECT s.* EXCLUDE (rn), r.ema AS ema_20_exp FROM s JOIN r USING (symbol, rn)"""
+
+
+HOURLY = hourly(TRADES)
+AS_OF_TS = "(SELECT max(ts) FROM events)"
+AS_OF_DATE = "(SELECT CAST(max(ts) AS DATE) FROM events)"
+
+
+def market_5min(ind_src: str) -> str:
+    return f"""SELECT time_bucket(INTERVAL '5 minutes', watermark_time) AS window_start,
+  time_bucket(INTERVAL '5 minutes', watermark_time) + INTERVAL '5 minutes' AS window_end, symbol,
+  avg(price) AS avg_price_5min, max(price) AS max_price_5min, min(price) AS min_price_5min,
+  sum(volume) AS total_volume_5min, count(*) AS trade_count_5min, avg(rsi) AS avg_rsi_5min,
+  bool_or(is_anomaly) AS has_anomaly_5min,
+  max(price) - min(price) AS price_range_5min,
+  (max(price) - min(price)) / NULLIF(avg(price), 0) * 100 AS volatility_5min
+FROM ({ind_src}) AS i GROUP BY 1, 2, 3"""
