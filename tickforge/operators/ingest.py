@@ -52,27 +52,29 @@ def normalize_raw_trades(raw: DataFrame, col: str = "value", ingestion_time=None
                          missing_price_as_zero: bool = False) -> DataFrame:
     """Raw exchange JSON (keys e,E,s,t,p,q,b,a,T,m) -> canonical trade.
 
-    Defaults: event_type "trade", event_time now (ms), symbol "" and upper-
-    cased, is_buyer_maker false. A missing price/quantity stays NULL (so the
-    validator labels it missing_*); ``missing_price_as_zero`` restores the
-    zero default."""
-    r = F.from_json(F.col(col), SC.RAW_TRADE).alias("r")
+    The keys differ only by case (e/E, t/T), so the message is read as a
+    case-sensitive map<string,string> and each value cast. Defaults: event_type
+    "trade", event_time now (ms), symbol "" and upper-cased, is_buyer_maker
+    false. A missing price/quantity stays NULL (the validator labels it
+    missing_*); ``missing_price_as_zero`` restores the zero default."""
+    m = F.from_json(F.col(col), "map<string,string>")
     now = now_ms if now_ms is not None else F.unix_millis(F.current_timestamp())
     now = now if isinstance(now, Column) else F.lit(now).cast("long")
-    num = (lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))) if missing_price_as_zero \
-        else (lambda c: F.col(c).try_cast("double"))
-    ing = (F.date_format(_ts_or_now(ingestion_time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-    return raw.select(r).select(
-        F.coalesce(F.col("r.e"), F.lit("trade")).alias("event_type"),
-        F.coalesce(F.col("r.E"), now).alias("event_time"),
-        F.upper(F.coalesce(F.col("r.s"), F.lit(""))).alias("symbol"),
-        F.col("r.t").alias("trade_id"),
-        num("r.p").alias("price"),
-        num("r.q").alias("quantity"),
-        F.col("r.b").alias("buyer_order_id"),
-        F.col("r.a").alias("seller_order_id"),
-        F.col("r.T").alias("trade_time"),
-        F.coalesce(F.col("r.m"), F.lit(False)).alias("is_buyer_maker"),
+    k = lambda key: F.col("m")[key]
+    num = (lambda key: F.coalesce(k(key).try_cast("double"), F.lit(0.0))) if missing_price_as_zero \
+        else (lambda key: k(key).try_cast("double"))
+    ing = F.date_format(_ts_or_now(ingestion_time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return raw.select(m.alias("m")).select(
+        F.coalesce(k("e"), F.lit("trade")).alias("event_type"),
+        F.coalesce(k("E").try_cast("long"), now).alias("event_time"),
+        F.upper(F.coalesce(k("s"), F.lit(""))).alias("symbol"),
+        k("t").try_cast("long").alias("trade_id"),
+        num("p").alias("price"),
+        num("q").alias("quantity"),
+        k("b").try_cast("long").alias("buyer_order_id"),
+        k("a").try_cast("long").alias("seller_order_id"),
+        k("T").try_cast("long").alias("trade_time"),
+        F.coalesce(k("m").try_cast("boolean"), F.lit(False)).alias("is_buyer_maker"),
         ing.alias("ingestion_time"),
         F.lit(source).alias("source"))
 
