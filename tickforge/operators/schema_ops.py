@@ -49,28 +49,39 @@ def _variant_type(v: Column) -> Column:
              .otherwise("STRING"))
 
 
-def infer_schema(records: DataFrame, json_col: str = "json") -> DataFrame:
+def infer_schema(records: DataFrame, json_col: str = "json", group_cols=()) -> DataFrame:
     """M1: union of keys over JSON object records; one type per key: the only
     type seen, else the first non-STRING type in ``TYPE_PRECEDENCE``.
-    Output (field_name, field_type, n_records) ordered by first appearance.
-
-    Per-key type sets are bounded by the 8 type names, so the final groupBy
-    never gathers record-sized groups."""
-    rid = records.select(F.col(json_col).alias("_j"),
+    Output (*group_cols, field_name, field_type, n_records), one schema per
+    group (whole input when ``group_cols`` is empty).
+
+    Records are exploded to (key, type) pairs in the JVM and reduced per
+    (group, key, type) with partial aggregation; the per-key type set is
+    bounded by the 8 type names, so no group ever gathers records."""
+    g = list(group_cols)
+    rid = records.select(*g, F.col(json_col).alias("_j"),
                          F.monotonically_increasing_id().alias("_rid"))
-    kv = rid.select("_rid", F.posexplode(F.from_json("_j", "map<string,variant>"))
+    kv = rid.select(*g, "_rid", F.posexplode(F.from_json("_j", "map<string,variant>"))
                     .alias("_pos", "field_name", "_v"))
-    typed = kv.select("_rid", "_pos", "field_name", _variant_type(F.col("_v")).alias("_t"))
-    per_type = typed.groupBy("field_name", "_t").agg(
+    typed = kv.select(*g, "_rid", "_pos", "field_name", _variant_type(F.col("_v")).alias("_t"))
+    per_type = typed.groupBy(*g, "field_name", "_t").agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.struct("_rid", "_pos")).alias("_first"))
     prec = F.array(*[F.lit(t) for t in TYPE_PRECEDENCE])
     per_type = per_type.withColumn("_rank", F.array_position(prec, F.col("_t")))
-    agg = per_type.groupBy("field_name").agg(
+    agg = per_type.groupBy(*g, "field_name").agg(
         F.min("_rank").alias("_best"), F.sum("_n").alias("n_records"),
         F.min("_first").alias("_first"))
-    return (agg.select("field_name", F.element_at(prec, F.col("_best").cast("int")).alias("field_type"),
+    return (agg.select(*g, "field_name",
+                       F.element_at(prec, F.col("_best").cast("int")).alias("field_type"),
                        "n_records", "_first")
-               .orderBy("_first").drop("_first"))
+               .orderBy(*g, "_first").drop("_first"))
+
+
+def fields_map(fields: DataFrame, group_cols=()) -> DataFrame:
+    """Field rows -> one map<string,string> (name -> type) per group; a
+    schema is as wide as its field list, never as long as the data."""
+    return fields.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(
+        F.struct("field_name", "field_type"))).alias("fields"))
 
 
 def table_fields(df: DataFrame) -> DataFrame:
@@ -201,10 +212,10 @@ def register_schemas(registry: DataFrame, proposals: DataFrame, created_by: str
     latest = (latest_schemas(registry)
               .select("subject", F.col("version_id").alias("_latest_version"),
                       F.col("schema_definition").alias("_latest_def")))
-    known = registry.select("subject", F.col("schema_hash").alias("_known")).distinct()
+    known = registry.select(F.col("subject").alias("_ks"), F.col("schema_hash").alias("_known")).distinct()
     j = (p.join(latest, "subject", "left")
-          .join(known, (p["subject"] == known["subject"]) & (p["schema_hash"] == known["_known"]), "left")
-          .drop(known["subject"]))
+          .join(known, (F.col("subject") == F.col("_ks")) & (F.col("schema_hash") == F.col("_known")), "left")
+          .drop("_ks"))
     ok = compatible(_fields_of(F.col("_latest_def")), F.col("_fields"), F.col("compatibility_mode"))
     status = (F.when(F.col("_rank") > 1, "pending")
                .when(F.col("_known").isNotNull(), "duplicate")
