@@ -38,4 +38,4 @@ def register(name: str, sql: str | None, doubles=(), note: str = ""):
 
 
 # Modules that register entries (import order = key order).
-from . import q_rollups, q_series, q_analytics, q_ingest, q_ops  # noqa: E402,F401
+from . import q_rollups, q_series, q_analytics, q_ingest, q_ops, q_stream  # noqa: E402,F401

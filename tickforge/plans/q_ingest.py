@@ -45,7 +45,11 @@ PARSED_D = ("price", "quantity", "trade_value_usd")
 
 
 def _envelopes(spark, d):
-    ev = events(spark, d)
+    return envelopes_of(events(spark, d))
+
+
+def envelopes_of(ev):
+    """events (batch or stream) -> message envelopes carrying trade JSON."""
     ms = F.unix_micros(F.col("ts").cast("timestamp")) / 1000
     rec = F.struct(F.lit("trade").alias("event_type"), F.floor(ms).alias("event_time"),
                    F.upper("event_type").alias("symbol"), F.col("event_id").alias("trade_id"),

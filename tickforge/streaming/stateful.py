@@ -1,0 +1,164 @@
+"""Per-symbol rolling indicators on a stream.
+
+Row-frame windows are rejected on streaming DataFrames, so each symbol keeps
+the last ``LOOKBACK`` rows of its series in keyed state (RocksDB store). Each
+micro-batch prepends that tail to the symbol's new rows, evaluates the same
+indicator formulas as the batch operator with pandas rolling windows, emits
+the new rows and stores the new tail. State per key is bounded (34 rows), and
+each call sees only one micro-batch of one key (bounded by the source's rate
+cap). Rows older than the stored tail (out of order) are evaluated against
+the tail as if they were newest; with an event-time watermark upstream, rows
+behind the watermark never reach the processor.
+"""
+
+from __future__ import annotations
+
+import warnings
+from typing import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.indicators import COMPOSITE_LOOKBACK, INDICATOR_COLUMNS
+
+LOOKBACK = COMPOSITE_LOOKBACK + 1   # + 1 row for crossover signals downstream
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _windows(s: pd.Series, n: int) -> np.ndarray:
+    """(len, n) matrix of each row's trailing frame, NaN-padded at the head.
+    Every frame is evaluated on its own (no running add/remove), so rounding
+    error does not build up along long series."""
+    v = np.concatenate([np.full(n - 1, np.nan), s.to_numpy(dtype="float64")])
+    return np.lib.stride_tricks.sliding_window_view(v, n)
+
+
+def _roll_mean(s: pd.Series, n: int) -> pd.Series:
+    """Frame mean with the batch engine's arithmetic: values added oldest to
+    newest (NULL skipped), then divided by the count."""
+    w = _windows(s, n)
+    total = np.zeros(len(w))
+    cnt = np.zeros(len(w))
+    for j in range(n):
+        x = w[:, j]
+        ok = ~np.isnan(x)
+        total = np.where(ok, total + np.where(ok, x, 0.0), total)
+        cnt += ok
+    with np.errstate(all="ignore"):
+        return pd.Series(np.where(cnt > 0, total / cnt, np.nan), index=s.index)
+
+
+def _roll_std(s: pd.Series, n: int) -> pd.Series:
+    """Frame sample stddev with the batch engine's Welford update order."""
+    w = _windows(s, n)
+    cnt = np.zeros(len(w))
+    avg = np.zeros(len(w))
+    m2 = np.zeros(len(w))
+    with np.errstate(all="ignore"):
+        for j in range(n):
+            x = w[:, j]
+            ok = ~np.isnan(x)
+            c1 = cnt + 1
+            delta = np.where(ok, x - avg, 0.0)
+            dn = np.where(ok, delta / c1, 0.0)
+            avg = np.where(ok, avg + dn, avg)
+            m2 = np.where(ok, m2 + delta * (delta - dn), m2)
+            cnt = np.where(ok, c1, cnt)
+        return pd.Series(np.where(cnt >= 2, np.sqrt(m2 / (cnt - 1)), np.nan), index=s.index)
+
+
+def _div(a: pd.Series, b: pd.Series) -> pd.Series:
+    return a / b.where(b != 0)
+
+
+def indicators_frame(df: pd.DataFrame, price: str = "price", volume: str = "volume",
+                     threshold: float = 2.5) -> pd.DataFrame:
+    """The 22 composite columns for one ordered series (pandas twin of
+    ``operators.indicators.technical_indicators``)."""
+    p = df[price].astype("float64")
+    out = df.copy()
+    lag = p.shift(1)
+    out["price_lag_1"] = lag
+    out["price_change"] = p - lag
+    out["price_change_pct"] = _div(out["price_change"], lag) * 100
+    out["sma_20"] = _roll_mean(p, 20)
+    out["price_volatility"] = _roll_std(out["price_change_pct"], 20)
+    out["volume_sma_20"] = _roll_mean(df[volume].astype("float64"), 20)
+    ch = out["price_change"]
+    out["gain"] = ch.where(ch > 0, 0.0)
+    out["loss"] = (-ch).where(ch < 0, 0.0)
+    out["avg_gain"] = _roll_mean(out["gain"], 14)
+    out["avg_loss"] = _roll_mean(out["loss"], 14)
+    out["rs"] = _div(out["avg_gain"], out["avg_loss"])
+    out["rsi"] = 100 - _div(pd.Series(100.0, index=p.index), 1 + out["rs"])
+    out["ema_12"] = _roll_mean(p, 12)
+    out["ema_26"] = _roll_mean(p, 26)
+    out["macd_line"] = out["ema_12"] - out["ema_26"]
+    out["macd_signal"] = _roll_mean(out["macd_line"], 9)
+    out["macd_histogram"] = out["macd_line"] - out["macd_signal"]
+    out["price_mean"] = _roll_mean(p, 20)
+    out["price_stddev"] = _roll_std(p, 20)
+    z = _div(p - out["price_mean"], out["price_stddev"])
+    out["z_score"] = z
+    anom = pd.array(np.where(z.isna(), None, z.abs() > threshold), dtype="boolean")
+    out["is_anomaly"] = anom
+    out["anomaly_type"] = np.where(z > threshold, "price_spike",
+                                   np.where(z < -threshold, "price_drop", "normal"))
+    return out
+
+
+def output_schema(input_schema: T.StructType) -> T.StructType:
+    extra = [T.StructField(c, T.DoubleType()) for c in INDICATOR_COLUMNS
+             if c not in ("is_anomaly", "anomaly_type")]
+    extra += [T.StructField("is_anomaly", T.BooleanType()),
+              T.StructField("anomaly_type", T.StringType())]
+    return T.StructType(list(input_schema.fields) + extra)
+
+
+class RollingIndicators(StatefulProcessor):
+    """Keyed processor: tail of the series in ListState, indicators per batch."""
+
+    def __init__(self, input_schema: T.StructType, order: list[str]):
+        self.schema = input_schema
+        self.cols = [f.name for f in input_schema.fields]
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.tail = handle.getListState("tail", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)
+        if new.empty:
+            return
+        new = new.sort_values(self.order, kind="mergesort")
+        prev = pd.DataFrame(list(self.tail.get()) if self.tail.exists() else [], columns=self.cols)
+        n_prev = len(prev)
+        both = pd.concat([prev, new[self.cols]], ignore_index=True) if n_prev else new[self.cols].reset_index(drop=True)
+        res = indicators_frame(both)
+        keep = both.iloc[-LOOKBACK:]
+        self.tail.clear()
+        self.tail.put([tuple(None if (isinstance(v, float) and np.isnan(v)) else v for v in r)
+                       for r in keep.itertuples(index=False, name=None)])
+        yield res.iloc[n_prev:].reset_index(drop=True)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_indicators(stream: DataFrame, order=("watermark_time", "event_id"),
+                      event_time: str | None = None) -> DataFrame:
+    """Per-symbol indicators on a stream. With ``event_time`` (a TIMESTAMP
+    column carrying a watermark) the output keeps event time semantics so a
+    windowed aggregation can follow (T9)."""
+    spark = stream.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    schema = stream.schema
+    proc = RollingIndicators(schema, list(order))
+    g = stream.groupBy("symbol")
+    if event_time:
+        return g.transformWithStateInPandas(proc, output_schema(schema), "Append", "EventTime",
+                                            eventTimeColumnName=event_time)
+    return g.transformWithStateInPandas(proc, output_schema(schema), "Append", "None")
