@@ -33,8 +33,10 @@ def test_halo_with_sparse_buckets(spark):
     assert a.exceptAll(b.select(a.columns)).count() == 0
 
 
-def test_auto_bucket_choice(spark):
+def test_auto_bucket_choice(spark, monkeypatch):
     t = ticks(spark, SF01)
+    assert S.choose_bucket(t, TICK_SPEC, 34) is None        # small input: no split, no job
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)          # pretend it is large
     assert S.choose_bucket(t, TICK_SPEC, 34) is None        # 2k rows per symbol: one bucket
     small = TICK_SPEC.with_(rows_per_bucket=50)
     assert S.choose_bucket(t, small, 2) == "day"

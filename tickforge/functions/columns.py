@@ -57,3 +57,20 @@ def lookback_start(as_of: Column, hours: float | None = None, days: int | None =
     if hours is not None:
         return as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours) * 3600))
     return as_of - F.make_dt_interval(F.lit(int(days or 0)))
+
+
+_SHIFT = "100000000000000000000"        # 10^20 > 2^64: room for any shifted long
+_HALF = "9223372036854775808"           # 2^63: maps signed longs to [0, 2^64)
+
+
+def order_key(primary, tiebreak, primary_is_time: bool = True) -> Column:
+    """Single fixed-width DECIMAL(38,0) key that orders like (primary,
+    tiebreak). ``primary`` is a timestamp (taken as epoch micros) or, with
+    ``primary_is_time=False``, a long; ``tiebreak`` is a long (NULL -> 0).
+    min_by/max_by over this key keep a fixed-width aggregation buffer, so
+    Spark plans a hash aggregate with map-side partial aggregation instead of
+    sorting every row (which a struct-typed ordering forces)."""
+    p = F.unix_micros(_c(primary).cast("timestamp")) if primary_is_time else _c(primary).cast("long")
+    t = F.coalesce(_c(tiebreak).cast("long"), F.lit(0).cast("long"))
+    return (p.cast("decimal(20,0)") * F.lit(_SHIFT).cast("decimal(21,0)")
+            + (t.cast("decimal(20,0)") + F.lit(_HALF).cast("decimal(20,0)"))).cast("decimal(38,0)")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import lookback_start, pct, resolve_as_of, safe_div, to_ntz
+from ..functions.columns import lookback_start, order_key, pct, resolve_as_of, safe_div, to_ntz
 
 
 def _filter_symbols(df: DataFrame, symbols) -> DataFrame:
@@ -39,7 +39,7 @@ def hourly_ohlcv(trades: DataFrame, start=None, end=None, symbols=None,
         df = df.filter(F.col(ts) >= F.lit(start))
     if end is not None:
         df = df.filter(F.col(ts) < (end if isinstance(end, Column) else F.lit(end)))
-    order = F.struct(F.col(ts), F.col(tiebreak))
+    order = order_key(F.col(ts), F.col(tiebreak))
     q, bm = F.col("quantity"), F.col("is_buyer_maker")
     out = (df.groupBy("symbol", to_ntz(F.date_trunc("hour", F.col(ts))).alias("hour_timestamp"))
              .agg(F.min_by("price", order).alias("open_price"),

@@ -57,9 +57,27 @@ def window(part: Sequence[str], spec: SeriesSpec, lo: int | None = None):
     return w if lo is None else w.rowsBetween(lo, 0)
 
 
+# Inputs whose planned size is below this never need splitting: no window
+# partition can be larger than the whole input.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def planned_size(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a plan (file bytes for scans); no job runs."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
+
+
 def choose_bucket(df: DataFrame, spec: SeriesSpec, lookback: int) -> str | None:
     """Pick the finest date_trunc unit whose average key-bucket holds at least
-    ``max(rows_per_bucket, 16 * lookback)`` rows. One small aggregate job."""
+    ``max(rows_per_bucket, 16 * lookback)`` rows. Inputs the optimizer sizes
+    below ``SMALL_INPUT_BYTES`` use plain per-key windows without any job;
+    larger ones cost one small aggregate job (count, keys, time span)."""
+    size = planned_size(df)
+    if size is not None and size <= SMALL_INPUT_BYTES:
+        return None
     ts = spec.order[0]
     st = df.agg(F.count(F.lit(1)).alias("n"),
                 F.approx_count_distinct(spec.key).alias("k"),

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.columns import order_key
 from ..session import scratch_path
 
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
@@ -147,7 +148,8 @@ def latest_price_items(df: DataFrame, ttl_seconds: int = 86400, as_decimal: bool
     of whole series."""
     cols = [c for c in ["price", "volume", "high_24h", "low_24h", "price_change_percent_24h",
                         "market_cap", "rsi", "macd_line", "is_anomaly", "source"] if c in df.columns]
-    order = F.struct(F.col("timestamp"), *([F.col("event_id")] if "event_id" in df.columns else []))
+    order = order_key(F.col("timestamp"), F.col("event_id") if "event_id" in df.columns else F.lit(0),
+                      primary_is_time=False)
     g = df.groupBy("symbol").agg(F.max("timestamp").alias("timestamp"),
                                  *[F.max_by(c, order).alias(c) for c in cols])
     dec = (lambda c: F.col(c).cast("decimal(38,18)")) if as_decimal else F.col
