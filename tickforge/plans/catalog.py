@@ -36,6 +36,3 @@ def register(name: str, sql: str | None, doubles=(), note: str = ""):
         return fn
     return deco
 
-
-# Modules that register entries (import order = key order).
-from . import q_rollups, q_series, q_analytics, q_ingest, q_ops, q_stream  # noqa: E402,F401

@@ -1,6 +1,8 @@
 """Public accessors used by ``__spark_entry__``."""
 
 from .catalog import REGISTRY
+# Modules that register entries (import order = key order).
+from . import q_rollups, q_series, q_analytics, q_ingest, q_ops, q_stream  # noqa: F401
 
 
 def queries():

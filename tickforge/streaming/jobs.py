@@ -101,3 +101,23 @@ def stop_all(spark: SparkSession) -> None:
     """Graceful stop of every active query of the session."""
     for q in spark.streams.active:
         q.stop()
+
+
+def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
+                  watermark: str = "10 minutes") -> list:
+    """Ticker pipeline (K3, K4, T8, T9, T11): enriched ticks to the lake
+    partitioned by (partition_date, symbol), 5-minute market aggregates
+    partitioned by the window's own date (the aggregate has no
+    partition_date column of its own), and the latest-price KV table. Each
+    query has its own checkpoint under ``out_root``."""
+    enriched, market = market_stream(ticks, watermark)
+    detailed = (_writer(enriched, f"{out_root}/_ck/detailed", trigger).format("parquet")
+                .option("path", f"{out_root}/detailed").partitionBy("partition_date", "symbol").start())
+    agg = market.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
+    aggregated = (_writer(agg, f"{out_root}/_ck/aggregated", trigger).format("parquet")
+                  .option("path", f"{out_root}/aggregated").partitionBy("partition_date").start())
+    kv_cols = [c for c in ("symbol", "timestamp", "event_id", "price", "rsi", "macd_line", "is_anomaly")
+               if c in enriched.columns]
+    kv = (_writer(enriched.select(*kv_cols), f"{out_root}/_ck/kv", trigger)
+          .foreachBatch(latest_price_batches(f"{out_root}/kv")).start())
+    return [detailed, aggregated, kv]
