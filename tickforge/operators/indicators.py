@@ -174,7 +174,7 @@ INDICATOR_COLUMNS = ["price_lag_1", "price_change", "price_change_pct", "sma_20"
 
 def ema_recursive(df: DataFrame, price: str = "price", window: int = 20,
                   alpha: float | None = None, spec: SeriesSpec = TICKS,
-                  tolerance: float = 1e-12) -> DataFrame:
+                  tolerance: float = 1e-15) -> DataFrame:
     """Exponential moving average ema_t = a*p_t + (1-a)*ema_{t-1}, seeded with
     the first price of the series; column ``ema_{window}_exp``.
 

@@ -10,6 +10,7 @@ from ..operators.series import SeriesSpec
 from ..sources import adapters, tables
 
 DIGITS = 6
+LIMIT = 1e12   # larger magnitudes are compared unrounded (floor() returns a long)
 
 # Series layouts of the adapters: ticks are ordered by (event time, event id);
 # trades by (trade time, trade id).
@@ -26,7 +27,9 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             scale = float(10 ** digits)
-            cols.append((F.floor(F.col(f.name) * scale + 0.5) / scale + F.lit(0.0)).alias(f.name))
+            x = F.col(f.name)
+            r = F.when(F.abs(x) < LIMIT, F.floor(x * scale + 0.5) / scale).otherwise(x)
+            cols.append((r + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -60,5 +63,6 @@ def rnd_sql(sql: str, *cols: str) -> str:
     if not cols:
         return sql
     scale = f"{float(10 ** DIGITS)!r}"
-    rep = ", ".join(f'floor("{c}" * {scale} + 0.5) / {scale} + 0.0 AS "{c}"' for c in cols)
+    rep = ", ".join(f'CASE WHEN abs("{c}") < {LIMIT!r} THEN floor("{c}" * {scale} + 0.5) / {scale}'
+                    f' ELSE "{c}" END + 0.0 AS "{c}"' for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS _q"

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _prop_k(props: str = "props") -> Column:
-    return F.get_json_object(F.col(props), "$.k").cast("double")
+    return F.get_json_object(F.col(props), "$.k").try_cast("double")
 
 
 def trades(events: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def trades_bulk(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trade_id"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
         (F.col("l_returnflag") == "R").alias("is_buyer_maker"),
         F.col("l_shipdate").alias("trade_timestamp"),
