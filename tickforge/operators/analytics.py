@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import pct, resolve_as_of
+from ..session import materialize
 
 
 def _since(df: DataFrame, days: int | None, as_of, date_col: str = "partition_date") -> DataFrame:
@@ -38,6 +39,9 @@ def correlation_pairs(returns: DataFrame, min_days: int = 30) -> DataFrame:
 
     Equi-join on the day plus a ``<`` residual; the join input is one row per
     symbol-day, and AQE's skew-join split handles days with many symbols."""
+    # The returns feed both join sides: materialise them once (one row per
+    # symbol-day) instead of scanning and aggregating the raw ticks twice.
+    returns = materialize(returns, "daily-returns")
     a = returns.select(F.col("symbol").alias("symbol_a"), "partition_date",
                        F.col("daily_return").alias("ra"))
     b = returns.select(F.col("symbol").alias("symbol_b"), "partition_date",

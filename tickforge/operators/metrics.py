@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import lookback_start, resolve_as_of
-from ..session import checkpoint_dir
+from ..session import materialize
 
 
 def _metric_rows(df: DataFrame, keys) -> DataFrame:
@@ -120,9 +120,8 @@ def alert_states(series: DataFrame, ts: str = "watermark_time") -> DataFrame:
                           (F.count(F.when(F.col("is_anomaly"), 1)) * 100.0 / F.count(F.lit(1)))
                           .cast("double").alias("anomaly_rate")))
     # One row per minute, read by three branches below: materialise it once
-    # in the shared checkpoint folder instead of re-running the upstream plan.
-    checkpoint_dir(series.sparkSession)
-    per_min = per_min.checkpoint(eager=True)
+    # as a table in the shared checkpoint folder instead of re-running the upstream plan.
+    per_min = materialize(per_min, "alert-per-minute")
     bounds = per_min.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
     grid = minute_grid(F.col("lo"), F.col("hi"), bounds)
     m = grid.join(per_min, "minute", "left").fillna({"records": 0})

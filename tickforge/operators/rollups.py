@@ -27,7 +27,7 @@ def _range(df: DataFrame, col: str, start=None, end=None) -> DataFrame:
 
 def hourly_ohlcv(trades: DataFrame, start=None, end=None, symbols=None,
                  ts: str = "trade_timestamp", tiebreak: str = "trade_id",
-                 aggregation_time: Column | None = None) -> DataFrame:
+                 aggregation_time: Column | None = None, date_col: str = "trade_date") -> DataFrame:
     """A1: per (symbol, hour) open/high/low/close, volumes, trades, value, VWAP.
 
     open/close are the first/last price by (timestamp, tiebreak). With
@@ -35,10 +35,18 @@ def hourly_ohlcv(trades: DataFrame, start=None, end=None, symbols=None,
     if start is not None and end is None:
         end = F.lit(start) + F.expr("INTERVAL 1 HOUR")
     df = _filter_symbols(trades, symbols)
+    # On a day-partitioned table, repeat the bounds on the partition column so
+    # the scan prunes whole partitions (a timestamp filter alone cannot).
+    by_day = date_col if date_col in trades.columns else None
     if start is not None:
         df = df.filter(F.col(ts) >= F.lit(start))
+        if by_day:
+            df = df.filter(F.col(by_day) >= F.to_date(F.lit(start)))
     if end is not None:
-        df = df.filter(F.col(ts) < (end if isinstance(end, Column) else F.lit(end)))
+        e = end if isinstance(end, Column) else F.lit(end)
+        df = df.filter(F.col(ts) < e)
+        if by_day:
+            df = df.filter(F.col(by_day) <= F.to_date(e))
     order = order_key(F.col(ts), F.col(tiebreak))
     q, bm = F.col("quantity"), F.col("is_buyer_maker")
     out = (df.groupBy("symbol", to_ntz(F.date_trunc("hour", F.col(ts))).alias("hour_timestamp"))

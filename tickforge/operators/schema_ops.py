@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..functions.columns import order_key
+
 # Warehouse type names of inferred fields, and the precedence used
 # when one field shows several types (STRING only if nothing else was seen).
 TYPE_PRECEDENCE = ["RECORD", "REPEATED", "FLOAT64", "INTEGER", "BOOLEAN", "TIMESTAMP",
@@ -64,8 +66,10 @@ def infer_schema(records: DataFrame, json_col: str = "json", group_cols=()) -> D
     kv = rid.select(*g, "_rid", F.posexplode(F.from_json("_j", "map<string,variant>"))
                     .alias("_pos", "field_name", "_v"))
     typed = kv.select(*g, "_rid", "_pos", "field_name", _variant_type(F.col("_v")).alias("_t"))
+    # first appearance as a fixed-width key -> hash aggregate, no sort of all pairs
+    first = order_key(F.col("_rid"), F.col("_pos"), primary_is_time=False)
     per_type = typed.groupBy(*g, "field_name", "_t").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(F.struct("_rid", "_pos")).alias("_first"))
+        F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first"))
     prec = F.array(*[F.lit(t) for t in TYPE_PRECEDENCE])
     per_type = per_type.withColumn("_rank", F.array_position(prec, F.col("_t")))
     agg = per_type.groupBy(*g, "field_name").agg(
