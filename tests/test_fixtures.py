@@ -271,3 +271,11 @@ def test_evolve_adds_only_absent(spark):
     assert out.columns == ["a", "b", "c"] and rep["added"] == ["c"] and rep["already_present"] == ["b"]
     same, rep2 = SO.evolve_schema(df, [("c", "FLOAT64")], dry_run=True)
     assert same.columns == ["a", "b"] and rep2["dry_run"]
+
+
+def test_null_payload_row_is_kept_and_dead_lettered(spark):
+    env = spark.createDataFrame([(None, {}, T0), (bytearray(b'{"symbol": "A"}'), {}, T0)], SC.ENVELOPE)
+    flat = G.transform_trades(G.flatten_trades(G.parse_envelopes(env)))
+    valid, invalid = QL.validate(flat)
+    assert flat.count() == 2 and valid.count() == 0
+    assert sorted(r["validation_error"] for r in invalid.collect()) == ["missing_price", "missing_symbol"]

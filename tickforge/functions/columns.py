@@ -74,3 +74,15 @@ def order_key(primary, tiebreak, primary_is_time: bool = True) -> Column:
     t = F.coalesce(_c(tiebreak).cast("long"), F.lit(0).cast("long"))
     return (p.cast("decimal(20,0)") * F.lit(_SHIFT).cast("decimal(21,0)")
             + (t.cast("decimal(20,0)") + F.lit(_HALF).cast("decimal(20,0)"))).cast("decimal(38,0)")
+
+
+def bind_once(df: DataFrame, **exprs: Column) -> DataFrame:
+    """Add expensive per-row expressions (JSON parsing) evaluated exactly once.
+
+    Catalyst pushes filters below projections by substituting the projected
+    expression, so a filter on three fields of a parsed struct would re-run
+    the parser three more times. Binding the values through a one-element
+    generator (``inline``) stops that substitution: the parse runs once per
+    row and later filters apply to its output."""
+    packed = F.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select("*", F.inline(F.array(packed)))

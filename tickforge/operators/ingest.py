@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as SC
-from ..functions.columns import epoch_ms_to_ts
+from ..functions.columns import bind_once, epoch_ms_to_ts
 
 PIPELINE_VERSION = "1.0.0"
 
@@ -20,8 +20,8 @@ def _ts_or_now(value) -> Column:
 def parse_envelopes(envelopes: DataFrame, schema=SC.TRADE, payload: str = "data") -> DataFrame:
     """Payload bytes -> typed struct ``parsed`` (malformed JSON -> all-NULL
     struct), keeping attributes and publish_time."""
-    return envelopes.select(F.from_json(F.col(payload).cast("string"), schema).alias("parsed"),
-                            "attributes", "publish_time")
+    env = envelopes.select(F.col(payload), "attributes", "publish_time")
+    return bind_once(env, parsed=F.from_json(F.col(payload).cast("string"), schema)).drop(payload)
 
 
 def flatten_trades(parsed: DataFrame, truncate_to_second: bool = False) -> DataFrame:
@@ -64,7 +64,7 @@ def normalize_raw_trades(raw: DataFrame, col: str = "value", ingestion_time=None
     num = (lambda key: F.coalesce(k(key).try_cast("double"), F.lit(0.0))) if missing_price_as_zero \
         else (lambda key: k(key).try_cast("double"))
     ing = F.date_format(_ts_or_now(ingestion_time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    return raw.select(m.alias("m")).select(
+    return bind_once(raw.select(col), m=m).select(
         F.coalesce(k("e"), F.lit("trade")).alias("event_type"),
         F.coalesce(k("E").try_cast("long"), now).alias("event_time"),
         F.upper(F.coalesce(k("s"), F.lit(""))).alias("symbol"),
@@ -145,6 +145,6 @@ def ingest_time_columns(df: DataFrame, now=None) -> DataFrame:
 
 def read_ticks_parsed(raw: DataFrame, col: str = "value") -> DataFrame:
     """S2 parse step: ticker JSON -> columns + processing_time + watermark_time."""
-    return (raw.select(F.from_json(F.col(col), SC.TICKER).alias("d")).select("d.*")
+    return (bind_once(raw.select(col), d=F.from_json(F.col(col), SC.TICKER)).select("d.*")
                .withColumn("processing_time", F.current_timestamp())
                .withColumn("watermark_time", F.timestamp_seconds("timestamp")))
