@@ -13,6 +13,8 @@ import math
 import sys
 import time
 
+import os
+
 import duckdb
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -21,7 +23,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def duck(sf_dir: str):
     con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    con.execute(f"SET TimeZone='{os.environ.get('ORACLE_TZ', 'UTC')}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con

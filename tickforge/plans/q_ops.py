@@ -194,10 +194,12 @@ def schema_infer(spark, d):
 
 NEW_JSON_SQL = f"""SELECT CAST(to_json({{'event_id': event_id, 'ts': strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'),
   'event_type': event_type, 'value': value, 'props': json(props), 'quantity': {Q.K}}}) AS VARCHAR) AS j FROM events"""
-CUR_FIELDS_SQL = """SELECT column_name AS field_name, CASE WHEN data_type IN ('BIGINT', 'INTEGER') THEN 'INTEGER'
-  WHEN data_type = 'DOUBLE' THEN 'FLOAT64' WHEN data_type LIKE 'TIMESTAMP%' THEN 'TIMESTAMP'
-  WHEN data_type = 'BOOLEAN' THEN 'BOOLEAN' WHEN data_type = 'DATE' THEN 'DATE' ELSE 'STRING' END AS field_type
-FROM information_schema.columns WHERE table_name = 'events'"""
+# Field types of the events table as documented for the driver data
+# (event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type/props VARCHAR,
+# value DOUBLE) in warehouse type names.
+CUR_FIELDS_SQL = """SELECT * FROM (VALUES ('event_id', 'INTEGER'), ('ts', 'TIMESTAMP'),
+  ('user_id', 'INTEGER'), ('event_type', 'STRING'), ('value', 'FLOAT64'), ('props', 'STRING'))
+  AS c(field_name, field_type)"""
 
 
 def _new_records(spark, d):

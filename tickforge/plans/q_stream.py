@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import ensure_conf, scratch_path
 from ..sources import adapters
 from ..streaming import jobs as J, sources as SS, stateful as ST
 from . import sql_blocks as Q
@@ -21,6 +21,7 @@ from .q_series import IND_D
 
 
 def _events_stream(spark, d):
+    ensure_conf(spark)
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     # A glob: the file source wants a folder or pattern, not a single file.
     return SS.replay_stream(spark, f"{d}/events*.parquet", schema, max_files_per_trigger=1)
@@ -37,8 +38,9 @@ def stream_validate(spark, d):
     env = envelopes_of(_events_stream(spark, d))
     flat = J.G.flatten_trades(J.G.parse_envelopes(env))
     parsed = J.G.transform_trades(flat, processing_time=F.col("pubsub_publish_time"))
-    q = (parsed.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
-         .foreachBatch(J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq")).start())
+    with J.state_partitions(spark):
+        q = (parsed.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
+             .foreachBatch(J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq")).start())
     J.run_to_completion(q)
     out = spark.read.parquet(f"{base}/valid").drop("batch_id")
     ts_cols = ("pubsub_publish_time", "event_timestamp", "trade_timestamp", "processing_time")
@@ -49,7 +51,8 @@ def stream_validate(spark, d):
 def stream_dedup(spark, d):
     base, ck = _run(spark, "dedup")
     tr = J.dedup_stream(adapters.trades(_events_stream(spark, d)))
-    q = J._writer(tr, ck, None).format("parquet").option("path", f"{base}/out").start()
+    with J.state_partitions(spark):
+        q = J._writer(tr, ck, None).format("parquet").option("path", f"{base}/out").start()
     J.run_to_completion(q)
     out = spark.read.parquet(f"{base}/out")
     return rounded(out.withColumn("trade_timestamp", F.col("trade_timestamp").cast("timestamp_ntz")))
@@ -59,7 +62,8 @@ def stream_dedup(spark, d):
 def stream_indicators(spark, d):
     base, ck = _run(spark, "indicators")
     enriched = ST.stream_indicators(adapters.ticks(_events_stream(spark, d)))
-    q = J._writer(enriched, ck, None).format("parquet").option("path", f"{base}/out").start()
+    with J.state_partitions(spark):
+        q = J._writer(enriched, ck, None).format("parquet").option("path", f"{base}/out").start()
     J.run_to_completion(q)
     return rounded(spark.read.parquet(f"{base}/out"))
 
@@ -69,7 +73,8 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""", M5_D)
 def stream_market_5min(spark, d):
     base, ck = _run(spark, "market")
     _, market = J.market_stream(adapters.ticks(_events_stream(spark, d)))
-    q = J._writer(market, ck, None).format("parquet").option("path", f"{base}/out").start()
+    with J.state_partitions(spark):
+        q = J._writer(market, ck, None).format("parquet").option("path", f"{base}/out").start()
     J.run_to_completion(q)
     return rounded(flat_window(spark.read.parquet(f"{base}/out")))
 
@@ -80,6 +85,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC
 def stream_latest_price(spark, d):
     base, ck = _run(spark, "kv")
     t = adapters.ticks(_events_stream(spark, d)).select("symbol", "timestamp", "event_id", "price", "volume")
-    q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
+    with J.state_partitions(spark):
+        q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
     return rounded(spark.read.parquet(f"{base}/kv"))

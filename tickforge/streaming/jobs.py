@@ -17,6 +17,25 @@ from ..sinks import tables as TB
 from . import stateful
 
 
+class state_partitions:
+    """Context manager: shuffle partitions used when a stateful query first
+    starts (the count is then fixed in its checkpoint). Defaults to twice the
+    cluster's default parallelism instead of a session-wide constant."""
+
+    def __init__(self, spark: SparkSession, n: int | None = None):
+        self.spark = spark
+        self.n = n or max(1, 2 * spark.sparkContext.defaultParallelism)
+
+    def __enter__(self):
+        self.prev = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.prev)
+        return False
+
+
 def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str = "append"):
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     trig = trigger or {"availableNow": True}
