@@ -33,13 +33,35 @@ def test_halo_with_sparse_buckets(spark):
     assert a.exceptAll(b.select(a.columns)).count() == 0
 
 
-def test_auto_bucket_choice(spark, monkeypatch):
+def test_auto_splits_only_hot_keys(spark, monkeypatch):
     t = ticks(spark, SF01)
-    assert S.choose_bucket(t, TICK_SPEC, 34) is None        # small input: no split, no job
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)          # pretend it is large
-    assert S.choose_bucket(t, TICK_SPEC, 34) is None        # 2k rows per symbol: one bucket
-    small = TICK_SPEC.with_(rows_per_bucket=50)
-    assert S.choose_bucket(t, small, 2) == "day"
+    assert S.hot_key_widths(t, TICK_SPEC) is None                 # small input: no job, no split
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)               # pretend it is large
+    few = TICK_SPEC.with_(rows_per_bucket=100, max_hot_keys=2)   # threshold N/2: nobody is hot
+    assert S.hot_key_widths(t, few) is None
+    many = TICK_SPEC.with_(rows_per_bucket=100, max_hot_keys=10)  # threshold 1000: all 5 hot
+    w = S.hot_key_widths(t, many)
+    assert w.count() == 5
+    plain = I.technical_indicators(t, spec=TICK_SPEC.with_(bucket=None))
+    auto = I.technical_indicators(t, spec=many)
+    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
+
+
+def test_skewed_key_is_split_alone(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
+    rows += [(f"C{k}", 10_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
+             for k in range(20) for j in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
+    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
+    w = {r["symbol"]: r["_w"] for r in S.hot_key_widths(df, spec).collect()}
+    assert list(w) == ["HOT"]                                      # cold keys stay whole
+    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
+    auto = I.technical_indicators(df, spec=spec)
+    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
+    n_buckets = df.filter("symbol = 'HOT'").select(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / w["HOT"])).distinct().count()
+    assert n_buckets >= 10                                         # ~3000 rows / 200 per bucket
 
 
 def test_halo_tail_is_map_side_limited(spark):

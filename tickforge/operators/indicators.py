@@ -186,7 +186,7 @@ def ema_recursive(df: DataFrame, price: str = "price", window: int = 20,
     L = max(1, int(math.ceil(math.log(tolerance) / math.log(1.0 - a)))) if a < 1 else 1
     out_col = f"ema_{window}_exp"
     bucket = spec.bucket if spec.bucket not in (None, "auto") else (
-        S.choose_bucket(df, spec, L) or "year")
+        S.choose_bucket(df, spec.with_(rows_per_bucket=0), L) or "year")
     bspec = spec.with_(bucket=bucket)
     order = list(spec.order)
 

@@ -56,7 +56,7 @@ def clean_ticks(df: DataFrame, order=("timestamp",)) -> DataFrame:
     remaining ``order`` columns; data_quality_score 100 / 80 / 60."""
     f = df.filter((F.col("price") > 0) & (F.col("volume") >= 0)
                   & F.col("timestamp").isNotNull() & F.col("symbol").isNotNull())
-    f = dedup_latest(f, ["symbol", "timestamp"], [F.col(c).asc() for c in order[1:]] or [F.lit(1)])
+    f = dedup_first(f, ["symbol", "timestamp"], order[1] if len(order) > 1 else None)
     has_ind = ("rsi" in f.columns) and ("macd_line" in f.columns)
     full = (F.col("rsi").isNotNull() & F.col("macd_line").isNotNull()) if has_ind else F.lit(False)
     return f.withColumn("data_quality_score",
@@ -65,6 +65,21 @@ def clean_ticks(df: DataFrame, order=("timestamp",)) -> DataFrame:
                          .otherwise(60))
 
 
+def dedup_first(df: DataFrame, keys, tiebreak: str | None = None) -> DataFrame:
+    """One row per ``keys``, the one with the smallest ``tiebreak`` (a
+    numeric column; None keeps an arbitrary copy like dropDuplicates).
+
+    An aggregate, not a window: copies of one key collapse map-side (partial
+    aggregation) before the shuffle, so even a key holding a large share of
+    all rows never reaches one task whole."""
+    cols = df.columns
+    if tiebreak is None:
+        return df.dropDuplicates(list(keys))
+    packed = F.struct(*[F.col(c) for c in cols])
+    return (df.groupBy(*keys).agg(F.min_by(packed, F.col(tiebreak)).alias("_r"))
+              .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+
+
 def dedup_latest(df: DataFrame, keys, order) -> DataFrame:
     """First row per ``keys`` under ``order`` (row_number = 1).
     The window is partitioned by the full key, so groups are as small as the

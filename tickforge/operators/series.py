@@ -9,6 +9,10 @@ earlier buckets as needed). Halo rows only feed the frames and are dropped
 afterwards, so results equal the plain per-key window exactly.
 
 Plan shape (per call):
+  * bucket choice ("auto")  -> per-key counts (partial aggregation); only keys
+                              above the hot threshold get buckets, sized by
+                              their own density; the hot-key table is bounded
+                              and broadcast
   * bucket row counts      -> partial aggregation, tiny output
   * bucket table window    -> one row per (key, bucket), bounded lookback frame
   * bucket tails           -> row_number() <= lookback, planned as a map-side
@@ -23,6 +27,8 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import materialize
+
 # Bucket ladder for bucket="auto" (date_trunc units) and their length in seconds.
 BUCKET_UNITS = (("minute", 60), ("hour", 3600), ("day", 86400), ("week", 604800),
                 ("month", 2629800), ("quarter", 7889400), ("year", 31557600))
@@ -35,14 +41,20 @@ class SeriesSpec:
     key    - series key column
     order  - total order inside a key; first column must be a timestamp when
              bucketing (later columns break ties)
-    bucket - date_trunc unit, "auto" (chosen from data density), or None for
-             one window partition per key (small data / already bounded keys)
-    rows_per_bucket - density target for "auto" (average rows per key-bucket)
+    bucket - "auto" (split only hot keys, each by its own density), a
+             date_trunc unit (same calendar buckets for every key), or None
+             for one window partition per key (small data / bounded keys)
+    rows_per_bucket - "auto": target rows per bucket of a split key
+    max_hot_keys    - "auto": at most this many keys are split; a key is hot
+                      when it holds more than max(rows_per_bucket,
+                      N / max_hot_keys) rows, so the hot-key table is bounded
+                      by max_hot_keys rows whatever N is
     """
     key: str = "symbol"
     order: tuple[str, ...] = ("timestamp",)
     bucket: str | None = "auto"
-    rows_per_bucket: int = 50_000
+    rows_per_bucket: int = 1_000_000
+    max_hot_keys: int = 100_000
 
     def with_(self, **kw) -> "SeriesSpec":
         return replace(self, **kw)
@@ -70,27 +82,56 @@ def planned_size(df: DataFrame) -> int | None:
         return None
 
 
+def _micros(c):
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def hot_key_widths(df: DataFrame, spec: SeriesSpec) -> DataFrame | None:
+    """``bucket="auto"``: per hot key, a bucket width in microseconds that puts
+    about ``rows_per_bucket`` of that key's rows in each bucket. Returns None
+    when nothing needs splitting (then plain per-key windows are exact and
+    bounded). Inputs the optimizer sizes below ``SMALL_INPUT_BYTES`` skip the
+    statistics job entirely."""
+    size = planned_size(df)
+    if size is not None and size <= SMALL_INPUT_BYTES:
+        return None
+    t = _micros(spec.order[0])
+    per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"),
+                                       F.max(t).alias("_hi"))
+    # one row per key, read twice below: written once to the shared folder
+    per_key = materialize(per_key, "series-key-stats")
+    total = per_key.agg(F.sum("_n")).first()[0] or 0
+    hot_min = max(spec.rows_per_bucket, total // max(spec.max_hot_keys, 1))
+    hot = per_key.filter(F.col("_n") > hot_min)
+    if hot.limit(1).count() == 0:
+        return None
+    span = F.col("_hi") - F.col("_lo") + 1
+    width = F.greatest(F.lit(1).cast("long"),
+                       F.ceil(span * F.lit(float(spec.rows_per_bucket)) / F.col("_n")).cast("long"))
+    return hot.select(spec.key, width.alias("_w"))
+
+
 def choose_bucket(df: DataFrame, spec: SeriesSpec, lookback: int) -> str | None:
-    """Pick the finest date_trunc unit whose average key-bucket holds at least
-    ``max(rows_per_bucket, 16 * lookback)`` rows. Inputs the optimizer sizes
-    below ``SMALL_INPUT_BYTES`` use plain per-key windows without any job;
-    larger ones cost one small aggregate job (count, keys, time span)."""
+    """Coarsest-safe calendar unit for operators that need one unit for all
+    keys (pandas-backed EMA): the finest date_trunc unit whose busiest key
+    still gets at least ``16 * lookback`` rows per bucket on average; None for
+    small inputs or when a single bucket per key suffices."""
     size = planned_size(df)
     if size is not None and size <= SMALL_INPUT_BYTES:
         return None
     ts = spec.order[0]
-    st = df.agg(F.count(F.lit(1)).alias("n"),
-                F.approx_count_distinct(spec.key).alias("k"),
-                F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    if not st or not st["n"] or st["lo"] is None:
+    per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
+    st = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    top = per_key.agg(F.max("n")).first()[0]
+    if not top or st["lo"] is None:
         return None
     span = max((st["hi"] - st["lo"]).total_seconds(), 1.0)
-    per_key_per_sec = st["n"] / max(st["k"], 1) / span
+    rate = top / span
     target = max(spec.rows_per_bucket, 16 * lookback)
     for unit, secs in BUCKET_UNITS:
         if secs >= span:
-            return None            # a single bucket per key: plain windows suffice
-        if per_key_per_sec * secs >= target:
+            return None
+        if rate * secs >= target:
             return unit
     return None
 
@@ -101,18 +142,25 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
 
     ``compute`` must only use window frames ordered by ``spec.order`` that look
     back at most ``lookback`` rows (counting chained windows)."""
-    bucket = spec.bucket
-    if bucket == "auto":
-        bucket = choose_bucket(df, spec, lookback)
-    if bucket is None:
+    if spec.bucket is None:
         return compute(df, [spec.key])
-    return _bucketed(df, compute, spec, lookback, bucket)
-
-
-def _bucketed(df, compute, spec, K, unit):
+    if spec.bucket == "auto":
+        widths = hot_key_widths(df, spec)
+        if widths is None:
+            return compute(df, [spec.key])
+        # Broadcast is size-proven: at most max_hot_keys rows (see SeriesSpec).
+        b = (df.join(F.broadcast(widths), spec.key, "left")
+               .withColumn("_bkt", F.when(F.col("_w").isNull(), F.lit(0).cast("long"))
+                           .otherwise(F.floor(_micros(spec.order[0]) / F.col("_w")).cast("long")))
+               .drop("_w"))
+        return _bucketed(b, df.columns, compute, spec, lookback)
+    b = df.withColumn("_bkt", F.date_trunc(spec.bucket, F.col(spec.order[0])))
+    return _bucketed(b, df.columns, compute, spec, lookback)
+
+
+def _bucketed(b, cols, compute, spec, K):
+    """``b`` = input plus a ``_bkt`` column ordered like time within a key."""
     key = spec.key
-    cols = df.columns
-    b = df.withColumn("_bkt", F.date_trunc(unit, F.col(spec.order[0])))
 
     # (key, bucket) sizes and their running position inside the key.
     counts = b.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
