@@ -69,3 +69,17 @@ def test_halo_tail_is_map_side_limited(spark):
     plan = I.technical_indicators(t, spec=TICK_SPEC.with_(bucket="day"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_recursive_ema_hot_key_split(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
+    rows += [(f"C{k}", 10_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
+             for k in range(20) for j in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
+    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
+    plain = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=spec.with_(bucket=None)).collect()}
+    split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=spec).collect()}
+    assert plain.keys() == split.keys()
+    assert max(abs(plain[k] - split[k]) for k in plain) < 1e-9

@@ -181,13 +181,14 @@ def ema_recursive(df: DataFrame, price: str = "price", window: int = 20,
     Runs as ``applyInPandas`` over (key, bucket) groups with a halo of L rows,
     L chosen so (1-a)^L < tolerance: rows within L of the series start are
     exact; later rows carry at most ``tolerance`` relative truncation error.
-    Buckets are always used (never one pandas group per key)."""
+    With ``bucket="auto"`` a pandas group is a hot key's bucket or a whole
+    non-hot key, both bounded (see ``series.SeriesSpec``)."""
     a = alpha if alpha is not None else 2.0 / (window + 1)
     L = max(1, int(math.ceil(math.log(tolerance) / math.log(1.0 - a)))) if a < 1 else 1
     out_col = f"ema_{window}_exp"
-    bucket = spec.bucket if spec.bucket not in (None, "auto") else (
-        S.choose_bucket(df, spec.with_(rows_per_bucket=0), L) or "year")
-    bspec = spec.with_(bucket=bucket)
+    # Hot keys are split with buckets much longer than the halo; other keys
+    # form one pandas group each, bounded by the hot-key threshold.
+    bspec = spec.with_(rows_per_bucket=max(spec.rows_per_bucket, 16 * L)) if spec.bucket == "auto" else spec
     order = list(spec.order)
 
     def comp(d, part):
