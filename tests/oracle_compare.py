@@ -56,6 +56,19 @@ def _rows(cols, rows):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
+_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+          "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+          "TimestampType": "TIMESTAMP WITH TIME ZONE", "DateType": "DATE", "FloatType": "FLOAT",
+          "ShortType": "SMALLINT", "ByteType": "TINYINT", "BinaryType": "BLOB"}
+
+
+def spark_type_name(dt) -> str:
+    n = type(dt).__name__
+    if n == "DecimalType":
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return _TYPES.get(n, dt.simpleString().upper())
+
+
 def compare(spark, key: str, sf_dir: str, fn, sql: str, con=None, show: int = 3):
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -65,11 +78,17 @@ def compare(spark, key: str, sf_dir: str, fn, sql: str, con=None, show: int = 3)
     t1 = time.time()
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_types = {c[0]: str(c[1]) for c in res.description}
+    s_types = {f.name: spark_type_name(f.dataType) for f in sdf.schema.fields}
     d_rows = res.fetchall()
     t2 = time.time()
     out = {"key": key, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_s": round(t1 - t0, 2), "oracle_s": round(t2 - t1, 2)}
     out["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    tdiff = {c: (s_types[c], d_types[c]) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    out["types_match"] = not tdiff
+    if tdiff:
+        out["type_diff"] = tdiff
     if not out["cols_match"]:
         out["cols"] = (sorted(set(s_cols) - set(d_cols)), sorted(set(d_cols) - set(s_cols)))
         out["match"] = False

@@ -20,7 +20,7 @@ def con():
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, key, SF001, QUERIES[key], ORACLES[key], con)
-    assert r["match"], r
+    assert r["match"] and r["types_match"], r
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))

@@ -181,7 +181,7 @@ def enrich_lookup(spark, d):
 
 
 @register("bus_envelope", f"""SELECT symbol AS "key",
-  to_json({{'symbol': symbol, 'trade_id': trade_id, 'price': price, 'quantity': quantity}}) AS value,
+  CAST(to_json({{'symbol': symbol, 'trade_id': trade_id, 'price': price, 'quantity': quantity}}) AS VARCHAR) AS value,
   symbol AS attr_symbol, 'unknown' AS attr_source, 'trade' AS attr_event_type
 FROM ({Q.TRADES}) AS t""")
 def bus_envelope(spark, d):

@@ -210,11 +210,14 @@ def _new_records(spark, d):
         F.get_json_object("props", "$.k").cast("double").alias("quantity"))).alias("json"))
 
 
-@register("schema_diff", f"""SELECT coalesce(c.field_name, n.field_name) AS field_name, c.field_type AS current_type,
+SCHEMA_DIFF_SQL = f"""SELECT coalesce(c.field_name, n.field_name) AS field_name, c.field_type AS current_type,
   n.field_type AS new_type,
   CASE WHEN c.field_type IS NULL THEN 'added' WHEN n.field_type IS NULL THEN 'removed'
        WHEN c.field_type <> n.field_type THEN 'modified' ELSE 'unchanged' END AS change
-FROM ({CUR_FIELDS_SQL}) AS c FULL OUTER JOIN ({infer_sql(NEW_JSON_SQL)}) AS n ON c.field_name = n.field_name""")
+FROM ({CUR_FIELDS_SQL}) AS c FULL OUTER JOIN ({infer_sql(NEW_JSON_SQL)}) AS n ON c.field_name = n.field_name"""
+
+
+@register("schema_diff", SCHEMA_DIFF_SQL)
 def schema_diff(spark, d):
     return SO.schema_changes(SO.table_fields(events(spark, d)), SO.infer_schema(_new_records(spark, d)))
 
@@ -263,6 +266,46 @@ def schema_register(spark, d):
     return decisions.withColumn("proposed_at", F.col("proposed_at").cast("timestamp_ntz"))
 
 
+def _daily_registry(spark, d):
+    """Every daily proposal as a registered version (v-0001 = first day)."""
+    from pyspark.sql import Window
+    p = _proposals(spark, d)
+    n = F.row_number().over(Window.partitionBy("subject").orderBy("proposed_at"))
+    return p.select("subject", F.format_string("v-%04d", n).alias("version_id"),
+                    SO.schema_hash(SO._fields_of(F.col("schema_definition"))).alias("schema_hash"),
+                    "schema_definition", F.lower("compatibility_mode").alias("compatibility_mode"),
+                    F.lit(True).alias("is_active"), F.col("proposed_at").alias("created_at"),
+                    F.lit("pipeline").alias("created_by"), "description")
+
+
+@register("schema_latest", f"""SELECT subject, printf('v-%04d', CAST(count(*) AS INTEGER)) AS version_id,
+  sha256({PROPOSAL_TEXT}) AS schema_hash, max(d) AS created_at
+FROM (SELECT DISTINCT event_type AS subject, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS d FROM events) AS v
+GROUP BY subject""")
+def schema_latest(spark, d):
+    """Newest registered version per subject."""
+    latest = SO.latest_schemas(_daily_registry(spark, d))
+    return latest.select("subject", "version_id", "schema_hash",
+                         F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
+@register("schema_history", f"""SELECT 'events' AS table_id,
+  substr(sha256('[' || string_agg('{{"name": "' || field_name || '", "type": "' || new_type || '"}}', ', '
+                                  ORDER BY field_name, new_type) || ']'), 1, 12) AS version_hash,
+  '[' || string_agg('"' || field_name || '"', ',' ORDER BY field_name, new_type) || ']' AS fields_added,
+  (SELECT max(ts) FROM events) AS change_time
+FROM (SELECT field_name, new_type FROM ({SCHEMA_DIFF_SQL}) AS dd WHERE change = 'added') AS a""")
+def schema_history(spark, d):
+    """M5: history row for the fields the inferred trade records add to the
+    events table, stamped with the newest event time."""
+    ev = events(spark, d)
+    ch = SO.schema_changes(SO.table_fields(ev), SO.infer_schema(_new_records(spark, d)))
+    ch = ch.withColumn("table_id", F.lit("events"))
+    now = ev.select(F.max("ts")).scalar()
+    return SO.schema_history_rows(ch, change_time=now).withColumn(
+        "change_time", F.col("change_time").cast("timestamp_ntz"))
+
+
 @register("schema_compat", """SELECT subject, version_id,
   CASE WHEN n > 1 THEN printf('v-%04d', n - 1) END AS previous_version,
   true AS backward_ok, true AS forward_ok, true AS full_ok, true AS none_ok
