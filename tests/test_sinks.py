@@ -71,3 +71,20 @@ def test_file_stats_and_table_info(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     info = LD.table_info(ev, "events").first()
     assert info["num_rows"] == ev.count() and info["num_bytes"] > 0 and info["num_fields"] == 6
+
+
+def test_load_files_formats_and_dispositions(spark):
+    import pytest
+    base = scratch_path(spark, f"t-load-{uuid.uuid4().hex}")
+    ev = spark.read.parquet(f"{SF001}/events.parquet").select("event_id", "event_type", "value")
+    ev.write.option("header", True).csv(f"{base}/csv")
+    ev.write.json(f"{base}/json")
+    n = ev.count()
+    assert LD.load_files(spark, f"{base}/csv", "CSV").count() == n           # autodetect
+    typed = LD.load_files(spark, f"{base}/json", "JSON", schema=ev.schema)
+    assert typed.schema == ev.schema and typed.count() == n
+    TB.write_table(typed, f"{base}/t", mode="WRITE_TRUNCATE")
+    TB.write_table(typed, f"{base}/t", mode="WRITE_APPEND")
+    assert spark.read.parquet(f"{base}/t").count() == 2 * n
+    with pytest.raises(Exception):
+        TB.write_table(typed, f"{base}/t", mode="WRITE_EMPTY")

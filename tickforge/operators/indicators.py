@@ -60,10 +60,12 @@ def _macd_cols(df, part, spec, price, fast, slow, signal):
     return df.withColumn("macd_histogram", F.col("macd_line") - F.col("macd_signal"))
 
 
-def _anomaly_cols(df, part, spec, price, n, threshold):
+def _anomaly_cols(df, part, spec, price, n, threshold, mean_col: str | None = None):
     w = S.window(part, spec, -(n - 1))
     z = F.col("z_score")
-    return (df.withColumn("price_mean", F.avg(price).over(w))
+    # the composite already has this frame's mean as sma_{n}: reuse it
+    mean = F.col(mean_col) if mean_col else F.avg(price).over(w)
+    return (df.withColumn("price_mean", mean)
               .withColumn("price_stddev", F.stddev_samp(price).over(w))
               .withColumn("z_score", safe_div(F.col(price) - F.col("price_mean"), F.col("price_stddev")))
               .withColumn("is_anomaly", F.abs(z) > threshold)
@@ -157,7 +159,7 @@ def technical_indicators(df: DataFrame, spec: SeriesSpec = TICKS, price: str = "
               .withColumn(f"volume_sma_{window}", F.avg(volume).over(w)))
         d = _rsi_cols(d, p, spec, rsi_window)
         d = _macd_cols(d, p, spec, price, fast, slow, signal)
-        d = _anomaly_cols(d, p, spec, price, window, threshold)
+        d = _anomaly_cols(d, p, spec, price, window, threshold, mean_col=f"sma_{window}")
         return extra(d, p) if extra else d
     lookback = max(window, rsi_window, max(fast, slow) - 1 + signal - 1) + extra_lookback
     return S.evaluate(df, comp, spec, lookback)
