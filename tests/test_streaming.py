@@ -69,7 +69,7 @@ def test_ticker_stream_writes_three_sinks(spark):
     assert {"partition_date", "symbol", "rsi"} <= set(det.columns)
     agg = spark.read.parquet(f"{base}/aggregated")
     assert agg.count() > 0 and "partition_date" in agg.columns
-    assert spark.read.parquet(f"{base}/kv").count() == det.select("symbol").distinct().count()
+    assert J.read_kv(spark, f"{base}/kv").count() == det.select("symbol").distinct().count()
 
 
 def test_execute_query_parameters_and_dry_run(spark):
@@ -80,3 +80,22 @@ def test_execute_query_parameters_and_dry_run(spark):
     assert n == ev.filter("event_type = 'click'").count()
     plan = execute_query(spark, q, {"t": "click"}, dry_run=True, ev=ev).first()[0]
     assert "Statistics" in plan
+
+
+def test_kv_snapshots_survive_replay(spark):
+    base = scratch_path(spark, f"t-kv-{uuid.uuid4().hex}")
+    body = J.latest_price_batches(f"{base}/kv")
+    mk = lambda rows: spark.createDataFrame(rows, "symbol string, timestamp long, event_id long, price double")
+    body(mk([("A", 1, 1, 10.0), ("B", 1, 2, 20.0)]), 0)
+    body(mk([("A", 5, 3, 11.0)]), 1)
+    body(mk([("A", 5, 3, 11.0)]), 1)                       # replay of batch 1
+    got = {r["symbol"]: r["price"] for r in J.read_kv(spark, f"{base}/kv").collect()}
+    assert got == {"A": 11.0, "B": 20.0}
+    # a crashed write of batch 2 (no _SUCCESS) is ignored by readers and by the replay
+    mk([("B", 9, 4, 99.0)]).write.mode("overwrite").parquet(f"{base}/kv/v=2")
+    fs, p = __import__("tickforge.sinks.tables", fromlist=["_fs"])._fs(spark, f"{base}/kv/v=2/_SUCCESS")
+    fs.delete(p, False)
+    assert {r["symbol"]: r["price"] for r in J.read_kv(spark, f"{base}/kv").collect()}["B"] == 20.0
+    body(mk([("B", 9, 4, 21.0)]), 2)
+    got = {r["symbol"]: r["price"] for r in J.read_kv(spark, f"{base}/kv").collect()}
+    assert got == {"A": 11.0, "B": 21.0}

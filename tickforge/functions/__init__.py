@@ -1,2 +1,2 @@
-from .columns import (safe_div, pct, as_of_max, lookback_start,  # noqa: F401
-                      to_ntz, epoch_ms_to_ts, epoch_s_to_ts)
+from .columns import (as_of_max, bind_once, epoch_ms_to_ts, epoch_s_to_ts,  # noqa: F401
+                      lookback_start, order_key, pct, resolve_as_of, safe_div, to_ntz)

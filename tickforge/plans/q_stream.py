@@ -88,4 +88,4 @@ def stream_latest_price(spark, d):
     with J.state_partitions(spark):
         q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
-    return rounded(spark.read.parquet(f"{base}/kv"))
+    return rounded(J.read_kv(spark, f"{base}/kv"))

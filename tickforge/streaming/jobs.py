@@ -89,23 +89,50 @@ def market_stream(ticks: DataFrame, watermark: str = "10 minutes") -> tuple[Data
     return enriched, R.market_5min(enriched, ts="watermark_time")
 
 
-def latest_price_batches(kv_path: str):
+def _kv_versions(spark: SparkSession, kv_path: str) -> list[int]:
+    """Complete snapshot versions (folders v=<batch id> with a _SUCCESS marker)."""
+    fs, root = TB._fs(spark, kv_path)
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v=") and fs.exists(
+                st.getPath().suffix("/_SUCCESS")):
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def read_kv(spark: SparkSession, kv_path: str) -> DataFrame:
+    """The key-value table as of its newest complete snapshot."""
+    versions = _kv_versions(spark, kv_path)
+    if not versions:
+        raise FileNotFoundError(f"no complete snapshot under {kv_path}")
+    return spark.read.parquet(f"{kv_path}/v={versions[-1]}")
+
+
+def latest_price_batches(kv_path: str, keep_versions: int = 3):
     """K4: foreachBatch body keeping one item per symbol (newest wins).
-    The KV table is rewritten per batch from the staged merge, so a replay
-    of the same batch yields the same table."""
+
+    Batch N merges its items into the newest complete snapshot older than N
+    and writes snapshot v=N; a replay of N (after any failure, even one in
+    the middle of a write) rebuilds the same v=N from the same inputs, and
+    readers never see a half-written table. Old snapshots are pruned."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         items = TB.latest_price_items(batch, as_decimal=False)
-        try:
-            cur = spark.read.parquet(kv_path)
-            merged = (cur.unionByName(items)
-                         .groupBy("symbol").agg(F.max_by(F.struct(*items.columns), "timestamp").alias("r"))
-                         .select("r.*"))
-        except Exception:
+        prev = [v for v in _kv_versions(spark, kv_path) if v < batch_id]
+        if prev:
+            cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}")
+            key = F.struct(F.col("timestamp"))
+            merged = (cur.unionByName(items).groupBy("symbol")
+                         .agg(F.max_by(F.struct(*items.columns), key).alias("r")).select("r.*"))
+        else:
             merged = items
-        stage = scratch_path(spark, f"kv-stage-{batch_id}")
-        merged.write.mode("overwrite").parquet(stage)
-        spark.read.parquet(stage).write.mode("overwrite").parquet(kv_path)
+        merged.write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
+        for v in prev[:-keep_versions]:
+            fs, p = TB._fs(spark, f"{kv_path}/v={v}")
+            fs.delete(p, True)
     return run
 
 
