@@ -83,3 +83,26 @@ def test_recursive_ema_hot_key_split(spark, monkeypatch):
     split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=spec).collect()}
     assert plain.keys() == split.keys()
     assert max(abs(plain[k] - split[k]) for k in plain) < 1e-9
+
+
+def test_blocked_correlation_equals_brute_force(spark):
+    import numpy as np
+    from tickforge.operators import analytics as A
+    from tickforge.plans.common import bulk
+    b = bulk(spark, SF01)
+    ticks_like = b.select("symbol", "price", F.date_format("trade_timestamp", "yyyy-MM-dd").alias("partition_date"))
+    rets = A.daily_returns(ticks_like, days=None)
+    got = {(r[0], r[1]): (r[2], r[3]) for r in A.correlation_pairs(rets, min_days=3, block_size=16).collect()}
+    pdf = rets.toPandas().pivot_table(index="partition_date", columns="symbol", values="daily_return")
+    cols = sorted(pdf.columns)
+    exp = {}
+    for x, a in enumerate(cols):
+        for c in cols[x + 1:]:
+            both = pdf[[a, c]].dropna()
+            if len(both) >= 3:
+                exp[(a, c)] = (both[a].corr(both[c]), len(both))
+    assert got.keys() == exp.keys() and len(exp) > 100
+    for k, (cv, n) in exp.items():
+        assert got[k][1] == n
+        if np.isfinite(cv):
+            assert abs(got[k][0] - cv) < 1e-8, (k, got[k], cv)

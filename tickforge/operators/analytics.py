@@ -1,11 +1,16 @@
 """Market analytics.
 
-The pairwise correlation joins *daily aggregates* (symbols x days rows), never
-raw ticks: the raw data is reduced map-side to one row per symbol-day first.
+The pairwise correlation works on *daily aggregates* (symbols x days rows),
+never raw ticks: the raw data is reduced map-side to one row per symbol-day
+first, then multiplied blockwise (no per-day pair expansion).
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import pct, resolve_as_of
@@ -33,26 +38,66 @@ def daily_returns(ticks: DataFrame, days: int | None = 90, as_of=None) -> DataFr
                          .alias("daily_return")))
 
 
-def correlation_pairs(returns: DataFrame, min_days: int = 30) -> DataFrame:
+CORR_SCHEMA = ("symbol_a string, symbol_b string, correlation_coefficient double, "
+               "common_days long")
+
+
+def _tile_correlations(min_days: int):
+    """Pandas body for one (block i, block j) tile: pairwise-complete
+    Pearson correlation from co-moment sums computed as matrix products."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["_i"].iloc[0]), int(pdf["_j"].iloc[0])
+        wide = pdf.pivot_table(index="partition_date", columns="symbol", values="daily_return",
+                               aggfunc="first")
+        blk = pdf.drop_duplicates("symbol").set_index("symbol")["_b"]
+        left = [s for s in wide.columns if blk[s] == i]
+        right = [s for s in wide.columns if blk[s] == j]
+        R = wide.to_numpy(dtype="float64")
+        M = (~np.isnan(R)).astype("float64")
+        X = np.nan_to_num(R)
+        li = [wide.columns.get_loc(s) for s in left]
+        ri = [wide.columns.get_loc(s) for s in right]
+        Xa, Ma, Xb, Mb = X[:, li], M[:, li], X[:, ri], M[:, ri]
+        n = Ma.T @ Mb                       # common days per pair
+        sa, sb = Xa.T @ Mb, Ma.T @ Xb       # sums over common days
+        saa, sbb = (Xa * Xa).T @ Mb, Ma.T @ (Xb * Xb)
+        sab = Xa.T @ Xb
+        with np.errstate(all="ignore"):
+            cov = n * sab - sa * sb
+            corr = cov / np.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
+        rows = []
+        for x, a in enumerate(left):
+            for y, b in enumerate(right):
+                if (i == j and a >= b) or n[x, y] < max(min_days, 1):
+                    continue
+                c = corr[x, y]
+                lo, hi = (a, b) if a < b else (b, a)
+                rows.append((lo, hi, None if not np.isfinite(c) else float(c), int(n[x, y])))
+        return pd.DataFrame(rows, columns=["symbol_a", "symbol_b", "correlation_coefficient",
+                                           "common_days"])
+    return run
+
+
+def correlation_pairs(returns: DataFrame, min_days: int = 30, block_size: int = 512) -> DataFrame:
     """A8 + J1: Pearson correlation of daily returns for every symbol pair
     (a < b) sharing at least ``min_days`` days, strongest first.
 
-    Equi-join on the day plus a ``<`` residual; the join input is one row per
-    symbol-day, and AQE's skew-join split handles days with many symbols."""
-    # The returns feed both join sides: materialise them once (one row per
-    # symbol-day) instead of scanning and aggregating the raw ticks twice.
-    returns = materialize(returns, "daily-returns")
-    a = returns.select(F.col("symbol").alias("symbol_a"), "partition_date",
-                       F.col("daily_return").alias("ra"))
-    b = returns.select(F.col("symbol").alias("symbol_b"), "partition_date",
-                       F.col("daily_return").alias("rb"))
-    return (a.join(b, "partition_date")
-             .filter(F.col("symbol_a") < F.col("symbol_b"))
-             .groupBy("symbol_a", "symbol_b")
-             .agg(F.corr("ra", "rb").alias("correlation_coefficient"),
-                  F.count(F.lit(1)).alias("common_days"))
-             .filter(F.col("common_days") >= min_days)
-             .orderBy(F.col("correlation_coefficient").desc()))
+    Computed as a blocked co-moment (Gram) product instead of a self-join on
+    the day, which would emit every symbol pair of every day. Symbols are
+    hashed into ``ceil(S / block_size)`` blocks; each symbol-day row is sent
+    to the tiles (i, j) its block takes part in (S/block_size copies of a
+    symbols x days table), and each tile computes its pairs with matrix
+    products over pairwise-complete days. A tile holds at most two blocks x
+    days rows and emits only result pairs."""
+    returns = materialize(returns.select("symbol", "partition_date", "daily_return"), "daily-returns")
+    n_sym = returns.select("symbol").distinct().count()
+    nb = max(1, int(math.ceil(n_sym / float(block_size))))
+    r = returns.withColumn("_b", F.pmod(F.xxhash64("symbol"), F.lit(nb)).cast("int"))
+    r = (r.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+          .withColumn("_i", F.least("_b", "_o")).withColumn("_j", F.greatest("_b", "_o"))
+          .drop("_o"))
+    out = r.groupBy("_i", "_j").applyInPandas(_tile_correlations(min_days), CORR_SCHEMA)
+    return out.orderBy(F.col("correlation_coefficient").desc())
 
 
 def anomaly_summary(enriched: DataFrame, days: int | None = 7, as_of=None) -> DataFrame:

@@ -97,6 +97,8 @@ def minute_grid(lo: Column, hi: Column, bounds: DataFrame) -> DataFrame:
                                               F.date_trunc("day", hi).cast("timestamp_ntz"),
                                               F.expr("INTERVAL 1 DAY"))).alias("day"), lo.alias("lo"),
                          hi.alias("hi"))
+    # one row per day, spread over tasks before each expands to 1440 minutes
+    days = days.repartition(days.sparkSession.sparkContext.defaultParallelism, "day")
     mins = days.select(F.explode(F.sequence(
         F.greatest("day", "lo"),
         F.least(F.col("day") + F.expr("INTERVAL 1439 MINUTES"), F.col("hi")),

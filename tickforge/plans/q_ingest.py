@@ -160,10 +160,10 @@ def _market_payload(spark, d):
         F.sum("volume").alias("usd_24h_vol"),
         ((F.max_by("price", "watermark_time") - F.min_by("price", "watermark_time"))
          / F.min_by("price", "watermark_time") * 100).alias("usd_24h_change"))
-    # One landed JSON object keyed by coin id (size = number of coins).
-    return per.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
+    # Landed payload rows: JSON objects keyed by coin id (one per coin here).
+    return per.select(F.to_json(F.create_map(
         F.concat(F.upper("symbol"), F.lit("_COIN")),
-        F.struct("usd_market_cap", "usd_24h_vol", "usd_24h_change"))))).alias("value"))
+        F.struct("usd_market_cap", "usd_24h_vol", "usd_24h_change"))).alias("value"))
 
 
 @register("enrich_lookup", f"""SELECT t.*, m.usd_market_cap AS market_cap, m.usd_24h_vol AS volume_24h_usd,
