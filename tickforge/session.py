@@ -47,14 +47,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder from the session; scratch folder only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """Shared checkpoint folder from the session; scratch folder only if unset
+    (local runs / tests), remembered per SparkContext."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tickforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        key = id(spark.sparkContext)
+        d = _FALLBACK.get(key) or tempfile.mkdtemp(prefix="tickforge-ckpt-")
+        _FALLBACK[key] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core setting not modifiable at runtime: keep our own
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
