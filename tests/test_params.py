@@ -92,3 +92,11 @@ def test_landed_ticker_chain(spark):
     assert rows["BTCUSDT"]["partition_date"] == "2024-03-01" and rows["BTCUSDT"]["partition_hour"] == "07"
     item = TB.latest_price_items(e).filter("symbol = 'BTCUSDT'").first()
     assert item["ttl"] == 1700000000 + 86400 and float(item["market_cap"]) == 8e11
+
+
+def test_scheduled_hour_bounds_are_aligned(spark):
+    lo, hi = R.scheduled_hour_bounds(dt.datetime(2024, 1, 5, 10, 37, 12), lookback_hours=2)
+    r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    assert r["lo"] == dt.datetime(2024, 1, 5, 8, 0) and r["hi"] == dt.datetime(2024, 1, 5, 10, 37, 12)
+    h = R.hourly_ohlcv(trades(spark, SF001), start=lo, end=hi)
+    assert {x["hour_timestamp"].hour for x in h.collect()} <= {8, 9, 10}

@@ -31,8 +31,9 @@ def test_late_row_dropped_and_counted(spark):
     out = spark.read.parquet(f"{base}/out")
     # no emitted window contains the late price
     assert out.filter(F.col("max_price_5min") >= 99.0).count() == 0
-    dropped = sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
-    assert dropped >= 1
+    assert J.dropped_by_watermark(q) >= 1
+    pm = J.progress_metrics(spark, q).collect()
+    assert sum(r["messages_processed"] for r in pm) == 42 and all(r["batch_duration_ms"] >= 0 for r in pm)
 
 
 def test_trade_stream_fan_out_and_replay(spark):

@@ -215,3 +215,12 @@ def daily_report(trades: DataFrame, day=None, ts: str = "trade_timestamp") -> Da
                    F.avg("price").alias("avg_price"),
                    F.min(ts).alias("first_trade"),
                    F.max(ts).alias("last_trade")))
+
+
+def scheduled_hour_bounds(execution_time, lookback_hours: int = 2):
+    """Bounds for a scheduled hourly roll-up: [trunc_hour(t - lookback), t).
+    Aligning the lower bound to the hour keeps a run from replacing a full
+    hour with a partial one (the un-aligned look-back does)."""
+    t = execution_time if isinstance(execution_time, Column) else F.lit(execution_time).cast("timestamp_ntz")
+    start = to_ntz(F.date_trunc("hour", t - F.make_dt_interval(F.lit(0), F.lit(int(lookback_hours)))))
+    return start, t

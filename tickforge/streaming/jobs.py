@@ -167,3 +167,20 @@ def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
     kv = (_writer(enriched.select(*kv_cols), f"{out_root}/_ck/kv", trigger)
           .foreachBatch(latest_price_batches(f"{out_root}/kv")).start())
     return [detailed, aggregated, kv]
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows the engine dropped as later than the watermark (all stateful
+    operators, all progress reports still held by the query)."""
+    return int(sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators))
+
+
+def progress_metrics(spark: SparkSession, query) -> DataFrame:
+    """A17 from the engine's own progress reports: per micro-batch input rows,
+    trigger duration (ms) and throughput (rows/s when both are positive)."""
+    rows = [(int(p.batchId), int(p.numInputRows), int(p.durationMs.get("triggerExecution", 0)))
+            for p in query.recentProgress]
+    df = spark.createDataFrame(rows, "batch_id long, messages_processed long, batch_duration_ms long")
+    thr = F.when((F.col("messages_processed") > 0) & (F.col("batch_duration_ms") > 0),
+                 F.col("messages_processed") / (F.col("batch_duration_ms") / 1000.0))
+    return df.withColumn("throughput", thr.cast("double"))
