@@ -89,3 +89,18 @@ def stream_latest_price(spark, d):
         q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
     return rounded(J.read_kv(spark, f"{base}/kv"))
+
+
+@register("stream_kv_items", f"""SELECT symbol, "timestamp", price, "timestamp" + 86400 AS ttl, 0::BIGINT AS write_batch
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY event_id DESC) AS rn
+      FROM ({Q.TICKS}) AS t) AS r
+WHERE rn = 1 AND "timestamp" + 86400 > (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) FROM events)""", ("price",))
+def stream_kv_items(spark, d):
+    """K4: the key-value item table after replaying the tick stream: one item
+    per (symbol, timestamp), items older than the TTL on the data clock gone."""
+    base, ck = _run(spark, "kvitems")
+    t = adapters.ticks(_events_stream(spark, d)).select("symbol", "timestamp", "event_id", "price")
+    with J.state_partitions(spark):
+        q = J._writer(t, ck, None).foreachBatch(J.kv_item_batches(f"{base}/kv")).start()
+    J.run_to_completion(q)
+    return rounded(J.read_kv(spark, f"{base}/kv"))

@@ -171,3 +171,34 @@ def kv_upsert(current: DataFrame | None, items: DataFrame, now_epoch: Column | N
     expiry applied as a filter."""
     merged = items if current is None else merge_rows(current, items, ["symbol"])
     return merged if now_epoch is None else merged.filter(F.col("ttl") > now_epoch)
+
+
+KV_COLUMNS = ("symbol", "timestamp", "price", "rsi", "macd_line", "is_anomaly", "processing_time")
+
+
+def kv_items(df: DataFrame, ttl_seconds: int = 86400, write_batch: int = 0,
+             tiebreak: str = "event_id") -> DataFrame:
+    """K4 item projection: one item per (symbol, timestamp) (later rows of the
+    same key win, by ``tiebreak``), the item columns that exist, ttl =
+    timestamp + 86400 and the batch that wrote it."""
+    cols = [c for c in KV_COLUMNS if c in df.columns]
+    tb = tiebreak if tiebreak in df.columns else None
+    order = order_key(F.lit(0), F.col(tb), primary_is_time=False) if tb else F.lit(0)
+    packed = F.struct(*[F.col(c) for c in cols])
+    latest = (df.groupBy("symbol", "timestamp").agg(F.max_by(packed, order).alias("_r"))
+                .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    return latest.withColumns({"ttl": F.col("timestamp") + F.lit(ttl_seconds),
+                               "write_batch": F.lit(write_batch).cast("long")})
+
+
+def kv_put(current: DataFrame | None, items: DataFrame, now_epoch: Column | None = None) -> DataFrame:
+    """K4 put semantics over a whole table: items replace same-key items
+    (the newer write wins), then expired items (ttl <= now) are dropped.
+    ``now_epoch`` defaults to the newest timestamp in the table (data clock)."""
+    merged = items if current is None else current.unionByName(items)
+    cols = merged.columns
+    keep = (merged.groupBy("symbol", "timestamp")
+                  .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("write_batch")).alias("_r"))
+                  .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    now = now_epoch if now_epoch is not None else keep.select(F.max("timestamp")).scalar()
+    return keep.filter(F.col("ttl") > now)

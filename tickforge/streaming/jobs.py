@@ -136,6 +136,23 @@ def latest_price_batches(kv_path: str, keep_versions: int = 3):
     return run
 
 
+def kv_item_batches(kv_path: str, ttl_seconds: int = 86400, keep_versions: int = 3):
+    """K4 faithful: every micro-batch puts one item per (symbol, timestamp)
+    into the key-value table (newer write wins), expiring items whose TTL
+    passed on the data clock; stored as complete snapshots like
+    ``latest_price_batches``."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        items = TB.kv_items(batch, ttl_seconds, write_batch=batch_id)
+        prev = [v for v in _kv_versions(spark, kv_path) if v < batch_id]
+        cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}") if prev else None
+        TB.kv_put(cur, items).write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
+        for v in prev[:-keep_versions]:
+            fs, p = TB._fs(spark, f"{kv_path}/v={v}")
+            fs.delete(p, True)
+    return run
+
+
 def run_to_completion(query) -> None:
     """Wait for an availableNow query and surface its failure, if any."""
     query.awaitTermination()
