@@ -92,10 +92,10 @@ def test_load_files_formats_and_dispositions(spark):
 
 def test_kv_put_newer_write_wins_and_ttl(spark):
     mk = lambda rows: spark.createDataFrame(rows, "symbol string, timestamp long, event_id long, price double")
-    b0 = TB.kv_items(mk([("A", 100, 1, 1.0), ("A", 100, 2, 2.0), ("B", 50, 3, 5.0)]), ttl_seconds=1000, write_batch=0)
+    b0 = TB.kv_items(mk([("A", 100, 1, 1.0), ("A", 100, 2, 2.0), ("B", 50, 3, 5.0)]), ttl_seconds=1150, write_batch=0)
     t0 = TB.kv_put(None, b0)
     assert {(r["symbol"], r["timestamp"]): r["price"] for r in t0.collect()} == {("A", 100): 2.0, ("B", 50): 5.0}
-    b1 = TB.kv_items(mk([("A", 100, 0, 9.0), ("A", 1200, 4, 3.0)]), ttl_seconds=1000, write_batch=1)
+    b1 = TB.kv_items(mk([("A", 100, 0, 9.0), ("A", 1200, 4, 3.0)]), ttl_seconds=1150, write_batch=1)
     t1 = {(r["symbol"], r["timestamp"]): r["price"] for r in TB.kv_put(t0, b1).collect()}
-    # batch 1 re-puts (A,100) -> replaced even with a smaller event id; (B,50) expired (1050 <= 1200)
+    # batch 1 re-puts (A,100) -> replaced even with a smaller event id; (B,50) expired (1200 <= 1200)
     assert t1 == {("A", 100): 9.0, ("A", 1200): 3.0}
