@@ -9,7 +9,9 @@ from .. import schemas as SC
 from ..operators import ingest as G, quality as QL
 from . import sql_blocks as Q
 from .catalog import register
-from .common import events, rounded, ticks, trades
+from ..operators import indicators as I
+from .common import TICK_SPEC, events, rounded, ticks, trades
+from .q_series import IND_D
 
 # ---- envelopes built from events: canonical trade JSON + attributes + publish time
 MS = "epoch_us(ts) // 1000"
@@ -128,14 +130,18 @@ def normalize_raw_trades(spark, d):
     return rounded(G.normalize_raw_trades(raw).drop("ingestion_time"))
 
 
-@register("clean_ticks", f"""SELECT * EXCLUDE (rn), CASE WHEN price IS NOT NULL AND volume IS NOT NULL
-    THEN 80 ELSE 60 END AS data_quality_score
+@register("clean_ticks", f"""SELECT * EXCLUDE (rn),
+  CASE WHEN rsi IS NOT NULL AND macd_line IS NOT NULL THEN 100
+       WHEN price IS NOT NULL AND volume IS NOT NULL THEN 80 ELSE 60 END AS data_quality_score
 FROM (SELECT *, row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY event_id) AS rn
-      FROM ({Q.TICKS}) AS t
+      FROM ({Q.indicators()}) AS t
       WHERE price > 0 AND volume >= 0 AND "timestamp" IS NOT NULL AND symbol IS NOT NULL) AS c
-WHERE rn = 1""", ("price", "volume"))
+WHERE rn = 1""", IND_D)
 def clean_ticks(spark, d):
-    return rounded(QL.clean_ticks(ticks(spark, d), order=("timestamp", "event_id")))
+    """P11 + O4 + P12 on the indicator-enriched detail rows (as the lake job
+    cleans them): score 100 where rsi and macd_line exist, else 80."""
+    enriched = I.technical_indicators(ticks(spark, d), spec=TICK_SPEC)
+    return rounded(QL.clean_ticks(enriched, order=("timestamp", "event_id")))
 
 
 # ---- J2 + S12: tickers -> symbol map -> market payload (all derived from events).
