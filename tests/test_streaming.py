@@ -100,3 +100,34 @@ def test_kv_snapshots_survive_replay(spark):
     body(mk([("B", 9, 4, 21.0)]), 2)
     got = {r["symbol"]: r["price"] for r in J.read_kv(spark, f"{base}/kv").collect()}
     assert got == {"A": 11.0, "B": 21.0}
+
+
+def test_stream_indicators_carry_state_across_batches(spark):
+    from tickforge.operators import indicators as I
+    from tickforge.plans.common import TICK_SPEC
+    from tickforge.sources import adapters
+    from tickforge.streaming import stateful as ST
+    d = "/root/testdata/sf0.001"
+    base = scratch_path(spark, f"t-multi-{uuid.uuid4().hex}")
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    # six time-ordered files -> six micro-batches, each symbol spans all of them
+    cuts = [dt.datetime(2024, 1, 1) + dt.timedelta(days=5 * i) for i in range(7)]
+    for i in range(6):
+        part = ev.filter((F.col("ts") >= cuts[i]) & (F.col("ts") < cuts[i + 1]) if i < 5 else (F.col("ts") >= cuts[i]))
+        part.coalesce(1).write.parquet(f"{base}/in/p{i}")
+    src = SS.replay_stream(spark, f"{base}/in/*", ev.schema, max_files_per_trigger=1)
+    q = (ST.stream_indicators(adapters.ticks(src)).writeStream.option("checkpointLocation", f"{base}/ck")
+         .trigger(availableNow=True).format("parquet").option("path", f"{base}/out").start())
+    J.run_to_completion(q)
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 6
+    got = {r["event_id"]: r for r in spark.read.parquet(f"{base}/out").collect()}
+    exp = {r["event_id"]: r for r in I.technical_indicators(adapters.ticks(ev), spec=TICK_SPEC).collect()}
+    assert got.keys() == exp.keys()
+    for k, e in exp.items():
+        g = got[k]
+        for c in ("rsi", "macd_signal", "z_score", "price_volatility"):
+            if e[c] is None:
+                assert g[c] is None, (k, c)
+            else:
+                assert abs(g[c] - e[c]) <= 1e-9 * max(1.0, abs(e[c])), (k, c, g[c], e[c])
+        assert g["anomaly_type"] == e["anomaly_type"]
