@@ -279,3 +279,12 @@ def test_null_payload_row_is_kept_and_dead_lettered(spark):
     valid, invalid = QL.validate(flat)
     assert flat.count() == 2 and valid.count() == 0
     assert sorted(r["validation_error"] for r in invalid.collect()) == ["missing_price", "missing_symbol"]
+
+
+def test_bus_envelope_attributes_and_defaults(spark):
+    df = spark.createDataFrame([("BTCUSDT", "exch", "trade", 1.5), (None, None, None, 2.0)],
+                               "symbol string, source string, event_type string, price double")
+    rows = G.bus_envelope(df).collect()
+    assert rows[0]["key"] == "BTCUSDT" and json.loads(rows[0]["value"])["price"] == 1.5
+    assert rows[0]["attributes"] == {"symbol": "BTCUSDT", "source": "exch", "event_type": "trade"}
+    assert rows[1]["attributes"] == {"symbol": "UNKNOWN", "source": "unknown", "event_type": "trade"}

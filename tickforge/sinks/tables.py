@@ -59,12 +59,15 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
     """K9: idempotent keyed upsert into a partitioned Parquet table. Only the
     partitions present in ``updates`` are read, merged and rewritten."""
     stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
-    try:
+    fs, root = _fs(spark, path)
+    if fs.exists(root):
         existing = spark.read.parquet(path)
+        # semi-join on the partition column: dynamic partition pruning reads
+        # only the partitions the updates touch
         touched = updates.select(partition_col).distinct()
         cur = existing.join(touched, partition_col, "left_semi")
         merged = merge_rows(cur.select(*updates.columns), updates, keys)
-    except Exception:  # first write: the table folder does not exist yet
+    else:  # first write: the table folder does not exist yet
         merged = updates
     # Stage to the shared folder: cuts lineage to the files being replaced.
     merged.write.mode("overwrite").parquet(stage)
