@@ -43,3 +43,18 @@ def test_correlation_has_no_pair_join(spark):
     p = _plan(A.correlation_pairs(rets, min_days=2))
     assert "Join" not in p
     assert "FlatMapGroupsInPandas" in p
+
+
+def test_upsert_reads_only_touched_partitions(spark):
+    import uuid
+    from pyspark.sql import functions as F
+    from tickforge.session import scratch_path
+    from tickforge.sinks import tables as TB
+    h = R.hourly_ohlcv(trades(spark, SF001)).withColumn("trade_date", F.to_date("hour_timestamp"))
+    path = scratch_path(spark, f"t-dpp-{uuid.uuid4().hex}")
+    TB.write_table(h, path, partition_by=("trade_date",), mode="overwrite")
+    upd = h.filter(F.col("trade_date") == F.lit("2024-01-10").cast("date"))
+    cur = spark.read.parquet(path).join(upd.select("trade_date").distinct(), "trade_date", "left_semi")
+    merged = TB.merge_rows(cur.select(*upd.columns), upd, ["symbol", "hour_timestamp"])
+    merged.write.format("noop").mode("overwrite").save()
+    assert "dynamicpruningexpression(trade_date" in _plan(merged)
