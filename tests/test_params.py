@@ -43,9 +43,9 @@ def test_dq_counts_last_hour(spark):
     assert r["has_issues"] == (r["invalid_quantities"] > 0)
 
 
-def test_pipeline_metrics_as_of(spark):
+def test_custom_metrics_as_of(spark):
     ind = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC)
-    m = {r["metric_name"]: (r["value"], r["unit"]) for r in MT.pipeline_metrics(ind).collect()}
+    m = {r["metric_name"]: (r["value"], r["unit"]) for r in MT.custom_metrics(ind).collect()}
     mx = ind.agg(F.max("timestamp")).first()[0]
     recent = ind.filter(F.col("timestamp") > mx - 300)
     n = recent.count()

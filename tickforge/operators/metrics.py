@@ -26,7 +26,7 @@ def _metric_aggs():
             F.countDistinct("symbol").alias("active_symbols")]
 
 
-def pipeline_metrics(latest: DataFrame, as_of=None, seconds: int = 300,
+def custom_metrics(latest: DataFrame, as_of=None, seconds: int = 300,
                      ts: str = "timestamp") -> DataFrame:
     """TotalRecords, AnomalyCount, AnomalyRate (% , 0 when empty) and
     ActiveSymbols over rows with epoch-second ``ts`` > as_of - ``seconds``."""
@@ -35,7 +35,7 @@ def pipeline_metrics(latest: DataFrame, as_of=None, seconds: int = 300,
     return _metric_rows(recent.agg(*_metric_aggs()), [])
 
 
-def pipeline_metrics_windows(df: DataFrame, seconds: int = 300,
+def custom_metrics_windows(df: DataFrame, seconds: int = 300,
                              ts: str = "watermark_time") -> DataFrame:
     """A15 over a whole history: the same four metrics for every tumbling
     ``seconds`` window (window_start, metric_name, value, unit)."""

@@ -28,7 +28,7 @@ def dq_counts(spark, d):
     return QL.dq_counts(trades(spark, d), hours=None)
 
 
-@register("pipeline_metrics", f"""WITH w AS (
+@register("custom_metrics", f"""WITH w AS (
   SELECT time_bucket(INTERVAL '300 seconds', watermark_time) AS window_start, count(*) AS n,
     count(CASE WHEN is_anomaly THEN 1 END) AS a, count(DISTINCT symbol) AS s
   FROM ({IND}) AS i GROUP BY 1)
@@ -36,9 +36,9 @@ SELECT window_start, 'TotalRecords' AS metric_name, CAST(n AS DOUBLE) AS value,
 UNION ALL SELECT window_start, 'AnomalyCount', CAST(a AS DOUBLE), 'Count' FROM w
 UNION ALL SELECT window_start, 'AnomalyRate', CASE WHEN n > 0 THEN a * 100.0 / n ELSE 0.0 END, 'Percent' FROM w
 UNION ALL SELECT window_start, 'ActiveSymbols', CAST(s AS DOUBLE), 'Count' FROM w""", ("value",))
-def pipeline_metrics(spark, d):
+def custom_metrics(spark, d):
     enriched = I.technical_indicators(ticks(spark, d), spec=TICK_SPEC)
-    return rounded(MT.pipeline_metrics_windows(enriched, seconds=300))
+    return rounded(MT.custom_metrics_windows(enriched, seconds=300))
 
 
 @register("batch_metrics", f"""SELECT CAST(strftime(trade_timestamp, '%Y%m%d%H') AS BIGINT) AS batch_id, symbol,
