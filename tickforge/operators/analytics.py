@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .. import fixed as FX
 from ..functions.columns import pct, resolve_as_of
 from ..session import materialize
 
@@ -25,7 +26,7 @@ def _since(df: DataFrame, days: int | None, as_of, date_col: str = "partition_da
     return df.filter(F.col("_d") >= F.date_sub(F.to_date(now), days))
 
 
-def daily_returns(ticks: DataFrame, days: int | None = 90, as_of=None) -> DataFrame:
+def daily_returns(ticks: DataFrame, days: int | None = FX.RETURNS_DAYS, as_of=None) -> DataFrame:
     """Mean price per symbol-day, previous day's mean (LAG over the
     aggregate) and the percentage return; a symbol's first day is dropped."""
     df = _since(ticks, days, as_of)
@@ -78,7 +79,8 @@ def _tile_correlations(min_days: int):
     return run
 
 
-def correlation_pairs(returns: DataFrame, min_days: int = 30, block_size: int = 512) -> DataFrame:
+def correlation_pairs(returns: DataFrame, min_days: int = FX.CORRELATION_MIN_DAYS,
+                      block_size: int = 512) -> DataFrame:
     """A8 + J1: Pearson correlation of daily returns for every symbol pair
     (a < b) sharing at least ``min_days`` days, strongest first.
 
@@ -100,7 +102,8 @@ def correlation_pairs(returns: DataFrame, min_days: int = 30, block_size: int =
     return out.orderBy(F.col("correlation_coefficient").desc())
 
 
-def anomaly_summary(enriched: DataFrame, days: int | None = 7, as_of=None) -> DataFrame:
+def anomaly_summary(enriched: DataFrame, days: int | None = FX.ANOMALY_SUMMARY_DAYS,
+                    as_of=None) -> DataFrame:
     """Per symbol-day record and anomaly counts, anomaly share (%) and the
     mean |z| of anomalous rows; days without anomalies are left out."""
     df = _since(enriched, days, as_of)

@@ -19,6 +19,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .. import fixed as FX
 from ..functions.columns import safe_div
 from . import series as S
 from .series import SeriesSpec
@@ -80,20 +81,20 @@ def price_change(df: DataFrame, price: str = "price", spec: SeriesSpec = TICKS)
     return S.evaluate(df, lambda d, p: _price_change(d, p, spec, price), spec, 1)
 
 
-def sma(df: DataFrame, price: str = "price", window: int = 20, spec: SeriesSpec = TICKS) -> DataFrame:
+def sma(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW, spec: SeriesSpec = TICKS) -> DataFrame:
     """sma_{window} = rolling mean of the last ``window`` rows."""
     return S.evaluate(df, lambda d, p: _rolling_mean(d, p, spec, price, window, f"sma_{window}"),
                       spec, window - 1)
 
 
-def ema(df: DataFrame, price: str = "price", window: int = 20, alpha: float | None = None,
+def ema(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW, alpha: float | None = None,
         spec: SeriesSpec = TICKS) -> DataFrame:
     """W3 (reference semantics): ema_{window} is a rolling simple mean; alpha unused."""
     return S.evaluate(df, lambda d, p: _rolling_mean(d, p, spec, price, window, f"ema_{window}"),
                       spec, window - 1)
 
 
-def rsi(df: DataFrame, price: str = "price", window: int = 14, spec: SeriesSpec = TICKS) -> DataFrame:
+def rsi(df: DataFrame, price: str = "price", window: int = FX.RSI_WINDOW, spec: SeriesSpec = TICKS) -> DataFrame:
     """price_change, gain, loss, avg_gain, avg_loss, rs, rsi (simple means;
     no losses in the frame -> rs and rsi NULL)."""
     def comp(d, p):
@@ -103,14 +104,16 @@ def rsi(df: DataFrame, price: str = "price", window: int = 14, spec: SeriesSpec
     return S.evaluate(df, comp, spec, window)
 
 
-def macd(df: DataFrame, price: str = "price", fast: int = 12, slow: int = 26, signal: int = 9,
+def macd(df: DataFrame, price: str = "price", fast: int = FX.MACD_FAST, slow: int = FX.MACD_SLOW,
+         signal: int = FX.MACD_SIGNAL,
          spec: SeriesSpec = TICKS) -> DataFrame:
     """ema_{fast}, ema_{slow}, macd_line, macd_signal, macd_histogram."""
     return S.evaluate(df, lambda d, p: _macd_cols(d, p, spec, price, fast, slow, signal),
                       spec, max(fast, slow) - 1 + signal - 1)
 
 
-def bollinger_bands(df: DataFrame, price: str = "price", window: int = 20, num_std: float = 2.0,
+def bollinger_bands(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
+                    num_std: float = FX.BOLLINGER_STD,
                     spec: SeriesSpec = TICKS) -> DataFrame:
     """bb_middle, bb_std, bb_upper, bb_lower."""
     def comp(d, p):
@@ -122,14 +125,16 @@ def bollinger_bands(df: DataFrame, price: str = "price", window: int = 20, num_s
     return S.evaluate(df, comp, spec, window - 1)
 
 
-def price_anomalies(df: DataFrame, price: str = "price", window: int = 20, threshold: float = 2.5,
+def price_anomalies(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
+                    threshold: float = FX.ANOMALY_Z,
                     spec: SeriesSpec = TICKS) -> DataFrame:
     """price_mean, price_stddev, z_score, is_anomaly, anomaly_type."""
     return S.evaluate(df, lambda d, p: _anomaly_cols(d, p, spec, price, window, threshold),
                       spec, window - 1)
 
 
-def volatility(df: DataFrame, price: str = "price", window: int = 20, spec: SeriesSpec = TICKS) -> DataFrame:
+def volatility(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
+               spec: SeriesSpec = TICKS) -> DataFrame:
     """Return (% change vs previous row) and volatility = rolling stddev of it."""
     def comp(d, p):
         d = d.withColumn("return", (safe_div(F.col(price), F.lag(price, 1).over(S.window(p, spec))) - 1) * 100)
@@ -143,9 +148,10 @@ COMPOSITE_LOOKBACK = 33
 
 
 def technical_indicators(df: DataFrame, spec: SeriesSpec = TICKS, price: str = "price",
-                         volume: str = "volume", window: int = 20, rsi_window: int = 14,
-                         fast: int = 12, slow: int = 26, signal: int = 9,
-                         threshold: float = 2.5, extra=None, extra_lookback: int = 0) -> DataFrame:
+                         volume: str = "volume", window: int = FX.SMA_WINDOW,
+                         rsi_window: int = FX.RSI_WINDOW, fast: int = FX.MACD_FAST,
+                         slow: int = FX.MACD_SLOW, signal: int = FX.MACD_SIGNAL,
+                         threshold: float = FX.ANOMALY_Z, extra=None, extra_lookback: int = 0) -> DataFrame:
     """The 22 indicator columns of the ticker stream in one evaluation.
 
     Every window shares the (key, order) spec, so Spark plans a single exchange
@@ -174,7 +180,7 @@ INDICATOR_COLUMNS = ["price_lag_1", "price_change", "price_change_pct", "sma_20"
 
 # ---------------------------------------------------------------- exponential EMA
 
-def ema_recursive(df: DataFrame, price: str = "price", window: int = 20,
+def ema_recursive(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
                   alpha: float | None = None, spec: SeriesSpec = TICKS,
                   tolerance: float = 1e-15) -> DataFrame:
     """Exponential moving average ema_t = a*p_t + (1-a)*ema_{t-1}, seeded with

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import fixed as FX
 from .. import schemas as SC
 from ..functions.columns import bind_once, epoch_ms_to_ts
 
-PIPELINE_VERSION = "1.0.0"
+PIPELINE_VERSION = FX.PIPELINE_VERSION
 
 
 def _ts_or_now(value) -> Column:
@@ -48,7 +49,7 @@ def transform_trades(df: DataFrame, processing_time=None,
 
 
 def normalize_raw_trades(raw: DataFrame, col: str = "value", ingestion_time=None,
-                         source: str = "binance", now_ms=None,
+                         source: str = FX.TRADE_SOURCE, now_ms=None,
                          missing_price_as_zero: bool = False) -> DataFrame:
     """Raw exchange JSON (keys e,E,s,t,p,q,b,a,T,m) -> canonical trade.
 
@@ -99,7 +100,7 @@ def read_ticker_payload(spark, path: str) -> DataFrame:
     return spark.read.schema(SC.TICKER_PAYLOAD).option("multiLine", True).json(path)
 
 
-def normalize_tickers(payload: DataFrame, timestamp=None, source: str = "binance",
+def normalize_tickers(payload: DataFrame, timestamp=None, source: str = FX.TRADE_SOURCE,
                       symbols=None) -> DataFrame:
     """P9 (+P13): rename and cast ticker fields; optional symbol subset."""
     df = payload if not symbols else payload.filter(F.col("symbol").isin(list(symbols)))

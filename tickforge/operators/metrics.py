@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import fixed as FX
 from ..functions.columns import lookback_start, resolve_as_of
 from ..session import materialize
 
@@ -26,7 +27,7 @@ def _metric_aggs():
             F.countDistinct("symbol").alias("active_symbols")]
 
 
-def custom_metrics(latest: DataFrame, as_of=None, seconds: int = 300,
+def custom_metrics(latest: DataFrame, as_of=None, seconds: int = FX.METRICS_WINDOW_SECONDS,
                      ts: str = "timestamp") -> DataFrame:
     """TotalRecords, AnomalyCount, AnomalyRate (% , 0 when empty) and
     ActiveSymbols over rows with epoch-second ``ts`` > as_of - ``seconds``."""
@@ -35,7 +36,7 @@ def custom_metrics(latest: DataFrame, as_of=None, seconds: int = 300,
     return _metric_rows(recent.agg(*_metric_aggs()), [])
 
 
-def custom_metrics_windows(df: DataFrame, seconds: int = 300,
+def custom_metrics_windows(df: DataFrame, seconds: int = FX.METRICS_WINDOW_SECONDS,
                              ts: str = "watermark_time") -> DataFrame:
     """A15 over a whole history: the same four metrics for every tumbling
     ``seconds`` window (window_start, metric_name, value, unit)."""
@@ -72,12 +73,12 @@ def storage_report(files: DataFrame) -> DataFrame:
                  .orderBy(F.col("total_bytes").desc()))
 
 
-# Alert rules (fixed values): anomaly rate above 10 % for 5 minutes -> alerting,
-# missing data -> no_data; fewer than 1 record summed over 5 minutes for 5
-# minutes -> alerting, missing data -> alerting.
-ANOMALY_RATE_LIMIT = 10.0
-MIN_RECORDS = 1
-SUSTAIN_MINUTES = 5
+# Alert rules: anomaly rate above the limit for the sustain period ->
+# alerting, missing data -> no_data; fewer than the minimum records summed
+# over the period, for the period -> alerting, missing data -> alerting.
+ANOMALY_RATE_LIMIT = FX.ANOMALY_RATE_LIMIT
+MIN_RECORDS = FX.MIN_RECORDS
+SUSTAIN_MINUTES = FX.SUSTAIN_MINUTES
 
 
 def _trailing(df: DataFrame, n: int, aggs) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .. import fixed as FX
 from ..functions.columns import lookback_start, resolve_as_of
 
 
@@ -88,7 +89,7 @@ def dedup_latest(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dq_counts(trades: DataFrame, hours: float | None = 1, as_of=None,
+def dq_counts(trades: DataFrame, hours: float | None = FX.DQ_HOURS, as_of=None,
               ts: str = "trade_timestamp") -> DataFrame:
     """total_rows, null_symbols, invalid_prices, invalid_quantities over
     the last ``hours`` (None = whole table) and has_issues."""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import fixed as FX
 from ..functions.columns import lookback_start, order_key, pct, resolve_as_of, safe_div, to_ntz
 
 
@@ -90,7 +91,8 @@ def daily_ohlcv(hourly: DataFrame, day=None, symbols=None,
     return out
 
 
-def latest_aggregates(hourly: DataFrame, symbol=None, hours: int = 24, as_of=None) -> DataFrame:
+def latest_aggregates(hourly: DataFrame, symbol=None, hours: int = FX.LATEST_HOURS,
+                      as_of=None) -> DataFrame:
     """Hourly rows of the last ``hours`` hours (one symbol or all), newest first.
     ``as_of`` defaults to the newest hour in the table."""
     now = resolve_as_of(hourly, "hour_timestamp", as_of)
@@ -99,7 +101,8 @@ def latest_aggregates(hourly: DataFrame, symbol=None, hours: int = 24, as_of=Non
               .orderBy(F.col("hour_timestamp").desc(), F.col("symbol")))
 
 
-def volume_leaders(hourly: DataFrame, top_n: int = 10, hours: int = 24, as_of=None) -> DataFrame:
+def volume_leaders(hourly: DataFrame, top_n: int = FX.LEADERS_TOP_N, hours: int = FX.LEADERS_HOURS,
+                   as_of=None) -> DataFrame:
     """Top-N symbols by volume over the look-back; avg_vwap is the
     unweighted mean of hourly VWAPs, vwap_weighted the value-weighted one."""
     now = resolve_as_of(hourly, "hour_timestamp", as_of)
@@ -114,7 +117,7 @@ def volume_leaders(hourly: DataFrame, top_n: int = 10, hours: int = 24, as_of=No
                   .limit(top_n))
 
 
-def dashboard_cache(hourly: DataFrame, days: int = 7, as_of=None) -> DataFrame:
+def dashboard_cache(hourly: DataFrame, days: int = FX.DASHBOARD_DAYS, as_of=None) -> DataFrame:
     """Symbol x day volume/trades/value/low/high over the last ``days`` days."""
     now = resolve_as_of(hourly, "hour_timestamp", as_of)
     return (hourly.filter(F.col("hour_timestamp") >= lookback_start(now, days=days))
@@ -172,7 +175,8 @@ def hourly_symbol_analytics(enriched: DataFrame) -> DataFrame:
                                 pct(F.col("max_price") - F.col("min_price"), F.col("avg_price"))))
 
 
-def daily_performance(enriched: DataFrame, days: int | None = 30, as_of=None) -> DataFrame:
+def daily_performance(enriched: DataFrame, days: int | None = FX.PERFORMANCE_DAYS,
+                      as_of=None) -> DataFrame:
     """Symbol x day price performance over the last ``days`` days
     (None = every day). ``as_of`` defaults to the newest partition_date."""
     df = enriched.withColumn("_d", F.to_date("partition_date"))
@@ -217,7 +221,7 @@ def daily_report(trades: DataFrame, day=None, ts: str = "trade_timestamp") -> Da
                    F.max(ts).alias("last_trade")))
 
 
-def scheduled_hour_bounds(execution_time, lookback_hours: int = 2):
+def scheduled_hour_bounds(execution_time, lookback_hours: int = FX.SCHEDULED_LOOKBACK_HOURS):
     """Bounds for a scheduled hourly roll-up: [trunc_hour(t - lookback), t).
     Aligning the lower bound to the hour keeps a run from replacing a full
     hour with a partial one (the un-aligned look-back does)."""

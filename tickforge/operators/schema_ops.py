@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from .. import fixed as FX
 from ..functions.columns import order_key
 
-# Warehouse type names of inferred fields, and the precedence used
-# when one field shows several types (STRING only if nothing else was seen).
-TYPE_PRECEDENCE = ["RECORD", "REPEATED", "FLOAT64", "INTEGER", "BOOLEAN", "TIMESTAMP",
-                   "DATE", "STRING"]
-COMPATIBILITY_MODES = ["backward", "forward", "full", "none"]
+# Precedence when one field shows several types (STRING only if nothing else).
+TYPE_PRECEDENCE = list(FX.TYPE_PRECEDENCE)
+COMPATIBILITY_MODES = list(FX.COMPATIBILITY_MODES)
 
 _SPARK_TO_WAREHOUSE = [
     ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "INTEGER"),
@@ -156,7 +155,7 @@ def schema_history_rows(changes: DataFrame, table_col: str = "table_id",
                                              F.col("new_type").alias("type")))).alias("_f"))
     ct = F.current_timestamp() if change_time is None else F.lit(change_time)
     return g.select(table_col,
-                    F.substring(F.sha2(_py_json_fields(F.col("_f")), 256), 1, 12).alias("version_hash"),
+                    F.substring(F.sha2(_py_json_fields(F.col("_f")), 256), 1, FX.HISTORY_HASH_CHARS).alias("version_hash"),
                     F.to_json(F.transform("_f", lambda s: s["name"])).alias("fields_added"),
                     ct.alias("change_time"))
 
@@ -197,7 +196,8 @@ def _fields_of(defn: Column) -> Column:
     return F.from_json(defn, DEF_SCHEMA)["fields"]
 
 
-def register_schemas(registry: DataFrame, proposals: DataFrame, created_by: str = "pipeline"):
+def register_schemas(registry: DataFrame, proposals: DataFrame,
+                     created_by: str = FX.REGISTRY_CREATED_BY):
     """M6 for many subjects in one job.
 
     ``registry``: rows shaped like ``schemas.SCHEMA_REGISTRY``.
@@ -226,7 +226,7 @@ def register_schemas(registry: DataFrame, proposals: DataFrame, created_by: str
                .when(~ok, "incompatible")
                .otherwise("registered"))
     nxt = F.coalesce(F.split(F.col("_latest_version"), "-").getItem(1).cast("int"), F.lit(0)) + 1
-    version = F.when(status == "registered", F.format_string("v-%04d", nxt))
+    version = F.when(status == "registered", F.format_string(FX.VERSION_FORMAT, nxt))
     decisions = j.select("subject", "proposed_at", "schema_hash", status.alias("status"),
                          version.alias("version_id"))
     new_rows = (j.filter(status == "registered")

@@ -11,15 +11,16 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .. import fixed as FX
 from ..functions.columns import order_key
 from ..session import scratch_path
 
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
                 "WRITE_EMPTY": "errorifexists"}
 
-# Lake file layout (128 MB row groups, 1 MB pages, snappy).
-PARQUET_OPTIONS = {"compression": "snappy", "parquet.block.size": str(128 * 1024 * 1024),
-                   "parquet.page.size": str(1024 * 1024)}
+PARQUET_OPTIONS = {"compression": FX.PARQUET_COMPRESSION,
+                   "parquet.block.size": str(FX.PARQUET_BLOCK_BYTES),
+                   "parquet.page.size": str(FX.PARQUET_PAGE_BYTES)}
 
 
 def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=(),
@@ -80,7 +81,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_c
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def retention_keep(df: DataFrame, date_col: str, days: int = 90, as_of=None) -> DataFrame:
+def retention_keep(df: DataFrame, date_col: str, days: int = FX.RETENTION_DAYS, as_of=None) -> DataFrame:
     """K12 as a DataFrame: rows whose ``date_col`` is within ``days`` of as_of
     (default: newest date in the table)."""
     d = F.to_date(F.col(date_col))
@@ -144,7 +145,8 @@ def insert_rows(rows: DataFrame, schema, json_col: str = "json") -> tuple[DataFr
     return good, errors
 
 
-def latest_price_items(df: DataFrame, ttl_seconds: int = 86400, as_decimal: bool = True) -> DataFrame:
+def latest_price_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS,
+                       as_decimal: bool = True) -> DataFrame:
     """K4/K15 + W11: newest row per symbol, projected to the key-value item
     (decimal(38,18) numerics, ttl = timestamp + 86400, market_cap only when
     non-zero). max_by is a partial aggregate: no per-symbol sort or shuffle
@@ -179,7 +181,7 @@ def kv_upsert(current: DataFrame | None, items: DataFrame, now_epoch: Column | N
 KV_COLUMNS = ("symbol", "timestamp", "price", "rsi", "macd_line", "is_anomaly", "processing_time")
 
 
-def kv_items(df: DataFrame, ttl_seconds: int = 86400, write_batch: int = 0,
+def kv_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS, write_batch: int = 0,
              tiebreak: str = "event_id") -> DataFrame:
     """K4 item projection: one item per (symbol, timestamp) (later rows of the
     same key win, by ``tiebreak``), the item columns that exist, ttl =

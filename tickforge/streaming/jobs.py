@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import fixed as FX
 from ..operators import ingest as G, quality as QL, rollups as R
 from ..session import scratch_path
 from ..sinks import tables as TB
@@ -62,7 +63,7 @@ def validated_batches(parsed: DataFrame, valid_path: str, dlq_path: str,
 
 def trade_stream(envelopes: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
                  trigger: dict | None = None, truncate_to_second: bool = False):
-    """Trade pipeline: parse -> transform -> validate -> valid + DLQ sinks,
+    """Trade stream job: parse -> transform -> validate -> valid + DLQ sinks,
     with the source read once per micro-batch."""
     flat = G.flatten_trades(G.parse_envelopes(envelopes), truncate_to_second)
     parsed = G.transform_trades(flat)
@@ -70,7 +71,7 @@ def trade_stream(envelopes: DataFrame, valid_path: str, dlq_path: str, checkpoin
             .foreachBatch(validated_batches(parsed, valid_path, dlq_path)).start())
 
 
-def dedup_stream(trades: DataFrame, watermark: str = "10 minutes",
+def dedup_stream(trades: DataFrame, watermark: str = FX.WATERMARK_DELAY,
                  keys=("symbol", "trade_id"), ts: str = "trade_timestamp") -> DataFrame:
     """Drop producer-retry duplicates seen within the watermark delay."""
     return (trades.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -78,7 +79,7 @@ def dedup_stream(trades: DataFrame, watermark: str = "10 minutes",
                   .dropDuplicatesWithinWatermark(list(keys)))
 
 
-def market_stream(ticks: DataFrame, watermark: str = "10 minutes") -> tuple[DataFrame, DataFrame]:
+def market_stream(ticks: DataFrame, watermark: str = FX.WATERMARK_DELAY) -> tuple[DataFrame, DataFrame]:
     """(enriched tick stream, 5-minute market aggregate stream).
     Windows are emitted once the watermark passes their end (append mode);
     rows behind the watermark are dropped by the engine and counted in the
@@ -136,7 +137,7 @@ def latest_price_batches(kv_path: str, keep_versions: int = 3):
     return run
 
 
-def kv_item_batches(kv_path: str, ttl_seconds: int = 86400, keep_versions: int = 3):
+def kv_item_batches(kv_path: str, ttl_seconds: int = FX.KV_TTL_SECONDS, keep_versions: int = 3):
     """K4 faithful: every micro-batch puts one item per (symbol, timestamp)
     into the key-value table (newer write wins), expiring items whose TTL
     passed on the data clock; stored as complete snapshots like
@@ -167,8 +168,8 @@ def stop_all(spark: SparkSession) -> None:
 
 
 def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
-                  watermark: str = "10 minutes") -> list:
-    """Ticker pipeline (K3, K4, T8, T9, T11): enriched ticks to the lake
+                  watermark: str = FX.WATERMARK_DELAY) -> list:
+    """Ticker stream job (K3, K4, T8, T9, T11): enriched ticks to the lake
     partitioned by (partition_date, symbol), 5-minute market aggregates
     partitioned by the window's own date (the aggregate has no
     partition_date column of its own), and the latest-price KV table. Each
