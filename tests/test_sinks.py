@@ -99,3 +99,15 @@ def test_kv_put_newer_write_wins_and_ttl(spark):
     t1 = {(r["symbol"], r["timestamp"]): r["price"] for r in TB.kv_put(t0, b1).collect()}
     # batch 1 re-puts (A,100) -> replaced even with a smaller event id; (B,50) expired (1200 <= 1200)
     assert t1 == {("A", 100): 9.0, ("A", 1200): 3.0}
+
+
+def test_create_and_evolve_catalog_table(spark):
+    from tickforge.operators import schema_ops as SO
+    name = f"t_evolve_{uuid.uuid4().hex[:8]}"
+    loc = scratch_path(spark, name)
+    TB.create_table(spark, name, "symbol STRING, price DOUBLE", location=loc)
+    added = SO.evolve_table(spark, name, [("price", "FLOAT64"), ("volume", "FLOAT64")])
+    assert added == ["volume"]
+    assert spark.table(name).columns == ["symbol", "price", "volume"]
+    assert SO.evolve_table(spark, name, [("extra", "STRING")], dry_run=True) == ["extra"]
+    assert "extra" not in spark.table(name).columns

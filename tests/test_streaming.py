@@ -131,3 +131,25 @@ def test_stream_indicators_carry_state_across_batches(spark):
             else:
                 assert abs(g[c] - e[c]) <= 1e-9 * max(1.0, abs(e[c])), (k, c, g[c], e[c])
         assert g["anomaly_type"] == e["anomaly_type"]
+
+
+def test_connector_stream_and_graceful_stop(spark):
+    src = SS.connector_stream(spark, "rate", rowsPerSecond=5)
+    assert src.isStreaming
+    base = scratch_path(spark, f"t-rate-{uuid.uuid4().hex}")
+    q = (src.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ck").trigger(processingTime="1 second").start())
+    assert q.isActive
+    J.stop_all(spark)
+    assert not q.isActive and not spark.streams.active
+
+
+def test_read_ticks_parsed(spark):
+    import json
+    from tickforge.operators import ingest as G
+    raw = spark.createDataFrame([(json.dumps({"symbol": "BTCUSDT", "price": 1.5, "volume": 2.0,
+                                              "timestamp": 1700000000, "source": "x"}),), ("x{",)], "value string")
+    out = G.read_ticks_parsed(raw).collect()
+    assert len(out) == 2
+    ok = [r for r in out if r["symbol"] == "BTCUSDT"][0]
+    assert ok["watermark_time"].timestamp() == 1700000000 and ok["processing_time"] is not None

@@ -81,14 +81,6 @@ def dedup_first(df: DataFrame, keys, tiebreak: str | None = None) -> DataFrame:
               .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
-def dedup_latest(df: DataFrame, keys, order) -> DataFrame:
-    """First row per ``keys`` under ``order`` (row_number = 1).
-    The window is partitioned by the full key, so groups are as small as the
-    duplicates themselves."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-
-
 def dq_counts(trades: DataFrame, hours: float | None = FX.DQ_HOURS, as_of=None,
               ts: str = "trade_timestamp") -> DataFrame:
     """total_rows, null_symbols, invalid_prices, invalid_quantities over

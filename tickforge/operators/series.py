@@ -29,11 +29,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 
-# Bucket ladder for bucket="auto" (date_trunc units) and their length in seconds.
-BUCKET_UNITS = (("minute", 60), ("hour", 3600), ("day", 86400), ("week", 604800),
-                ("month", 2629800), ("quarter", 7889400), ("year", 31557600))
-
-
 @dataclass(frozen=True)
 class SeriesSpec:
     """How rows form ordered per-key series.
@@ -111,31 +106,6 @@ def hot_key_widths(df: DataFrame, spec: SeriesSpec) -> DataFrame | None:
     return hot.select(spec.key, width.alias("_w"))
 
 
-def choose_bucket(df: DataFrame, spec: SeriesSpec, lookback: int) -> str | None:
-    """Coarsest-safe calendar unit for operators that need one unit for all
-    keys (pandas-backed EMA): the finest date_trunc unit whose busiest key
-    still gets at least ``16 * lookback`` rows per bucket on average; None for
-    small inputs or when a single bucket per key suffices."""
-    size = planned_size(df)
-    if size is not None and size <= SMALL_INPUT_BYTES:
-        return None
-    ts = spec.order[0]
-    per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
-    st = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    top = per_key.agg(F.max("n")).first()[0]
-    if not top or st["lo"] is None:
-        return None
-    span = max((st["hi"] - st["lo"]).total_seconds(), 1.0)
-    rate = top / span
-    target = max(spec.rows_per_bucket, 16 * lookback)
-    for unit, secs in BUCKET_UNITS:
-        if secs >= span:
-            return None
-        if rate * secs >= target:
-            return unit
-    return None
-
-
 def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
              spec: SeriesSpec, lookback: int) -> DataFrame:
     """Run ``compute(frame, partition_cols)`` over every key's series.

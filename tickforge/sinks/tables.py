@@ -171,12 +171,6 @@ def latest_price_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS,
     return g.select(*out)
 
 
-def kv_upsert(current: DataFrame | None, items: DataFrame, now_epoch: Column | None = None) -> DataFrame:
-    """K4: key-value table update (put by symbol replaces the item) with TTL
-    expiry applied as a filter."""
-    merged = items if current is None else merge_rows(current, items, ["symbol"])
-    return merged if now_epoch is None else merged.filter(F.col("ttl") > now_epoch)
-
 
 KV_COLUMNS = ("symbol", "timestamp", "price", "rsi", "macd_line", "is_anomaly", "processing_time")
 
