@@ -94,7 +94,8 @@ def test_kv_snapshots_survive_replay(spark):
     assert got == {"A": 11.0, "B": 20.0}
     # a crashed write of batch 2 (no _SUCCESS) is ignored by readers and by the replay
     mk([("B", 9, 4, 99.0)]).write.mode("overwrite").parquet(f"{base}/kv/v=2")
-    fs, p = __import__("tickforge.sinks.tables", fromlist=["_fs"])._fs(spark, f"{base}/kv/v=2/_SUCCESS")
+    from tickforge.sinks.tables import _fs
+    fs, p = _fs(spark, f"{base}/kv/v=2/_SUCCESS")
     fs.delete(p, False)
     assert {r["symbol"]: r["price"] for r in J.read_kv(spark, f"{base}/kv").collect()}["B"] == 20.0
     body(mk([("B", 9, 4, 21.0)]), 2)

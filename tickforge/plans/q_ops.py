@@ -1,7 +1,7 @@
 """Queries: data quality, metrics, alerts, table maintenance and schema tooling
 (A13, A15-A17, M10, K9, K12, K15, W11, S8, S9, S10, M1-M9)."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.columns import to_ntz
 from ..operators import indicators as I, metrics as MT, quality as QL, rollups as R
@@ -268,7 +268,6 @@ def schema_register(spark, d):
 
 def _daily_registry(spark, d):
     """Every daily proposal as a registered version (v-0001 = first day)."""
-    from pyspark.sql import Window
     p = _proposals(spark, d)
     n = F.row_number().over(Window.partitionBy("subject").orderBy("proposed_at"))
     return p.select("subject", F.format_string("v-%04d", n).alias("version_id"),
@@ -314,11 +313,4 @@ FROM (SELECT event_type AS subject, printf('v-%04d', CAST(row_number() OVER (PAR
       FROM events GROUP BY event_type, CAST(ts AS DATE)) AS v""")
 def schema_compat(spark, d):
     """M8 over a registry holding every daily proposal as a version."""
-    p = _proposals(spark, d)
-    w = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window
-                            .partitionBy("subject").orderBy("proposed_at"))
-    reg = p.select("subject", F.format_string("v-%04d", w).alias("version_id"),
-                   F.lit(None).cast("string").alias("schema_hash"), "schema_definition",
-                   F.lower("compatibility_mode").alias("compatibility_mode"),
-                   F.lit(True).alias("is_active"), F.col("proposed_at").alias("created_at"))
-    return SO.compatibility_report(reg)
+    return SO.compatibility_report(_daily_registry(spark, d))
