@@ -120,8 +120,9 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
             return compute(df, [spec.key])
         # Broadcast is size-proven: at most max_hot_keys rows (see SeriesSpec).
         b = (df.join(F.broadcast(widths), spec.key, "left")
-               .withColumn("_bkt", F.when(F.col("_w").isNull(), F.lit(0).cast("long"))
-                           .otherwise(F.floor(_micros(spec.order[0]) / F.col("_w")).cast("long")))
+               .withColumn("_hot", F.col("_w").isNotNull())
+               .withColumn("_bkt", F.when(F.col("_hot"), F.floor(_micros(spec.order[0]) / F.col("_w"))
+                                          .cast("long")).otherwise(F.lit(0).cast("long")))
                .drop("_w"))
         return _bucketed(b, df.columns, compute, spec, lookback)
     b = df.withColumn("_bkt", F.date_trunc(spec.bucket, F.col(spec.order[0])))
@@ -129,11 +130,14 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
 
 
 def _bucketed(b, cols, compute, spec, K):
-    """``b`` = input plus a ``_bkt`` column ordered like time within a key."""
+    """``b`` = input plus a ``_bkt`` column ordered like time within a key
+    (and ``_hot`` when only some keys are split: halos are only ever needed
+    for those, so bucket counts and tails are computed on their rows alone)."""
     key = spec.key
+    split = b.filter(F.col("_hot")) if "_hot" in b.columns else b
 
     # (key, bucket) sizes and their running position inside the key.
-    counts = b.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = split.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(key).orderBy("_bkt")
     counts = counts.withColumn(
         "_cum", F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
@@ -149,7 +153,7 @@ def _bucketed(b, cols, compute, spec, K):
 
     # Last K rows of each bucket (map-side group limit keeps the shuffle small).
     wdesc = Window.partitionBy(key, "_bkt").orderBy(*order_cols(spec, descending=True))
-    tails = b.withColumn("_rd", F.row_number().over(wdesc)).filter(F.col("_rd") <= K)
+    tails = split.withColumn("_rd", F.row_number().over(wdesc)).filter(F.col("_rd") <= K)
     # Both sides grow with the bucket count: shuffle join, never a guessed broadcast.
     halo = (tails.join(pairs.hint("shuffle_hash"), [key, "_bkt"])
             .filter(F.col("_rd") <= F.col("_need"))
