@@ -52,8 +52,9 @@ def validated_batches(parsed: DataFrame, valid_path: str, dlq_path: str,
         b = batch.persist()
         try:
             valid, invalid = QL.validate(b, null_policy=null_policy)
-            valid.write.mode("overwrite").options(**TB.PARQUET_OPTIONS) \
-                 .parquet(f"{valid_path}/batch_id={batch_id}")
+            # K1 layout: day partitions, rows clustered by (symbol, hour)
+            TB.write_table(valid, f"{valid_path}/batch_id={batch_id}", partition_by=("trade_date",),
+                           cluster_by=("symbol", "trade_hour"), mode="overwrite")
             QL.dead_letter(invalid, processing_time=F.col("processing_time")) \
               .write.mode("overwrite").parquet(f"{dlq_path}/batch_id={batch_id}")
         finally:
