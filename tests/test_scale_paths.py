@@ -106,3 +106,26 @@ def test_blocked_correlation_equals_brute_force(spark):
         assert got[k][1] == n
         if np.isfinite(cv):
             assert abs(got[k][0] - cv) < 1e-8, (k, got[k], cv)
+
+
+def test_burst_inside_hot_key_is_split(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
+    t0 = dt.datetime(2024, 1, 1)
+    # HOT: 3000 rows over ~25 hours plus a burst of 3000 rows inside one minute
+    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
+    rows += [("HOT", 5000 + i, t0 + dt.timedelta(hours=3, milliseconds=20 * i), float(60 + (i * 7) % 11), 1.0)
+             for i in range(3000)]
+    rows += [(f"C{k}", 20_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
+             for k in range(20) for j in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
+    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
+    widths = S.hot_key_widths(df, spec)
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    b = (df.join(F.broadcast(widths), "symbol", "left").withColumn("_hot", F.col("_w").isNotNull())
+           .withColumn("_cb", F.when(F.col("_hot"), F.floor(t / F.col("_w")).cast("long")).otherwise(F.lit(0).cast("long"))))
+    b = S._split_bursts(b, spec, t)
+    biggest = b.filter("symbol = 'HOT'").groupBy("_bkt").count().agg(F.max("count")).first()[0]
+    assert biggest <= 4 * 200 * 2                    # the 3000-row burst no longer sits in one bucket
+    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
+    auto = I.technical_indicators(df, spec=spec)
+    assert plain.exceptAll(auto.select(plain.columns)).count() == 0

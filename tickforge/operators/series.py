@@ -119,16 +119,53 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
         if widths is None:
             return compute(df, [spec.key])
         # Broadcast is size-proven: at most max_hot_keys rows (see SeriesSpec).
+        t = _micros(spec.order[0])
         b = (df.join(F.broadcast(widths), spec.key, "left")
                .withColumn("_hot", F.col("_w").isNotNull())
-               .withColumn("_bkt", F.when(F.col("_hot"), F.floor(_micros(spec.order[0]) / F.col("_w"))
-                                          .cast("long")).otherwise(F.lit(0).cast("long")))
-               .drop("_w"))
-        return _bucketed(b, df.columns, compute, spec, lookback)
+               .withColumn("_cb", F.when(F.col("_hot"), F.floor(t / F.col("_w")).cast("long"))
+                           .otherwise(F.lit(0).cast("long"))))
+        b = _split_bursts(b, spec, t)
+        return _bucketed(b.drop("_w", "_cb", "_sw"), df.columns, compute, spec, lookback)
     b = df.withColumn("_bkt", F.date_trunc(spec.bucket, F.col(spec.order[0])))
     return _bucketed(b, df.columns, compute, spec, lookback)
 
 
+MAX_SPLIT_LEVELS = 8
+
+
+def _split_bursts(b: DataFrame, spec: SeriesSpec, t) -> DataFrame:
+    """Bursty data: a bucket of a hot key holding more than
+    max(4 * rows_per_bucket, N / max_hot_keys) rows is cut again with a
+    width scaled to its own count, level by level, until no bucket is that
+    large (or rows share one instant). Bucket keys are interval start times,
+    so refined buckets stay disjoint and time-ordered. Each level's burst
+    table has at most max_hot_keys rows and is broadcast."""
+    key = spec.key
+    b = (b.withColumn("_bkt", F.when(F.col("_hot"), F.col("_cb") * F.col("_w"))
+                      .otherwise(F.lit(0).cast("long")))
+          .withColumn("_lw", F.col("_w")))
+    total = None
+    for level in range(MAX_SPLIT_LEVELS):
+        stats = (b.filter(F.col("_hot")).groupBy(key, "_bkt")
+                  .agg(F.count(F.lit(1)).alias("_n"), F.max("_lw").alias("_lw"),
+                       F.min(t).alias("_lo"), F.max(t).alias("_hi")))
+        stats = materialize(stats, f"series-bucket-stats-{level}")
+        if total is None:
+            total = stats.agg(F.sum("_n")).first()[0] or 0
+        big_min = max(4 * spec.rows_per_bucket, total // max(spec.max_hot_keys, 1))
+        big = stats.filter((F.col("_n") > big_min) & (F.col("_hi") > F.col("_lo")))
+        if big.limit(1).count() == 0:
+            break
+        nw = F.greatest(F.lit(1).cast("long"),
+                        F.ceil(F.col("_lw") * F.lit(float(spec.rows_per_bucket)) / F.col("_n")).cast("long"))
+        sub = big.select(key, "_bkt", nw.alias("_nw"))
+        b = b.join(F.broadcast(sub), [key, "_bkt"], "left")
+        start = F.greatest(F.col("_bkt"), F.floor(t / F.col("_nw")).cast("long") * F.col("_nw"))
+        b = (b.withColumn("_bkt", F.when(F.col("_nw").isNotNull(), start).otherwise(F.col("_bkt")))
+              .withColumn("_lw", F.coalesce(F.col("_nw"), F.col("_lw"))).drop("_nw"))
+    return b.drop("_lw")
+
+
 def _bucketed(b, cols, compute, spec, K):
     """``b`` = input plus a ``_bkt`` column ordered like time within a key
     (and ``_hot`` when only some keys are split: halos are only ever needed
