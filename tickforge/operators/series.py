@@ -13,6 +13,8 @@ Plan shape (per call):
                               above the hot threshold get buckets, sized by
                               their own density; the hot-key table is bounded
                               and broadcast
+  * burst split ("auto")    -> per-bucket counts of hot rows; buckets above
+                              the threshold are re-cut (bounded, broadcast)
   * bucket row counts      -> partial aggregation, tiny output
   * bucket table window    -> one row per (key, bucket), bounded lookback frame
   * bucket tails           -> row_number() <= lookback, planned as a map-side
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 
+
 @dataclass(frozen=True)
 class SeriesSpec:
     """How rows form ordered per-key series.
@@ -125,7 +128,7 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
                .withColumn("_cb", F.when(F.col("_hot"), F.floor(t / F.col("_w")).cast("long"))
                            .otherwise(F.lit(0).cast("long"))))
         b = _split_bursts(b, spec, t)
-        return _bucketed(b.drop("_w", "_cb", "_sw"), df.columns, compute, spec, lookback)
+        return _bucketed(b.drop("_w", "_cb"), df.columns, compute, spec, lookback)
     b = df.withColumn("_bkt", F.date_trunc(spec.bucket, F.col(spec.order[0])))
     return _bucketed(b, df.columns, compute, spec, lookback)
 
@@ -135,7 +138,8 @@ MAX_SPLIT_LEVELS = 8
 
 def _split_bursts(b: DataFrame, spec: SeriesSpec, t) -> DataFrame:
     """Bursty data: a bucket of a hot key holding more than
-    max(4 * rows_per_bucket, N / max_hot_keys) rows is cut again with a
+    max(4 * rows_per_bucket, H / max_hot_keys) rows (H = rows of hot keys) is
+    cut again with a
     width scaled to its own count, level by level, until no bucket is that
     large (or rows share one instant). Bucket keys are interval start times,
     so refined buckets stay disjoint and time-ordered. Each level's burst
