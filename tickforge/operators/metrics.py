@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed as FX
-from ..functions.columns import lookback_start, resolve_as_of
+from ..functions.columns import resolve_as_of
 from ..session import materialize
 
 

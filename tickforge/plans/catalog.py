@@ -12,7 +12,6 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sql_blocks as Q
 from .common import rnd_sql
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.series import SeriesSpec

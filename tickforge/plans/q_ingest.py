@@ -5,7 +5,6 @@ operators run on real JSON text whose size grows with the tables."""
 
 from pyspark.sql import functions as F
 
-from .. import schemas as SC
 from ..operators import ingest as G, quality as QL
 from . import sql_blocks as Q
 from .catalog import register

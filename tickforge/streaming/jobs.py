@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed as FX
 from ..operators import ingest as G, quality as QL, rollups as R
-from ..session import scratch_path
 from ..sinks import tables as TB
 from . import stateful
 

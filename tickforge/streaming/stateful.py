@@ -13,12 +13,11 @@ behind the watermark never reach the processor.
 
 from __future__ import annotations
 
-import warnings
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.indicators import COMPOSITE_LOOKBACK, INDICATOR_COLUMNS
