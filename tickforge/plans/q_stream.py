@@ -104,3 +104,34 @@ def stream_kv_items(spark, d):
         q = J._writer(t, ck, None).foreachBatch(J.kv_item_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
     return rounded(J.read_kv(spark, f"{base}/kv"))
+
+
+SLICES = 4
+
+
+@register("stream_indicators_sliced", Q.indicators(), IND_D)
+def stream_indicators_sliced(spark, d):
+    """T8 across micro-batches: events land as time-ordered slices; after each
+    landing the same streaming query is triggered again (availableNow) and
+    processes only the new files, so the per-symbol state has to carry the
+    series across four micro-batches."""
+    base, ck = _run(spark, "sliced")
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    ensure_conf(spark)
+    bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    step = (bounds["hi"] - bounds["lo"]) / SLICES
+    cuts = [bounds["lo"] + step * i for i in range(1, SLICES)]
+    for i in range(SLICES):
+        cond = F.lit(True)
+        if i > 0:
+            cond = cond & (F.col("ts") >= F.lit(cuts[i - 1]))
+        if i < SLICES - 1:
+            cond = cond & (F.col("ts") < F.lit(cuts[i]))
+        ev.filter(cond).write.parquet(f"{base}/landing/slice={i}")
+        src = SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema)
+        with J.state_partitions(spark):
+            q = (ST.stream_indicators(adapters.ticks(src)).writeStream
+                 .option("checkpointLocation", ck).trigger(availableNow=True)
+                 .format("parquet").option("path", f"{base}/out").start())
+        J.run_to_completion(q)
+    return rounded(spark.read.parquet(f"{base}/out"))
