@@ -129,3 +129,18 @@ def test_burst_inside_hot_key_is_split(spark, monkeypatch):
     plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
     auto = I.technical_indicators(df, spec=spec)
     assert plain.exceptAll(auto.select(plain.columns)).count() == 0
+
+
+def test_same_instant_burst_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(2000)]
+    rows += [("HOT", 9000 + i, t0 + dt.timedelta(hours=2), float(40 + (i * 7) % 11), 1.0) for i in range(2000)]
+    rows += [(f"C{k}", 20_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
+             for k in range(10) for j in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
+    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
+    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
+    auto = I.technical_indicators(df, spec=spec)
+    assert auto.count() == len(rows)
+    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
