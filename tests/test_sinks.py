@@ -111,3 +111,14 @@ def test_create_and_evolve_catalog_table(spark):
     assert spark.table(name).columns == ["symbol", "price", "volume"]
     assert SO.evolve_table(spark, name, [("extra", "STRING")], dry_run=True) == ["extra"]
     assert "extra" not in spark.table(name).columns
+
+
+def test_register_partitioned_lake_table(spark):
+    name = f"t_lake_{uuid.uuid4().hex[:8]}"
+    loc = scratch_path(spark, name)
+    h = _hourly(spark)
+    TB.write_table(h, loc, partition_by=("trade_date",), mode="overwrite")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in h.schema.fields)
+    TB.create_table(spark, name, ddl, partition_by=("trade_date",), location=loc)
+    assert spark.table(name).count() == h.count()
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == h.select("trade_date").distinct().count()
