@@ -34,6 +34,7 @@ def epoch_ms_to_ts(c, truncate_to_second: bool = False) -> Column:
 
 
 def epoch_s_to_ts(c) -> Column:
+    """Epoch seconds -> TIMESTAMP."""
     return F.timestamp_seconds(_c(c))
 
 
@@ -44,6 +45,7 @@ def as_of_max(df: DataFrame, ts_col: str) -> Column:
 
 
 def resolve_as_of(df: DataFrame, ts_col: str, as_of) -> Column:
+    """The look-back "now" as a Column: the given value, or the newest ``ts_col`` of ``df``."""
     if as_of is None:
         return as_of_max(df, ts_col)
     if isinstance(as_of, Column):
@@ -54,6 +56,7 @@ def resolve_as_of(df: DataFrame, ts_col: str, as_of) -> Column:
 
 
 def lookback_start(as_of: Column, hours: float | None = None, days: int | None = None) -> Column:
+    """``as_of`` minus a look-back of ``hours`` (or ``days``)."""
     if hours is not None:
         return as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours) * 3600))
     return as_of - F.make_dt_interval(F.lit(int(days or 0)))

@@ -31,6 +31,7 @@ _WAREHOUSE_TO_SPARK = {"INTEGER": "bigint", "FLOAT64": "double", "BOOLEAN": "boo
 
 
 def warehouse_type(dt: T.DataType) -> str:
+    """Spark type -> warehouse type name (INTEGER, FLOAT64, ..., STRING)."""
     for classes, name in _SPARK_TO_WAREHOUSE:
         if isinstance(dt, classes):
             return name
@@ -253,10 +254,12 @@ def latest_schemas(registry: DataFrame) -> DataFrame:
 
 
 def schema_by_hash(registry: DataFrame, subject: str, h: str) -> DataFrame:
+    """M7: the registry row of ``subject`` with schema hash ``h`` (at most one)."""
     return registry.filter((F.col("subject") == subject) & (F.col("schema_hash") == h)).limit(1)
 
 
 def schema_history(registry: DataFrame, subject: str | None = None) -> DataFrame:
+    """M7: versions of a subject (or all), newest first."""
     df = registry if subject is None else registry.filter(F.col("subject") == subject)
     return df.orderBy(F.col("created_at").desc())
 

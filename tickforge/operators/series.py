@@ -59,10 +59,12 @@ class SeriesSpec:
 
 
 def order_cols(spec: SeriesSpec, descending: bool = False):
+    """Sort expressions of the series order."""
     return [F.col(c).desc() if descending else F.col(c).asc() for c in spec.order]
 
 
 def window(part: Sequence[str], spec: SeriesSpec, lo: int | None = None):
+    """Window over ``part`` in series order; with ``lo``, rows from ``lo`` to the current one."""
     w = Window.partitionBy(*part).orderBy(*order_cols(spec))
     return w if lo is None else w.rowsBetween(lo, 0)
 

@@ -12,6 +12,7 @@ from .series import SeriesSpec
 
 def rsi_signal_col(rsi: str = "rsi", oversold: float = FX.RSI_OVERSOLD,
                    overbought: float = FX.RSI_OVERBOUGHT):
+    """W9 as a column expression."""
     r = F.col(rsi)
     return F.when(r < oversold, "BUY").when(r > overbought, "SELL").otherwise("HOLD")
 
@@ -41,6 +42,7 @@ def generate_macd_signals(df: DataFrame, spec: SeriesSpec = I.TICKS) -> DataFram
 
 
 def combined_signal_col(rsi_sig: str = "rsi_signal", macd_sig: str = "macd_signal_trade"):
+    """W10b as a column expression."""
     r, m = F.col(rsi_sig), F.col(macd_sig)
     return (F.when((r == "BUY") & (m == "BUY"), "STRONG_BUY")
              .when((r == "SELL") & (m == "SELL"), "STRONG_SELL")
@@ -62,6 +64,7 @@ def indicators_with_signals(df: DataFrame, spec: SeriesSpec = I.TICKS, **kw) ->
 
 
 def trading_signal_col(rsi: str = "rsi", line: str = "macd_line", signal: str = "macd_signal"):
+    """P19 as a column expression."""
     r, l, s = F.col(rsi), F.col(line), F.col(signal)
     return (F.when((r < FX.RSI_OVERSOLD) & (l > s), "BUY_SIGNAL")
              .when((r > FX.RSI_OVERBOUGHT) & (l < s), "SELL_SIGNAL")

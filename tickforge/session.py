@@ -26,6 +26,7 @@ RECOMMENDED_CONF = {
 
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
+    """Apply the settings the operators rely on (UTC session time zone)."""
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
@@ -34,6 +35,7 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tickforge", extra: dict | None = None) -> SparkSession:
+    """Local session for tests and the bench (UI off, UTC, AQE on)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")

@@ -109,6 +109,7 @@ def indicators_frame(df: pd.DataFrame, price: str = "price", volume: str = "volu
 
 
 def output_schema(input_schema: T.StructType) -> T.StructType:
+    """Input columns followed by the 22 indicator columns."""
     extra = [T.StructField(c, T.DoubleType()) for c in INDICATOR_COLUMNS
              if c not in ("is_anomaly", "anomaly_type")]
     extra += [T.StructField("is_anomaly", T.BooleanType()),
