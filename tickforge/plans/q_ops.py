@@ -28,6 +28,18 @@ def dq_counts(spark, d):
     return QL.dq_counts(trades(spark, d), hours=None)
 
 
+@register("dq_counts_last_hour", f"""SELECT count(*) AS total_rows,
+  count(*) FILTER (WHERE symbol IS NULL) AS null_symbols,
+  count(*) FILTER (WHERE price <= 0) AS invalid_prices,
+  count(*) FILTER (WHERE quantity <= 0) AS invalid_quantities,
+  (count(*) FILTER (WHERE symbol IS NULL) > 0 OR count(*) FILTER (WHERE price <= 0) > 0
+   OR count(*) FILTER (WHERE quantity <= 0) > 0) AS has_issues
+FROM ({Q.TRADES}) AS t WHERE trade_timestamp >= {Q.AS_OF_TS} - INTERVAL 1 HOUR""")
+def dq_counts_last_hour(spark, d):
+    """A13 as scheduled: the last hour before the newest trade."""
+    return QL.dq_counts(trades(spark, d))
+
+
 @register("custom_metrics", f"""WITH w AS (
   SELECT time_bucket(INTERVAL '300 seconds', watermark_time) AS window_start, count(*) AS n,
     count(CASE WHEN is_anomaly THEN 1 END) AS a, count(DISTINCT symbol) AS s
