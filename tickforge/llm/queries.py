@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, line_rules, sql, tag_paths, token_store
+from . import byte_language, decontaminate, licenses, line_rules, passage_attention, sql, tag_paths, token_store
 
 TOKENIZER_DIR = "/opt/tokenizers"
 
@@ -26,19 +26,34 @@ def op2_token_store(spark, sf_dir):
     return token_store.store_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_passage_attention(spark, sf_dir):
+    return passage_attention.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_rules(spark, sf_dir):
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_byte_language(spark, sf_dir):
+    return byte_language.language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_tag_paths(spark, sf_dir):
     return tag_paths.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_decontaminate(spark, sf_dir):
+    return decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_store": op2_token_store,
+    "op5_passage_attention": op5_passage_attention,
     "op6_line_rules": op6_line_rules,
+    "op8_byte_language": op8_byte_language,
     "op9_tag_paths": op9_tag_paths,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {
