@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,3 +54,41 @@ def written(df: DataFrame, name: str, fmt: str = "parquet", **options) -> DataFr
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.format(fmt).options(**options).save(path)
     return spark.read.schema(df.schema).format(fmt).load(path)
+
+
+def sorted_groups(batches, keys: list[str]):
+    """Consecutive rows with equal ``keys`` out of sorted Arrow batches, each group as one
+    record batch. Only the group at hand is held."""
+    held: list[pa.RecordBatch] = []
+
+    def joined():
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        change = np.zeros(n, bool)
+        for k in keys:
+            v = batch.column(k).to_numpy(zero_copy_only=False)
+            change[1:] |= v[1:] != v[:-1]
+        here = [batch.column(k)[0].as_py() for k in keys]
+        if held and here != last:
+            yield joined()
+            held = []
+        cuts = [0, *np.flatnonzero(change).tolist(), n]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a:
+                yield joined()
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = [batch.column(k)[n - 1].as_py() for k in keys]
+    if held:
+        yield joined()
+
+
+def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` (few short columns, already written) marked for broadcast if it has at most
+    ``rows`` rows; else as it is, for a shuffled join that adaptive execution splits where hot."""
+    return F.broadcast(df) if df.count() <= rows else df
