@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_language, decontaminate, licenses, line_rules, passage_attention, sql, tag_paths, token_store
+from . import (byte_language, decontaminate, hyperminhash, licenses, line_rules, passage_attention, sql,
+               suffix_dedup, tag_paths, token_store)
 
 TOKENIZER_DIR = "/opt/tokenizers"
 
@@ -26,6 +27,10 @@ def op2_token_store(spark, sf_dir):
     return token_store.store_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_hyperminhash(spark, sf_dir):
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_passage_attention(spark, sf_dir):
     return passage_attention.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,6 +39,10 @@ def op6_line_rules(spark, sf_dir):
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_language(spark, sf_dir):
     return byte_language.language_id(table(spark, sf_dir, "documents"))
 
@@ -49,8 +58,10 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_store": op2_token_store,
+    "op4_hyperminhash": op4_hyperminhash,
     "op5_passage_attention": op5_passage_attention,
     "op6_line_rules": op6_line_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_byte_language": op8_byte_language,
     "op9_tag_paths": op9_tag_paths,
     "op10_decontaminate": op10_decontaminate,
