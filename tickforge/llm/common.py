@@ -38,6 +38,18 @@ def in_parts(batch: pa.RecordBatch, column: str, limit: int = 16 << 20):
         yield batch.slice(start)
 
 
+def filter_rows(docs: DataFrame, make_test, text_col: str = "text", limit: int = 2 << 20) -> DataFrame:
+    """Rows of ``docs``, all columns as they are, that pass a test of their text. ``make_test``
+    is called once per task and returns a function from UTF-8 texts (null: empty) to booleans."""
+    def run(batches):
+        test = make_test()
+        for batch in batches:
+            for part in in_parts(batch, text_col, limit):
+                yield part.filter(pa.array(test(utf8(part.column(text_col))), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def process_cache(name: str) -> types.SimpleNamespace:
     """A namespace that lives as long as the Python worker does, so that models
     and word caches are built once per process and not once per task."""

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_text, in_parts
+from .common import filter_rows, id_text, in_parts
 
 N = 3
 RARE = 4
@@ -185,29 +185,33 @@ def trigram_counts(docs: DataFrame, size: int, sent) -> np.ndarray:
     return out
 
 
+def _searches(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, block_words: int):
+    """(index fields, seeds), both sent to the tasks, of each block of the benchmark."""
+    b = id_text(benchmark, item_col, item_text_col).withColumnRenamed("doc_id", "item_id")
+    send = docs.sparkSession.sparkContext.broadcast
+    for items in _blocks(b, block_words):
+        built = SeedIndex.build(items)
+        sent = send(vars(built))
+        yield sent, send(built.rare(trigram_counts(docs, len(built.codes), sent)))
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE,
                  block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): one row per passage of a document
     that aligns with an item. ``score`` is 1.0 for an exact copy; word positions count from 0."""
     d = id_text(docs, id_col, text_col)
-    b = id_text(benchmark, item_col, item_text_col).withColumnRenamed("doc_id", "item_id")
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
                         ("first_word", pa.int64()), ("end_word", pa.int64())])
     ddl = "doc_id long, item_id long, score double, first_word long, end_word long"
-    spark = docs.sparkSession
-    out = spark.createDataFrame([], ddl)
-    for items in _blocks(b, block_words):
-        built = SeedIndex.build(items)
-        sent = spark.sparkContext.broadcast(vars(built))
-        seed = spark.sparkContext.broadcast(built.rare(trigram_counts(d, len(built.codes), sent)))
+    out = docs.sparkSession.createDataFrame([], ddl)
+    for sent, seed in _searches(d, benchmark, item_col, item_text_col, block_words):
 
         def run(batches, sent=sent, seed=seed):
             index = SeedIndex(**sent.value)
-            ids = index.ids
             for batch in batches:
                 for part in in_parts(batch, "text"):
-                    rows = [(doc, ids[item], score, first, end)
+                    rows = [(doc, index.ids[item], score, first, end)
                             for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
                             for item, score, first, end in matches_of(index, seed.value, text, min_score)]
                     yield pa.RecordBatch.from_arrays(
@@ -215,3 +219,18 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         out = out.unionByName(d.mapInArrow(run, ddl))
     return out
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE,
+               block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Rows of ``docs`` (all columns) that match no benchmark item."""
+    d = id_text(docs)
+    out = docs
+    for sent, seed in _searches(d, benchmark, "item_id", "text", block_words):
+
+        def make_test(sent=sent, seed=seed):
+            index = SeedIndex(**sent.value)
+            return lambda texts: [not matches_of(index, seed.value, t.decode(), min_score) for t in texts]
+
+        out = filter_rows(out, make_test)
+    return out

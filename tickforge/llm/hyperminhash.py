@@ -252,3 +252,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       (F.col("doc_id") == component).alias("kept"),
                       F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` (all columns) that stand for their component: those of its least id.
+    Of rows that repeat an id and its text one stays."""
+    rows = written(near_duplicates(docs, percent=percent).filter("kept").groupBy("doc_id")
+                   .agg(F.count(F.lit(1)).alias("n")), "kept-ids")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(small_side(ids.select(F.col("doc_id").alias("__kept_id"))),
+                         F.col("doc_id") == F.col("__kept_id"), "left_semi")
+
+    return of(rows.filter("n = 1")).unionByName(of(rows.filter("n > 1")).dropDuplicates(["doc_id", "text"]))

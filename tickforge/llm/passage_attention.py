@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_text, in_parts, utf8
+from .common import filter_rows, id_text, in_parts, utf8
 
 PASSAGE = 256
 BUCKETS = 256
@@ -232,3 +232,10 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     model = train(d, known.filter(~held_out()), per_class)
     return score_documents(d, model, accept).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", accept: float = ACCEPT) -> DataFrame:
+    """Rows of ``docs`` (all columns) whose score reaches ``accept``; trained like ``quality``."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
+    model = train(id_text(docs), known.filter(~held_out()))
+    return filter_rows(docs, lambda: lambda texts: (score_texts(model, texts) >= accept).tolist())

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_language, decontaminate, hyperminhash, licenses, line_rules, passage_attention, sql,
+from . import (byte_language, decontaminate, hyperminhash, licenses, line_rules, merge_dropout, passage_attention, sql,
                suffix_dedup, tag_paths, token_store)
 
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -27,6 +27,10 @@ def op2_token_store(spark, sf_dir):
     return token_store.store_and_read(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op3_merge_dropout(spark, sf_dir):
+    return merge_dropout.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).drop("ids")
+
+
 def op4_hyperminhash(spark, sf_dir):
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_store": op2_token_store,
+    "op3_merge_dropout": op3_merge_dropout,
     "op4_hyperminhash": op4_hyperminhash,
     "op5_passage_attention": op5_passage_attention,
     "op6_line_rules": op6_line_rules,

@@ -29,7 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import id_text, in_parts, small_side, sorted_groups, utf8, written
 from .shingles import mix
@@ -359,12 +359,24 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) of every row with repeated bytes taken out, at whole characters.
-    Unchanged texts stay where they are; changed ones join by their text's key."""
-    d = id_text(docs, id_col, text_col)
-    rows = written(fingerprints(d), "fingerprints")
-    cut = written(_outcome(d, rows).select("text_id", "kept"), "kept-texts")
-    changed = rows.select("doc_id", "text_id").join(cut, "text_id")
-    same = rows.join(cut.select("text_id"), "text_id", "left_anti").select("doc_id", "text_id")
-    return changed, same
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (all columns) with repeated bytes taken out of ``text`` at whole
+    characters and ``n_chars``, if there is one, set to what is left."""
+    d = id_text(docs)
+    cut = written(_outcome(d, written(fingerprints(d), "fingerprints")).select(
+        F.col("text_id").alias("__text_id"), F.col("kept").alias("__kept")), "kept-texts")
+    schema = T.StructType([*docs.schema, T.StructField("__text_id", T.BinaryType())])
+
+    def name(batches):
+        for batch in batches:
+            for part in in_parts(batch, "text"):
+                keys = pa.array([text_key(t) for t in utf8(part.column("text"))], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, keys], [*part.schema.names, "__text_id"])
+
+    rows = docs.mapInArrow(name, schema).join(cut, "__text_id", "left")
+    rows = rows.withColumn("text", F.coalesce("__kept", "text"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        rows = rows.withColumn("n_chars", F.when(F.col("__kept").isNull(), F.col("n_chars"))
+                               .otherwise(F.length("text").cast(kind)))
+    return rows.select(*docs.columns)
