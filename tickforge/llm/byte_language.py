@@ -242,7 +242,7 @@ def training_spans(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, span: int =
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> ByteGRU | None:
     """Fit on the bounded sample of ``docs`` (doc_id, text, lang)."""
-    rows = sorted(training_spans(docs, per_lang).collect(), key=lambda r: (r["u"], r["doc_id"], r["span"]))
+    rows = sorted(training_spans(docs, per_lang).collect(), key=lambda r: (r["u"], r["doc_id"] or 0, r["span"]))
     return fit([r["span"].encode() for r in rows], [r["lang"] for r in rows])
 
 

@@ -157,7 +157,7 @@ def _blocks(benchmark: DataFrame, block_words: int):
     n = max(1, -(-int(total) // block_words))
     for b in range(n):
         part = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) if n > 1 else benchmark
-        rows = sorted((r["item_id"], r["text"]) for r in part.collect())
+        rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         if rows:
             yield rows
 

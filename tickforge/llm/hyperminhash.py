@@ -21,8 +21,8 @@ At the linking threshold 0.85 a pair shares no band with a chance of (1 - 0.85**
 Defined results: null, empty or blank texts have an empty set and link with nothing (their own
 component); texts under three words are one shingle; repeated rows share their set and
 component; very long texts are handled whole; ids that repeat with different texts are separate
-nodes and the least id names the component; other columns are ignored; empty tables give
-empty results.
+nodes and the least id names the component; rows without an id are linked with equal sets
+only; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = rows.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"),
+                      F.col("doc_id").eqNullSafe(component).alias("kept"),
                       F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 

@@ -80,7 +80,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-                       F.xxhash64(text).alias("key"), text.alias("text"))
+                       F.xxhash64(F.col(id_col).cast("long"), text).alias("key"), text.alias("text"))
 
 
 def base_figures(keyed: DataFrame) -> DataFrame:
@@ -109,16 +109,16 @@ def frequent_lines(keyed: DataFrame, max_docs: int = MAX_DOCS, min_line_words: i
 
 
 def _lost_words(keyed: DataFrame, frequent: DataFrame, min_line_words: int) -> DataFrame:
-    """(doc_id, host, key, lost): words in frequent lines, for rows that have any; one
-    row per distinct (doc_id, host, key), so rows that repeat are not added up."""
+    """(host, key, lost): words in frequent lines, for rows that have any; one row per distinct
+    (host, key), so rows that repeat are not added up."""
     frequent = written(frequent.select("host", "h"), "frequent-lines")
     if frequent.count() <= BROADCAST_LINES:
         frequent = F.broadcast(frequent)
-    rows = (keyed.select("doc_id", "host", "key", F.posexplode(_hashed_lines(F.col("text"))).alias("pos", "l"))
-            .select("doc_id", "host", "key", "pos", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
+    rows = (keyed.select("host", "key", F.posexplode(_hashed_lines(F.col("text"))).alias("pos", "l"))
+            .select("host", "key", "pos", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
             .filter(F.col("w") >= min_line_words))
-    return (rows.join(frequent, ["host", "h"]).groupBy("doc_id", "host", "key", "pos").agg(F.max("w").alias("w"))
-            .groupBy("doc_id", "host", "key").agg(F.sum("w").alias("lost")))
+    return (rows.join(frequent, ["host", "h"]).groupBy("host", "key", "pos").agg(F.max("w").alias("w"))
+            .groupBy("host", "key").agg(F.sum("w").alias("lost")))
 
 
 def without_frequent_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -144,7 +144,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = _keyed(docs, id_col, text_col, host_col)
     lost = _lost_words(keyed, frequent_lines(keyed, max_docs, min_line_words), min_line_words)
     figures = base_figures(keyed)
-    out = figures.join(lost, ["doc_id", "host", "key"], "left")
+    out = figures.join(lost, ["host", "key"], "left")
     removed = F.coalesce("lost", F.lit(0).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

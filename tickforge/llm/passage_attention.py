@@ -202,7 +202,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> AttentionModel | None:
     """Fit on the bounded sample; ``docs`` has doc_id and text, ``labels`` doc_id and label."""
-    rows = sorted(training_rows(docs, labels, per_class).collect(), key=lambda r: (r["u"], r["doc_id"], r["label"], r["span"]))
+    rows = sorted(training_rows(docs, labels, per_class).collect(), key=lambda r: (r["u"], r["doc_id"] or 0, r["label"], r["span"]))
     return fit([r["span"].encode() for r in rows], [int(r["label"]) for r in rows])
 
 

@@ -18,8 +18,8 @@ Windows never cross documents, all judgements are on the input, and overlaps cou
 
 Defined results: null and empty texts have 0 bytes and nothing removed; rows that repeat, ids
 included, count as repeats of each other; texts shorter than ``LENGTH`` keep all bytes; very
-long texts are read in overlapping chunks; other columns are ignored; empty tables give
-empty results.
+long texts are read in overlapping chunks; texts that only rows without an id hold take part
+as wholes only; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
