@@ -25,7 +25,7 @@ def test_ohlcv_is_hash_aggregated_with_pushed_range(spark):
 
 
 def test_indicator_set_is_one_exchange_and_pruned_scan(spark):
-    df = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC.with_(bucket=None))
+    df = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC.with_(pieces=1))
     p = _plan(df)
     assert p.count("Exchange hashpartitioning") == 1
     assert p.count("Window [") >= 4

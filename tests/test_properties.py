@@ -72,7 +72,7 @@ def test_valid_plus_invalid_is_input(spark, rows):
 def test_halo_equals_plain_and_rsi_bounds(spark, pts, bucket):
     rows = [("S", i, T0 + dt.timedelta(minutes=7 * m), p, 1.0) for i, (m, p) in enumerate(pts)]
     df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = SeriesSpec(key="symbol", order=("ts", "id"), bucket=None)
+    spec = SeriesSpec(key="symbol", order=("ts", "id"), pieces=1)
     plain = I.technical_indicators(df, spec=spec)
     halo = I.technical_indicators(df, spec=spec.with_(bucket=bucket))
     assert plain.exceptAll(halo.select(plain.columns)).count() == 0

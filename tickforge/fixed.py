@@ -23,12 +23,16 @@ COMBINED_SIGNALS = ("STRONG_BUY", "STRONG_SELL", "BUY", "SELL", "HOLD")
 TRADING_SIGNALS = ("BUY_SIGNAL", "SELL_SIGNAL", "HOLD")
 
 # --- fixed values: ingest and validation --------------------------------------
-VALIDATION_ERRORS = ("missing_symbol", "invalid_price", "invalid_quantity", "unknown_error")
+TRADE_REQUIREMENTS = (("symbol", "present"), ("price", "positive"), ("quantity", "positive"),
+                      ("trade_id", "present"))
+NAMED_FIELDS = ("symbol", "price", "quantity")      # labelled missing_* / invalid_*
+OTHER_ERROR = "unknown_error"
 PIPELINE_VERSION = "1.0.0"
 TRADE_SOURCE = "binance"
 RAW_TRADE_DEFAULTS = {"event_type": "trade", "symbol": "", "is_buyer_maker": False}
 BUS_ATTRIBUTE_DEFAULTS = {"symbol": "UNKNOWN", "source": "unknown", "event_type": "trade"}
-QUALITY_SCORES = (100, 80, 60)
+QUALITY_LEVELS = ((("rsi", "macd_line"), 100), (("price", "volume"), 80))
+QUALITY_LEAST = 60
 
 # --- fixed values: windows, look-backs, retention -----------------------------
 MARKET_WINDOW = "5 minutes"

@@ -4,8 +4,7 @@ All rolling frames are ``rowsBetween(-(n-1), 0)``: the first rows of a series
 get partial windows, not NULL. Standard deviations are sample deviations
 (NULL for a single row). Every division is zero-safe (NULL instead of an ANSI
 error). Each public function is ``DataFrame -> DataFrame`` and evaluates
-through :func:`series.evaluate`, so hot symbols are split into bounded
-window partitions.
+through :func:`series.evaluate`, which cuts all series by rank into pieces of bounded size.
 
 EMA note: the classic ``ema_{n}`` column is a rolling *simple* mean over n rows
 (that is the reference behaviour, alpha is not used). ``ema_recursive`` gives
@@ -64,14 +63,14 @@ def _macd_cols(df, part, spec, price, fast, slow, signal):
 def _anomaly_cols(df, part, spec, price, n, threshold, mean_col: str | None = None):
     w = S.window(part, spec, -(n - 1))
     z = F.col("z_score")
+    spike, drop, normal = FX.ANOMALY_TYPES
     # the composite already has this frame's mean as sma_{n}: reuse it
     mean = F.col(mean_col) if mean_col else F.avg(price).over(w)
     return (df.withColumn("price_mean", mean)
               .withColumn("price_stddev", F.stddev_samp(price).over(w))
               .withColumn("z_score", safe_div(F.col(price) - F.col("price_mean"), F.col("price_stddev")))
               .withColumn("is_anomaly", F.abs(z) > threshold)
-              .withColumn("anomaly_type", F.when(z > threshold, "price_spike")
-                          .when(z < -threshold, "price_drop").otherwise("normal")))
+              .withColumn("anomaly_type", F.when(z > threshold, spike).when(z < -threshold, drop).otherwise(normal)))
 
 
 # ---------------------------------------------------------------- public operators
@@ -105,11 +104,13 @@ def rsi(df: DataFrame, price: str = "price", window: int = FX.RSI_WINDOW, spec:
 
 
 def macd(df: DataFrame, price: str = "price", fast: int = FX.MACD_FAST, slow: int = FX.MACD_SLOW,
-         signal: int = FX.MACD_SIGNAL,
-         spec: SeriesSpec = TICKS) -> DataFrame:
-    """ema_{fast}, ema_{slow}, macd_line, macd_signal, macd_histogram."""
-    return S.evaluate(df, lambda d, p: _macd_cols(d, p, spec, price, fast, slow, signal),
-                      spec, max(fast, slow) - 1 + signal - 1)
+         signal: int = FX.MACD_SIGNAL, spec: SeriesSpec = TICKS, extra=None, extra_lookback: int = 0) -> DataFrame:
+    """ema_{fast}, ema_{slow}, macd_line, macd_signal, macd_histogram. ``extra(d, part)``
+    may chain window columns that look back ``extra_lookback`` rows more."""
+    def comp(d, p):
+        d = _macd_cols(d, p, spec, price, fast, slow, signal)
+        return extra(d, p) if extra else d
+    return S.evaluate(df, comp, spec, max(fast, slow) - 1 + signal - 1 + extra_lookback)
 
 
 def bollinger_bands(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
@@ -186,18 +187,13 @@ def ema_recursive(df: DataFrame, price: str = "price", window: int = FX.SMA_WIND
     """Exponential moving average ema_t = a*p_t + (1-a)*ema_{t-1}, seeded with
     the first price of the series; column ``ema_{window}_exp``.
 
-    Runs as ``applyInPandas`` over (key, bucket) groups with a halo of L rows,
-    L chosen so (1-a)^L < tolerance: rows within L of the series start are
-    exact; later rows carry at most ``tolerance`` relative truncation error.
-    With ``bucket="auto"`` a pandas group is a hot key's bucket or a whole
-    non-hot key, both bounded (see ``series.SeriesSpec``)."""
+    Runs as ``applyInPandas`` over (piece, key) groups, bounded by the size of a piece, with
+    a halo of L rows, L chosen so (1-a)^L < tolerance: rows within L of the series start
+    are exact; later rows carry at most ``tolerance`` relative truncation error."""
     a = alpha if alpha is not None else 2.0 / (window + 1)
     L = max(1, int(math.ceil(math.log(tolerance) / math.log(1.0 - a)))) if a < 1 else 1
     out_col = f"ema_{window}_exp"
-    # Hot keys are split with buckets much longer than the halo; other keys
-    # form one pandas group each, bounded by the hot-key threshold.
-    bspec = spec.with_(rows_per_bucket=max(spec.rows_per_bucket, 16 * L)) if spec.bucket == "auto" else spec
-    order = list(spec.order)
+    order = [*spec.order, S.ARRIVAL]
 
     def comp(d, part):
         schema = T.StructType(d.schema.fields + [T.StructField(out_col, T.DoubleType())])
@@ -208,4 +204,4 @@ def ema_recursive(df: DataFrame, price: str = "price", window: int = FX.SMA_WIND
             return pdf
         return d.groupBy(*part).applyInPandas(run, schema)
 
-    return S.evaluate(df, comp, bspec, L)
+    return S.evaluate(df, comp, spec, L)

@@ -66,31 +66,30 @@ def normalize_raw_trades(raw: DataFrame, col: str = "value", ingestion_time=None
         else (lambda key: k(key).try_cast("double"))
     ing = F.date_format(_ts_or_now(ingestion_time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return bind_once(raw.select(col), m=m).select(
-        F.coalesce(k("e"), F.lit("trade")).alias("event_type"),
+        F.coalesce(k("e"), F.lit(FX.RAW_TRADE_DEFAULTS["event_type"])).alias("event_type"),
         F.coalesce(k("E").try_cast("long"), now).alias("event_time"),
-        F.upper(F.coalesce(k("s"), F.lit(""))).alias("symbol"),
+        F.upper(F.coalesce(k("s"), F.lit(FX.RAW_TRADE_DEFAULTS["symbol"]))).alias("symbol"),
         k("t").try_cast("long").alias("trade_id"),
         num("p").alias("price"),
         num("q").alias("quantity"),
         k("b").try_cast("long").alias("buyer_order_id"),
         k("a").try_cast("long").alias("seller_order_id"),
         k("T").try_cast("long").alias("trade_time"),
-        F.coalesce(k("m").try_cast("boolean"), F.lit(False)).alias("is_buyer_maker"),
+        F.coalesce(k("m").try_cast("boolean"), F.lit(FX.RAW_TRADE_DEFAULTS["is_buyer_maker"])).alias("is_buyer_maker"),
         ing.alias("ingestion_time"),
         F.lit(source).alias("source"))
 
 
 def bus_envelope(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """Record -> (key, value JSON bytes, attributes map) for a message bus;
-    attribute defaults symbol UNKNOWN, source unknown, event_type trade."""
+    """Record -> (key, value JSON bytes, attributes map) for a message bus. NULL fields
+    are written as null; missing attributes take their defaults."""
     def attr(c, default):
         return F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in df.columns else F.lit(default)
+    attributes = [x for c, default in FX.BUS_ATTRIBUTE_DEFAULTS.items() for x in (F.lit(c), attr(c, default))]
     return df.select(
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
-        F.create_map(F.lit("symbol"), attr("symbol", "UNKNOWN"),
-                     F.lit("source"), attr("source", "unknown"),
-                     F.lit("event_type"), attr("event_type", "trade")).alias("attributes"))
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"),
+        F.create_map(*attributes).alias("attributes"))
 
 
 # ---------------------------------------------------------------- ticker path

@@ -1,25 +1,21 @@
 """Per-key time-series evaluation that does not funnel a hot key into one task.
 
-Window indicators look back a bounded number of rows. Partitioning the window
-by ``symbol`` alone would put every row of a hot symbol (possibly a third of
-the data) into a single task. Instead each key's series is cut into time
-buckets; every bucket is evaluated in its own window partition together with
-a *halo*: the last ``lookback`` rows that precede the bucket (taken from as many
-earlier buckets as needed). Halo rows only feed the frames and are dropped
-afterwards, so results equal the plain per-key window exactly.
-
-Plan shape (per call):
-  * bucket choice ("auto")  -> per-key counts (partial aggregation); only keys
-                              above the hot threshold get buckets, sized by
-                              their own density; the hot-key table is bounded
-                              and broadcast
-  * burst split ("auto")    -> per-bucket counts of hot rows; buckets above
-                              the threshold are re-cut (bounded, broadcast)
-  * bucket row counts      -> partial aggregation, tiny output
-  * bucket table window    -> one row per (key, bucket), bounded lookback frame
-  * bucket tails           -> row_number() <= lookback, planned as a map-side
-                              WindowGroupLimit, so only tails are shuffled
-  * main window            -> one shuffle on (key, bucket), bounded partitions
+Window indicators look back a bounded number of rows. Partitioning the window by the key
+alone would put every row of a hot symbol (possibly a third of the data) into a single
+task. Instead the whole table is cut by *rank* in the order (key, series order): a range
+partitioning into pieces of about equal size, whatever the keys and instants are. A key
+may run over several pieces; each piece is evaluated in its own window partitions together
+with a *halo*, the last ``lookback`` rows of that key before the piece. Halo rows only feed
+the frames and are dropped afterwards, so results equal the plain per-key window exactly.
+
+There is one path for all sizes. Plan shape (per call):
+  * pieces        -> range exchange on (key, order, arrival), written once; the input is
+                     read for the sample of range bounds and for the write
+  * spans         -> per (piece, key) counts; only keys that run over several pieces are kept:
+                     every piece boundary is crossed by at most one key, so this table has
+                     at most two rows per piece whatever the data, and is broadcast
+  * tails         -> row_number() <= lookback in spanning pieces (map-side group limit)
+  * main window   -> one shuffle on (piece, key), partitions bounded by the piece size
 """
 
 from __future__ import annotations
@@ -31,28 +27,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 
+PIECE, ARRIVAL, HALO = "_piece", "_arrival", "_halo"
+
 
 @dataclass(frozen=True)
 class SeriesSpec:
     """How rows form ordered per-key series.
 
-    key    - series key column
-    order  - total order inside a key; first column must be a timestamp when
-             bucketing (later columns break ties)
-    bucket - "auto" (split only hot keys, each by its own density), a
-             date_trunc unit (same calendar buckets for every key), or None
-             for one window partition per key (small data / bounded keys)
-    rows_per_bucket - "auto": target rows per bucket of a split key
-    max_hot_keys    - "auto": at most this many keys are split; a key is hot
-                      when it holds more than max(rows_per_bucket,
-                      N / max_hot_keys) rows, so the hot-key table is bounded
-                      by max_hot_keys rows whatever N is
+    key    - series key column (NULL is a series of its own)
+    order  - order inside a key; rows equal in all of these keep their order of arrival
+    pieces - number of pieces the table is cut into; None takes
+             ``spark.sql.shuffle.partitions``, which is sized with the data anyway
     """
     key: str = "symbol"
     order: tuple[str, ...] = ("timestamp",)
-    bucket: str | None = "auto"
-    rows_per_bucket: int = 1_000_000
-    max_hot_keys: int = 100_000
+    pieces: int | None = None
 
     def with_(self, **kw) -> "SeriesSpec":
         return replace(self, **kw)
@@ -60,7 +49,8 @@ class SeriesSpec:
 
 def order_cols(spec: SeriesSpec, descending: bool = False):
     """Sort expressions of the series order."""
-    return [F.col(c).desc() if descending else F.col(c).asc() for c in spec.order]
+    cols = [F.col(c) for c in (*spec.order, ARRIVAL)]
+    return [c.desc() if descending else c.asc() for c in cols]
 
 
 def window(part: Sequence[str], spec: SeriesSpec, lo: int | None = None):
@@ -69,139 +59,48 @@ def window(part: Sequence[str], spec: SeriesSpec, lo: int | None = None):
     return w if lo is None else w.rowsBetween(lo, 0)
 
 
-# Inputs whose planned size is below this never need splitting: no window
-# partition can be larger than the whole input.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def planned_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (file bytes for scans); no job runs."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return None
-
-
-def _micros(c):
-    return F.unix_micros(F.col(c).cast("timestamp"))
-
-
-def hot_key_widths(df: DataFrame, spec: SeriesSpec) -> DataFrame | None:
-    """``bucket="auto"``: per hot key, a bucket width in microseconds that puts
-    about ``rows_per_bucket`` of that key's rows in each bucket. Returns None
-    when nothing needs splitting (then plain per-key windows are exact and
-    bounded). Inputs the optimizer sizes below ``SMALL_INPUT_BYTES`` skip the
-    statistics job entirely."""
-    size = planned_size(df)
-    if size is not None and size <= SMALL_INPUT_BYTES:
-        return None
-    t = _micros(spec.order[0])
-    per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_lo"),
-                                       F.max(t).alias("_hi"))
-    # one row per key, read twice below: written once to the shared folder
-    per_key = materialize(per_key, "series-key-stats")
-    total = per_key.agg(F.sum("_n")).first()[0] or 0
-    hot_min = max(spec.rows_per_bucket, total // max(spec.max_hot_keys, 1))
-    hot = per_key.filter(F.col("_n") > hot_min)
-    if hot.limit(1).count() == 0:
-        return None
-    span = F.col("_hi") - F.col("_lo") + 1
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.ceil(span * F.lit(float(spec.rows_per_bucket)) / F.col("_n")).cast("long"))
-    return hot.select(spec.key, width.alias("_w"))
+def cut(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """``df`` with its piece and arrival number, written to the shared folder."""
+    n = spec.pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumn(ARRIVAL, F.monotonically_increasing_id())
+    # A burst at one instant is cut too: the arrival number is part of the range key.
+    dealt = rows.repartitionByRange(n, F.col(spec.key), *order_cols(spec))
+    return materialize(dealt.withColumn(PIECE, F.spark_partition_id()), "series-pieces")
+
+
+def _halo(pieces: DataFrame, cols: list[str], spec: SeriesSpec, lookback: int) -> DataFrame:
+    """The last ``lookback`` rows of each spanning key before each of its pieces, marked with
+    the piece they serve."""
+    k = spec.key
+    counts = pieces.groupBy(k, PIECE).agg(F.count(F.lit(1)).alias("_n"))
+    by_key = Window.partitionBy(k)
+    # At most two rows per piece are left: only one key crosses each boundary.
+    spans = materialize(counts.withColumn("_pieces", F.count(F.lit(1)).over(by_key)).filter("_pieces > 1")
+                        .select(F.col(k).alias("_k"), F.col(PIECE).alias("_from"), "_n"), "series-spans")
+    run = Window.partitionBy("_k").orderBy("_from")
+    ends = spans.withColumn("_end", F.sum("_n").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = F.collect_list(F.struct("_from", "_end")).over(run.rowsBetween(-lookback, -1))
+    need = F.col("_end") - F.col("_n") - lookback          # rows of the key that lie before the halo
+    wanted = (ends.withColumn("_earlier", F.filter(earlier, lambda e: e["_end"] > need))
+              .withColumn("_e", F.explode("_earlier"))
+              .select("_k", F.col("_from").alias("_to"), F.col("_e._from").alias("_src"),
+                      (F.col("_e._end") - need).alias("_take")))
+    last = Window.partitionBy(k, PIECE).orderBy(*order_cols(spec, descending=True))
+    crossing = pieces.join(F.broadcast(spans.drop("_n")),
+                           F.col(k).eqNullSafe(F.col("_k")) & (F.col(PIECE) == F.col("_from")), "left_semi")
+    tails = crossing.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= lookback)
+    return (tails.join(F.broadcast(wanted), F.col(k).eqNullSafe(F.col("_k")) & (F.col(PIECE) == F.col("_src")))
+            .filter(F.col("_back") <= F.col("_take"))
+            .select(*cols, ARRIVAL, F.col("_to").alias(PIECE), F.lit(True).alias(HALO)))
 
 
 def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
              spec: SeriesSpec, lookback: int) -> DataFrame:
     """Run ``compute(frame, partition_cols)`` over every key's series.
 
-    ``compute`` must only use window frames ordered by ``spec.order`` that look
-    back at most ``lookback`` rows (counting chained windows)."""
-    if spec.bucket is None:
-        return compute(df, [spec.key])
-    if spec.bucket == "auto":
-        widths = hot_key_widths(df, spec)
-        if widths is None:
-            return compute(df, [spec.key])
-        # Broadcast is size-proven: at most max_hot_keys rows (see SeriesSpec).
-        t = _micros(spec.order[0])
-        b = (df.join(F.broadcast(widths), spec.key, "left")
-               .withColumn("_hot", F.col("_w").isNotNull())
-               .withColumn("_cb", F.when(F.col("_hot"), F.floor(t / F.col("_w")).cast("long"))
-                           .otherwise(F.lit(0).cast("long"))))
-        b = _split_bursts(b, spec, t)
-        return _bucketed(b.drop("_w", "_cb"), df.columns, compute, spec, lookback)
-    b = df.withColumn("_bkt", F.date_trunc(spec.bucket, F.col(spec.order[0])))
-    return _bucketed(b, df.columns, compute, spec, lookback)
-
-
-MAX_SPLIT_LEVELS = 8
-
-
-def _split_bursts(b: DataFrame, spec: SeriesSpec, t) -> DataFrame:
-    """Bursty data: a bucket of a hot key holding more than
-    max(4 * rows_per_bucket, H / max_hot_keys) rows (H = rows of hot keys) is
-    cut again with a
-    width scaled to its own count, level by level, until no bucket is that
-    large (or rows share one instant). Bucket keys are interval start times,
-    so refined buckets stay disjoint and time-ordered. Each level's burst
-    table has at most max_hot_keys rows and is broadcast."""
-    key = spec.key
-    b = (b.withColumn("_bkt", F.when(F.col("_hot"), F.col("_cb") * F.col("_w"))
-                      .otherwise(F.lit(0).cast("long")))
-          .withColumn("_lw", F.col("_w")))
-    total = None
-    for level in range(MAX_SPLIT_LEVELS):
-        stats = (b.filter(F.col("_hot")).groupBy(key, "_bkt")
-                  .agg(F.count(F.lit(1)).alias("_n"), F.max("_lw").alias("_lw"),
-                       F.min(t).alias("_lo"), F.max(t).alias("_hi")))
-        stats = materialize(stats, f"series-bucket-stats-{level}")
-        if total is None:
-            total = stats.agg(F.sum("_n")).first()[0] or 0
-        big_min = max(4 * spec.rows_per_bucket, total // max(spec.max_hot_keys, 1))
-        big = stats.filter((F.col("_n") > big_min) & (F.col("_hi") > F.col("_lo")))
-        if big.limit(1).count() == 0:
-            break
-        nw = F.greatest(F.lit(1).cast("long"),
-                        F.ceil(F.col("_lw") * F.lit(float(spec.rows_per_bucket)) / F.col("_n")).cast("long"))
-        sub = big.select(key, "_bkt", nw.alias("_nw"))
-        b = b.join(F.broadcast(sub), [key, "_bkt"], "left")
-        start = F.greatest(F.col("_bkt"), F.floor(t / F.col("_nw")).cast("long") * F.col("_nw"))
-        b = (b.withColumn("_bkt", F.when(F.col("_nw").isNotNull(), start).otherwise(F.col("_bkt")))
-              .withColumn("_lw", F.coalesce(F.col("_nw"), F.col("_lw"))).drop("_nw"))
-    return b.drop("_lw")
-
-
-def _bucketed(b, cols, compute, spec, K):
-    """``b`` = input plus a ``_bkt`` column ordered like time within a key
-    (and ``_hot`` when only some keys are split: halos are only ever needed
-    for those, so bucket counts and tails are computed on their rows alone)."""
-    key = spec.key
-    split = b.filter(F.col("_hot")) if "_hot" in b.columns else b
-
-    # (key, bucket) sizes and their running position inside the key.
-    counts = split.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    wk = Window.partitionBy(key).orderBy("_bkt")
-    counts = counts.withColumn(
-        "_cum", F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
-    # Up to K earlier buckets can contribute (each holds >= 1 row).
-    prev = counts.select(
-        key, F.col("_bkt").alias("_part"), (F.col("_cum") - F.col("_cnt")).alias("_start"),
-        F.collect_list(F.struct(F.col("_bkt").alias("b"), F.col("_cum").alias("c")))
-        .over(wk.rowsBetween(-K, -1)).alias("_prev"))
-    pairs = (prev.select(key, "_part", "_start", F.explode("_prev").alias("p"))
-             .select(key, "_part", F.col("p.b").alias("_bkt"),
-                     (F.col("p.c") - F.col("_start") + F.lit(K)).alias("_need"))
-             .filter(F.col("_need") > 0))
-
-    # Last K rows of each bucket (map-side group limit keeps the shuffle small).
-    wdesc = Window.partitionBy(key, "_bkt").orderBy(*order_cols(spec, descending=True))
-    tails = split.withColumn("_rd", F.row_number().over(wdesc)).filter(F.col("_rd") <= K)
-    # Both sides grow with the bucket count: shuffle join, never a guessed broadcast.
-    halo = (tails.join(pairs.hint("shuffle_hash"), [key, "_bkt"])
-            .filter(F.col("_rd") <= F.col("_need"))
-            .select(*cols, "_part", F.lit(True).alias("_halo")))
-    own = b.select(*cols, F.col("_bkt").alias("_part"), F.lit(False).alias("_halo"))
-
-    out = compute(own.unionByName(halo), [key, "_part"])
-    return out.filter(~F.col("_halo")).drop("_part", "_halo")
+    ``compute`` must only use window frames in series order that look back at most
+    ``lookback`` rows (counting chained windows)."""
+    pieces = cut(df, spec)
+    own = pieces.select(*df.columns, ARRIVAL, PIECE, F.lit(False).alias(HALO))
+    out = compute(own.unionByName(_halo(pieces, df.columns, spec, lookback)), [PIECE, spec.key])
+    return out.filter(~F.col(HALO)).drop(PIECE, ARRIVAL, HALO)

@@ -186,11 +186,15 @@ def enrich_lookup(spark, d):
 
 
 @register("bus_envelope", f"""SELECT symbol AS "key",
-  CAST(to_json({{'symbol': symbol, 'trade_id': trade_id, 'price': price, 'quantity': quantity}}) AS VARCHAR) AS value,
+  CAST(to_json({{'symbol': symbol, 'trade_id': trade_id, 'price': price, 'quantity': quantity,
+                 'buyer_order_id': buyer}}) AS VARCHAR) AS value,
   symbol AS attr_symbol, 'unknown' AS attr_source, 'trade' AS attr_event_type
-FROM ({Q.TRADES}) AS t""")
+FROM (SELECT *, CASE WHEN trade_id % 3 <> 0 THEN trade_id END AS buyer FROM ({Q.TRADES}) AS t0) AS t""")
 def bus_envelope(spark, d):
-    env = G.bus_envelope(trades(spark, d).select("symbol", "trade_id", "price", "quantity"))
+    """Every third record has no buyer: its field stays in the message as null."""
+    t = trades(spark, d).select("symbol", "trade_id", "price", "quantity",
+                                F.when(F.col("trade_id") % 3 != 0, F.col("trade_id")).alias("buyer_order_id"))
+    env = G.bus_envelope(t)
     return env.select("key", "value", F.col("attributes")["symbol"].alias("attr_symbol"),
                       F.col("attributes")["source"].alias("attr_source"),
                       F.col("attributes")["event_type"].alias("attr_event_type"))

@@ -85,7 +85,7 @@ SELECT *, CASE WHEN macd_line > macd_signal AND prev_macd_line <= prev_macd_sign
 
 @register("macd_signals", MACD_SIG_SQL, MACD_D + ("prev_macd_line", "prev_macd_signal"))
 def macd_signals(spark, d):
-    return rounded(SG.generate_macd_signals(I.macd(_t(spark, d), spec=TICK_SPEC), spec=TICK_SPEC))
+    return rounded(SG.macd_with_signals(_t(spark, d), spec=TICK_SPEC))
 
 
 @register("combined_signals", Q.signals(Q.indicators()),
