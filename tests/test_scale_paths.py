@@ -1,4 +1,4 @@
-"""Skew-safe evaluation paths give exactly the plain results."""
+"""Skew-safe evaluation gives exactly the plain results."""
 
 import datetime as dt
 
@@ -11,76 +11,66 @@ from tickforge.plans.common import TICK_SPEC, ticks
 
 from conftest import SF01
 
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "symbol string, id long, ts timestamp_ntz, price double, volume double"
+SPEC = S.SeriesSpec(key="symbol", order=("ts", "id"))
 
-@pytest.mark.parametrize("bucket", ["hour", "day"])
-def test_halo_buckets_equal_plain_windows(spark, bucket):
+
+def _hot_rows(n=3000):
+    rows = [("HOT", i, T0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(n)]
+    # a burst of the hot key at one instant, many short series, and one without a symbol
+    rows += [("HOT", 9000 + i, T0 + dt.timedelta(hours=2), float(40 + (i * 7) % 11), 1.0) for i in range(n // 2)]
+    rows += [(f"C{k}", 20_000 + k * 100 + j, T0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
+             for k in range(20) for j in range(40)]
+    return rows + [(None, 90_000 + j, T0 + dt.timedelta(hours=j), float(10 + j % 7), 1.0) for j in range(300)]
+
+
+@pytest.mark.parametrize("pieces", [None, 3, 60])
+def test_pieces_equal_plain_windows(spark, pieces):
     t = ticks(spark, SF01)
-    plain = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(bucket=None))
-    halo = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(bucket=bucket))
+    plain = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(pieces=1))
+    split = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(pieces=pieces))
     cols = plain.columns
-    assert halo.count() == plain.count()
-    assert plain.select(cols).exceptAll(halo.select(cols)).count() == 0
-
-
-def test_halo_with_sparse_buckets(spark):
-    # one row per hour bucket: every halo spans many earlier buckets
-    rows = [("S", i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(10 + (i * 7) % 13), 1.0)
-            for i in range(120)]
-    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), bucket=None)
-    a = I.technical_indicators(df, spec=spec)
-    b = I.technical_indicators(df, spec=spec.with_(bucket="hour"))
+    assert split.count() == plain.count()
+    assert plain.select(cols).exceptAll(split.select(cols)).count() == 0
+
+
+def test_pieces_smaller_than_the_look_back(spark):
+    rows = [("S", i, T0 + dt.timedelta(hours=i), float(10 + (i * 7) % 13), 1.0) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = I.technical_indicators(df, spec=SPEC.with_(pieces=1))
+    b = I.technical_indicators(df, spec=SPEC.with_(pieces=100))       # halos span many pieces
     assert a.exceptAll(b.select(a.columns)).count() == 0
 
 
-def test_auto_splits_only_hot_keys(spark, monkeypatch):
-    t = ticks(spark, SF01)
-    assert S.hot_key_widths(t, TICK_SPEC) is None                 # small input: no job, no split
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)               # pretend it is large
-    few = TICK_SPEC.with_(rows_per_bucket=100, max_hot_keys=2)   # threshold N/2: nobody is hot
-    assert S.hot_key_widths(t, few) is None
-    many = TICK_SPEC.with_(rows_per_bucket=100, max_hot_keys=10)  # threshold 1000: all 5 hot
-    w = S.hot_key_widths(t, many)
-    assert w.count() == 5
-    plain = I.technical_indicators(t, spec=TICK_SPEC.with_(bucket=None))
-    auto = I.technical_indicators(t, spec=many)
-    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
-
-
-def test_skewed_key_is_split_alone(spark, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
-    rows += [(f"C{k}", 10_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
-             for k in range(20) for j in range(40)]
-    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
-    w = {r["symbol"]: r["_w"] for r in S.hot_key_widths(df, spec).collect()}
-    assert list(w) == ["HOT"]                                      # cold keys stay whole
-    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
-    auto = I.technical_indicators(df, spec=spec)
-    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
-    n_buckets = df.filter("symbol = 'HOT'").select(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / w["HOT"])).distinct().count()
-    assert n_buckets >= 10                                         # ~3000 rows / 200 per bucket
-
-
-def test_halo_tail_is_map_side_limited(spark):
-    t = ticks(spark, SF01)
-    plan = I.technical_indicators(t, spec=TICK_SPEC.with_(bucket="day"))._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_hot_series_and_instant_are_cut(spark):
+    df = spark.createDataFrame(_hot_rows(), SCHEMA)
+    sizes = [r["n"] for r in S.cut(df, SPEC.with_(pieces=25)).groupBy(S.PIECE).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 3 * sum(sizes) / len(sizes)
+    plain = I.technical_indicators(df, spec=SPEC.with_(pieces=1))
+    split = I.technical_indicators(df, spec=SPEC.with_(pieces=25))
+    assert plain.exceptAll(split.select(plain.columns)).count() == 0 and split.count() == df.count()
 
 
-def test_recursive_ema_hot_key_split(spark, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
-    rows += [(f"C{k}", 10_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
-             for k in range(20) for j in range(40)]
-    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
-    plain = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=spec.with_(bucket=None)).collect()}
-    split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=spec).collect()}
+def test_equal_instants_without_a_tie_break_are_cut(spark):
+    rows = [("HOT", i, T0, float(i), 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cut = S.cut(df, SPEC.with_(order=("ts",), pieces=10))
+    assert cut.select(S.PIECE).distinct().count() >= 8
+    out = I.sma(df, window=3, spec=SPEC.with_(order=("ts",), pieces=10))
+    assert out.count() == 2000 and out.filter("sma_3 is null").count() == 0
+
+
+def test_only_series_over_several_pieces_have_halos(spark):
+    pieces = S.cut(spark.createDataFrame(_hot_rows(), SCHEMA), SPEC.with_(pieces=25))
+    halo = S._halo(pieces, ["symbol", "id", "ts", "price", "volume"], SPEC, 10)
+    assert halo.groupBy(S.PIECE).count().agg(F.max("count")).first()[0] <= 10
+
+
+def test_recursive_ema_over_pieces(spark):
+    df = spark.createDataFrame(_hot_rows(), SCHEMA)
+    plain = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC.with_(pieces=1)).collect()}
+    split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC.with_(pieces=25)).collect()}
     assert plain.keys() == split.keys()
     assert max(abs(plain[k] - split[k]) for k in plain) < 1e-9
 
@@ -106,41 +96,3 @@ def test_blocked_correlation_equals_brute_force(spark):
         assert got[k][1] == n
         if np.isfinite(cv):
             assert abs(got[k][0] - cv) < 1e-8, (k, got[k], cv)
-
-
-def test_burst_inside_hot_key_is_split(spark, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
-    t0 = dt.datetime(2024, 1, 1)
-    # HOT: 3000 rows over ~25 hours plus a burst of 3000 rows inside one minute
-    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(3000)]
-    rows += [("HOT", 5000 + i, t0 + dt.timedelta(hours=3, milliseconds=20 * i), float(60 + (i * 7) % 11), 1.0)
-             for i in range(3000)]
-    rows += [(f"C{k}", 20_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
-             for k in range(20) for j in range(40)]
-    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
-    widths = S.hot_key_widths(df, spec)
-    t = F.unix_micros(F.col("ts").cast("timestamp"))
-    b = (df.join(F.broadcast(widths), "symbol", "left").withColumn("_hot", F.col("_w").isNotNull())
-           .withColumn("_cb", F.when(F.col("_hot"), F.floor(t / F.col("_w")).cast("long")).otherwise(F.lit(0).cast("long"))))
-    b = S._split_bursts(b, spec, t)
-    biggest = b.filter("symbol = 'HOT'").groupBy("_bkt").count().agg(F.max("count")).first()[0]
-    assert biggest <= 4 * 200 * 2                    # the 3000-row burst no longer sits in one bucket
-    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
-    auto = I.technical_indicators(df, spec=spec)
-    assert plain.exceptAll(auto.select(plain.columns)).count() == 0
-
-
-def test_same_instant_burst_stays_exact(spark, monkeypatch):
-    monkeypatch.setattr(S, "SMALL_INPUT_BYTES", 0)
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [("HOT", i, t0 + dt.timedelta(seconds=30 * i), float(50 + (i * 13) % 17), 1.0) for i in range(2000)]
-    rows += [("HOT", 9000 + i, t0 + dt.timedelta(hours=2), float(40 + (i * 7) % 11), 1.0) for i in range(2000)]
-    rows += [(f"C{k}", 20_000 + k * 100 + j, t0 + dt.timedelta(hours=j), float(10 + j % 5), 1.0)
-             for k in range(10) for j in range(30)]
-    df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = S.SeriesSpec(key="symbol", order=("ts", "id"), rows_per_bucket=200, max_hot_keys=5)
-    plain = I.technical_indicators(df, spec=spec.with_(bucket=None))
-    auto = I.technical_indicators(df, spec=spec)
-    assert auto.count() == len(rows)
-    assert plain.exceptAll(auto.select(plain.columns)).count() == 0

@@ -7,6 +7,9 @@ type) pairs by the JVM, so no record ever reaches the driver.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import fixed as FX
@@ -73,12 +76,10 @@ def infer_schema(records: DataFrame, json_col: str = "json", group_cols=()) -> D
     prec = F.array(*[F.lit(t) for t in TYPE_PRECEDENCE])
     per_type = per_type.withColumn("_rank", F.array_position(prec, F.col("_t")))
     agg = per_type.groupBy(*g, "field_name").agg(
-        F.min("_rank").alias("_best"), F.sum("_n").alias("n_records"),
-        F.min("_first").alias("_first"))
+        F.min("_rank").alias("_best"), F.sum("_n").alias("n_records"))
     return (agg.select(*g, "field_name",
                        F.element_at(prec, F.col("_best").cast("int")).alias("field_type"),
-                       "n_records", "_first")
-               .orderBy(*g, "_first").drop("_first"))
+                       "n_records"))
 
 
 def fields_map(fields: DataFrame, group_cols=()) -> DataFrame:
@@ -161,80 +162,106 @@ def schema_history_rows(changes: DataFrame, table_col: str = "table_id",
                     ct.alias("change_time"))
 
 
-def definition_text(fields: Column) -> Column:
-    """Canonical text of {"fields": {name: type}} as Python json.dumps(...,
-    sort_keys=True) writes it; ``fields`` is a map<string,string>."""
-    ent = F.array_sort(F.map_entries(fields))
-    kv = F.transform(ent, lambda e: F.concat(F.lit('"'), e["key"], F.lit('": "'), e["value"], F.lit('"')))
-    return F.concat(F.lit('{"fields": {'), F.array_join(kv, ", "), F.lit("}}"))
+@F.pandas_udf(T.StringType())
+def canonical_definition(definitions: pd.Series) -> pd.Series:
+    """Whole definitions as JSON with sorted keys at every level (", " and ": " between items);
+    what is not JSON is NULL."""
+    def one(text):
+        try:
+            return json.dumps(json.loads(text), sort_keys=True)
+        except (TypeError, ValueError):
+            return None
+    return definitions.map(one)
+
+
+def schema_hash(definition: Column) -> Column:
+    """M9: SHA-256 hex of the canonical text of a whole definition."""
+    return F.sha2(canonical_definition(definition), 256)
 
 
-def schema_hash(fields: Column) -> Column:
-    """M9: SHA-256 hex of the canonical definition text."""
-    return F.sha2(definition_text(fields), 256)
+def field_names(definition: Column) -> Column:
+    """Names under "fields" of a definition; none if it has no fields."""
+    fields = F.from_json(definition, "struct<fields: map<string,string>>")["fields"]
+    return F.when(definition.isNotNull(), F.coalesce(F.map_keys(fields), F.array().cast("array<string>")))
 
 
-def compatible(old_fields: Column, new_fields: Column, mode: Column) -> Column:
-    """M8: name-level compatibility of two map<string,string> field sets.
+def compatible(old_names: Column, new_names: Column, mode: Column) -> Column:
+    """M8: name-level compatibility of two field-name arrays.
     backward: nothing removed; forward: nothing added; full: same names;
     none: always. A missing old schema is always compatible."""
-    o, n = F.map_keys(old_fields), F.map_keys(new_fields)
-    removed = F.size(F.array_except(o, n))
-    added = F.size(F.array_except(n, o))
+    kept = F.size(F.array_except(old_names, new_names)) == 0
+    nothing_new = F.size(F.array_except(new_names, old_names)) == 0
     m = F.lower(mode)
-    res = (F.when(m == "none", True)
-            .when(m == "backward", removed == 0)
-            .when(m == "forward", added == 0)
-            .when(m == "full", (removed == 0) & (added == 0))
-            .otherwise(True))
-    return F.when(old_fields.isNull(), True).otherwise(res)
+    asked = (~m.isin("backward", "full") | kept) & (~m.isin("forward", "full") | nothing_new)
+    return F.when(old_names.isNull(), True).otherwise(asked)
+
+
+_DECIDED = "array<struct<run: bigint, status: string, number: int>>"
 
 
-DEF_SCHEMA = "struct<fields: map<string,string>>"
+def _decide(runs: Column, known: Column, names: Column, number: Column) -> Column:
+    """Decisions on a subject's proposal runs (run, hash, names, mode) in order, against
+    the registered hashes, the newest field names and the newest version number."""
+    start = F.struct(known.alias("known"), names.alias("names"), number.alias("number"),
+                     F.array().cast(_DECIDED).alias("out"))
 
+    def step(state, r):
+        status = (F.when(F.array_contains(state["known"], r["hash"]), "duplicate")
+                  .when(compatible(state["names"], r["names"], r["mode"]), "registered").otherwise("incompatible"))
+        new = status == "registered"
+        number = F.when(new, state["number"] + 1).otherwise(state["number"])
+        decision = F.struct(r["run"].alias("run"), status.alias("status"), number.alias("number"))
+        return F.struct(F.when(new, F.array_append(state["known"], r["hash"])).otherwise(state["known"]).alias("known"),
+                        F.when(new, r["names"]).otherwise(state["names"]).alias("names"), number.alias("number"),
+                        F.array_append(state["out"], decision).alias("out"))
 
-def _fields_of(defn: Column) -> Column:
-    return F.from_json(defn, DEF_SCHEMA)["fields"]
+    return F.aggregate(runs, start, step, lambda state: state["out"])
 
 
 def register_schemas(registry: DataFrame, proposals: DataFrame,
                      created_by: str = FX.REGISTRY_CREATED_BY):
-    """M6 for many subjects in one job.
+    """M6: every proposal decided, in order of ``proposed_at`` per subject, many subjects in one job.
 
     ``registry``: rows shaped like ``schemas.SCHEMA_REGISTRY``.
-    ``proposals``: (subject, schema_definition JSON, compatibility_mode,
-    description, proposed_at). Per subject the earliest proposal is decided
-    against the newest registered version: ``duplicate`` when its hash is
-    already registered, ``incompatible`` when the mode check fails, else
-    ``registered`` with version v-NNNN (next number). Later proposals of the
-    same subject are returned as ``pending`` (decide them in a next call,
-    after the first one has been applied). Returns (new registry rows,
-    decisions)."""
-    p = (proposals.withColumn("_fields", _fields_of(F.col("schema_definition")))
-                  .withColumn("schema_hash", schema_hash(F.col("_fields"))))
-    w = Window.partitionBy("subject").orderBy(F.col("proposed_at"), F.col("schema_hash"))
-    p = p.withColumn("_rank", F.row_number().over(w))
-    latest = (latest_schemas(registry)
-              .select("subject", F.col("version_id").alias("_latest_version"),
-                      F.col("schema_definition").alias("_latest_def")))
-    known = registry.select(F.col("subject").alias("_ks"), F.col("schema_hash").alias("_known")).distinct()
-    j = (p.join(latest, "subject", "left")
-          .join(known, (F.col("subject") == F.col("_ks")) & (F.col("schema_hash") == F.col("_known")), "left")
-          .drop("_ks"))
-    ok = compatible(_fields_of(F.col("_latest_def")), F.col("_fields"), F.col("compatibility_mode"))
-    status = (F.when(F.col("_rank") > 1, "pending")
-               .when(F.col("_known").isNotNull(), "duplicate")
-               .when(~ok, "incompatible")
-               .otherwise("registered"))
-    nxt = F.coalesce(F.split(F.col("_latest_version"), "-").getItem(1).cast("int"), F.lit(0)) + 1
-    version = F.when(status == "registered", F.format_string(FX.VERSION_FORMAT, nxt))
-    decisions = j.select("subject", "proposed_at", "schema_hash", status.alias("status"),
-                         version.alias("version_id"))
-    new_rows = (j.filter(status == "registered")
-                 .select("subject", version.alias("version_id"), "schema_hash",
-                         F.to_json(F.struct(F.col("_fields").alias("fields"))).alias("schema_definition"),
-                         F.lower("compatibility_mode").alias("compatibility_mode"),
-                         F.lit(True).alias("is_active"),
+    ``proposals``: (subject, schema_definition JSON, compatibility_mode, description, proposed_at).
+    A proposal is ``duplicate`` when its hash is registered by then, ``incompatible`` when the
+    mode's check against the newest version by then fails, else ``registered`` as the next
+    version v-NNNN. A definition that was rejected may pass later against a newer version.
+    Returns (new registry rows with the definitions as proposed, decisions).
+
+    Neighbouring proposals with the same hash and mode meet the same registry, so each run of them
+    is decided once: what a subject gathers is its changes of definition, not its proposals."""
+    order = Window.partitionBy("subject").orderBy("proposed_at", "schema_hash", "mode")
+    p = proposals.withColumns({"schema_hash": schema_hash(F.col("schema_definition")),
+                               "names": field_names(F.col("schema_definition")),
+                               "mode": F.lower("compatibility_mode")})
+    same = F.lag("schema_hash").over(order).eqNullSafe(F.col("schema_hash")) \
+        & F.lag("mode").over(order).eqNullSafe(F.col("mode"))
+    p = p.withColumn("_new", F.when(same, 0).otherwise(1))
+    p = p.withColumns({"run": F.sum("_new").over(order),
+                       "_nth": F.row_number().over(order)})
+    runs = (p.groupBy("subject", "run").agg(F.any_value("schema_hash").alias("hash"), F.any_value("names").alias("names"),
+                                            F.any_value("mode").alias("mode"))
+            .groupBy("subject").agg(F.array_sort(F.collect_list(F.struct("run", "hash", "names", "mode"))).alias("_runs")))
+    latest = latest_schemas(registry).select(
+        "subject", field_names(F.col("schema_definition")).alias("_names"),
+        F.split("version_id", "-").getItem(1).cast("int").alias("_number"))
+    known = registry.groupBy("subject").agg(F.collect_set("schema_hash").alias("_known"))
+    state = runs.join(latest, "subject", "left").join(known, "subject", "left")
+    decided = state.select("subject", F.inline(_decide(
+        F.col("_runs"), F.coalesce("_known", F.array().cast("array<string>")), F.col("_names"),
+        F.coalesce("_number", F.lit(0)))))
+    first = F.row_number().over(Window.partitionBy("subject", "run").orderBy("_nth")) == 1
+    j = p.withColumn("_leads", first).join(decided, ["subject", "run"])
+    # Behind the first of a run, what was registered is known.
+    status = F.when((F.col("status") == "registered") & ~F.col("_leads"), "duplicate").otherwise(F.col("status"))
+    j = j.withColumn("status", status).withColumn(
+        "version_id", F.when(F.col("status") == "registered", F.format_string(FX.VERSION_FORMAT, F.col("number"))))
+    decisions = j.select("subject", "proposed_at", "schema_hash", "status", "version_id")
+    newest = F.max("number").over(Window.partitionBy("subject"))
+    new_rows = (j.filter("status = 'registered'")
+                 .select("subject", "version_id", "schema_hash", "schema_definition",
+                         F.col("mode").alias("compatibility_mode"), (F.col("number") == newest).alias("is_active"),
                          F.col("proposed_at").cast("timestamp").alias("created_at"),
                          F.lit(created_by).alias("created_by"), "description"))
     return new_rows, decisions
@@ -268,7 +295,7 @@ def compatibility_report(registry: DataFrame) -> DataFrame:
     """M8 over the whole registry: every version against its predecessor,
     under every mode (one job, lag over consecutive versions)."""
     w = Window.partitionBy("subject").orderBy("created_at", "version_id")
-    r = (registry.withColumn("_new", _fields_of(F.col("schema_definition")))
+    r = (registry.withColumn("_new", field_names(F.col("schema_definition")))
                  .withColumn("_old", F.lag("_new").over(w))
                  .withColumn("previous_version", F.lag("version_id").over(w)))
     return r.select("subject", "version_id", "previous_version",

@@ -8,6 +8,7 @@ from ..operators import indicators as I, metrics as MT, quality as QL, rollups a
 from ..operators import schema_ops as SO
 from ..sinks import tables as TB
 from ..sources import landing as LD, tables as TBL
+from ..session import materialize
 from . import sql_blocks as Q
 from .catalog import register
 from .common import TICK_SPEC, events, rounded, ticks, trades
@@ -244,18 +245,24 @@ def schema_evolve(spark, d):
 
 
 def _proposals(spark, d):
-    """One schema proposal per (event type, day): the schema inferred from
-    that day's records of that type."""
+    """One schema proposal per (event type, day): the schema inferred from that day's records
+    of that type. Fields come and go by day and the owner changes now and then, so added,
+    removed, repeated and conflicting definitions occur under every mode."""
     ev = events(spark, d)
+    day = F.datediff(F.to_date("ts"), F.lit("2020-01-01").cast("date"))
     rec = ev.select(F.col("event_type").alias("subject"),
                     F.to_date("ts").cast("timestamp").alias("proposed_at"),
-                    F.to_json(F.struct("event_id", "user_id", "value",
+                    F.to_json(F.struct("event_id", "user_id", F.when(day % 5 != 2, F.col("value")).alias("value"),
+                                       F.when((day % 5).isin(1, 3), F.col("user_id")).alias("extra"),
                                        F.from_json("props", "map<string,bigint>").alias("props"))).alias("json"))
     fields = SO.infer_schema(rec, group_cols=("subject", "proposed_at"))
     fm = SO.fields_map(fields, ("subject", "proposed_at"))
+    at = F.datediff(F.to_date("proposed_at"), F.lit("2020-01-01").cast("date"))
     return fm.select("subject", "proposed_at",
-                     F.to_json(F.struct(F.col("fields"))).alias("schema_definition"),
-                     F.lit("BACKWARD").alias("compatibility_mode"),
+                     F.to_json(F.struct(F.when(at % 7 == 0, "b").otherwise("a").alias("owner"), F.col("fields")))
+                     .alias("schema_definition"),
+                     F.element_at(F.array(*[F.lit(m) for m in ("BACKWARD", "FORWARD", "FULL", "NONE")]),
+                                  F.length("subject") % 4 + 1).alias("compatibility_mode"),
                      F.lit(None).cast("string").alias("description"))
 
 
@@ -264,40 +271,97 @@ def _empty_registry(spark):
     return spark.createDataFrame([], SCHEMA_REGISTRY)
 
 
-PROPOSAL_TEXT = """'{"fields": {"event_id": "INTEGER", "props": "RECORD", "user_id": "INTEGER", "value": "FLOAT64"}}'"""
-
-
-@register("schema_register", f"""SELECT subject, proposed_at, sha256({PROPOSAL_TEXT}) AS schema_hash,
-  CASE WHEN rn = 1 THEN 'registered' ELSE 'pending' END AS status,
-  CASE WHEN rn = 1 THEN 'v-0001' END AS version_id
-FROM (SELECT event_type AS subject, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS proposed_at,
-        row_number() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE)) AS rn
-      FROM events GROUP BY event_type, CAST(ts AS DATE)) AS p""")
+# The same proposals with their field names, canonical text and place in the subject's order.
+PROPOSALS_SQL = """SELECT *, row_number() OVER (PARTITION BY subject ORDER BY proposed_at) AS rn,
+  sha256('{"fields": {' || array_to_string(list_transform(names, lambda n: '"' || n || '": "' ||
+    CASE n WHEN 'props' THEN 'RECORD' WHEN 'value' THEN 'FLOAT64' ELSE 'INTEGER' END || '"'), ', ')
+    || '}, "owner": "' || CASE WHEN day % 7 = 0 THEN 'b' ELSE 'a' END || '"}') AS hash
+FROM (SELECT subject, proposed_at, day,
+    list_sort(list_concat(['event_id', 'props', 'user_id'], list_concat(
+      CASE WHEN day % 5 <> 2 THEN ['value'] ELSE [] END, CASE WHEN day % 5 IN (1, 3) THEN ['extra'] ELSE [] END))) AS names,
+    (['backward', 'forward', 'full', 'none'])[CAST(length(subject) % 4 + 1 AS INTEGER)] AS mode
+  FROM (SELECT DISTINCT event_type AS subject, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS proposed_at,
+          datediff('day', DATE '2020-01-01', CAST(ts AS DATE)) AS day FROM events) AS e) AS n"""
+
+
+def _ok_sql(old: str, new: str, mode: str) -> str:
+    removed = f"len(list_filter({old}, lambda x: NOT list_contains({new}, x))) > 0"
+    added = f"len(list_filter({new}, lambda x: NOT list_contains({old}, x))) > 0"
+    return (f"({old} IS NULL OR {mode} = 'none' OR ({mode} = 'backward' AND NOT {removed}) OR "
+            f"({mode} = 'forward' AND NOT {added}) OR ({mode} = 'full' AND NOT {removed} AND NOT {added}))")
+
+
+# Folded one proposal at a time per subject.
+REGISTER_SQL = f"""WITH RECURSIVE p AS ({PROPOSALS_SQL}),
+f AS (
+  SELECT DISTINCT subject, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS proposed_at, CAST(NULL AS VARCHAR) AS hash,
+    CAST([] AS VARCHAR[]) AS known, CAST(NULL AS VARCHAR[]) AS names, 0 AS number, CAST(NULL AS VARCHAR) AS status FROM p
+  UNION ALL
+  SELECT subject, rn, proposed_at, hash,
+    CASE WHEN status = 'registered' THEN list_append(known, hash) ELSE known END,
+    CASE WHEN status = 'registered' THEN new_names ELSE names END,
+    CASE WHEN status = 'registered' THEN number + 1 ELSE number END, status
+  FROM (SELECT p.subject, p.rn, p.proposed_at, p.hash, f.known, f.names, f.number, p.names AS new_names,
+      CASE WHEN list_contains(f.known, p.hash) THEN 'duplicate'
+           WHEN {_ok_sql('f.names', 'p.names', 'p.mode')} THEN 'registered' ELSE 'incompatible' END AS status
+    FROM f JOIN p ON p.subject = f.subject AND p.rn = f.rn + 1) AS s)
+SELECT subject, proposed_at, hash AS schema_hash, status,
+  CASE WHEN status = 'registered' THEN printf('v-%04d', number) END AS version_id
+FROM f WHERE rn > 0"""
+
+
+@register("schema_register", REGISTER_SQL)
 def schema_register(spark, d):
     _, decisions = SO.register_schemas(_empty_registry(spark), _proposals(spark, d))
     return decisions.withColumn("proposed_at", F.col("proposed_at").cast("timestamp_ntz"))
 
 
-def _daily_registry(spark, d):
-    """Every daily proposal as a registered version (v-0001 = first day)."""
-    p = _proposals(spark, d)
-    n = F.row_number().over(Window.partitionBy("subject").orderBy("proposed_at"))
-    return p.select("subject", F.format_string("v-%04d", n).alias("version_id"),
-                    SO.schema_hash(SO._fields_of(F.col("schema_definition"))).alias("schema_hash"),
-                    "schema_definition", F.lower("compatibility_mode").alias("compatibility_mode"),
-                    F.lit(True).alias("is_active"), F.col("proposed_at").alias("created_at"),
-                    F.lit("pipeline").alias("created_by"), "description")
+def _registry(spark, d):
+    """The registry after all proposals, written once."""
+    return materialize(SO.register_schemas(_empty_registry(spark), _proposals(spark, d))[0], "schema-registry")
+
+
+REGISTERED_SQL = f"SELECT subject, version_id, schema_hash, proposed_at AS created_at FROM ({REGISTER_SQL}) AS d WHERE status = 'registered'"
+
+
+@register("schema_rows", f"""SELECT *, row_number() OVER (PARTITION BY subject ORDER BY version_id DESC) = 1 AS is_active
+FROM ({REGISTERED_SQL}) AS v""")
+def schema_rows(spark, d):
+    """M6: the rows written, only the newest of a subject active."""
+    return _stamped(_registry(spark, d).select("subject", "version_id", "schema_hash", "created_at", "is_active"))
+
 
+def _stamped(df):
+    return df.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
-@register("schema_latest", f"""SELECT subject, printf('v-%04d', CAST(count(*) AS INTEGER)) AS version_id,
-  sha256({PROPOSAL_TEXT}) AS schema_hash, max(d) AS created_at
-FROM (SELECT DISTINCT event_type AS subject, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS d FROM events) AS v
-GROUP BY subject""")
+
+@register("schema_latest", f"SELECT * FROM ({REGISTERED_SQL}) AS v QUALIFY row_number() OVER (PARTITION BY subject ORDER BY version_id DESC) = 1")
 def schema_latest(spark, d):
     """Newest registered version per subject."""
-    latest = SO.latest_schemas(_daily_registry(spark, d))
-    return latest.select("subject", "version_id", "schema_hash",
-                         F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+    return _stamped(SO.latest_schemas(_registry(spark, d)).select("subject", "version_id", "schema_hash", "created_at"))
+
+
+@register("schema_by_hash", f"""SELECT v.* FROM ({REGISTERED_SQL}) AS v
+WHERE subject = (SELECT min(event_type) FROM events) AND version_id = 'v-0001'""")
+def schema_by_hash(spark, d):
+    """M7: the first subject's first version, looked up by its hash."""
+    reg = _registry(spark, d)
+    first = reg.filter("version_id = 'v-0001'").orderBy("subject").select("subject", "schema_hash").first()
+    found = SO.schema_by_hash(reg, first["subject"], first["schema_hash"])
+    return _stamped(found.select("subject", "version_id", "schema_hash", "created_at"))
+
+
+@register("schema_versions", REGISTERED_SQL)
+def schema_versions(spark, d):
+    """M7: history of every subject."""
+    return _stamped(SO.schema_history(_registry(spark, d)).select("subject", "version_id", "schema_hash", "created_at"))
+
+
+@register("schema_active", f"""SELECT subject, version_id, row_number() OVER (PARTITION BY subject ORDER BY version_id DESC) = 1 AS is_active
+FROM ({REGISTERED_SQL}) AS v""")
+def schema_active(spark, d):
+    """M7: deactivation of all but the newest version as a derived column."""
+    return SO.with_active_flag(_registry(spark, d).drop("is_active")).select("subject", "version_id", "is_active")
 
 
 @register("schema_history", f"""SELECT 'events' AS table_id,
@@ -317,12 +381,16 @@ def schema_history(spark, d):
         "change_time", F.col("change_time").cast("timestamp_ntz"))
 
 
-@register("schema_compat", """SELECT subject, version_id,
-  CASE WHEN n > 1 THEN printf('v-%04d', n - 1) END AS previous_version,
-  true AS backward_ok, true AS forward_ok, true AS full_ok, true AS none_ok
-FROM (SELECT event_type AS subject, printf('v-%04d', CAST(row_number() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE)) AS INTEGER)) AS version_id,
-        row_number() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE)) AS n
-      FROM events GROUP BY event_type, CAST(ts AS DATE)) AS v""")
+@register("schema_compat", f"""WITH v AS (SELECT subject, rn, names, lag(names) OVER (PARTITION BY subject ORDER BY rn) AS old
+    FROM ({PROPOSALS_SQL}) AS p)
+SELECT subject, printf('v-%04d', CAST(rn AS INTEGER)) AS version_id,
+  CASE WHEN rn > 1 THEN printf('v-%04d', CAST(rn - 1 AS INTEGER)) END AS previous_version,
+  {', '.join(f"""{_ok_sql('old', 'names', f"'{m}'")} AS {m}_ok""" for m in SO.COMPATIBILITY_MODES)}
+FROM v""")
 def schema_compat(spark, d):
-    """M8 over a registry holding every daily proposal as a version."""
-    return SO.compatibility_report(_daily_registry(spark, d))
+    """M8 over a registry that holds every daily proposal as a version."""
+    p = _proposals(spark, d)
+    n = F.row_number().over(Window.partitionBy("subject").orderBy("proposed_at"))
+    return SO.compatibility_report(p.select(
+        "subject", F.format_string("v-%04d", n).alias("version_id"), "schema_definition",
+        F.col("proposed_at").alias("created_at")))
