@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed as FX
 from .. import schemas as SC
 from ..functions.columns import bind_once, epoch_ms_to_ts
+from ..session import materialize
 
 PIPELINE_VERSION = FX.PIPELINE_VERSION
 
@@ -121,16 +122,21 @@ def market_entries(payload: DataFrame, col: str = "value") -> DataFrame:
                    .select("coin_id", "m.usd_market_cap", "m.usd_24h_vol", "m.usd_24h_change"))
 
 
-def enrich_tickers(tickers: DataFrame, symbol_map: DataFrame, market: DataFrame) -> DataFrame:
+def enrich_tickers(tickers: DataFrame, symbol_map: DataFrame, market: DataFrame,
+                   lookup_rows: int = 200_000) -> DataFrame:
     """Two-step left lookup symbol -> coin_id -> market figures; tickers
     without a mapping or market row are kept with NULL market columns.
-    Lookup sides are small; AQE broadcasts them from measured sizes."""
+    A lookup of up to ``lookup_rows`` rows, counted, is sent to every task and the
+    tickers are not shuffled; a larger one is joined by shuffle."""
+    def side(df):
+        df = materialize(df, "lookup")
+        return F.broadcast(df) if df.count() <= lookup_rows else df
     mk = market.select("coin_id", F.col("usd_market_cap").alias("market_cap"),
                        F.col("usd_24h_vol").alias("volume_24h_usd"),
                        F.col("usd_24h_change").alias("price_change_24h_cg"))
-    return (tickers.join(symbol_map.select("symbol", "coin_id"), "symbol", "left")
-                   .join(mk, "coin_id", "left")
-                   .drop("coin_id"))
+    # both steps meet on the small sides: one row per mapped symbol
+    by_symbol = symbol_map.select("symbol", "coin_id").join(mk, "coin_id", "left").drop("coin_id")
+    return tickers.join(side(by_symbol), "symbol", "left")
 
 
 def ingest_time_columns(df: DataFrame, now=None) -> DataFrame:

@@ -91,6 +91,15 @@ def daily_ohlcv(hourly: DataFrame, day=None, symbols=None,
     return out
 
 
+def recent_hourly(trades: DataFrame, hours: float, as_of=None, ts: str = "trade_timestamp"):
+    """(A1 rows of the last ``hours`` before ``as_of``'s hour, that hour). The cut-off is put on
+    the raw time column before the roll-up, so files and row groups outside it are not read; with
+    ``as_of`` given, nothing else of the table is read either."""
+    now = to_ntz(F.date_trunc("hour", resolve_as_of(trades, ts, as_of)))
+    end = now + F.expr("INTERVAL 1 HOUR")
+    return hourly_ohlcv(trades, start=to_ntz(lookback_start(now, hours=hours)), end=end, ts=ts), now
+
+
 def latest_aggregates(hourly: DataFrame, symbol=None, hours: int = FX.LATEST_HOURS,
                       as_of=None) -> DataFrame:
     """Hourly rows of the last ``hours`` hours (one symbol or all), newest first.
@@ -129,14 +138,14 @@ def dashboard_cache(hourly: DataFrame, days: int = FX.DASHBOARD_DAYS, as_of=None
                        F.max("high_price").alias("daily_high")))
 
 
-def market_5min(enriched: DataFrame, ts: str = "watermark_time", minutes: int = 5,
+def market_5min(enriched: DataFrame, ts: str = "watermark_time", window: str = FX.MARKET_WINDOW,
                 watermark: str | None = None) -> DataFrame:
     """A3: tumbling window x symbol over indicator-enriched ticks. The same code
     runs on a stream (pass ``watermark``, e.g. "10 minutes")."""
     df = enriched
     if watermark:
         df = df.withWatermark(ts, watermark)
-    return (df.groupBy(F.window(ts, f"{minutes} minutes").alias("window"), "symbol")
+    return (df.groupBy(F.window(ts, window).alias("window"), "symbol")
               .agg(F.avg("price").alias("avg_price_5min"),
                    F.max("price").alias("max_price_5min"),
                    F.min("price").alias("min_price_5min"),

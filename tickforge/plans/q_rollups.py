@@ -45,7 +45,8 @@ def daily_ohlcv(spark, d):
           f"SELECT * FROM ({HOURLY_SQL}) AS h WHERE hour_timestamp >= {HOUR_AS_OF} - INTERVAL 24 HOUR",
           OHLC_D)
 def latest_aggregates(spark, d):
-    return rounded(R.latest_aggregates(_hourly(spark, d), hours=24))
+    hourly, now = R.recent_hourly(trades(spark, d), 24)
+    return rounded(R.latest_aggregates(hourly, hours=24, as_of=now))
 
 
 @register("volume_leaders", f"""SELECT symbol, sum(total_volume) AS total_volume,
@@ -55,7 +56,8 @@ FROM ({HOURLY_SQL}) AS h WHERE hour_timestamp >= {HOUR_AS_OF} - INTERVAL 24 HOUR
 GROUP BY symbol ORDER BY total_volume DESC, symbol LIMIT 10""",
           ("total_volume", "total_value_usd", "avg_vwap", "vwap_weighted"))
 def volume_leaders(spark, d):
-    return rounded(R.volume_leaders(_hourly(spark, d), top_n=10, hours=24))
+    hourly, now = R.recent_hourly(trades(spark, d), 24)
+    return rounded(R.volume_leaders(hourly, top_n=10, hours=24, as_of=now))
 
 
 @register("dashboard_cache", f"""SELECT symbol, CAST(hour_timestamp AS DATE) AS trade_date,
@@ -64,7 +66,8 @@ def volume_leaders(spark, d):
 FROM ({HOURLY_SQL}) AS h WHERE hour_timestamp >= {HOUR_AS_OF} - INTERVAL 7 DAY
 GROUP BY 1, 2""", ("daily_volume", "daily_value", "daily_low", "daily_high"))
 def dashboard_cache(spark, d):
-    return rounded(R.dashboard_cache(_hourly(spark, d), days=7))
+    hourly, now = R.recent_hourly(trades(spark, d), 24 * 7)
+    return rounded(R.dashboard_cache(hourly, days=7, as_of=now))
 
 
 @register("market_5min", Q.market_5min(Q.indicators()), M5_D)

@@ -15,7 +15,7 @@ from ..streaming import jobs as J, sources as SS, stateful as ST
 from . import sql_blocks as Q
 from .catalog import register
 from .common import flat_window, rounded
-from .q_ingest import PARSED_D, VALID_SQL, envelopes_of
+from .q_ingest import INVALID_SQL, PARSED_D, VALID_SQL, envelopes_of
 from .q_rollups import M5_D
 from .q_series import IND_D
 
@@ -47,10 +47,35 @@ def stream_validate(spark, d):
     return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts_cols}))
 
 
+@register("stream_validate_dlq", f"""SELECT trade_id, price, symbol, validation_error, 'trade_stream' AS source,
+  publish AS processing_time, true AS keeps_nulls
+FROM (SELECT *, pubsub_publish_time AS publish FROM ({INVALID_SQL}) AS i) AS p""", ("price",))
+def stream_validate_dlq(spark, d):
+    """K2: the dead-letter rows, read back field by field from their JSON."""
+    base, ck = _run(spark, "dlq")
+    flat = J.G.flatten_trades(J.G.parse_envelopes(envelopes_of(_events_stream(spark, d))))
+    parsed = J.G.transform_trades(flat, processing_time=F.col("pubsub_publish_time"))
+    with J.state_partitions(spark):
+        q = (parsed.writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
+             .foreachBatch(J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq")).start())
+    J.run_to_completion(q)
+    field = lambda k, t: F.get_json_object("raw_data", f"$.{k}").cast(t).alias(k)
+    return rounded(spark.read.parquet(f"{base}/dlq").select(
+        field("trade_id", "long"), field("price", "double"), field("symbol", "string"), "validation_error", "source",
+        F.col("processing_time").cast("timestamp_ntz").alias("processing_time"),
+        F.col("raw_data").contains('"seller_order_id":null').alias("keeps_nulls")))
+
+
 @register("stream_dedup", Q.TRADES, ("price", "quantity", "trade_value_usd"))
 def stream_dedup(spark, d):
+    """Every fifth event lands twice: the stream has 20 % duplicates."""
     base, ck = _run(spark, "dedup")
-    tr = J.dedup_stream(adapters.trades(_events_stream(spark, d)))
+    ensure_conf(spark)
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    ev.filter(F.col("event_id") % 5 == 0).write.parquet(f"{base}/landing/slice=0")
+    ev.write.parquet(f"{base}/landing/slice=1")
+    src = SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema)
+    tr = J.dedup_stream(adapters.trades(src))
     with J.state_partitions(spark):
         q = J._writer(tr, ck, None).format("parquet").option("path", f"{base}/out").start()
     J.run_to_completion(q)
@@ -88,7 +113,7 @@ def stream_latest_price(spark, d):
     with J.state_partitions(spark):
         q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
-    return rounded(J.read_kv(spark, f"{base}/kv"))
+    return rounded(J.read_kv(spark, f"{base}/kv", drop=J.KV_ORDER))
 
 
 @register("stream_kv_items", f"""SELECT symbol, "timestamp", price, "timestamp" + 86400 AS ttl, 0::BIGINT AS write_batch
@@ -135,3 +160,49 @@ def stream_indicators_sliced(spark, d):
                  .format("parquet").option("path", f"{base}/out").start())
         J.run_to_completion(q)
     return rounded(spark.read.parquet(f"{base}/out"))
+
+
+# ---- event-time order: every third event arrives six hours late, the watermark waits twelve
+LATE, DELAY, LANDINGS = "6 HOURS", "12 HOURS", 3
+PASSED = f"(SELECT max(ts) FROM events) - INTERVAL {DELAY}"
+
+
+def _late_run(spark, d, key):
+    """The ticker job over events that land in order of arrival, in three micro-batches."""
+    base, _ = _run(spark, key)
+    ensure_conf(spark)
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    arrival = F.when(F.col("event_id") % 3 == 0, F.col("ts") + F.expr(f"INTERVAL {LATE}")).otherwise(F.col("ts"))
+    landed = ev.withColumn("arrival", arrival)
+    bounds = landed.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
+    step = (bounds["hi"] - bounds["lo"]) / LANDINGS
+    for i in range(LANDINGS):
+        part = landed.filter((F.col("arrival") >= F.lit(bounds["lo"] + step * i))
+                             & (F.lit(i == LANDINGS - 1) | (F.col("arrival") < F.lit(bounds["lo"] + step * (i + 1)))))
+        part.drop("arrival").write.parquet(f"{base}/landing/slice={i}")
+        src = SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema)
+        J.run_to_completion(J.ticker_stream(adapters.ticks(src), f"{base}/out", watermark=DELAY))
+    return f"{base}/out"
+
+
+@register("stream_indicators_late", f"SELECT * FROM ({Q.indicators()}) AS i WHERE watermark_time < {PASSED}", IND_D)
+def stream_indicators_late(spark, d):
+    """Late rows inside the watermark change nothing: equal to the batch operator."""
+    out = spark.read.parquet(f"{_late_run(spark, d, 'late')}/detailed").drop("batch_id")
+    return rounded(out.withColumn("partition_date", F.col("partition_date").cast("string")))
+
+
+@register("stream_market_late", f"SELECT * FROM ({Q.market_5min(Q.indicators())}) AS m WHERE window_end <= {PASSED}", M5_D)
+def stream_market_late(spark, d):
+    """T9 behind T8: closed windows of the same run."""
+    out = spark.read.parquet(f"{_late_run(spark, d, 'late-market')}/aggregated").drop("batch_id", "partition_date")
+    return rounded(flat_window(out))
+
+
+@register("stream_latest_late", f"""SELECT symbol, "timestamp", price, volume, rsi, macd_line, is_anomaly, "timestamp" + 86400 AS ttl
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC, event_id DESC) AS rn
+      FROM ({Q.indicators()}) AS i WHERE watermark_time < {PASSED}) AS r WHERE rn = 1""",
+          ("price", "volume", "rsi", "macd_line"))
+def stream_latest_late(spark, d):
+    """K4 of the same run."""
+    return rounded(J.read_kv(spark, f"{_late_run(spark, d, 'late-kv')}/kv", drop=J.KV_ORDER))

@@ -2,7 +2,7 @@
 
 from .catalog import REGISTRY
 # Modules that register entries (import order = key order).
-from . import q_rollups, q_series, q_analytics, q_ingest, q_ops, q_stream  # noqa: F401
+from . import q_rollups, q_series, q_analytics, q_ingest, q_ops, q_stream, q_sinks  # noqa: F401
 
 
 def queries():

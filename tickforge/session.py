@@ -2,14 +2,16 @@
 
 The library never creates a cluster session on its own; callers pass theirs.
 ``local_session`` exists for tests and the bench. ``checkpoint_dir`` reads the
-shared folder the cluster names in ``spark.checkpoint.dir`` and only falls back
-to a fresh scratch folder when the setting is absent (local runs / tests).
+shared folder the cluster names in ``spark.checkpoint.dir``; without the setting a local
+master gets a scratch folder and any other an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,20 +52,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 _FALLBACK: dict[int, str] = {}
+_SCRATCH: dict[int, list[str]] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder from the session; scratch folder only if unset
-    (local runs / tests), remembered per SparkContext."""
+    """Shared checkpoint folder named by ``spark.checkpoint.dir``. Only a local master may
+    go without: it gets a scratch folder, remembered per SparkContext. On a cluster a
+    machine-local folder would hide files from other executors, so a missing setting is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master {master})")
         key = id(spark.sparkContext)
         d = _FALLBACK.get(key) or tempfile.mkdtemp(prefix="tickforge-ckpt-")
         _FALLBACK[key] = d
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core setting not modifiable at runtime: keep our own
-            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -71,15 +74,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    _SCRATCH.setdefault(id(spark.sparkContext), []).append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class scratch_scope:
+    """Context manager for a job: removes, at its end, the intermediates written to the shared
+    folder inside it. Results have to be written or collected before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self.before = len(_SCRATCH.setdefault(id(self.spark.sparkContext), []))
+        return self
+
+    def __exit__(self, *exc):
+        paths = _SCRATCH[id(self.spark.sparkContext)]
+        for path in paths[self.before:]:
+            remove_path(self.spark, path)
+        del paths[self.before:]
+        return False
 
 
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: cuts lineage, survives executor loss, computes the input once
     (an eager reliable checkpoint would run the input plan twice)."""
-    import uuid
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

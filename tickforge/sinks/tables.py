@@ -7,13 +7,11 @@ cut, retry-safe) and then written with dynamic partition overwrite.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import fixed as FX
 from ..functions.columns import order_key
-from ..session import scratch_path
+from ..session import materialize, scratch_scope
 
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
                 "WRITE_EMPTY": "errorifexists"}
@@ -24,14 +22,14 @@ PARQUET_OPTIONS = {"compression": FX.PARQUET_COMPRESSION,
 
 
 def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=(),
-                mode: str = "append", max_records_per_file: int | None = None) -> None:
+                mode: str = "append", max_records_per_file: int | None = None, options=None) -> None:
     """Partitioned Parquet write. Rows are sorted
     within each task by (partition, cluster) columns so each task streams one
     file per partition value and row-group min/max stats stay selective."""
     mode = DISPOSITIONS.get(mode, mode)
     keys = list(partition_by) + list(cluster_by)
     out = df.sortWithinPartitions(*keys) if keys else df
-    w = out.write.mode(mode).options(**PARQUET_OPTIONS)
+    w = out.write.mode(mode).options(**PARQUET_OPTIONS, **(options or {}))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -58,27 +56,21 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
 
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str) -> None:
     """K9: idempotent keyed upsert into a partitioned Parquet table. Only the
-    partitions present in ``updates`` are read, merged and rewritten."""
-    stage = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
-    fs, root = _fs(spark, path)
-    if fs.exists(root):
-        existing = spark.read.parquet(path)
-        # semi-join on the partition column: dynamic partition pruning reads
-        # only the partitions the updates touch
-        touched = updates.select(partition_col).distinct()
-        cur = existing.join(touched, partition_col, "left_semi")
-        merged = merge_rows(cur.select(*updates.columns), updates, keys)
-    else:  # first write: the table folder does not exist yet
-        merged = updates
-    # Stage to the shared folder: cuts lineage to the files being replaced.
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_table(staged, path, [partition_col], mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    partitions present in ``updates`` are read, merged and rewritten. ``updates`` is
+    computed once; what is staged is removed when the table is written."""
+    with scratch_scope(spark):
+        updates = materialize(updates, "upsert-updates")
+        fs, root = _fs(spark, path)
+        merged = updates          # first write: the table folder does not exist yet
+        if fs.exists(root):
+            # semi-join on the partition column: dynamic partition pruning reads
+            # only the partitions the updates touch
+            touched = updates.select(partition_col).distinct()
+            cur = spark.read.parquet(path).join(touched, partition_col, "left_semi")
+            # staged: cuts lineage to the files being replaced
+            merged = materialize(merge_rows(cur.select(*updates.columns), updates, keys), "upsert")
+        write_table(merged, path, [partition_col], mode="overwrite",
+                    options={"partitionOverwriteMode": "dynamic"})
 
 
 def retention_keep(df: DataFrame, date_col: str, days: int = FX.RETENTION_DAYS, as_of=None) -> DataFrame:
@@ -127,32 +119,38 @@ def create_table(spark: SparkSession, name: str, schema_ddl: str, partition_by=(
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def create_view(spark: SparkSession, name: str, query: str) -> None:
+    """CREATE OR REPLACE VIEW over catalog tables."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def insert_rows(rows: DataFrame, schema, json_col: str = "json") -> tuple[DataFrame, DataFrame]:
-    """JSON rows -> (typed good rows, errors). A row is an error when it is
-    not a JSON object or when a present value does not fit its target type."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()
-    typed = rows.select(F.col(json_col), F.from_json(F.col(json_col), ddl).alias("r"),
-                        F.from_json(F.col(json_col), "map<string,string>").alias("m"))
-    names = [f.name for f in (schema.fields if not isinstance(schema, str) else [])]
-    bad_fields = F.filter(F.array(*[F.when(F.col("m")[n].isNotNull() & F.col(f"r.{n}").isNull(),
-                                           F.lit(n)) for n in names]), lambda x: x.isNotNull()) \
-        if names else F.array().cast("array<string>")
-    t = typed.withColumn("_bad", bad_fields)
-    good = t.filter(F.col("m").isNotNull() & (F.size("_bad") == 0)).select("r.*")
-    errors = t.filter(F.col("m").isNull() | (F.size("_bad") > 0)).select(
-        json_col, F.when(F.col("m").isNull(), F.lit("not a JSON object"))
-        .otherwise(F.concat(F.lit("invalid fields: "), F.array_join("_bad", ","))).alias("error"))
-    return good, errors
+    """JSON rows -> (typed good rows, errors). ``schema`` is a StructType or DDL text.
+    A row is an error when it is not a JSON object, when a present value does not fit its
+    target type, or when it has fields the table lacks."""
+    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = target.fieldNames()
+    t = rows.select(F.col(json_col), F.from_json(F.col(json_col), target).alias("r"),
+                    F.from_json(F.col(json_col), "map<string,string>").alias("m"))
+    unfit = F.array_compact(F.array(*[F.when(F.col("m")[n].isNotNull() & F.col("r")[n].isNull(), F.lit(n))
+                                      for n in names]))
+    unknown = F.array_sort(F.array_except(F.map_keys("m"), F.array(*[F.lit(n) for n in names])))
+    reasons = [F.when(F.col("m").isNull(), "not a JSON object"),
+               F.when(F.size("_unfit") > 0, F.concat(F.lit("invalid fields: "), F.array_join("_unfit", ","))),
+               F.when(F.size("_unknown") > 0, F.concat(F.lit("unknown fields: "), F.array_join("_unknown", ",")))]
+    t = t.withColumns({"_unfit": unfit, "_unknown": unknown})
+    t = t.withColumn("error", F.nullif(F.concat_ws("; ", *reasons), F.lit("")))
+    return t.filter("error IS NULL").select("r.*"), t.filter("error IS NOT NULL").select(json_col, "error")
 
 
 def latest_price_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS,
-                       as_decimal: bool = True) -> DataFrame:
-    """K4/K15 + W11: newest row per symbol, projected to the key-value item
-    (decimal(38,18) numerics, ttl = timestamp + 86400, market_cap only when
-    non-zero). max_by is a partial aggregate: no per-symbol sort or shuffle
-    of whole series."""
+                       as_decimal: bool = True, keep: tuple = ()) -> DataFrame:
+    """K4/K15 + W11: newest row per symbol (ties by event_id), projected to the key-value
+    item (decimal(38,18) numerics, ttl = timestamp + 86400, market_cap only when
+    non-zero) and the columns to ``keep``. max_by is a partial aggregate: no per-symbol
+    sort or shuffle of whole series."""
     cols = [c for c in ["price", "volume", "high_24h", "low_24h", "price_change_percent_24h",
-                        "market_cap", "rsi", "macd_line", "is_anomaly", "source"] if c in df.columns]
+                        "market_cap", "rsi", "macd_line", "is_anomaly", "source", *keep] if c in df.columns]
     order = order_key(F.col("timestamp"), F.col("event_id") if "event_id" in df.columns else F.lit(0),
                       primary_is_time=False)
     g = df.groupBy("symbol").agg(F.max("timestamp").alias("timestamp"),
@@ -163,7 +161,7 @@ def latest_price_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS,
         if c == "market_cap":
             mc = F.nullif(F.col(c), F.lit(0.0))
             out.append((mc.cast("decimal(38,18)") if as_decimal else mc).alias(c))
-        elif c in ("is_anomaly", "source"):
+        elif c in ("is_anomaly", "source", *keep):
             out.append(F.col(c))
         else:
             out.append(dec(c).alias(c))
@@ -181,23 +179,24 @@ def kv_items(df: DataFrame, ttl_seconds: int = FX.KV_TTL_SECONDS, write_batch: i
     same key win, by ``tiebreak``), the item columns that exist, ttl =
     timestamp + 86400 and the batch that wrote it."""
     cols = [c for c in KV_COLUMNS if c in df.columns]
-    tb = tiebreak if tiebreak in df.columns else None
-    order = order_key(F.lit(0), F.col(tb), primary_is_time=False) if tb else F.lit(0)
-    packed = F.struct(*[F.col(c) for c in cols])
-    latest = (df.groupBy("symbol", "timestamp").agg(F.max_by(packed, order).alias("_r"))
-                .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    order = [F.col(tiebreak).desc()] if tiebreak in df.columns else [F.lit(0)]
+    latest = newest_of(df, ["symbol", "timestamp"], order).select(*cols)
     return latest.withColumns({"ttl": F.col("timestamp") + F.lit(ttl_seconds),
                                "write_batch": F.lit(write_batch).cast("long")})
 
 
+def newest_of(df: DataFrame, keys, order) -> DataFrame:
+    """First row per ``keys`` in ``order``; a map-side group limit keeps one row per key and
+    task before the shuffle."""
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
+
+
 def kv_put(current: DataFrame | None, items: DataFrame, now_epoch: Column | None = None) -> DataFrame:
     """K4 put semantics over a whole table: items replace same-key items
     (the newer write wins), then expired items (ttl <= now) are dropped.
     ``now_epoch`` defaults to the newest timestamp in the table (data clock)."""
     merged = items if current is None else current.unionByName(items)
-    cols = merged.columns
-    keep = (merged.groupBy("symbol", "timestamp")
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("write_batch")).alias("_r"))
-                  .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+    keep = newest_of(merged, ["symbol", "timestamp"], [F.col("write_batch").desc()])
     now = now_epoch if now_epoch is not None else keep.select(F.max("timestamp")).scalar()
     return keep.filter(F.col("ttl") > now)

@@ -9,10 +9,11 @@ micro-batch replay after an executor or driver loss rewrites the same output
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import fixed as FX
-from ..operators import ingest as G, quality as QL, rollups as R
+from ..operators import indicators as I, ingest as G, quality as QL, rollups as R
+from ..session import materialize, scratch_scope
 from ..sinks import tables as TB
 from . import stateful
 
@@ -81,8 +82,8 @@ def dedup_stream(trades: DataFrame, watermark: str = FX.WATERMARK_DELAY,
 
 def market_stream(ticks: DataFrame, watermark: str = FX.WATERMARK_DELAY) -> tuple[DataFrame, DataFrame]:
     """(enriched tick stream, 5-minute market aggregate stream).
-    Windows are emitted once the watermark passes their end (append mode);
-    rows behind the watermark are dropped by the engine and counted in the
+    Windows are emitted once the watermark passes their end (append mode), so the last ones
+    of a stream that stops are never emitted; rows behind the watermark are dropped by the engine and counted in the
     query progress (numRowsDroppedByWatermark)."""
     t = ticks.withColumn("watermark_time", F.col("watermark_time").cast("timestamp")) \
              .withWatermark("watermark_time", watermark)
@@ -90,7 +91,7 @@ def market_stream(ticks: DataFrame, watermark: str = FX.WATERMARK_DELAY) -> tupl
     return enriched, R.market_5min(enriched, ts="watermark_time")
 
 
-def _kv_versions(spark: SparkSession, kv_path: str) -> list[int]:
+def _complete(spark: SparkSession, kv_path: str) -> list[int]:
     """Complete snapshot versions (folders v=<batch id> with a _SUCCESS marker)."""
     fs, root = TB._fs(spark, kv_path)
     if not fs.exists(root):
@@ -104,12 +105,16 @@ def _kv_versions(spark: SparkSession, kv_path: str) -> list[int]:
     return sorted(out)
 
 
-def read_kv(spark: SparkSession, kv_path: str) -> DataFrame:
-    """The key-value table as of its newest complete snapshot."""
-    versions = _kv_versions(spark, kv_path)
+# What orders writes of a key; not part of the items.
+KV_ORDER = ("event_id", "write_batch")
+
+
+def read_kv(spark: SparkSession, kv_path: str, drop=()) -> DataFrame:
+    """The key-value table as of its newest complete snapshot, without the columns to ``drop``."""
+    versions = _complete(spark, kv_path)
     if not versions:
         raise FileNotFoundError(f"no complete snapshot under {kv_path}")
-    return spark.read.parquet(f"{kv_path}/v={versions[-1]}")
+    return spark.read.parquet(f"{kv_path}/v={versions[-1]}").drop(*drop)
 
 
 def latest_price_batches(kv_path: str, keep_versions: int = 3):
@@ -121,15 +126,15 @@ def latest_price_batches(kv_path: str, keep_versions: int = 3):
     readers never see a half-written table. Old snapshots are pruned."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        items = TB.latest_price_items(batch, as_decimal=False)
-        prev = [v for v in _kv_versions(spark, kv_path) if v < batch_id]
+        items = TB.latest_price_items(batch, as_decimal=False, keep=("event_id",))
+        items = items.withColumn("write_batch", F.lit(batch_id).cast("long"))
+        prev = [v for v in _complete(spark, kv_path) if v < batch_id]
         if prev:
+            # Equal timestamps: the later batch wins, inside a batch the higher event id.
             cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}")
-            key = F.struct(F.col("timestamp"))
-            merged = (cur.unionByName(items).groupBy("symbol")
-                         .agg(F.max_by(F.struct(*items.columns), key).alias("r")).select("r.*"))
-        else:
-            merged = items
+            order = [F.col(c).desc_nulls_last() for c in ("timestamp", "write_batch", "event_id") if c in items.columns]
+            items = TB.newest_of(cur.unionByName(items), ["symbol"], order)
+        merged = items
         merged.write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
         for v in prev[:-keep_versions]:
             fs, p = TB._fs(spark, f"{kv_path}/v={v}")
@@ -145,7 +150,7 @@ def kv_item_batches(kv_path: str, ttl_seconds: int = FX.KV_TTL_SECONDS, keep_ver
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         items = TB.kv_items(batch, ttl_seconds, write_batch=batch_id)
-        prev = [v for v in _kv_versions(spark, kv_path) if v < batch_id]
+        prev = [v for v in _complete(spark, kv_path) if v < batch_id]
         cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}") if prev else None
         TB.kv_put(cur, items).write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
         for v in prev[:-keep_versions]:
@@ -167,24 +172,76 @@ def stop_all(spark: SparkSession) -> None:
         q.stop()
 
 
+def ordered_ticker_batches(out_root: str, delay: str = FX.WATERMARK_DELAY, spec=None):
+    """T8/T9/T11 in event-time order: foreachBatch body for tick rows that may come late.
+
+    Rows wait in ``pending`` until the watermark (newest event time seen less ``delay``) passes
+    them; then they are evaluated in series order behind each symbol's ``tail`` by the batch
+    operator, which cuts hot symbols into pieces. Rows that come behind the watermark
+    are left out, as the engine's own operators do. One state serves all three sinks: enriched
+    rows (``detailed``), 5-minute aggregates of closed windows (``aggregated``, which wait in ``open``)
+    and the newest price per symbol (``kv``).
+
+    Every batch writes its own versions of state and output from the newest complete state
+    before it, so a replayed batch rewrites the same files."""
+    spec = spec or I.SeriesSpec(key="symbol", order=("watermark_time", "event_id"))
+    kv = latest_price_batches(f"{out_root}/kv")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = f"{out_root}/_state/v={batch_id}"
+        fs, _ = TB._fs(spark, out_root)
+        done = [v for v in _complete(spark, f"{out_root}/_state") if v < batch_id]
+        before = {n: spark.read.parquet(f"{out_root}/_state/v={done[-1]}/{n}")
+                  for n in ("pending", "tail", "open", "clock")} if done else {}
+        t = F.col("watermark_time")
+        rows = batch.withColumn("watermark_time", t.cast("timestamp_ntz"))
+        seen = before["clock"].first()["newest"] if before else None
+        wait = F.expr(f"INTERVAL {delay}")
+        if seen is not None:
+            rows = rows.filter(t >= F.lit(seen) - wait)
+        if before:
+            rows = rows.unionByName(before["pending"])
+        with scratch_scope(spark):
+            rows = materialize(rows, "ordered-rows")
+            newest = max((x for x in (seen, rows.agg(F.max(t)).first()[0]) if x is not None), default=None)
+            passed = t < F.lit(newest).cast("timestamp_ntz") - wait
+            ready = rows.filter(passed).withColumn("_tail", F.lit(False))
+            if before:
+                ready = ready.unionByName(before["tail"].withColumn("_tail", F.lit(True)))
+            enriched = materialize(I.technical_indicators(ready, spec=spec).filter(~F.col("_tail")).drop("_tail"),
+                                   "ordered-enriched")
+            days = ("partition_date", "symbol") if "partition_date" in enriched.columns else ()
+            TB.write_table(enriched, f"{out_root}/detailed/batch_id={batch_id}", days, mode="overwrite")
+            kv(enriched, batch_id)
+            windows = enriched.unionByName(before["open"]) if before else enriched
+            closes = F.window(t.cast("timestamp"), FX.MARKET_WINDOW)["end"].cast("timestamp_ntz")
+            windows = windows.withColumn("_closes", closes)
+            closed = F.col("_closes") <= F.lit(newest).cast("timestamp_ntz") - wait
+            agg = R.market_5min(windows.filter(closed), ts="watermark_time", window=FX.MARKET_WINDOW)
+            # the aggregate has no date of its own: the window's
+            agg = agg.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
+            TB.write_table(agg, f"{out_root}/aggregated/batch_id={batch_id}", ("partition_date",), mode="overwrite")
+            newest_first = [F.col(c).desc() for c in spec.order]
+            last = Window.partitionBy(spec.key).orderBy(*newest_first)
+            tail = (ready.withColumn("_nth", F.row_number().over(last))
+                    .filter(F.col("_nth") <= I.COMPOSITE_LOOKBACK).drop("_nth", "_tail"))
+            for name, df in (("pending", rows.filter(~passed)), ("tail", tail), ("open", windows.filter(~closed).drop("_closes")),
+                             ("clock", spark.createDataFrame([(newest,)], "newest timestamp_ntz"))):
+                df.write.mode("overwrite").parquet(f"{state}/{name}")
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/_SUCCESS"), True).close()
+        for v in done[:-2]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{out_root}/_state/v={v}"), True)
+    return run
+
+
 def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
-                  watermark: str = FX.WATERMARK_DELAY) -> list:
-    """Ticker stream job (K3, K4, T8, T9, T11): enriched ticks to the lake
-    partitioned by (partition_date, symbol), 5-minute market aggregates
-    partitioned by the window's own date (the aggregate has no
-    partition_date column of its own), and the latest-price KV table. Each
-    query has its own checkpoint under ``out_root``."""
-    enriched, market = market_stream(ticks, watermark)
-    detailed = (_writer(enriched, f"{out_root}/_ck/detailed", trigger).format("parquet")
-                .option("path", f"{out_root}/detailed").partitionBy("partition_date", "symbol").start())
-    agg = market.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
-    aggregated = (_writer(agg, f"{out_root}/_ck/aggregated", trigger).format("parquet")
-                  .option("path", f"{out_root}/aggregated").partitionBy("partition_date").start())
-    kv_cols = [c for c in ("symbol", "timestamp", "event_id", "price", "rsi", "macd_line", "is_anomaly")
-               if c in enriched.columns]
-    kv = (_writer(enriched.select(*kv_cols), f"{out_root}/_ck/kv", trigger)
-          .foreachBatch(latest_price_batches(f"{out_root}/kv")).start())
-    return [detailed, aggregated, kv]
+                  watermark: str = FX.WATERMARK_DELAY):
+    """Ticker stream job (K3, K4, T8, T9, T11): one query whose batches write enriched ticks,
+    5-minute market aggregates and the latest-price table from one state, in event-time
+    order. Rows and windows the final watermark has not passed stay in the state."""
+    return (_writer(ticks, f"{out_root}/_ck", trigger)
+            .foreachBatch(ordered_ticker_batches(out_root, watermark)).start())
 
 
 def dropped_by_watermark(query) -> int:
