@@ -1,5 +1,7 @@
 """Checkpoint-folder lookup: read from the session, fall back only when unset."""
 
+import pytest
+
 from tickforge import session as S
 
 
@@ -17,8 +19,8 @@ class _Conf:
 
 
 class _SC:
-    def __init__(self):
-        self.dir = None
+    def __init__(self, master="local[4]"):
+        self.dir, self.master = None, master
 
     def getCheckpointDir(self):
         return self.dir
@@ -43,3 +45,20 @@ def test_fallback_when_unset_even_if_conf_is_read_only():
     d1 = S.checkpoint_dir(sp)
     assert d1 and S.checkpoint_dir(sp) == d1      # stable per context
     assert sp.sparkContext.getCheckpointDir() == d1
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"])
+def test_a_cluster_needs_the_setting(master):
+    sp = _Spark(_Conf(None))
+    sp.sparkContext = _SC(master)
+    with pytest.raises(RuntimeError):
+        S.checkpoint_dir(sp)
+
+
+def test_scratch_scope_removes_its_intermediates(spark):
+    import os
+    with S.scratch_scope(spark):
+        t = S.materialize(spark.range(5), "t-scope")
+        path = os.path.dirname(t.inputFiles()[0].removeprefix("file://"))
+        assert t.count() == 5 and os.path.exists(path)
+    assert not os.path.exists(path)

@@ -114,9 +114,9 @@ def alert_states(series: DataFrame, ts: str = "watermark_time") -> DataFrame:
     records come from a generated grid). ``high_anomaly_rate``: no_data when
     minute m has no records; alerting when the rate exceeded the limit in each
     of the last 5 minutes; else ok. ``no_records``: alerting when minute m has
-    no records (no data -> alerting) or when the 5-minute record sum stayed
-    below the minimum for 5 consecutive evaluations; else ok. Spans that reach
-    before the first minute are not full and never alert."""
+    no records (no data -> alerting) or fewer than the minimum in each of the last 5
+    minutes; else ok. Spans that reach before the first minute are not full and
+    never alert on duration."""
     n = SUSTAIN_MINUTES
     per_min = (series.groupBy(F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz").alias("minute"))
                      .agg(F.count(F.lit(1)).alias("records"),
@@ -130,16 +130,14 @@ def alert_states(series: DataFrame, ts: str = "watermark_time") -> DataFrame:
     m = grid.join(per_min, "minute", "left").fillna({"records": 0})
     m = m.withColumn("_high", F.coalesce(F.col("anomaly_rate") > ANOMALY_RATE_LIMIT,
                                          F.lit(False)).cast("int"))
-    s1 = _trailing(m, n, [F.count(F.lit(1)).alias("_n1"), F.min("_high").alias("_high_all"),
-                          F.sum("records").alias("_sum")])
-    s1 = s1.withColumn("_low", ((F.col("_sum") < MIN_RECORDS) & (F.col("_n1") == n)).cast("int"))
-    s2 = _trailing(s1.select("minute", "_low"), n,
-                   [F.count(F.lit(1)).alias("_n2"), F.min("_low").alias("_low_all")])
-    out = m.join(s1, "minute").join(s2, "minute")
+    m = m.withColumn("_low", (F.col("records") < MIN_RECORDS).cast("int"))
+    spans = _trailing(m, n, [F.count(F.lit(1)).alias("_n"), F.min("_high").alias("_high_all"),
+                             F.min("_low").alias("_low_all")])
+    out = m.join(spans, "minute")
+    full = F.col("_n") == n
     rate_state = (F.when(F.col("records") == 0, "no_data")
-                   .when((F.col("_n1") == n) & (F.col("_high_all") == 1), "alerting").otherwise("ok"))
-    rec_state = (F.when(F.col("records") == 0, "alerting")
-                  .when((F.col("_n2") == n) & (F.col("_low_all") == 1), "alerting").otherwise("ok"))
+                   .when(full & (F.col("_high_all") == 1), "alerting").otherwise("ok"))
+    rec_state = F.when((F.col("records") == 0) | full & (F.col("_low_all") == 1), "alerting").otherwise("ok")
     return out.select("minute", "records", "anomaly_rate",
                       rate_state.alias("high_anomaly_rate_state"),
                       rec_state.alias("no_records_state"))
