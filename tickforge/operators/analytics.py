@@ -54,6 +54,8 @@ def _tile_correlations(min_days: int):
         left = [s for s in wide.columns if blk[s] == i]
         right = [s for s in wide.columns if blk[s] == j]
         R = wide.to_numpy(dtype="float64")
+        # Each series about its own mean: sums of squares then do not cancel.
+        R = R - np.nanmean(R, axis=0)
         M = (~np.isnan(R)).astype("float64")
         X = np.nan_to_num(R)
         li = [wide.columns.get_loc(s) for s in left]
@@ -66,16 +68,14 @@ def _tile_correlations(min_days: int):
         with np.errstate(all="ignore"):
             cov = n * sab - sa * sb
             corr = cov / np.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
-        rows = []
-        for x, a in enumerate(left):
-            for y, b in enumerate(right):
-                if (i == j and a >= b) or n[x, y] < max(min_days, 1):
-                    continue
-                c = corr[x, y]
-                lo, hi = (a, b) if a < b else (b, a)
-                rows.append((lo, hi, None if not np.isfinite(c) else float(c), int(n[x, y])))
-        return pd.DataFrame(rows, columns=["symbol_a", "symbol_b", "correlation_coefficient",
-                                           "common_days"])
+        wanted = n >= max(min_days, 1)
+        if i == j:                          # columns are sorted: each pair once, by name
+            wanted &= np.triu(np.ones(n.shape, bool), 1)
+        x, y = np.nonzero(wanted)
+        a, b = np.array(left, object)[x], np.array(right, object)[y]
+        c = pd.Series(corr[x, y], dtype="float64")
+        return pd.DataFrame({"symbol_a": np.where(a < b, a, b), "symbol_b": np.where(a < b, b, a),
+                             "correlation_coefficient": c.where(np.isfinite(c)), "common_days": n[x, y].astype("int64")})
     return run
 
 
