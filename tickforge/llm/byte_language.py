@@ -34,7 +34,12 @@ BATCH = 192
 RATE = 0.02
 SEED = 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: bytes) -> bool:
+    """Whether a UTF-8 text has a letter of any script."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text.decode("utf-8", "ignore")))
 
 
 @dataclass
@@ -207,7 +212,7 @@ def position_sums(model: ByteGRU, x: np.ndarray, length: np.ndarray) -> np.ndarr
 def predict(model: ByteGRU | None, texts: list[bytes], width: int = 4096) -> tuple[list[str], list[float]]:
     """Language and its pooled probability for each whole text (UTF-8)."""
     lang, score = ["und"] * len(texts), [0.0] * len(texts)
-    todo = [i for i, t in enumerate(texts) if t and _LETTER.search(t.decode("utf-8", "ignore"))] if model else []
+    todo = [i for i, t in enumerate(texts) if t and has_letter(t)] if model else []
     if not todo:
         return lang, score
     parts = [-(-len(texts[i]) // SEGMENT) for i in todo]
