@@ -31,34 +31,77 @@ from .common import id_text, in_parts, process_cache, written
 
 INDEX_STRIDE = 2_000
 STRIPE_BYTES = 16 << 20
-# Distinct pieces a worker remembers (about 150 bytes each).
-CACHE_PIECES = 1_000_000
+# Distinct pieces a worker remembers (about 200 bytes each).
+CACHE_PIECES = 700_000
 # White space on both sides of a blank: pieces are not independent there.
 _RUNS = re.compile(r"\s \s")
+# Marks that the pre-tokenizer always parts from letters before them.
+_MARKS = frozenset(".,;:!?")
 
 
 class PieceEncoder(dict):
-    """Blank-led piece of a text -> its ids as little-endian 32-bit integers."""
+    """Blank-led piece of a text -> its ids as little-endian 32-bit integers.
+
+    Words of letters alone go straight to the library's merge model, as they are one piece
+    for its pre-tokenizer; words with one mark behind them and lines that meet inside a
+    piece are put together from their parts; everything else is encoded as it stands."""
 
     def __init__(self, path: str, limit: int = CACHE_PIECES):
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters: dict[int, str] = {}           # letter -> its bytes as the model spells them
+        self.heads: dict[str, bytes] = {}           # pieces at the start of a line
+        self.blank = self.split(" a")[0][0][:-1]
+        self.marks = {m: self.ids(m) for m in _MARKS}
+        self.newline = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str, before: str) -> bytes:
+        """Ids of letters alone, after ``before`` (the model's blank or nothing)."""
+        if not word.isascii():
+            for c in word:
+                if ord(c) not in self.letters:
+                    self.letters[ord(c)] = self.split(c)[0][0]
+            word = word.translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(before + word)], "<u4").tobytes()
+
+    def piece(self, piece: str, lead: str) -> bytes:
+        """Ids of a piece after ``lead`` (a blank or nothing)."""
+        before = self.blank if lead else ""
+        if piece.isalpha():
+            return self.word(piece, before)
+        if piece and piece[-1] in self.marks and piece[:-1].isalpha():
+            return (self[piece[:-1]] if lead else self.word(piece[:-1], "")) + self.marks[piece[-1]]
+        return self.ids(lead + piece)
+
+    def head(self, piece: str) -> bytes:
+        """Ids of a piece that starts a text or line."""
+        ids = self.heads.get(piece)
+        if ids is None:
+            if len(self.heads) >= self.limit // 4:
+                self.heads.clear()
+            ids = self.heads[piece] = self.piece(piece, "")
+        return ids
+
     def __missing__(self, piece: str) -> bytes:
+        if "\n" in piece:
+            first, *lines = piece.split("\n")
+            if piece.split() == [first, *lines]:        # single line ends between words
+                return self[first] + b"".join(self.newline + self.head(x) for x in lines)
         if len(self) >= self.limit:
             self.clear()
-        ids = self[piece] = self.ids(" " + piece)
+        ids = self[piece] = self.piece(piece, " ")
         return ids
 
     def encode(self, text: str) -> bytes:
         if not text or _RUNS.search(text):
             return self.ids(text) if text else b""
         head, *rest = text.split(" ")
-        return self.ids(head) + b"".join(map(self.__getitem__, rest))
+        return (self.ids(head) if head else b"") + b"".join(map(self.__getitem__, rest))
 
 
 def encoder(path: str) -> PieceEncoder:
