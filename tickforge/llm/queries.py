@@ -74,5 +74,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": sql.LICENSE_SCAN,
+    "op4_hyperminhash": sql.NEAR_DUPLICATES,
     "op6_line_rules": sql.LINE_RULES,
+    "op7_suffix_dedup": sql.SUBSTRING_DEDUP,
 }

@@ -74,3 +74,45 @@ SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_line_words_removed <= 0.5 * n_words AS kept
 FROM f
 """
+
+# Word sets compared pair by pair through shared shingles; components by reachability.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS h FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS d, b AS x FROM e UNION SELECT r.d, e.b FROM r JOIN e ON r.x = e.a),
+m AS (SELECT d, min(x) AS x FROM r GROUP BY d)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m.x, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(m.x, doc_id)) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.d = doc_id
+"""
+
+# Every 400-byte window of the texts' bytes (two hex digits each), counted by its digest;
+# covered bytes as islands; what is left put together from the parts between them.
+SUBSTRING_DEDUP = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h, len(hex(coalesce(text, ''))) // 2 AS n FROM documents),
+w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS m
+  FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+isle AS (
+  SELECT doc_id, i, sum(CASE WHEN i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM dup)),
+span AS (SELECT doc_id, k, min(i) AS lo, max(i) + 400 AS hi FROM isle GROUP BY doc_id, k),
+part AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS from_ FROM span),
+cut AS (
+  SELECT doc_id, sum(hi - lo) AS removed, count(*) AS spans, max(hi) AS last_,
+    string_agg(substr(h, 2 * from_ + 1, 2 * (lo - from_)), '' ORDER BY lo) AS kept
+  FROM part JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last_ + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
