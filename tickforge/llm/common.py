@@ -65,7 +65,17 @@ def written(df: DataFrame, name: str, fmt: str = "parquet", **options) -> DataFr
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.format(fmt).options(**options).save(path)
-    return spark.read.schema(df.schema).format(fmt).load(path)
+    out = spark.read.schema(df.schema).format(fmt).load(path)
+    out._written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of ``written`` tables that nothing to come reads."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._written_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sorted_groups(batches, keys: list[str]):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _star(d: DataFrame) -> DataFrame:
@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _star(large)
-        edges = written(
+        old, edges = edges, written(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "edges")
+        discard(old)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

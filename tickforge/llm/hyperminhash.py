@@ -2,7 +2,8 @@
 
 A document is the set of its hashed 3-word shingles. Its sketch has ``BUCKETS`` registers;
 each keeps, of the least hash in its bucket, the count of leading zeros (6 bits) and
-``MANTISSA`` bits after the leading one. ``ROWS`` neighbouring registers form a band; documents
+``MANTISSA`` bits after the leading one: as many as keep accidental agreement of nearly empty
+bands rare among billions of documents. ``ROWS`` neighbouring registers form a band; documents
 that agree in a band are candidates. Within a band's bucket, sketches are compared
 (register agreement less the expected accidental collisions, over occupied registers) and
 pairs far below the threshold are dropped; the rest are confirmed on full shingle sets.
@@ -13,7 +14,8 @@ What moves is never a pair of documents before it is a confirmed link:
 * a bucket with many members is cut into blocks by hash, and every two blocks meet in
   a task of their own, where sketches are compared as matrices;
 * a pair is taken up only in the first band it agrees in, so no pair is confirmed twice;
-* texts join only the nodes that have a pair left to confirm.
+* texts join only the nodes that have a pair left to confirm;
+* of the links a task confirms it returns a spanning forest, which names the same components.
 
 At the linking threshold 0.85 a pair shares no band with a chance of (1 - 0.85**6)**32, about
 3e-7; the sketch test lies five standard deviations below the threshold.
@@ -32,13 +34,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_text, in_parts, small_side, sorted_groups, utf8, written
+from .common import discard, id_text, in_parts, small_side, sorted_groups, utf8, written
 from .graph import components
 from .shingles import mix, shingle_set
 
 ROWS, BANDS = 6, 32
 BUCKETS = ROWS * BANDS
-MANTISSA = 10
+MANTISSA = 26
 SHINGLE = 3
 PERCENT = 85
 MARGIN = 5.0
@@ -50,14 +52,14 @@ _U = np.uint64
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """Registers of a sorted hash set (0: empty bucket)."""
-    out = np.zeros(BUCKETS, np.uint16)
+    out = np.zeros(BUCKETS, np.uint32)
     if len(hashes):
         bucket = ((hashes >> _U(32)) * _U(BUCKETS)) >> _U(32)
         first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
         rest = hashes[first] * _U(BUCKETS)                 # uniform and rising within a bucket
         zeros = np.clip(64 - np.frexp(rest.astype(np.float64))[1], 0, 62).astype(np.uint64)
         after = (rest << (zeros + _U(1))) >> _U(64 - MANTISSA)
-        out[bucket[first].astype(np.int64)] = (((zeros + _U(1)) << _U(MANTISSA)) | after).astype(np.uint16)
+        out[bucket[first].astype(np.int64)] = (((zeros + _U(1)) << _U(MANTISSA)) | after).astype(np.uint32)
     return out
 
 
@@ -67,7 +69,8 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     key = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), r.shape[:2])
     for i in range(ROWS):
         key = mix(key * _U(0x9E3779B97F4A7C15) + r[:, :, i])
-    return np.where(r.any(2), key | _U(1), _U(0)).astype(np.int64)
+    band = np.arange(BANDS, dtype=np.uint64)
+    return np.where(r.any(2), (key & ~_U(BANDS - 1)) | band, _U(0)).astype(np.int64)
 
 
 def expected_collisions(n, m) -> np.ndarray:
@@ -108,11 +111,18 @@ def _close_pairs(registers, size, block, band, here: tuple[int, int], percent: i
             yield int(i), int(j)
 
 
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, BUCKETS)
+
+
+def _node(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, registers) of every row; node (a 128-bit hash of the set)
-    and registers are null for empty sets."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
-                        ("registers", pa.binary())])
+    """(doc_id, n, node, registers) of every row; node (a 128-bit hash of the set) and
+    registers are null for empty sets."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("registers", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -123,135 +133,139 @@ def sketches(docs: DataFrame) -> DataFrame:
                      pa.array([_node(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node binary, registers binary")
-
-
-def _node(hashes: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(hashes.tobytes())
+    return docs.mapInArrow(run, "doc_id long, n long, node binary, registers binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """(key, band, node, n) rows of every non-empty band of every node."""
-    schema = pa.schema([("key", pa.int64()), ("band", pa.int16()), ("node", pa.binary()), ("n", pa.int64())])
+    """(key, id, n) rows of every non-empty band of every node (id, n, registers); the low
+    five bits of a key are its band."""
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            regs = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            keys = band_keys(regs)
-            doc, band = np.nonzero(keys)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[doc, band]), pa.array(band.astype(np.int16)), batch.column("node").take(pa.array(doc)),
-                 batch.column("n").take(pa.array(doc))], schema=schema)
+            if batch.num_rows:
+                keys = band_keys(_registers(batch.column("registers")))
+                doc, band = np.nonzero(keys)
+                owner = pa.array(doc)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[doc, band]), batch.column("id").take(owner),
+                                                  batch.column("n").take(owner)], schema=schema)
 
-    return nodes.select("node", "n", "registers").mapInArrow(run, "key long, band short, node binary, n long")
+    return nodes.select("id", "n", "registers").mapInArrow(run, "key long, id long, n long")
 
 
-_MEMBER = "key long, band short, i int, j int, block int, node binary"
+_GROUP = ["key", "i", "j"]
+_MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("id", pa.int64())])
 
 
 def _members(bands: DataFrame) -> DataFrame:
     """Rows of buckets with two members or more, each in all block pairs (i, j) of its block."""
-    shared = (bands.groupBy("key", "band").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
-              .filter("c > 1")
-              .select("key", "band", F.ceil(F.greatest(F.col("c") / BLOCK_DOCS, F.col("s") / BLOCK_SHINGLES))
-                      .cast("int").alias("blocks")))
-    rows = bands.join(shared, ["key", "band"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
+    shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
+                     .select("key", F.ceil(F.greatest(F.col("c") / BLOCK_DOCS, F.col("s") / BLOCK_SHINGLES))
+                             .cast("int").alias("blocks")), "shared-bands")
+    rows = bands.join(small_side(shared), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.select("key", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "node", "n")
-
-
-_GROUP = ["key", "band", "i", "j"]
+    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                       "block", "id")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
     return rows.repartition(*[F.col(c) for c in _GROUP]).sortWithinPartitions(*_GROUP)
 
 
+def _place(g: pa.RecordBatch) -> tuple[int, tuple[int, int]]:
+    """(band, blocks) of a group."""
+    return g.column("key")[0].as_py() & 31, (g.column("i")[0].as_py(), g.column("j")[0].as_py())
+
+
 def _survivors(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Bucket rows that have a pair left to confirm after comparing sketches."""
-    schema = pa.schema([("key", pa.int64()), ("band", pa.int16()), ("i", pa.int32()), ("j", pa.int32()),
-                        ("block", pa.int32()), ("node", pa.binary())])
-
     def run(batches):
         for g in sorted_groups(batches, _GROUP):
             if g.num_rows < 2:
                 continue
-            regs = np.frombuffer(b"".join(g.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
-            size = g.column("n").to_numpy()
-            block = g.column("block").to_numpy()
-            keep = sorted({x for pair in _close_pairs(regs, size, block, g.column("band")[0].as_py(),
-                                                      (g.column("i")[0].as_py(), g.column("j")[0].as_py()), percent)
-                           for x in pair})
+            band, here = _place(g)
+            pairs = _close_pairs(_registers(g.column("registers")), g.column("n").to_numpy(),
+                                 g.column("block").to_numpy(), band, here, percent)
+            keep = sorted({x for pair in pairs for x in pair})
             if keep:
-                yield g.select(schema.names).take(pa.array(keep)).cast(schema)
+                yield g.select(_MEMBER.names).take(pa.array(keep)).cast(_MEMBER)
 
-    rows = members.join(nodes.select("node", "registers"), "node")
-    return _grouped(rows).mapInArrow(run, _MEMBER)
+    rows = members.join(nodes.select("id", "n", "registers"), "id")
+    return _grouped(rows).mapInArrow(run, "key long, i int, j int, block int, id long")
 
 
 def _links(survivors: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): confirmed links between nodes; sets are made again from the joined texts."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    """(a, b): confirmed links between nodes, a spanning forest of each group's; sets are
+    made again from the joined texts."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for g in sorted_groups(batches, _GROUP):
-            found, seen = {}, []
-            for k, (node, text) in enumerate(zip(g.column("node").to_pylist(), utf8(g.column("text")))):
-                if node not in found:
+            sets, seen = {}, []
+            for k, (i, node, text) in enumerate(zip(g.column("id").to_pylist(), g.column("node").to_pylist(),
+                                                    utf8(g.column("text")))):
+                if i not in sets:
                     s = shingle_set(text, SHINGLE)
                     if _node(s) == node:            # an id may stand for several texts
-                        found[node] = s
+                        sets[i] = s
                         seen.append(k)
             if len(seen) < 2:
                 continue
-            nodes = list(found)
-            sets = list(found.values())
+            ids, sets = list(sets), list(sets.values())
             regs = np.stack([sketch(s) for s in sets])
-            block = g.column("block").to_numpy()[seen]
-            a, b = [], []
-            for x, y in _close_pairs(regs, np.array([len(s) for s in sets]), block, g.column("band")[0].as_py(),
-                                     (g.column("i")[0].as_py(), g.column("j")[0].as_py()), percent):
+            band, here = _place(g)
+            root = list(range(len(ids)))
+
+            def top(x):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            found = []
+            for x, y in _close_pairs(regs, np.array([len(s) for s in sets]), g.column("block").to_numpy()[seen],
+                                     band, here, percent):
+                if top(x) == top(y):
+                    continue
                 both = len(sets[x]) + len(sets[y])
                 same = both - len(np.union1d(sets[x], sets[y]))
                 if 100 * same >= percent * (both - same):
-                    a.append(nodes[x])
-                    b.append(nodes[y])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
+                    root[top(x)] = top(y)
+                    found.append((ids[x], ids[y]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                              pa.array([f[1] for f in found], pa.int64())], schema=schema)
 
-    return _grouped(survivors.join(texts, "node").drop("rep")).mapInArrow(run, "a binary, b binary")
+    return _grouped(survivors.join(texts, "id")).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, n_links) of every row. Sets are linked where
-    100 * shared >= percent * union; ``n_links`` counts linked different sets."""
+    """(doc_id, n_shingles, component_id, kept) of every row. Sets are linked where
+    100 * shared >= percent * union."""
     d = id_text(docs, id_col, text_col)
-    rows = written(sketches(d), "sketches")
-    nodes = written(rows.filter("node is not null").groupBy("node")
-                    .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                         F.first("registers").alias("registers")), "nodes")
+    rows = written(sketches(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # One row per set: its least document and the row that stands for it.
+    sets = written(rows.filter("node is not null").groupBy("node")
+                   .agg(F.min("doc_id").alias("rep"), F.min("row").alias("id")), "sets")
+    nodes = rows.join(small_side(sets.select("id")), F.col("row") == F.col("id"))
     bands = written(_bands(nodes), "bands")
     survivors = written(_survivors(_members(bands), nodes, percent), "survivors")
-    # Texts of the nodes that survived, by the least id that has the set.
-    wanted = written(survivors.select("node").distinct().join(nodes.select("node", "rep"), "node"), "wanted")
-    texts = d.join(small_side(wanted), d.doc_id == wanted.rep).select("node", "text")
+    discard(bands)
+    # Texts of the sets that survived, by the least document that has the set.
+    wanted = written(survivors.select("id").distinct().join(sets, "id"), "wanted")
+    texts = d.join(small_side(wanted), d.doc_id == wanted.rep).select("id", "node", "text")
     links = written(_links(survivors, texts, percent).distinct(), "links")
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = components(links).join(nodes.select("node", "rep"), "node")
+    named = components(links).withColumnRenamed("node", "id").join(sets.select("id", "rep"), "id")
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
-    linked = written(named.join(least, "root").select("node", "component").join(degree, "node"), "linked")
-    # One short row per set that other sets come before, or that has links.
-    classes = nodes.select("node", "rep").join(linked, "node", "left")
-    out = rows.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"),
-                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    linked = named.join(least, "root").select("id", "component")
+    classes = written(sets.join(linked, "id", "left")
+                      .select("node", F.coalesce("component", "rep").alias("component")), "classes")
+    discard(survivors, wanted, links, sets)
+    out = rows.select("doc_id", "n", "node").join(classes, "node", "left")
+    component = F.coalesce("component", "doc_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
