@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,15 @@ INDEX_STRIDE = 2_000
 STRIPE_BYTES = 16 << 20
 # Distinct pieces a worker remembers (about 200 bytes each).
 CACHE_PIECES = 700_000
-# White space on both sides of a blank: pieces are not independent there.
-_RUNS = re.compile(r"\s \s")
+# White space on both sides of a blank: pieces are not independent there. The literal
+# blank in front lets the search skip from blank to blank.
+_RUNS = re.compile(r" (?<=\s )(?=\s)")
 # Marks that the pre-tokenizer always parts from letters before them.
 _MARKS = frozenset(".,;:!?")
 
 
 class PieceEncoder(dict):
-    """Blank-led piece of a text -> its ids as little-endian 32-bit integers.
+    """Blank-led piece of a text -> its ids as 32-bit integers.
 
     Words of letters alone go straight to the library's merge model, as they are one piece
     for its pre-tokenizer; words with one mark behind them and lines that meet inside a
@@ -58,7 +60,7 @@ class PieceEncoder(dict):
         self.newline = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str, before: str) -> bytes:
         """Ids of letters alone, after ``before`` (the model's blank or nothing)."""
@@ -67,7 +69,7 @@ class PieceEncoder(dict):
                 if ord(c) not in self.letters:
                     self.letters[ord(c)] = self.split(c)[0][0]
             word = word.translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(before + word)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(before + word)]).tobytes()
 
     def piece(self, piece: str, lead: str) -> bytes:
         """Ids of a piece after ``lead`` (a blank or nothing)."""
@@ -101,7 +103,7 @@ class PieceEncoder(dict):
         if not text or _RUNS.search(text):
             return self.ids(text) if text else b""
         head, *rest = text.split(" ")
-        return (self.ids(head) if head else b"") + b"".join(map(self.__getitem__, rest))
+        return (self.head(head) if head else b"") + b"".join(map(self.__getitem__, rest))
 
 
 def encoder(path: str) -> PieceEncoder:
