@@ -33,19 +33,21 @@ def suffix_array(data: bytes, depth: int = 400) -> np.ndarray:
     if not n:
         return np.zeros(0, np.int64)
     smaller = smaller_than_next(text)
-    # Stage one: direct sort of the smaller ones.
-    places = np.flatnonzero(smaller)
-    keys = [data[i:i + depth] for i in places.tolist()]
-    direct = places[sorted(range(len(keys)), key=keys.__getitem__)]
-    del keys
     # Buckets by first byte: induced suffixes come first, then the directly sorted ones.
     induced = np.bincount(text[~smaller], minlength=256)
     sorted_by = np.bincount(text[smaller], minlength=256)
     start = np.cumsum(induced + sorted_by) - induced - sorted_by
     out = np.full(n, -1, np.int64)
+    # Stage one: direct sort of the smaller ones, a bucket at a time, so that only one
+    # bucket's keys are held.
+    places = np.flatnonzero(smaller)
+    places = places[np.argsort(text[places], kind="stable")]
     cut = np.concatenate([[0], np.cumsum(sorted_by)])
     for c in np.flatnonzero(sorted_by):
-        out[start[c] + induced[c]:start[c] + induced[c] + sorted_by[c]] = direct[cut[c]:cut[c + 1]]
+        here = places[cut[c]:cut[c + 1]]
+        keys = [data[i:i + depth] for i in here.tolist()]
+        at = start[c] + induced[c]
+        out[at:at + len(here)] = here[sorted(range(len(keys)), key=keys.__getitem__)]
     head = start.copy()
 
     def induce(found: np.ndarray) -> int:

@@ -31,16 +31,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import id_text, in_parts, small_side, sorted_groups, utf8, written
+from .common import discard, id_text, in_parts, small_side, sorted_groups, utf8, written
 from .shingles import mix
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH = 400
 GRAM = 64
 SPAN = LENGTH - GRAM + 1              # anchor offsets in a window
-CHUNK = 4 << 20                       # bytes of text hashed at once
+CHUNK = 2 << 20                       # bytes of text hashed at once
 BLOCK_BYTES = 256 << 10               # bytes under one suffix array
-HOT_BYTES = 1 << 20                   # of distinct segments in one group
+HOT_BYTES = 2 << 20                   # of distinct segments in one group
 WIDTHS = (SPAN, 64, 16, 4, 1)         # ranges of offsets, level by level
 
 _U = np.uint64
@@ -252,7 +252,7 @@ def _array_pass(groups: DataFrame) -> DataFrame:
             .mapInArrow(run, "key binary, seg binary, runs array<struct<lo: int, n: int>>"))
 
 
-def _level(rows: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _level(rows: DataFrame, last: bool, temporary: list) -> tuple[DataFrame, DataFrame | None]:
     """((text_id, lo, n) runs of repeated windows, rows of groups too large for one task)."""
     places = rows.select("key", "seg", "text_id", "start")
     distinct = written(rows.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), F.first("windows").alias("windows"),
@@ -260,6 +260,7 @@ def _level(rows: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
     large = written(distinct.groupBy("key").agg(F.sum(F.length("bytes").cast("long")).alias("size"),
                                                 F.count(F.lit(1)).alias("segs"))
                     .filter((F.col("size") > HOT_BYTES) & (F.col("segs") > 1)).select("key"), "large-groups")
+    temporary += [distinct, large]
     hot = None
     if not last and large.limit(1).count():
         side = small_side(large, 100_000)
@@ -272,24 +273,27 @@ def _level(rows: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
     return runs, hot
 
 
-def repeated_runs(docs: DataFrame, distinct_texts: DataFrame) -> DataFrame:
-    """(text_id, lo, n): runs of ``n`` repeated windows from byte ``lo`` on, of the distinct
-    texts (text_id, rep, copies, n_bytes) that are long enough to have any."""
+def repeated_runs(docs: DataFrame, distinct_texts: DataFrame) -> tuple[DataFrame, list]:
+    """((text_id, lo, n), tables it reads): runs of ``n`` repeated windows from byte ``lo`` on, of
+    the distinct texts (text_id, rep, copies, n_bytes) that are long enough to have any."""
     long_enough = written(distinct_texts.filter(F.col("n_bytes") >= LENGTH).select("text_id", "rep"), "long-texts")
     anchors = written(_anchors(_texts(docs, long_enough)), "anchors")
-    twice = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    # Written: the join below then has two plain sides, and a hot anchor's rows can be split.
+    twice = written(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "twice")
     places = (anchors.join(twice, "key").groupBy("text_id")
               .agg(F.collect_list(F.struct("key", "start", "windows", "offset")).alias("at")))
     places = written(places.join(long_enough, "text_id"), "places")
     texts = _texts(docs, places).join(places.select("text_id", "at"), "text_id")
     rows = written(_cut(texts), "cut")
-    all_runs, level = None, 0
+    discard(anchors, twice, long_enough, places)
+    all_runs, level, temporary = None, 0, []
     while rows is not None:
-        runs, hot = _level(rows, last=level == len(WIDTHS) - 1)
+        temporary.append(rows)
+        runs, hot = _level(rows, level == len(WIDTHS) - 1, temporary)
         all_runs = runs if all_runs is None else all_runs.unionByName(runs)
         level += 1
         rows = written(_narrow(hot, WIDTHS[level]), "cut") if hot is not None else None
-    return all_runs
+    return all_runs, temporary
 
 
 def covered(lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,8 +324,10 @@ def _outcome(docs: DataFrame, rows: DataFrame) -> DataFrame:
     and have one row only; ``kept`` cut at whole characters."""
     distinct = written(rows.groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                    F.first("n_bytes").alias("n_bytes")), "distinct-texts")
-    runs = repeated_runs(docs, distinct).groupBy("text_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+    found, temporary = repeated_runs(docs, distinct)
+    runs = found.groupBy("text_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
     once = written(runs.join(distinct.filter("copies = 1").select("text_id", "rep"), "text_id"), "runs")
+    discard(*temporary)
     schema = pa.schema([("text_id", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                         ("kept_sha256", pa.string()), ("kept", pa.string())])
 
