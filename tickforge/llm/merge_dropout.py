@@ -33,7 +33,7 @@ from .shingles import mix
 DROPOUT = 0.1
 SEED = 2
 LONG = 192
-SLICE = 1 << 20
+SLICE = 1 << 18
 BLANK = "▁"
 
 _U = np.uint64
