@@ -1,5 +1,7 @@
 """Each pipeline stage against a brute-force version on its own input."""
 
+import random
+
 import corpus_pipeline
 import pytest
 from test_methods import _brute_removal, _union_find
@@ -44,6 +46,32 @@ def test_near_dedup_stage(outputs):
     assert {r["doc_id"] for r in outputs["near_dedup"]} == want
 
 
+def test_near_dedup_stage_measures(spark):
+    """Against brute force: copies with one passage put in (five words, 0.8) and with scattered
+    words replaced (three words, 0.85), which the other measure misses."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        edited = [f"e{i}" if i in (20, 60) else w for i, w in enumerate(words[:80])]
+        rows += [(" ".join(words), 0), (" ".join(words + [f"x{rng.randrange(10**6)}" for _ in range(22)]), 0),
+                 (" ".join(words[:50] + [f"y{rng.randrange(10**6)}" for _ in range(18 + 2 * k)] + words[50:]), 0)]
+        base = [f"z{rng.randrange(10**6)}" for _ in range(76)]
+        rows += [(" ".join(base), 0), (" ".join(f"e{i}" if i in (20, 50) else w for i, w in enumerate(base)), 0)]
+        rows += [(" ".join(edited), 0)]
+    docs = spark.createDataFrame([(i, t, "en", "h", len(t)) for i, (t, _) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+
+    def links(n, percent):
+        sets = [set(shingle_set(t.encode(), n).tolist()) for t, _ in rows]
+        return {(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+
+    five, three = links(5, 80), links(3, 85)
+    assert five - three and three - five
+    want = {i for i, c in _union_find(dict(enumerate(rows)), five | three).items() if i == c}
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()} == want
+
+
 def test_substring_stage(outputs):
     before = sorted(outputs["near_dedup"], key=lambda r: r["doc_id"])
     after = {r["doc_id"]: r for r in outputs["substring_dedup"]}

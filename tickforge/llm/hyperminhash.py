@@ -1,6 +1,6 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document is the set of its hashed 3-word shingles. Its sketch has ``BUCKETS`` registers;
+A document is the set of its hashed word shingles. Its sketch has ``BUCKETS`` registers;
 each keeps, of the least hash in its bucket, the count of leading zeros (6 bits) and
 ``MANTISSA`` bits after the leading one: as many as keep accidental agreement of nearly empty
 bands rare among billions of documents. ``ROWS`` neighbouring registers form a band; documents
@@ -17,8 +17,15 @@ What moves is never a pair of documents before it is a confirmed link:
 * texts join only the nodes that have a pair left to confirm;
 * of the links a task confirms it returns a spanning forest, which names the same components.
 
-At the linking threshold 0.85 a pair shares no band with a chance of (1 - 0.85**6)**32, about
-3e-7; the sketch test lies five standard deviations below the threshold.
+A ``Measure`` says how many words a shingle has, from which similarity on sets are linked and how
+the bands are cut. The query uses ``QUERY``; ``keep_one_of_each`` links what any of ``STAGE`` links:
+an edit of one word costs more five-word shingles than three-word ones, a passage put in
+one place costs about as many of both, so neither measure finds all that the other does. Sets of a longer
+shingle tell apart whatever sets of a shorter one do, so links are brought to the sets of the first
+(shortest) measure, and components are those of all links together.
+
+At its threshold a pair shares no band of a measure with a chance of about 3e-7, (1 - 0.85**6)**32 and
+(1 - 0.8**5)**38; the sketch test lies five standard deviations below the threshold.
 
 Defined results: null, empty or blank texts have an empty set and link with nothing (their own
 component); texts under three words are one shingle; repeated rows share their set and
@@ -29,6 +36,9 @@ only; other columns are ignored; empty tables give empty results.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,57 +54,77 @@ MANTISSA = 26
 SHINGLE = 3
 PERCENT = 85
 MARGIN = 5.0
+BAND_BITS = 63                        # low bits of a key that hold its band
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Sets of ``shingle``-word shingles, linked where 100 * shared >= percent * union; sketches
+    of ``bands`` bands (64 at most) of ``rows`` registers."""
+    shingle: int = SHINGLE
+    percent: int = PERCENT
+    rows: int = ROWS
+    bands: int = BANDS
+
+    @property
+    def buckets(self) -> int:
+        return self.rows * self.bands
+
+
+QUERY = Measure()
+STAGE = (QUERY, Measure(5, 80, 5, 38))
 # Members of a block and their shingles (8 bytes each).
 BLOCK_DOCS, BLOCK_SHINGLES = 1_024, 2_000_000
 
 _U = np.uint64
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
+def sketch(hashes: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """Registers of a sorted hash set (0: empty bucket)."""
-    out = np.zeros(BUCKETS, np.uint32)
+    out = np.zeros(buckets, np.uint32)
     if len(hashes):
-        bucket = ((hashes >> _U(32)) * _U(BUCKETS)) >> _U(32)
+        bucket = ((hashes >> _U(32)) * _U(buckets)) >> _U(32)
         first = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
-        rest = hashes[first] * _U(BUCKETS)                 # uniform and rising within a bucket
+        rest = hashes[first] * _U(buckets)                 # uniform and rising within a bucket
         zeros = np.clip(64 - np.frexp(rest.astype(np.float64))[1], 0, 62).astype(np.uint64)
         after = (rest << (zeros + _U(1))) >> _U(64 - MANTISSA)
         out[bucket[first].astype(np.int64)] = (((zeros + _U(1)) << _U(MANTISSA)) | after).astype(np.uint32)
     return out
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) keys of the bands; 0 where all registers of a band are empty."""
-    r = registers.reshape(len(registers), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), r.shape[:2])
-    for i in range(ROWS):
+def band_keys(registers: np.ndarray, m: Measure = QUERY) -> np.ndarray:
+    """(documents, bands) keys of the bands; 0 where all registers of a band are empty."""
+    r = registers.reshape(len(registers), m.bands, m.rows).astype(np.uint64)
+    key = np.broadcast_to(mix(np.arange(1, m.bands + 1, dtype=np.uint64)), r.shape[:2])
+    for i in range(m.rows):
         key = mix(key * _U(0x9E3779B97F4A7C15) + r[:, :, i])
-    band = np.arange(BANDS, dtype=np.uint64)
-    return np.where(r.any(2), (key & ~_U(BANDS - 1)) | band, _U(0)).astype(np.int64)
+    band = np.arange(m.bands, dtype=np.uint64)
+    return np.where(r.any(2), (key & ~_U(BAND_BITS)) | band, _U(0)).astype(np.int64)
 
 
-def expected_collisions(n, m) -> np.ndarray:
+def expected_collisions(n, m, buckets: int = BUCKETS) -> np.ndarray:
     """Registers that agree by accident in sketches of ``n`` and ``m`` elements (public
     approximation for large sets; an upper estimate for small ones)."""
     share = 4.0 * n * m / np.square(n + m, dtype=np.float64)
-    return 0.169919487159739093975 * BUCKETS / (1 << MANTISSA) * share
+    return 0.169919487159739093975 * buckets / (1 << MANTISSA) * share
 
 
-def estimates(registers: np.ndarray, size: np.ndarray, i: int, js: np.ndarray):
+def estimates(registers: np.ndarray, size: np.ndarray, i: int, js: np.ndarray, m: Measure = QUERY):
     """(Jaccard estimates, occupied registers, first agreeing band) of row ``i`` with rows ``js``."""
     a, b = registers[i], registers[js]
     occupied = ((a > 0) | (b > 0)).sum(1)
     equal = a == b
     agree = (equal & (a > 0)).sum(1)
-    by_band = equal.reshape(len(js), BANDS, ROWS).all(2) & a.reshape(BANDS, ROWS).any(1)
-    est = (agree - expected_collisions(float(size[i]), size[js].astype(np.float64))) / np.maximum(occupied, 1)
+    by_band = equal.reshape(len(js), m.bands, m.rows).all(2) & a.reshape(m.bands, m.rows).any(1)
+    accidental = expected_collisions(float(size[i]), size[js].astype(np.float64), m.buckets)
+    est = (agree - accidental) / np.maximum(occupied, 1)
     return est, occupied, by_band.argmax(1)
 
 
-def _close_pairs(registers, size, block, band, here: tuple[int, int], percent: int):
+def _close_pairs(registers, size, block, band, here: tuple[int, int], m: Measure):
     """Index pairs of a bucket's rows that may be linked and first agree in ``band``.
     With two blocks only pairs across them are looked at."""
-    goal = percent / 100
+    goal = m.percent / 100
     rows = np.arange(len(size))
     for i in rows:
         js = rows[block == here[1]] if here[0] != here[1] else rows[i + 1:]
@@ -102,49 +132,53 @@ def _close_pairs(registers, size, block, band, here: tuple[int, int], percent: i
             continue
         # Sets whose sizes differ too much can't reach the threshold.
         lo, hi = np.minimum(size[i], size[js]), np.maximum(size[i], size[js])
-        js = js[100 * lo >= percent * hi]
+        js = js[100 * lo >= m.percent * hi]
         if not len(js):
             continue
-        est, occupied, first = estimates(registers, size, i, js)
+        est, occupied, first = estimates(registers, size, i, js, m)
         near = (first == band) & (est >= goal - MARGIN * np.sqrt(goal * (1 - goal) / np.maximum(occupied, 1)))
         for j in js[near]:
             yield int(i), int(j)
 
 
-def _registers(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, BUCKETS)
+def _registers(column: pa.Array, m: Measure) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, m.buckets)
 
 
 def _node(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, registers) of every row; node (a 128-bit hash of the set) and
-    registers are null for empty sets."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("registers", pa.binary())])
+def sketches(docs: DataFrame, measures: tuple[Measure, ...] = (QUERY,)) -> DataFrame:
+    """(doc_id, then n_k, node_k, registers_k for measure k) of every row; node (a 128-bit hash of
+    the set) and registers are null for empty sets."""
+    kinds = [("n", pa.int64(), "long"), ("node", pa.binary(), "binary"), ("registers", pa.binary(), "binary")]
+    schema = pa.schema([("doc_id", pa.int64()), *((f"{c}_{k}", t) for k in range(len(measures)) for c, t, _ in kinds)])
+    ddl = ", ".join(["doc_id long", *(f"{c}_{k} {t}" for k in range(len(measures)) for c, _, t in kinds)])
 
     def run(batches):
         for batch in batches:
             for part in in_parts(batch, "text"):
-                sets = [shingle_set(t, SHINGLE) for t in utf8(part.column("text"))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([_node(s) if len(s) else None for s in sets], pa.binary()),
-                     pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], schema=schema)
+                columns, texts = [part.column("doc_id")], utf8(part.column("text"))
+                for m in measures:
+                    sets = [shingle_set(t, m.shingle) for t in texts]
+                    columns += [pa.array([len(s) for s in sets], pa.int64()),
+                                pa.array([_node(s) if len(s) else None for s in sets], pa.binary()),
+                                pa.array([sketch(s, m.buckets).tobytes() if len(s) else None for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n long, node binary, registers binary")
+    return docs.mapInArrow(run, ddl)
 
 
-def _bands(nodes: DataFrame) -> DataFrame:
+def _bands(nodes: DataFrame, m: Measure) -> DataFrame:
     """(key, id, n) rows of every non-empty band of every node (id, n, registers); the low
-    five bits of a key are its band."""
+    six bits of a key are its band."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                keys = band_keys(_registers(batch.column("registers")))
+                keys = band_keys(_registers(batch.column("registers"), m), m)
                 doc, band = np.nonzero(keys)
                 owner = pa.array(doc)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[doc, band]), batch.column("id").take(owner),
@@ -175,18 +209,18 @@ def _grouped(rows: DataFrame) -> DataFrame:
 
 def _place(g: pa.RecordBatch) -> tuple[int, tuple[int, int]]:
     """(band, blocks) of a group."""
-    return g.column("key")[0].as_py() & 31, (g.column("i")[0].as_py(), g.column("j")[0].as_py())
+    return g.column("key")[0].as_py() & BAND_BITS, (g.column("i")[0].as_py(), g.column("j")[0].as_py())
 
 
-def _survivors(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _survivors(members: DataFrame, nodes: DataFrame, m: Measure) -> DataFrame:
     """Bucket rows that have a pair left to confirm after comparing sketches."""
     def run(batches):
         for g in sorted_groups(batches, _GROUP):
             if g.num_rows < 2:
                 continue
             band, here = _place(g)
-            pairs = _close_pairs(_registers(g.column("registers")), g.column("n").to_numpy(),
-                                 g.column("block").to_numpy(), band, here, percent)
+            pairs = _close_pairs(_registers(g.column("registers"), m), g.column("n").to_numpy(),
+                                 g.column("block").to_numpy(), band, here, m)
             keep = sorted({x for pair in pairs for x in pair})
             if keep:
                 yield g.select(_MEMBER.names).take(pa.array(keep)).cast(_MEMBER)
@@ -195,7 +229,7 @@ def _survivors(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return _grouped(rows).mapInArrow(run, "key long, i int, j int, block int, id long")
 
 
-def _links(survivors: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
     """(a, b): confirmed links between nodes, a spanning forest of each group's; sets are
     made again from the joined texts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -206,14 +240,14 @@ def _links(survivors: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for k, (i, node, text) in enumerate(zip(g.column("id").to_pylist(), g.column("node").to_pylist(),
                                                     utf8(g.column("text")))):
                 if i not in sets:
-                    s = shingle_set(text, SHINGLE)
+                    s = shingle_set(text, m.shingle)
                     if _node(s) == node:            # an id may stand for several texts
                         sets[i] = s
                         seen.append(k)
             if len(seen) < 2:
                 continue
             ids, sets = list(sets), list(sets.values())
-            regs = np.stack([sketch(s) for s in sets])
+            regs = np.stack([sketch(s, m.buckets) for s in sets])
             band, here = _place(g)
             root = list(range(len(ids)))
 
@@ -225,12 +259,12 @@ def _links(survivors: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
             found = []
             for x, y in _close_pairs(regs, np.array([len(s) for s in sets]), g.column("block").to_numpy()[seen],
-                                     band, here, percent):
+                                     band, here, m):
                 if top(x) == top(y):
                     continue
                 both = len(sets[x]) + len(sets[y])
                 same = both - len(np.union1d(sets[x], sets[y]))
-                if 100 * same >= percent * (both - same):
+                if 100 * same >= m.percent * (both - same):
                     root[top(x)] = top(y)
                     found.append((ids[x], ids[y]))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
@@ -239,39 +273,65 @@ def _links(survivors: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _grouped(survivors.join(texts, "id")).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row. Sets are linked where
-    100 * shared >= percent * union."""
-    d = id_text(docs, id_col, text_col)
-    rows = written(sketches(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
+def _linked_sets(d: DataFrame, rows: DataFrame, k: int, m: Measure) -> tuple[DataFrame, DataFrame]:
+    """((node, rep, id) of every set of measure ``k`` in the sketch table, links (a, b) between ids)."""
+    mine = rows.select("doc_id", "row", F.col(f"n_{k}").alias("n"), F.col(f"node_{k}").alias("node"),
+                       F.col(f"registers_{k}").alias("registers"))
     # One row per set: its least document and the row that stands for it.
-    sets = written(rows.filter("node is not null").groupBy("node")
+    sets = written(mine.filter("node is not null").groupBy("node")
                    .agg(F.min("doc_id").alias("rep"), F.min("row").alias("id")), "sets")
-    nodes = rows.join(small_side(sets.select("id")), F.col("row") == F.col("id"))
-    bands = written(_bands(nodes), "bands")
-    survivors = written(_survivors(_members(bands), nodes, percent), "survivors")
+    nodes = mine.join(small_side(sets.select("id")), F.col("row") == F.col("id"))
+    bands = written(_bands(nodes, m), "bands")
+    survivors = written(_survivors(_members(bands), nodes, m), "survivors")
     discard(bands)
     # Texts of the sets that survived, by the least document that has the set.
     wanted = written(survivors.select("id").distinct().join(sets, "id"), "wanted")
     texts = d.join(small_side(wanted), d.doc_id == wanted.rep).select("id", "node", "text")
-    links = written(_links(survivors, texts, percent).distinct(), "links")
-    named = components(links).withColumnRenamed("node", "id").join(sets.select("id", "rep"), "id")
+    links = written(_links(survivors, texts, m).distinct(), "links")
+    discard(survivors, wanted)
+    return sets, links
+
+
+def _judged(d: DataFrame, measures: tuple[Measure, ...]) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``d`` (doc_id, text); sizes are
+    those of the first measure, whose shingles are the shortest."""
+    rows = written(sketches(d, measures).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    sets, links = _linked_sets(d, rows, 0, measures[0])
+    found, temporary = [links], [sets, links]
+    for k, m in enumerate(measures[1:], 1):
+        finer, more = _linked_sets(d, rows, k, m)
+        temporary += [finer, more]
+        # A set of this measure lies within one of the first: that of the row that stands for it.
+        ends = written(more.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+                       .join(rows.select("row", F.col("node_0").alias("node")), "row")
+                       .join(sets, "node").select("row", "id"), "ends")
+        temporary.append(ends)
+        for c in ("a", "b"):
+            more = more.join(ends.select(F.col("row").alias(c), F.col("id").alias(f"{c}_id")), c)
+        found.append(more.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).filter("a != b"))
+    named = components(reduce(DataFrame.unionByName, found)).withColumnRenamed("node", "id").join(sets.select("id", "rep"), "id")
     least = named.groupBy("root").agg(F.min("rep").alias("component"))
     linked = named.join(least, "root").select("id", "component")
     classes = written(sets.join(linked, "id", "left")
                       .select("node", F.coalesce("component", "rep").alias("component")), "classes")
-    discard(survivors, wanted, links, sets)
-    out = rows.select("doc_id", "n", "node").join(classes, "node", "left")
+    discard(*temporary)
+    out = rows.select("doc_id", F.col("n_0").alias("n_shingles"), F.col("node_0").alias("node")).join(classes, "node", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row. Sets are linked where
+    100 * shared >= percent * union; lower thresholds need more bands or fewer rows."""
+    return _judged(id_text(docs, id_col, text_col), (Measure(shingle, percent, rows, bands),))
+
+
+def keep_one_of_each(docs: DataFrame, measures: tuple[Measure, ...] = STAGE) -> DataFrame:
     """Rows of ``docs`` (all columns) that stand for their component: those of its least id.
-    Of rows that repeat an id and its text one stays."""
-    rows = written(near_duplicates(docs, percent=percent).filter("kept").groupBy("doc_id")
+    Of rows that repeat an id and its text one stays. Sets are linked by any of ``measures``."""
+    rows = written(_judged(id_text(docs), measures).filter("kept").groupBy("doc_id")
                    .agg(F.count(F.lit(1)).alias("n")), "kept-ids")
 
     def of(ids: DataFrame) -> DataFrame:
