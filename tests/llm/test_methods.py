@@ -373,6 +373,27 @@ def test_edited_copies_are_found_and_others_left(spark):
     assert all(r["score"] == 1.0 for r in found if r["doc_id"] >= 200)
 
 
+def test_quotations_and_every_copy_are_found():
+    rng = random.Random(6)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [words(59), words(200), words(60)]
+    index = decontaminate.SeedIndex.build([(k, " ".join(w)) for k, w in enumerate(items)])
+    seed = np.ones(len(index.item), bool)
+
+    def found(text):
+        return [(item, a, b) for item, _, a, b in decontaminate.matches_of(index, seed, " ".join(text), 0.5)]
+
+    assert found(words(40) + items[0][10:39] + words(40)) == [(0, 40, 69)]
+    assert found(words(40) + items[1][50:140] + words(40)) == [(1, 40, 130)]
+    assert found(words(40) + items[1][50:62] + words(40)) == []
+    third = [w if k % 9 < 6 else "other%d" % k for k, w in enumerate(items[2])]
+    assert found(words(30) + third + words(30)) == [(2, 30, 90)]
+    # Copies close to each other, one of them edited, and many in a row.
+    edited = [w if k % 7 else "new%d" % k for k, w in enumerate(items[2])][1:-1]
+    assert found(items[2] + words(5) + edited + words(70) + items[2]) == [(2, 0, 60), (2, 65, 123), (2, 193, 253)]
+    assert found(items[0] * 100) == [(0, 59 * k, 59 * k + 59) for k in range(100)]
+
+
 def test_matches_equal_search_of_all_pairs(spark, docs, texts):
     """Alignment of every document with every item, without seeds."""
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -4,8 +4,11 @@ Every word trigram of the benchmark items is counted over all documents. The tri
 an item that are at most ``RARE`` times as frequent as its median one are its seeds: at
 least half of them, whatever the corpus holds. Where a seed stands
 in a document, the passage around it is aligned with the item word by word (match +2,
-mismatch -1, gap -1); a local alignment worth ``min_score`` of a perfect copy is a match,
-so edited and partly rewritten copies count as well as exact ones.
+mismatch -1, gap -1). A local alignment is a match if it is worth ``min_score`` of a perfect copy
+of the item or as much as ``QUOTE`` words copied in a row, whatever the item's length: edited
+and partly rewritten copies count as well as exact ones, and so do quotations of a part. After
+each match the parts of the passage left and right of it are aligned anew as long as they hold a
+seed, so every copy is reported.
 
 The benchmark is a stated query set: it is read in blocks of at most about
 ``BLOCK_WORDS`` words, each sent to all tasks, and every block meets every document. Documents
@@ -32,6 +35,7 @@ from .common import filter_rows, id_text, in_parts
 N = 3
 RARE = 4
 MIN_SCORE = 0.5
+QUOTE = 13
 BLOCK_WORDS = 500_000
 _WORD = re.compile(r"\w+")
 
@@ -127,29 +131,72 @@ def matches_of(index: SeedIndex, seed: np.ndarray, text: str, min_score: float)
         return []
     sizes = index.at[k + 1] - index.at[k]
     occurrence = np.repeat(index.at[k] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    starts = np.repeat(places, sizes)[seed[occurrence]]
-    occurrence = occurrence[seed[occurrence]]
+    seed_here = seed[occurrence]
+    starts = np.repeat(places, sizes)[seed_here]
+    occurrence = occurrence[seed_here]
     starts, items = starts - index.place[occurrence], index.item[occurrence]
+    at = np.repeat(places, sizes)[seed_here]
     order = np.lexsort((starts, items))
     found = []
-    windows: list[list[int]] = []
-    for item, start in zip(items[order].tolist(), starts[order].tolist()):
+    windows: list[list] = []
+    for item, start, place in zip(items[order].tolist(), starts[order].tolist(), at[order].tolist()):
         size = len(index.items[item])
         lo, hi = max(0, start - size // 2 - 4), min(len(ids), start + size + size // 2 + 4)
         if windows and windows[-1][0] == item and lo <= windows[-1][2]:
             windows[-1][2] = max(hi, windows[-1][2])
+            windows[-1][3].append(place)
         else:
-            windows.append([item, lo, hi])
-    for item, lo, hi in windows:
+            windows.append([item, lo, hi, [place]])
+    for item, lo, hi, seeds in windows:
         words = index.items[item]
-        score, i, j = align(words, ids[lo:hi])
-        if score >= 2 * len(words) * min_score:
-            # The same alignment backwards from its end gives its start.
-            _, _, back = align(words[:i][::-1], ids[lo:lo + j][::-1])
-            found.append((item, score / (2 * len(words)), lo + j - back, lo + j))
+        for score, a, b in _passages(words, ids, lo, hi, np.unique(seeds), limit_of(len(words), min_score)):
+            found.append((item, score / (2 * len(words)), a, b))
     return found
 
 
+def limit_of(size: int, min_score: float) -> float:
+    """Least score of a match with an item of ``size`` words."""
+    return min(2 * size * min_score, 2 * QUOTE)
+
+
+def _parts(item: np.ndarray, ids: np.ndarray, lo: int, hi: int, seeds: np.ndarray, limit: float) -> list[tuple]:
+    """(score, first word, end word) of the matches in words ``lo`` to ``hi``, in order: the best
+    alignment, then those left and right of it."""
+    found, todo = [], [(lo, hi)]
+    while todo:
+        lo, hi = todo.pop()
+        k = np.searchsorted(seeds, lo)
+        if k == len(seeds) or seeds[k] + N > hi:
+            continue
+        score, i, j = align(item, ids[lo:hi])
+        if score < limit:
+            continue
+        # The same alignment backwards from its end gives its start.
+        _, _, back = align(item[:i][::-1], ids[lo:lo + j][::-1])
+        a, b = lo + j - back, lo + j
+        found.append((score, a, b))
+        todo += [(lo, a), (b, hi)]
+    return sorted(found, key=lambda x: x[1])
+
+
+def _passages(item: np.ndarray, ids: np.ndarray, lo: int, hi: int, seeds: np.ndarray, limit: float):
+    """Matches of a window of any length, in slices of some item lengths, so that many copies in a
+    row cost no more each than a few. A match spans three item lengths at most: what ends nearer
+    than that to a slice's end is left to the next slice, which starts before it."""
+    reach = 3 * len(item) + 8
+    while lo < hi:
+        end = min(hi, lo + 6 * reach)
+        done = lo
+        for match in _parts(item, ids, lo, end, seeds, limit):
+            if end < hi and match[2] > end - reach:
+                break
+            yield match
+            done = match[2]
+        if end == hi:
+            return
+        lo = max(done, end - 2 * reach)
+
+
 def _blocks(benchmark: DataFrame, block_words: int):
     """Items in blocks of about ``block_words`` words, dealt by hash."""
     size = F.size(F.split("text", "\\s+"))
@@ -199,7 +246,8 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  item_col: str = "item_id", item_text_col: str = "text", min_score: float = MIN_SCORE,
                  block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): one row per passage of a document
-    that aligns with an item. ``score`` is 1.0 for an exact copy; word positions count from 0."""
+    that aligns with an item. ``score`` is 1.0 for an exact copy, less than ``min_score`` for a
+    quotation of a smaller part; word positions count from 0."""
     d = id_text(docs, id_col, text_col)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
                         ("first_word", pa.int64()), ("end_word", pa.int64())])
