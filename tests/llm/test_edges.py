@@ -109,6 +109,24 @@ def test_without_labels(spark):
     assert {r["lang_pred"] for r in byte_language.language_id(none).collect()} == {"und"}
 
 
+def test_rows_without_an_id(spark):
+    """They stay in the pipeline's stages and take part in every comparison."""
+    shared, base = prose(21, 90), prose(22, 120)
+    near = base + " tail end"
+    d = edge_docs(spark, [(None, prose(23, 60), "en", "h"), (None, prose(24, 70), "en", "h"), (None, base, "en", "h"),
+                          (None, near, "en", "h"), (7, prose(25, 80), "en", "h"), (7, prose(26, 80), "en", "h"),
+                          (3, prose(26, 80) + " more", "en", "h"), (None, prose(27, 50) + shared, "en", "h"),
+                          (9, prose(28, 50) + shared, "en", "h")])
+    kept = [r["text"] for r in hyperminhash.keep_one_of_each(d).collect()]
+    assert (base in kept) + (near in kept) == 1
+    assert sorted(t for t in kept if t not in (base, near)) == sorted(
+        [prose(23, 60), prose(24, 70), prose(25, 80), prose(26, 80) + " more", prose(27, 50) + shared, prose(28, 50) + shared])
+    cut = {r["doc_id"]: r for r in suffix_dedup.substring_dedup(d.filter("doc_id = 9 or text like '%" + shared + "'")).collect()}
+    assert len(shared) > 400 and all(cut[i]["n_removed"] >= len(shared) for i in (None, 9))
+    texts = [r["text"] for r in suffix_dedup.without_repeats(d).collect()]
+    assert len(texts) == 9 and not any(shared in t for t in texts)
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, text string, n_chars int"
     pages = spark.createDataFrame([(1, None, None, "x", 1), (1, "u", "", "x", 1), (None, "u", "<p>only &amp; one", "x", 1),

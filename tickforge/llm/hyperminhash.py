@@ -30,8 +30,8 @@ At its threshold a pair shares no band of a measure with a chance of about 3e-7,
 Defined results: null, empty or blank texts have an empty set and link with nothing (their own
 component); texts under three words are one shingle; repeated rows share their set and
 component; very long texts are handled whole; ids that repeat with different texts are separate
-nodes and the least id names the component; rows without an id are linked with equal sets
-only; other columns are ignored; empty tables give empty results.
+nodes and the least id names the component; rows without an id are linked like any other, and
+a component of such rows alone has no name and is kept by one of its sets; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -150,16 +150,16 @@ def _node(hashes: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, measures: tuple[Measure, ...] = (QUERY,)) -> DataFrame:
-    """(doc_id, then n_k, node_k, registers_k for measure k) of every row; node (a 128-bit hash of
+    """(doc_id, key, then n_k, node_k, registers_k for measure k) of every row (doc_id, key, text); node (a 128-bit hash of
     the set) and registers are null for empty sets."""
     kinds = [("n", pa.int64(), "long"), ("node", pa.binary(), "binary"), ("registers", pa.binary(), "binary")]
-    schema = pa.schema([("doc_id", pa.int64()), *((f"{c}_{k}", t) for k in range(len(measures)) for c, t, _ in kinds)])
-    ddl = ", ".join(["doc_id long", *(f"{c}_{k} {t}" for k in range(len(measures)) for c, _, t in kinds)])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), *((f"{c}_{k}", t) for k in range(len(measures)) for c, t, _ in kinds)])
+    ddl = ", ".join(["doc_id long", "key long", *(f"{c}_{k} {t}" for k in range(len(measures)) for c, _, t in kinds)])
 
     def run(batches):
         for batch in batches:
             for part in in_parts(batch, "text"):
-                columns, texts = [part.column("doc_id")], utf8(part.column("text"))
+                columns, texts = [part.column("doc_id"), part.column("key")], utf8(part.column("text"))
                 for m in measures:
                     sets = [shingle_set(t, m.shingle) for t in texts]
                     columns += [pa.array([len(s) for s in sets], pa.int64()),
@@ -241,7 +241,7 @@ def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
                                                     utf8(g.column("text")))):
                 if i not in sets:
                     s = shingle_set(text, m.shingle)
-                    if _node(s) == node:            # an id may stand for several texts
+                    if _node(s) == node:            # keys of other rows may be equal by chance
                         sets[i] = s
                         seen.append(k)
             if len(seen) < 2:
@@ -274,27 +274,29 @@ def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
 
 
 def _linked_sets(d: DataFrame, rows: DataFrame, k: int, m: Measure) -> tuple[DataFrame, DataFrame]:
-    """((node, rep, id) of every set of measure ``k`` in the sketch table, links (a, b) between ids)."""
-    mine = rows.select("doc_id", "row", F.col(f"n_{k}").alias("n"), F.col(f"node_{k}").alias("node"),
+    """((node, rep, key, id) of every set of measure ``k`` in the sketch table, links (a, b) between ids)."""
+    mine = rows.select("doc_id", "key", "row", F.col(f"n_{k}").alias("n"), F.col(f"node_{k}").alias("node"),
                        F.col(f"registers_{k}").alias("registers"))
-    # One row per set: its least document and the row that stands for it.
+    # One row per set: its least document, the key of a row with its text and the row that stands for it.
     sets = written(mine.filter("node is not null").groupBy("node")
-                   .agg(F.min("doc_id").alias("rep"), F.min("row").alias("id")), "sets")
+                   .agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.min("row").alias("id")), "sets")
     nodes = mine.join(small_side(sets.select("id")), F.col("row") == F.col("id"))
     bands = written(_bands(nodes, m), "bands")
     survivors = written(_survivors(_members(bands), nodes, m), "survivors")
     discard(bands)
-    # Texts of the sets that survived, by the least document that has the set.
-    wanted = written(survivors.select("id").distinct().join(sets, "id"), "wanted")
-    texts = d.join(small_side(wanted), d.doc_id == wanted.rep).select("id", "node", "text")
+    # Texts of the sets that survived, by the key of a row that has the set.
+    wanted = written(survivors.select("id").distinct().join(sets, "id").select("id", "node", "key"), "wanted")
+    texts = d.join(small_side(wanted), "key").select("id", "node", "text")
     links = written(_links(survivors, texts, m).distinct(), "links")
     discard(survivors, wanted)
     return sets, links
 
 
 def _judged(d: DataFrame, measures: tuple[Measure, ...]) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``d`` (doc_id, text); sizes are
-    those of the first measure, whose shingles are the shortest."""
+    """(doc_id, key, n_shingles, component_id, kept, nameless) of every row of ``d`` (doc_id, text); sizes are
+    those of the first measure, whose shingles are the shortest. ``nameless`` is the set of a row
+    whose component holds no id."""
+    d = _keyed(d)
     rows = written(sketches(d, measures).withColumn("row", F.monotonically_increasing_id()), "sketches")
     sets, links = _linked_sets(d, rows, 0, measures[0])
     found, temporary = [links], [sets, links]
@@ -310,32 +312,51 @@ def _judged(d: DataFrame, measures: tuple[Measure, ...]) -> DataFrame:
             more = more.join(ends.select(F.col("row").alias(c), F.col("id").alias(f"{c}_id")), c)
         found.append(more.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).filter("a != b"))
     named = components(reduce(DataFrame.unionByName, found)).withColumnRenamed("node", "id").join(sets.select("id", "rep"), "id")
-    least = named.groupBy("root").agg(F.min("rep").alias("component"))
-    linked = named.join(least, "root").select("id", "component")
+    least = named.groupBy("root").agg(F.min("rep").alias("component"), F.min("id").alias("first"))
+    linked = named.join(least, "root").select("id", "component", "first")
+    component = F.coalesce("component", "rep")
     classes = written(sets.join(linked, "id", "left")
-                      .select("node", F.coalesce("component", "rep").alias("component")), "classes")
+                      .select("node", component.alias("component"), F.when(component.isNull(), F.col("id")).alias("nameless"),
+                              (component.isNull() & (F.col("id") != F.coalesce("first", "id"))).alias("later")), "classes")
     discard(*temporary)
-    out = rows.select("doc_id", F.col("n_0").alias("n_shingles"), F.col("node_0").alias("node")).join(classes, "node", "left")
+    out = rows.select("doc_id", "key", F.col("n_0").alias("n_shingles"), F.col("node_0").alias("node")).join(classes, "node", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    stands = F.col("doc_id").eqNullSafe(component) & ~F.coalesce("later", F.lit(False))
+    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), stands.alias("kept"), "nameless")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, shingle: int = SHINGLE, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row. Sets are linked where
     100 * shared >= percent * union; lower thresholds need more bands or fewer rows."""
-    return _judged(id_text(docs, id_col, text_col), (Measure(shingle, percent, rows, bands),))
+    return (_judged(id_text(docs, id_col, text_col), (Measure(shingle, percent, rows, bands),))
+            .drop("key", "nameless"))
 
 
 def keep_one_of_each(docs: DataFrame, measures: tuple[Measure, ...] = STAGE) -> DataFrame:
-    """Rows of ``docs`` (all columns) that stand for their component: those of its least id.
-    Of rows that repeat an id and its text one stays. Sets are linked by any of ``measures``."""
-    rows = written(_judged(id_text(docs), measures).filter("kept").groupBy("doc_id")
-                   .agg(F.count(F.lit(1)).alias("n")), "kept-ids")
-
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(small_side(ids.select(F.col("doc_id").alias("__kept_id"))),
-                         F.col("doc_id") == F.col("__kept_id"), "left_semi")
-
-    return of(rows.filter("n = 1")).unionByName(of(rows.filter("n > 1")).dropDuplicates(["doc_id", "text"]))
+    """Rows of ``docs`` (all columns) that stand for their component: those of its least id, or
+    one row where it has no id. Of rows that repeat an id and its text one stays. Sets are
+    linked by any of ``measures``."""
+    kept = written(_judged(id_text(docs), measures).filter("kept").select("doc_id", "key", "nameless"), "kept-rows")
+    named = kept.filter("nameless is null").select("doc_id", "key")
+    nameless = (kept.filter("nameless is not null").groupBy("nameless").agg(F.min("key").alias("key"))
+                .select(F.lit(None).cast("long").alias("doc_id"), "key"))
+    # The nameless key stands with as many rows as repeat it.
+    repeats = kept.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    chosen = named.unionByName(nameless).distinct().select(F.col("doc_id").alias("c_id"), F.col("key").alias("c_key"))
+    rows = written(repeats.join(chosen, (F.col("key") == F.col("c_key")) & F.col("doc_id").eqNullSafe(F.col("c_id")),
+                                "left_semi"), "kept-keys")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), text))
+
+    def of(keys: DataFrame) -> DataFrame:
+        side = small_side(keys.select(F.col("doc_id").alias("__id"), F.col("key").alias("__kept_key")))
+        return keyed.join(side, (F.col("__key") == F.col("__kept_key"))
+                          & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+
+    return of(rows.filter("n = 1")).unionByName(of(rows.filter("n > 1")).dropDuplicates(["doc_id", "text"])).drop("__key")
+
+
+def _keyed(d: DataFrame) -> DataFrame:
+    """``d`` (doc_id, text) with a key of each row that is never null."""
+    return d.withColumn("key", F.xxhash64("doc_id", "text"))

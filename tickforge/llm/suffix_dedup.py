@@ -18,8 +18,8 @@ Windows never cross documents, all judgements are on the input, and overlaps cou
 
 Defined results: null and empty texts have 0 bytes and nothing removed; rows that repeat, ids
 included, count as repeats of each other; texts shorter than ``LENGTH`` keep all bytes; very
-long texts are read in overlapping chunks; texts that only rows without an id hold take part
-as wholes only; other columns are ignored; empty tables give empty results.
+long texts are read in overlapping chunks; rows without an id take part like any other; other
+columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -92,28 +92,33 @@ def segments(text: bytes):
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_id, n_bytes, sha) of every row; sha is of the whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text_id", pa.binary()), ("n_bytes", pa.int64()), ("sha", pa.string())])
+    """(doc_id, key, text_id, n_bytes, sha) of every row; sha is of the whole text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("text_id", pa.binary()), ("n_bytes", pa.int64()), ("sha", pa.string())])
 
     def run(batches):
         for batch in batches:
             for part in in_parts(batch, "text"):
                 texts = utf8(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([text_key(t) for t in texts], pa.binary()),
+                    [part.column("doc_id"), part.column("key"), pa.array([text_key(t) for t in texts], pa.binary()),
                      pa.array([len(t) for t in texts], pa.int64()),
                      pa.array([hashlib.sha256(t).hexdigest() for t in texts])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, text_id binary, n_bytes long, sha string")
+    return docs.withColumn("key", _row_key()).mapInArrow(run, "doc_id long, key long, text_id binary, n_bytes long, sha string")
 
 
 def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(text_id, text) of the texts in ``chosen`` (text_id, rep), read from their least id."""
+    """(text_id, text) of the texts in ``chosen`` (text_id, rep), read from the rows with their least key."""
     # 128-bit keys of texts are taken apart in the tasks, which see the text anyway.
-    return (docs.join(small_side(chosen.select("text_id", "rep")), docs.doc_id == F.col("rep"))
+    return (docs.join(small_side(chosen.select("text_id", "rep")), _row_key() == F.col("rep"))
             .select("text_id", "text"))
 
 
+def _row_key():
+    """Hash of a row's id and text, never null."""
+    return F.xxhash64("doc_id", "text")
+
+
 def _anchors(texts: DataFrame) -> DataFrame:
     """(key, text_id, start, windows, offset) of every segment of every text."""
     schema = pa.schema([("key", pa.int64()), ("text_id", pa.binary()), ("start", pa.int64()),
@@ -322,7 +327,7 @@ def kept_parts(text: bytes, starts, ends, whole_characters: bool = False) -> byt
 def _outcome(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(text_id, n_removed, n_spans, kept_sha256, kept) of the distinct texts that lose bytes
     and have one row only; ``kept`` cut at whole characters."""
-    distinct = written(rows.groupBy("text_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+    distinct = written(rows.groupBy("text_id").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                    F.first("n_bytes").alias("n_bytes")), "distinct-texts")
     found, temporary = repeated_runs(docs, distinct)
     runs = found.groupBy("text_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
