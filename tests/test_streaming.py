@@ -36,6 +36,16 @@ def test_late_row_dropped_and_counted(spark):
     assert sum(r["messages_processed"] for r in pm) == 42 and all(r["batch_duration_ms"] >= 0 for r in pm)
 
 
+def test_progress_of_more_batches_than_the_engine_keeps(spark):
+    base = scratch_path(spark, f"t-progress-{uuid.uuid4().hex}")
+    spark.range(0, 240, 1, 120).write.parquet(f"{base}/in")
+    src = SS.replay_stream(spark, f"{base}/in/*.parquet", spark.range(1).schema, max_files_per_trigger=1)
+    q = J._writer(src, f"{base}/ck", None).format("noop").start()
+    J.run_to_completion(q)
+    rows = J.progress_metrics(spark, q).filter("messages_processed > 0").collect()
+    assert len(rows) == 120 and sum(r["messages_processed"] for r in rows) == 240
+
+
 def test_trade_stream_fan_out_and_replay(spark):
     from tickforge.plans.q_ingest import envelopes_of
     d = "/root/testdata/sf0.001"

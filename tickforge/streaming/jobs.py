@@ -160,10 +160,43 @@ def kv_item_batches(kv_path: str, ttl_seconds: int = FX.KV_TTL_SECONDS, keep_ver
 
 
 def run_to_completion(query) -> None:
-    """Wait for an availableNow query and surface its failure, if any."""
-    query.awaitTermination()
+    """Wait for an availableNow query and surface its failure, if any. Its progress reports are
+    gathered as they come (``progress_reports``): the engine keeps only the last ones."""
+    query._reports = {}
+    while not query.awaitTermination(GATHER_SECONDS):
+        _gather(query)
     if query.exception():
         raise query.exception()
+    _gather(query)
+
+
+# A report takes a batch, and a batch some commits to the checkpoint: far less than the
+# engine's last 100 reports come in this time.
+GATHER_SECONDS = 0.5
+KEPT_REPORTS = 100
+
+
+def _gather(query) -> None:
+    reports = query.recentProgress
+    if not query._reports:
+        # Fewer than the engine keeps: none is gone yet.
+        query._whole = len(reports) < KEPT_REPORTS or int(reports[0].batchId) == 0
+    for p in reports:
+        query._reports[(int(p.batchId), p.timestamp)] = (
+            int(p.batchId), int(p.numInputRows), int(p.durationMs.get("triggerExecution", 0)),
+            int(sum(op.numRowsDroppedByWatermark for op in p.stateOperators)))
+
+
+def progress_reports(query) -> list[tuple]:
+    """(batch, input rows, trigger ms, rows dropped by watermark) of every progress report. An
+    error where reports are missing, never a part of them."""
+    if not hasattr(query, "_reports"):
+        query._reports = {}
+    _gather(query)
+    batches = {b for b, _ in query._reports}
+    if not query._whole or batches and len(batches) <= max(batches) - min(batches):
+        raise RuntimeError("progress reports are missing: wait for the query with run_to_completion")
+    return [query._reports[k] for k in sorted(query._reports)]
 
 
 def stop_all(spark: SparkSession) -> None:
@@ -246,15 +279,14 @@ def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
 
 def dropped_by_watermark(query) -> int:
     """Rows the engine dropped as later than the watermark (all stateful
-    operators, all progress reports still held by the query)."""
-    return int(sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators))
+    operators, all progress reports)."""
+    return sum(dropped for *_, dropped in progress_reports(query))
 
 
 def progress_metrics(spark: SparkSession, query) -> DataFrame:
     """A17 from the engine's own progress reports: per micro-batch input rows,
     trigger duration (ms) and throughput (rows/s when both are positive)."""
-    rows = [(int(p.batchId), int(p.numInputRows), int(p.durationMs.get("triggerExecution", 0)))
-            for p in query.recentProgress]
+    rows = [r[:3] for r in progress_reports(query)]
     df = spark.createDataFrame(rows, "batch_id long, messages_processed long, batch_duration_ms long")
     thr = F.when((F.col("messages_processed") > 0) & (F.col("batch_duration_ms") > 0),
                  F.col("messages_processed") / (F.col("batch_duration_ms") / 1000.0))
