@@ -94,6 +94,19 @@ def test_landed_ticker_chain(spark):
     assert item["ttl"] == 1700000000 + 86400 and float(item["market_cap"]) == 8e11
 
 
+def test_a_day_is_landed_in_payloads_of_bounded_size(spark):
+    from tickforge.plans import q_sinks
+    base = scratch_path(spark, f"t-payloads-{uuid.uuid4().hex}")
+    day = F.when(F.col("id") < 2_900, F.lit("2024-01-01")).when(F.col("id") < 2_990, F.lit("2024-01-02")).cast("date")
+    rows = spark.range(3_000).withColumn("day", day)
+    item = F.struct(F.lit("A").alias("symbol"), F.col("id").alias("count"))
+    q_sinks._land_payloads(rows, item, f"{base}/p", records=100)
+    back = G.read_ticker_payload(spark, f"{base}/p")
+    sizes = [r["count"] for r in back.groupBy(F.input_file_name().alias("f")).count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 200
+    assert sorted(r["count"] for r in back.select("count").collect()) == list(range(3_000))
+
+
 def test_scheduled_hour_bounds_are_aligned(spark):
     lo, hi = R.scheduled_hour_bounds(dt.datetime(2024, 1, 5, 10, 37, 12), lookback_hours=2)
     r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()

@@ -131,20 +131,34 @@ def insert_rows(spark, d):
     return rounded(good.select("event_id", F.lit(None).cast("string").alias("error"), "value").unionByName(bad))
 
 
+# Tickers of a landed payload: some hundred kilobytes of JSON.
+PAYLOAD_RECORDS = 5_000
+
+
+def _land_payloads(rows, item, path, records=PAYLOAD_RECORDS):
+    """The ``item`` of every row in JSON arrays of about ``records`` each, one to a file, by ``day``."""
+    days = rows.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / records).alias("chunks"))
+    days = days.select(F.col("day").alias("of_day"), "chunks")
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    rows = rows.join(days, F.col("day").eqNullSafe(F.col("of_day")))
+    (rows.groupBy("day", F.pmod(F.xxhash64("row"), F.col("chunks")).alias("chunk"))
+     .agg(F.to_json(F.collect_list(item)).alias("value")).select("day", "value")
+     .write.partitionBy("day").option("maxRecordsPerFile", 1).text(path))
+
+
 @register("ticker_landing", """SELECT upper(event_type) AS symbol, value AS price, CAST(user_id AS DOUBLE) AS volume,
   CAST(NULL AS DOUBLE) AS high_24h, CAST(event_id AS INTEGER) AS trade_count, 1700000000::BIGINT AS "timestamp",
   'binance' AS source, '2024-02-03' AS partition_date, '04' AS partition_hour,
   TIMESTAMP '2023-11-14 22:13:20' AS watermark_time FROM events""", ("price", "volume", "high_24h"))
 def ticker_landing(spark, d):
-    """S11 -> P9 -> P10 -> S2: exchange payloads landed as JSON arrays (one file a day, numbers as
-    text), normalised, stamped, and read again as the ticker stream's JSON."""
+    """S11 -> P9 -> P10 -> S2: exchange payloads landed as JSON arrays (files of about
+    ``PAYLOAD_RECORDS`` tickers of a day, numbers as text), normalised, stamped, and read again as the ticker stream's JSON."""
     path = _folder(spark, "payload")
     ev = events(spark, d).withColumn("day", F.to_date("ts"))
     item = F.struct(F.upper("event_type").alias("symbol"), F.col("value").cast("string").alias("lastPrice"),
                     F.col("user_id").cast("string").alias("volume"), F.lit("n/a").alias("highPrice"),
                     F.col("event_id").alias("count"))
-    ev.groupBy("day").agg(F.to_json(F.collect_list(item)).alias("value")).repartition("day") \
-      .write.partitionBy("day").text(path)
+    _land_payloads(ev, item, path)
     tick = G.normalize_tickers(G.read_ticker_payload(spark, path), timestamp=1_700_000_000)
     tick = G.ingest_time_columns(tick, now=F.lit("2024-02-03 04:05:06").cast("timestamp"))
     back = G.read_ticks_parsed(tick.select(F.to_json(F.struct("*")).alias("value")))
