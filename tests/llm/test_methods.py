@@ -338,6 +338,18 @@ def test_pages_with_article():
     assert tag_paths.extract(page) == "Title One <two> three four five"
 
 
+@pytest.mark.parametrize("wrapper", [
+    '<div class="content no-sidebar">', '<div class="content-sidebar-wrap">', '<div class="has-sidebar">', '<div class="legal">',
+    '<div class="overflow-hidden">', '<div class="post-tags form-page">', '<div data-state="hidden">', '<div data-id="ad">',
+    '<div title="a class=ad or hidden thing">', '<div class="widget"><article>'])
+def test_marked_wrappers_keep_the_article(wrapper):
+    para = "A sentence of the article, with commas, and with a good many words in it. " * 4
+    end = "</article></div>" if "article" in wrapper else "</div>"
+    page = (f"<body><nav><a href=x>Home</a></nav>{wrapper}<p>{para}</p><p>{para}</p>{end}"
+            "<div class='sidebar'><p>Some words beside.</p></div><div class='site-footer'><a href=x>Imprint</a></div></body>")
+    assert tag_paths.extract(page) == f"{para}{para}".strip()
+
+
 # --- decontamination --------------------------------------------------------------------
 
 def _align(item, passage):

@@ -6,8 +6,11 @@ are added up per tag path; a path's ratio (text per node, raised by punctuation
 and lowered by links) is fused with the ratio smoothed over neighbouring
 nodes in page order, and paths whose ratio reaches a share of the page's mean are content.
 Where the page names its article or main element, ratios compete inside it.
-Elements that never hold main text (menus, headers, footers, asides, adverts,
-forms, notices, comments, scripts, styles) are taken out by element, role or class.
+Elements that never hold main text (menus, headers, footers, asides, forms, dialogs, scripts,
+styles, hidden ones) are taken out by element, role or attribute. A class or id name of adverts,
+notices, comments and the like takes an element out only if the whole name is made of such words, no article or main
+element is inside and the element holds at most ``NAMED_SHARE`` of the page's text; a name that
+only contains such a word lowers the ratio of its paths.
 
 Defined results: null, empty or text-free html gives an empty text; broken or
 cut-off markup is read as far as it goes; repeated pages repeat; very long pages
@@ -47,7 +50,7 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponso
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 _PUNCT = re.compile(r"[.,;:!?…。，、；：！？।،؛؟]")
 _BLANK = re.compile(r"\s+")
@@ -56,53 +59,65 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SMOOTH = 2          # neighbours on either side
 THRESHOLD = 0.2     # share of the page's mean smoothed ratio
 NAMED = 0.02        # part of that share asked for inside a named article
+NAMED_SHARE = 1 / 3 # of the page's text in an element that its class or id sets apart
+DOUBT = 0.5         # of a path's ratio lost where all its text lies under names that contain a mark
 
 
-def _marked(tag: str, attrs: str) -> bool:
-    """Whether an element is set apart from the article by its name, role or class."""
+APART, NAME, PART = 3, 2, 1
+
+
+def _marked(tag: str, attrs: str) -> int:
+    """Whether an element is set apart from the article: APART by its name, role or being hidden,
+    NAME by a class or id name of marks alone, PART by a mark in one, else 0."""
     if tag in BOILERPLATE:
-        return True
+        return APART
+    found = 0
     if not attrs or attrs.isspace():
-        return False
+        return found
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return APART
         if name == "style" and _HIDDEN.search(value):
-            return True
+            return APART
         if name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") \
-                and not MARKS.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
+            return APART
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            for words in map(_NAME.findall, value.split()):
+                if words and MARKS.issuperset(words):
+                    found = NAME
+                elif not MARKS.isdisjoint(words):
+                    found = max(found, PART)
+    return found
 
 
 def _nodes(page: str):
-    """Text nodes in page order: (path, block, raw text, in article, link, set apart).
-    ``block`` numbers the runs of inline content."""
-    stack: list[tuple] = []      # (tag, path, in article, in link, set apart)
-    path, inside, link, apart = "", False, False, False
+    """Text nodes in page order, (path, block, raw text, in article, link, set apart, named, in
+    doubt), and of each element with a marked name (element around it, holds an article).
+    ``block`` numbers the runs of inline content, ``named`` is the innermost such element (-1: none)."""
+    stack: list[tuple] = []      # (tag, path, in article, in link, set apart, named, in doubt)
+    path, inside, link, apart, named, doubt = "", False, False, False, -1, False
+    elements: list[list] = []
     block, cut, n = 0, 0, len(page)
     out = []
 
     def pop_to(depth):
-        nonlocal path, inside, link, apart
+        nonlocal path, inside, link, apart, named, doubt
         while len(stack) > depth:
-            _, path, inside, link, apart = stack.pop()
+            _, path, inside, link, apart, named, doubt = stack.pop()
 
     while cut < n:
         m = _TAG.search(page, cut)
         start = m.start() if m else n
         if start > cut:
-            out.append((path, block, page[cut:start], inside, link, apart))
+            out.append((path, block, page[cut:start], inside, link, apart, named, doubt))
         if not m:
             break
         cut = m.end()
         tag = m[2]
         if tag is None:
             if page.startswith("<![CDATA[", m.start()):
-                out.append((path, block, page[m.start() + 9:m.end()].removesuffix("]]>"), inside, link, apart))
+                out.append((path, block, page[m.start() + 9:m.end()].removesuffix("]]>"), inside, link, apart, named, doubt))
             continue
         tag = tag.lower()
         if m[1]:                                       # an end tag closes what it opened
@@ -133,33 +148,65 @@ def _nodes(page: str):
                     break
         if m[3].endswith("/") and tag not in BLOCK_ENDS_P:
             continue
-        stack.append((tag, path, inside, link, apart))
+        stack.append((tag, path, inside, link, apart, named, doubt))
         path = f"{path}/{tag}"
-        apart = apart or _marked(tag, m[3]) or tag == "header" and not inside
-        inside = inside or tag in CONTENT_ROLES or "role" in m[3] and bool(
-            re.search(r"role\s*=\s*[\"']?(main|article)\b", m[3], re.I))
+        mark = _marked(tag, m[3])
+        apart = apart or mark == APART or tag == "header" and not inside
+        article = tag in CONTENT_ROLES or "role" in m[3] and any(
+            x[1].lower() == "role" and (x[2] or x[3] or x[4] or "").lower() in CONTENT_ROLES for x in _ATTR.finditer(m[3]))
+        if article:
+            inside, doubt, e = True, False, named
+            while e >= 0 and not elements[e][1]:
+                elements[e][1] = True
+                e = elements[e][0]
+        elif mark == NAME:
+            elements.append([named, False])
+            named = len(elements) - 1
+        elif mark == PART:
+            doubt = True
         link = link or tag == "a"
-    return out
+    return out, elements
+
+
+def _kept_nodes(page: str) -> list[tuple]:
+    """(path, block, text, in article, link, in doubt) of the text nodes that nothing sets apart."""
+    nodes, elements = _nodes(page)
+    nodes = [(p, b, _html.unescape(t) if "&" in t else t, *rest) for p, b, t, *rest in nodes]
+    size, total = [0] * len(elements), 0
+    for _, _, t, _, _, apart, named, _ in nodes:
+        n = 0 if apart else len(_BLANK.sub(" ", t).strip())
+        total += n
+        if named >= 0:
+            size[named] += n
+    for e in range(len(elements) - 1, -1, -1):           # elements follow the one around them
+        if elements[e][0] >= 0:
+            size[elements[e][0]] += size[e]
+    out = []
+    for e, (around, article) in enumerate(elements):
+        out.append(around >= 0 and out[around] or not article and size[e] <= NAMED_SHARE * total)
+    return [(p, b, t, inside, link, doubt or named >= 0) for p, b, t, inside, link, apart, named, doubt in nodes
+            if not apart and not (named >= 0 and out[named])]
 
 
 def extract(page: str, threshold: float = THRESHOLD, smooth: int = SMOOTH) -> str:
     """Main text of one page."""
-    nodes = [(p, b, _html.unescape(t) if "&" in t else t, inside, link)
-             for p, b, t, inside, link, apart in _nodes(page) if not apart]
-    if any(inside and t.strip() for _, _, t, inside, _ in nodes):
+    nodes = _kept_nodes(page)
+    if any(inside and t.strip() for _, _, t, inside, _, _ in nodes):
         nodes = [x for x in nodes if x[3]]
-    text, marks, linked, count = (defaultdict(int) for _ in range(4))
+    text, marks, linked, count, doubted = (defaultdict(int) for _ in range(5))
     # Aggregates per root-to-leaf path; inline wrappers belong to the path of their block.
     leaf = {p: re.sub(r"(?:/(?:%s))+$" % "|".join(sorted(INLINE)), "", p) for p in {x[0] for x in nodes}}
     filled = [k for k, x in enumerate(nodes) if x[2].strip()]
     for k in filled:
-        p, _, t, _, link = nodes[k]
+        p, _, t, _, link, doubt = nodes[k]
         p, size = leaf[p], len(_BLANK.sub(" ", t).strip())
         text[p] += size
         marks[p] += len(_PUNCT.findall(t))
         linked[p] += size * link
+        doubted[p] += size * doubt
         count[p] += 1
-    ratio = {p: (text[p] / count[p]) * (1 + marks[p]) / (1 + count[p]) * (1 - linked[p] / text[p]) for p in text}
+    ratio = {p: (text[p] / count[p]) * (1 + marks[p]) / (1 + count[p]) * (1 - linked[p] / text[p])
+             * (1 - DOUBT * doubted[p] / text[p]) for p in text}
     own = [ratio[leaf[nodes[k][0]]] for k in filled]
     if not own:
         return ""
@@ -179,7 +226,7 @@ def extract(page: str, threshold: float = THRESHOLD, smooth: int = SMOOTH) -> st
     limit = threshold * (NAMED if nodes[filled[0]][3] else 1) * sum(flat) / len(flat)
     content = {p for p in fused if fused[p] / seen[p] >= limit and linked[p] <= 0.5 * text[p]}
     blocks, at = [], None
-    for p, b, t, _, _ in nodes:
+    for p, b, t, *_ in nodes:
         if leaf[p] in content:
             if b != at:
                 blocks.append([])
