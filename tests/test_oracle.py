@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from oracle_compare import compare, duck
 
-from conftest import SF001
+from paths import SF001
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()

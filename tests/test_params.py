@@ -14,7 +14,7 @@ from tickforge.plans.common import TICK_SPEC, ticks, trades
 from tickforge.session import scratch_path
 from tickforge.sinks import tables as TB
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_day_filters(spark):

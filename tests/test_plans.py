@@ -6,7 +6,7 @@ from tickforge.operators import analytics as A, indicators as I, quality as QL,
 from tickforge.plans.common import TICK_SPEC, ticks, trades
 from tickforge.plans.q_ingest import _parsed
 
-from conftest import SF001
+from paths import SF001
 
 
 def _plan(df) -> str:

@@ -9,7 +9,7 @@ from tickforge.operators import indicators as I, signals as SG
 from tickforge.operators import series as S
 from tickforge.plans.common import TICK_SPEC, ticks
 
-from conftest import SF01
+from paths import SF01
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "symbol string, id long, ts timestamp_ntz, price double, volume double"

@@ -11,7 +11,7 @@ from tickforge.session import scratch_path
 from tickforge.sinks import tables as TB
 from tickforge.sources import landing as LD
 
-from conftest import SF001
+from paths import SF001
 
 
 def _hourly(spark):
