@@ -116,3 +116,69 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
   sha256(unhex(coalesce(kept || substr(h, 2 * last_ + 1), h))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
 """
+
+# Every document scored for every item, in 64-bit integers.
+RANKED_SEARCH = r"""
+WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM lowered),
+size AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+corpus AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM size),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, corpus GROUP BY term, nn),
+item AS (
+  SELECT item_id, q, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM (SELECT *, row_number() OVER () AS q FROM benchmark)),
+scored AS (
+  SELECT item_id, q, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+  FROM item JOIN w USING (term) JOIN tf USING (term) JOIN size USING (r), corpus GROUP BY item_id, q, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+_RHO = "1 / least(greatest(coalesce(sum((good - n * p) ** 2 - n * p * (1 - p)) / nullif(sum(n * (n - 1) * p * (1 - p)), 0), 0.05), 0.001), 0.5) - 1"
+
+# The same levels, top-down: each group's share of good pages shrunk to the one around it.
+HOST_REPUTATION = rf"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+l AS (SELECT doc_id, max(coalesce(quality, 1) <> 1 OR coalesce(toxic, 0) <> 0) AS bad FROM labels
+  WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+h AS (
+  SELECT host, count(bad) AS n, count(*) FILTER (WHERE NOT bad) AS good
+  FROM (SELECT host, try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:[.][a-z]+)?/?$', 1) AS BIGINT) AS k FROM u) AS k
+  LEFT JOIN l ON l.doc_id = k.k GROUP BY host),
+o AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*)?[.]*$', '') AS bare FROM h),
+hosts AS (
+  SELECT host, n, good, array_to_string(string_split(bare, '.')[-2:], '.') AS domain, string_split(bare, '.')[-1] AS suffix FROM o),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY domain, suffix),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(good) AS good, (sum(sum(good)) OVER () + 1) / (sum(sum(n)) OVER () + 1) AS p
+  FROM domains GROUP BY suffix),
+s1 AS (SELECT {_RHO} AS s FROM suffixes),
+m1 AS (SELECT suffix, (good + p * s) / (n + s) AS p FROM suffixes, s1),
+d2 AS (SELECT d.*, p FROM domains AS d JOIN m1 USING (suffix)),
+s2 AS (SELECT {_RHO} AS s FROM d2),
+m2 AS (SELECT domain, (good + p * s) / (n + s) AS p FROM d2, s2),
+h3 AS (SELECT x.*, p FROM hosts AS x JOIN m2 USING (domain)),
+s3 AS (SELECT {_RHO} AS s FROM h3),
+m3 AS (SELECT host, n, (good + p * s) / (n + s) AS m, n + s AS w FROM h3, s3),
+b AS (SELECT host, n, round(least(m + 1.645 * sqrt(m * (1 - m) / (w + 1)), 1), 6) AS bound FROM m3),
+r AS (
+  SELECT u.*, n, bound, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM u JOIN b USING (host))
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN bound < 0.6 THEN 'block' ELSE 'allow' END AS verdict, n::BIGINT AS n_labelled, bound::DOUBLE AS good_bound
+FROM r
+"""
