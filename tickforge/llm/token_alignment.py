@@ -25,6 +25,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import id_text, in_parts, process_cache, written
 from .token_store import PieceEncoder
 
-SLICE = 8 << 20
-WORDS = 400_000                 # words remembered by each encoder of a worker
+SLICE = 2 << 20
+WORDS = 150_000                 # words remembered by each encoder of a worker
 BLANK = "▁"
 
 _ALIGNED = ("slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -57,65 +58,61 @@ def byte_letters() -> dict[str, int]:
 
 
 class WordEncoder(dict):
-    """Word -> ids (32-bit) of a blank and the word in a piece vocabulary. No piece holds a blank behind
-    another character, so words between single blanks are independent."""
+    """Word -> ids (32-bit) of a blank and the word in a piece vocabulary, nothing where they do not give back
+    its bytes. No piece holds a blank behind another character, so words between single blanks
+    are independent."""
 
     def __init__(self, path: str, limit: int = WORDS):
         import sentencepiece
         super().__init__()
-        self.model, self.limit = sentencepiece.SentencePieceProcessor(model_file=path), limit
+        self.model, self.limit = m, _ = sentencepiece.SentencePieceProcessor(model_file=path), limit
+        self.spell = [bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(BLANK, " ").encode()
+                      for i in range(m.get_piece_size())]
 
-    def ids(self, text: str) -> bytes:
-        return np.array(self.model.encode(text), "<i4").tobytes()
+    def ids(self, text: str) -> bytes | None:
+        ids = self.model.encode(text)
+        same = b"".join(map(self.spell.__getitem__, ids)) == b" " + text.encode()
+        return array("i", ids).tobytes() if same else None
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str) -> bytes | None:
         if len(self) >= self.limit:
             self.clear()
         ids = self[word] = self.ids(word)
         return ids
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes | None:
+        """Ids of a text, if they give back a blank and the text."""
         if text[:1] == " " or text[-1:] == " " or "  " in text or BLANK in text:
             return self.ids(text)
-        return b"".join(map(self.__getitem__, text.split(" ")))
-
-
-class Side:
-    """Bytes, lengths and decimal spellings of a vocabulary's ids."""
-
-    def __init__(self, spell: list[bytes]):
-        self.spell = spell
-        self.size = np.array([len(s) for s in spell], np.int64)
-        names = [str(i) for i in range(len(spell))]
-        self.inner = np.array([n + "," for n in names], object)
-        self.plain = np.array(names, object)
+        found = list(map(self.__getitem__, text.split(" ")))
+        return None if None in found else b"".join(found)
 
 
 class Aligner:
+    """Both encoders, the byte length of every id, and the spellings of groups: ``words`` holds each id
+    of A with a comma and with the bar, then each id of B with a comma and with the semicolon."""
+
     def __init__(self, path_a: str, path_b: str):
-        self.encode_a = PieceEncoder(path_a, WORDS)
+        self.encode_a, self.encode_b = PieceEncoder(path_a, WORDS), WordEncoder(path_b)
         tokenizer = self.encode_a.tokenizer
         tokenizer.encode_special_tokens = True
         letters = byte_letters()
         names = {i: t for t, i in tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.a = Side([bytes(letters[c] for c in names.get(i, "")) for i in range(max(names) + 1)])
-        self.encode_b = WordEncoder(path_b)
-        m = self.encode_b.model
-        self.b = Side([bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(BLANK, " ").encode()
-                       for i in range(m.get_piece_size())])
+        self.spell_a = [bytes(letters[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
+        self.size_a, self.size_b = (np.array([len(s) for s in side], np.int64) for side in (self.spell_a, self.encode_b.spell))
+        numbers = [[str(i) for i in range(len(s))] for s in (self.size_a, self.size_b)]
+        self.words = np.array([n + sign for side, signs in zip(numbers, (",|", ",;")) for sign in signs for n in side], object)
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides, if both give back the blank and the text."""
-        if not text:
+        b = self.encode_b.encode(text) if text else None
+        if b is None:
+            return None
+        a = np.frombuffer(self.encode_a.encode(" " + text), "<i4")
+        # A byte-level vocabulary changes no byte; it could only lack some.
+        if int(self.size_a[a].sum()) != 1 + len(text.encode()):
             return None
-        data = b" " + text.encode("utf-8", "surrogatepass")
-        found = []
-        for side, ids in ((self.a, self.encode_a.encode(" " + text)), (self.b, self.encode_b.encode(text))):
-            ids = np.frombuffer(ids, "<i4")
-            if b"".join(map(side.spell.__getitem__, ids.tolist())) != data or not side.size[ids].all():
-                return None
-            found.append(ids)
-        return found[0], found[1]
+        return a, np.frombuffer(b, "<i4")
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -147,17 +144,16 @@ def group_marks(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.nd
             end_a[np.minimum(np.searchsorted(end_a, end_b), len(end_a) - 1)] == end_b)
 
 
-def spelled(al: Aligner, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[str]:
-    """Ids of both sides in the order of their groups, each with the sign behind it but the
-    group's ``;``: A tokens of a group, then its B tokens."""
+def spelled(al: Aligner, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
+    """Places in ``al.words`` of the ids of both sides in the order of their groups: A tokens of a
+    group, then its B tokens, the last of each with its closing sign."""
+    n_a, n_b = len(al.size_a), len(al.size_b)
     group_a = np.cumsum(cut_a) - cut_a
     group_b = np.cumsum(cut_b) - cut_b
-    # Behind a token of A stand all B tokens of earlier groups in front of it, and so on.
-    place_a = np.arange(len(a)) + np.concatenate([[0], np.flatnonzero(cut_b) + 1])[group_a]
-    place_b = np.arange(len(b)) + (np.flatnonzero(cut_a) + 1)[group_b]
-    out = np.empty(len(a) + len(b), object)
-    out[place_a] = np.where(cut_a, al.a.plain[a] + "|", al.a.inner[a])
-    out[place_b] = np.where(cut_b, al.b.plain[b] + ";", al.b.inner[b])
+    out = np.empty(len(a) + len(b), np.int32)
+    # In front of a token of A stand all B tokens of earlier groups, and so on.
+    out[np.arange(len(a)) + np.concatenate([[0], np.flatnonzero(cut_b) + 1])[group_a]] = a + n_a * cut_a
+    out[np.arange(len(b)) + (np.flatnonzero(cut_a) + 1)[group_b]] = b + (2 * n_a + n_b * cut_b)
     return out
 
 
@@ -174,18 +170,18 @@ def align_slice(al: Aligner, ids: list, texts: list[str], number: int) -> pa.Rec
         a, b = (np.concatenate([tokens[k][s] for k in some]) for s in (0, 1))
         size_a, size_b = ([len(tokens[k][s]) for k in some] for s in (0, 1))
         doc_a, doc_b = (np.repeat(np.array(some), s) for s in (size_a, size_b))
-        end_a, end_b = np.cumsum(al.a.size[a]), np.cumsum(al.b.size[b])
-        la, lb = overlaps(doc_a, end_a - al.a.size[a], doc_b, end_b - al.b.size[b])
+        end_a, end_b = np.cumsum(al.size_a[a]), np.cumsum(al.size_b[b])
+        la, lb = overlaps(doc_a, end_a - al.size_a[a], doc_b, end_b - al.size_b[b])
         cut_a, cut_b = group_marks(end_a, end_b)
         n_a, n_b = np.bincount(doc_a, minlength=n), np.bincount(doc_b, minlength=n)
         n_groups, n_links = np.bincount(doc_a[cut_a], minlength=n), np.bincount(doc_a[la], minlength=n)
         words, at = spelled(al, a, b, cut_a, cut_b), 0
         for k, sa, sb in zip(some, size_a, size_b):
-            line = "".join(words[at:at + sa + sb].tolist())[:-1]
+            line = "".join(al.words[words[at:at + sa + sb]].tolist())[:-1]
             shas[k] = hashlib.sha256(line.encode()).hexdigest()
             at += sa + sb
-        span = np.int64(len(al.b.spell))
-        whole = np.int64(len(al.a.spell)) * span
+        span = np.int64(len(al.size_b))
+        whole = np.int64(len(al.size_a)) * span
         held, times = np.unique(doc_a[la] * whole + (a[la] * span + b[lb]), return_counts=True)
         offsets[1:] = np.cumsum(np.bincount(held // whole, minlength=n))
         pairs, places, docs = np.unique(held % whole, return_inverse=True, return_counts=True)
