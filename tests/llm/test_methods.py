@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from edge import edge_docs, prose
 
 from tickforge.llm import (byte_language, decontaminate, graph, hyperminhash, licenses, merge_dropout,
@@ -246,12 +248,47 @@ def test_removal_equals_brute_force(spark, texts, monkeypatch, hot):
     assert [tuple(r)[1:] for r in got] == _brute_removal(rows)
 
 
-def test_kept_text_is_cut_at_characters(spark):
-    shared = "é" * 300
-    d = edge_docs(spark, [(0, "aß" + shared + "end", "en", "h"), (1, "b" + shared + "ü", "en", "h"), (2, "left alone", "en", "h")])
-    rows = {r["doc_id"]: r for r in suffix_dedup.without_repeats(d).collect()}
-    assert [rows[i]["text"] for i in range(3)] == ["aßend", "bü", "left alone"]
-    assert rows[0]["n_chars"] == 5 and rows[0]["node"] == "n" and rows[0].asDict().keys() == d.first().asDict().keys()
+def brute_kept(rows, size=50):
+    """Words left of every (id, text): windows of ``size`` words that stand in an earlier place go."""
+    top = 1 << 62
+    docs = sorted({(top if i is None else i, xxhash.xxh3_128_digest(t.encode()), t) for i, t in rows})
+    owner, seen, kept = {}, {}, {}
+    for i, k, t in docs:
+        owner.setdefault(t, (i, k))
+    for (i, k), t in sorted((o, t) for t, o in owner.items()):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        for p in range(len(w) - size + 1):
+            seen.setdefault(tuple(w[p:p + size]), (i, k, p))
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        me = (top if i is None else i, xxhash.xxh3_128_digest(t.encode()))
+        hit = bytearray(len(w))
+        for p in range(len(w) - size + 1):
+            if seen[tuple(w[p:p + size])] != (*me, p):
+                hit[p:p + size] = b"\1" * size
+        kept.setdefault((i, t), [x for x, h in zip(w, hit) if not h])
+    return kept
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 2_000])
+def test_repeats_of_fifty_words_keep_their_first_copy(spark, texts, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 3_000)
+    shared, other = prose(7, 60), prose(8, 49)
+    rows = [(i, t) for i, t in texts.items() if len(t) < 9_000]
+    rows += [(5_000 + k, prose(100 + k, 40) + " " + shared + "\n\t " * (k % 3) + prose(200 + k, 40 + k) + f" u{k} " + other) for k in range(25)]
+    rows += [(None, "x " + shared), (4_000, shared + " y " + shared), (None, shared), (6_001, shared), (6_000, shared), (6_000, shared),
+             (6_002, "the " * 200), (6_003, "the " * 120 + other), (6_004, other), (6_005, "\u00a0".join(shared.split())), (6_006, "")]
+    out = suffix_dedup.without_repeats(edge_docs(spark, [(i, t, "en", str(k)) for k, (i, t) in enumerate(rows)])).collect()
+    want = brute_kept(rows)
+    assert len(out) == len(rows)
+    for r in out:
+        i, t = rows[int(r["source"])]
+        assert r["doc_id"] == i and re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "") == want[(i, t)], (i, t[:50])
+        assert r["text"] == t or r["n_chars"] == len(r["text"])
+    by_id = {r["doc_id"]: r["text"] for r in out}
+    assert sum(shared in (r["text"] or "") for r in out) == 1 and by_id[4_000] == shared + " y "
+    assert all(other in by_id[5_000 + k] for k in range(25))       # 49 words are no window
 
 
 # --- learned models ---------------------------------------------------------------------

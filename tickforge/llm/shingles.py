@@ -25,19 +25,26 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hash of every word (runs of bytes other than ASCII white space) of a UTF-8
-    text with A-Z lower-cased: a sum over bytes of byte value times a value of its place."""
-    x = _LOWER[np.frombuffer(text, np.uint8)]
-    solid = ~_BLANK[x]
-    at = np.flatnonzero(solid)
+def words(text: bytes, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash, start, size) of every word (run of bytes other than ASCII white space) of a
+    UTF-8 text, with ``fold`` A-Z lower-cased: a sum over bytes of byte value times a value of
+    its place."""
+    x = np.frombuffer(text, np.uint8)
+    if fold:
+        x = _LOWER[x]
+    at = np.flatnonzero(~_BLANK[x])
     if not len(at):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), at, at
     first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
     size = np.diff(np.append(first, len(at)))
     place = np.arange(len(at)) - np.repeat(first, size)
     value = _BYTE[x[at]] * _stream(int(size.max()), 7)[place]
-    return mix(np.add.reduceat(value, first) + size.astype(np.uint64))
+    return mix(np.add.reduceat(value, first) + size.astype(np.uint64)), at[first], size
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a text with A-Z lower-cased."""
+    return words(text)[0]
 
 
 def shingle_set(text: bytes, n: int = 3) -> np.ndarray:
