@@ -4,6 +4,11 @@ decontamination, subword encoding.
 Every stage takes (spark, docs, sf_dir) and works on all rows the one before kept; all but
 the last return the columns of ``documents``. ``run`` writes each stage to the shared folder and
 reads it again, so a later stage never computes an earlier one anew.
+
+Defined results: null and empty texts are scored like any text by the classifier, link with nothing and hold
+no passage; rows without an id take part everywhere; rows that repeat in full stay or go together; texts whose
+words all go in substring_dedup stay as rows without words; columns beyond those of ``documents`` pass
+through; an empty table passes every stage.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand elsewhere too."""
+    """Texts without the passages of 50 words or more that stand in an earlier place too; the first copy stays."""
     return suffix_dedup.without_repeats(docs)
 
 
