@@ -16,7 +16,7 @@ possible at all:
    ranges of offsets, whose windows share a longer core, and grouped by that core. With
    ever narrower ranges, down to single windows, equal ones merge and groups fall apart.
 5. Neighbouring segments of a text are chained up to a segment whose digest says so, so that
-   shared passages give equal chains wherever they stand. What repeats is worked out per distinct chain and
+   shared passages give equal chains wherever they stand; runs of equal segments are one row. What repeats is worked out per distinct chain and
    comes back to the texts with a row per chain and place.
 
 ``substring_dedup`` removes every copy. ``without_repeats`` keeps the first: of equal windows that in the
@@ -126,6 +126,18 @@ def segments(data: bytes, unit: Unit = BYTES):
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
+def in_runs(key, start, windows, offset):
+    """Segments that follow each other with equal anchor, width and offset (in periodic passages, one per
+    period) as one row: the arrays of the first ones and how many there are."""
+    if not len(key):
+        return key, start, windows, offset, windows
+    new = np.ones(len(key), bool)
+    new[1:] = ((key[1:] != key[:-1]) | (windows[1:] != windows[:-1]) | (offset[1:] != offset[:-1])
+               | (start[1:] != start[:-1] + windows[:-1]))
+    first = np.flatnonzero(new)
+    return key[first], start[first], windows[first], offset[first], np.diff(np.append(first, len(key)))
+
+
 def fingerprints(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """(doc_id, key, text_id, n_bytes, size, sha) of every row: ``size`` is that of what is compared, sha is of
     the whole text."""
@@ -160,9 +172,9 @@ def _row_key():
 
 
 def _anchors(texts: DataFrame, unit: Unit) -> DataFrame:
-    """(key, text_id, start, windows, offset) of every segment of every text."""
+    """(key, text_id, start, windows, offset, times) of every segment, or run of equal ones, of every text."""
     schema = pa.schema([("key", pa.int64()), ("text_id", pa.binary()), ("start", pa.int64()),
-                        ("windows", pa.int32()), ("offset", pa.int32())])
+                        ("windows", pa.int32()), ("offset", pa.int32()), ("times", pa.int32())])
 
     def run(batches):
         for batch in batches:
@@ -170,18 +182,19 @@ def _anchors(texts: DataFrame, unit: Unit) -> DataFrame:
                 cols, ids, counts = [], [], []
                 for tid, t in zip(part.column("text_id").to_pylist(), utf8(part.column("text"))):
                     if text_key(t) == tid:          # another text of the same id has its own row
-                        cols.append(segments(unit.read(t), unit))
+                        cols.append(in_runs(*segments(unit.read(t), unit)))
                         ids.append(tid)
                         counts.append(len(cols[-1][0]))
                 if not ids:
                     continue
-                key, start, windows, offset = (np.concatenate(c) for c in zip(*cols))
+                key, start, windows, offset, times = (np.concatenate(c) for c in zip(*cols))
                 owner = pa.array(np.repeat(np.arange(len(ids)), counts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(ids, pa.binary()).take(owner), pa.array(start),
-                     pa.array(windows.astype(np.int32)), pa.array(offset.astype(np.int32))], schema=schema)
+                     pa.array(windows.astype(np.int32)), pa.array(offset.astype(np.int32)), pa.array(times.astype(np.int32))],
+                    schema=schema)
 
-    return texts.mapInArrow(run, "key long, text_id binary, start long, windows int, offset int")
+    return texts.mapInArrow(run, "key long, text_id binary, start long, windows int, offset int, times int")
 
 
 # A segment: its first place (owner, text_id, start), and where it stands: in a chain of segments or, cut
@@ -199,27 +212,26 @@ _FOUND_ARROW = pa.schema([("key", pa.binary()), ("seg", pa.binary()), ("text_id"
 
 
 def _chains(data: bytes, at: list[dict], unit: Unit):
-    """Chains of neighbouring segments of a text: lists of (key, seg, start, windows, offset, bytes)."""
+    """Chains of neighbouring segments of a text: lists of (key, seg, start, windows, offset, bytes). Runs of
+    equal segments are not parted."""
     chain, end = [], None
     for a in at:
         lo = a["start"]
-        b = data[lo:lo + a["windows"] + unit.length - 1]
-        seg = _seg(b, a["offset"])
-        if chain and end != lo:
-            yield chain
-            chain = []
-        chain.append((a["key"].to_bytes(8, "little", signed=True), seg, lo, a["windows"], a["offset"], b))
-        end = lo + a["windows"]
-        if seg[0] % CHAIN == 0:
-            yield chain
-            chain = []
+        for _ in range(a["times"]):
+            b = data[lo:lo + a["windows"] + unit.length - 1]
+            seg = _seg(b, a["offset"])
+            if chain and (end != lo or chain[-1][1] != seg and chain[-1][1][0] % CHAIN == 0):
+                yield chain
+                chain = []
+            chain.append((a["key"].to_bytes(8, "little", signed=True), seg, lo, a["windows"], a["offset"], b))
+            lo = end = lo + a["windows"]
     if chain:
         yield chain
 
 
 def _cut(texts_and_places: DataFrame, unit: Unit) -> DataFrame:
     """Places of chains, and the segments of every chain that a slice of texts holds. Input: (text_id, text,
-    owner, at: array of key, start, windows, offset in order of start)."""
+    owner, at: array of key, start, windows, offset, times in order of start)."""
     def run(batches):
         for batch in batches:
             for part in in_parts(batch, "text", CHUNK):
@@ -407,8 +419,8 @@ def repeated_runs(docs: DataFrame, distinct_texts: DataFrame, unit: Unit = BYTES
     long_enough = written(distinct_texts.filter(F.col("size") >= unit.length).select("text_id", "rep", "owner"), "long-texts")
     anchors = written(_anchors(_texts(docs, long_enough), unit), "anchors")
     # Written: the join below then has two plain sides, and a hot anchor's rows can be split.
-    twice = written(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "twice")
-    at = F.array_sort(F.collect_list(F.struct("start", "key", "windows", "offset")))
+    twice = written(anchors.groupBy("key").agg(F.sum("times").alias("c")).filter("c > 1").select("key"), "twice")
+    at = F.array_sort(F.collect_list(F.struct("start", "key", "windows", "offset", "times")))
     places = anchors.join(twice, "key").groupBy("text_id").agg(at.alias("at"))
     places = written(places.join(long_enough, "text_id"), "places")
     texts = _texts(docs, places).join(places.select("text_id", "owner", "at"), "text_id")
