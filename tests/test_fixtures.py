@@ -11,7 +11,7 @@ from tickforge.operators import (indicators as I, ingest as G, quality as QL, ro
                                  schema_ops as SO, signals as SG)
 from tickforge.operators.series import SeriesSpec
 
-SPEC = SeriesSpec(key="symbol", order=("ts", "id"), pieces=1)
+SPEC = SeriesSpec(key="symbol", order=("ts", "id"))
 T0 = dt.datetime(2024, 1, 1)
 
 
@@ -137,7 +137,7 @@ def test_combined_buy_beats_sell(spark):
 
 def test_ema_recursive_matches_definition(spark):
     prices = [10.0, 12.0, 11.0, 15.0, 14.0, 13.0]
-    out = I.ema_recursive(series(spark, prices), window=3, spec=SPEC.with_(pieces=1))
+    out = I.ema_recursive(series(spark, prices), window=3, spec=SPEC)
     a, e = 0.5, prices[0]
     exp = []
     for p in prices:

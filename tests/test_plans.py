@@ -27,9 +27,14 @@ def test_ohlcv_is_hash_aggregated_with_pushed_range(spark):
 def test_indicator_set_shares_one_exchange(spark):
     df = I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC)
     p = _plan(df)
-    # all indicator windows; tails of series that run over several pieces; two rows per piece
-    assert p.count("Exchange hashpartitioning") == 3
-    assert p.count("Window [") >= 4 and "WindowGroupLimit" in p and "BroadcastHashJoin" in p
+    assert p.count("Exchange hashpartitioning") == 1 and p.count("Window [") >= 4
+
+
+def test_large_series_add_their_own_exchange_and_tails(spark):
+    p = _plan(I.technical_indicators(ticks(spark, SF001), spec=TICK_SPEC.with_(piece_rows=100)))
+    # whole series; pieces of large ones; tails of series that run over several pieces; two rows per piece
+    assert p.count("Exchange hashpartitioning") == 4
+    assert "WindowGroupLimit" in p and "BroadcastHashJoin" in p and "CartesianProduct" not in p
 
 
 def test_input_of_series_is_pruned(spark):

@@ -69,12 +69,12 @@ def test_valid_plus_invalid_is_input(spark, rows):
 @given(st.lists(st.tuples(st.integers(0, 400), st.floats(1, 100, allow_nan=False)),
                 min_size=2, max_size=120, unique_by=lambda x: x[0]),
        st.sampled_from([2, 5, 40]))
-def test_halo_equals_plain_and_rsi_bounds(spark, pts, pieces):
+def test_halo_equals_plain_and_rsi_bounds(spark, pts, limit):
     rows = [("S", i, T0 + dt.timedelta(minutes=7 * m), p, 1.0) for i, (m, p) in enumerate(pts)]
     df = spark.createDataFrame(rows, "symbol string, id long, ts timestamp_ntz, price double, volume double")
-    spec = SeriesSpec(key="symbol", order=("ts", "id"), pieces=1)
+    spec = SeriesSpec(key="symbol", order=("ts", "id"))
     plain = I.technical_indicators(df, spec=spec)
-    halo = I.technical_indicators(df, spec=spec.with_(pieces=pieces))
+    halo = I.technical_indicators(df, spec=spec.with_(piece_rows=limit))
     assert plain.exceptAll(halo.select(plain.columns)).count() == 0
     rsi = [r["rsi"] for r in plain.select("rsi").collect() if r["rsi"] is not None]
     assert all(-1e-9 <= v <= 100 + 1e-9 for v in rsi)

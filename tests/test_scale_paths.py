@@ -25,11 +25,11 @@ def _hot_rows(n=3000):
     return rows + [(None, 90_000 + j, T0 + dt.timedelta(hours=j), float(10 + j % 7), 1.0) for j in range(300)]
 
 
-@pytest.mark.parametrize("pieces", [None, 3, 60])
-def test_pieces_equal_plain_windows(spark, pieces):
+@pytest.mark.parametrize("rows", [2_100, 150])
+def test_pieces_equal_plain_windows(spark, rows):
     t = ticks(spark, SF01)
-    plain = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(pieces=1))
-    split = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(pieces=pieces))
+    plain = SG.indicators_with_signals(t, spec=TICK_SPEC)
+    split = SG.indicators_with_signals(t, spec=TICK_SPEC.with_(piece_rows=rows))
     cols = plain.columns
     assert split.count() == plain.count()
     assert plain.select(cols).exceptAll(split.select(cols)).count() == 0
@@ -38,39 +38,70 @@ def test_pieces_equal_plain_windows(spark, pieces):
 def test_pieces_smaller_than_the_look_back(spark):
     rows = [("S", i, T0 + dt.timedelta(hours=i), float(10 + (i * 7) % 13), 1.0) for i in range(120)]
     df = spark.createDataFrame(rows, SCHEMA)
-    a = I.technical_indicators(df, spec=SPEC.with_(pieces=1))
-    b = I.technical_indicators(df, spec=SPEC.with_(pieces=100))       # halos span many pieces
+    a = I.technical_indicators(df, spec=SPEC)
+    b = I.technical_indicators(df, spec=SPEC.with_(piece_rows=2))     # halos span many pieces
     assert a.exceptAll(b.select(a.columns)).count() == 0
 
 
-def test_hot_series_and_instant_are_cut(spark):
+def _cut(df, spec):
+    return S.cut(df.withColumn(S.ARRIVAL, F.monotonically_increasing_id()), df.count(), spec)
+
+
+@pytest.mark.parametrize("shuffle", ["2", "8"])
+def test_no_piece_is_above_the_limit(spark, shuffle):
+    """Whatever the number of shuffle partitions and however the engine samples its range bounds."""
+    df = spark.createDataFrame(_hot_rows(), SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    try:
+        for limit in (7, 250, 1_000):
+            sizes = [r["n"] for r in _cut(df, SPEC.with_(piece_rows=limit)).groupBy(S.PIECE).agg(F.count("*").alias("n")).collect()]
+            assert max(sizes) <= limit and sum(sizes) == df.count() and len(sizes) <= 4 * len(_hot_rows()) / limit
+        plain = I.technical_indicators(df, spec=SPEC)
+        split = I.technical_indicators(df, spec=SPEC.with_(piece_rows=250))
+        assert plain.exceptAll(split.select(plain.columns)).count() == 0 and split.count() == df.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_only_large_keys_are_cut(spark):
+    df = spark.createDataFrame(_hot_rows(), SCHEMA)
+    large = S.large_keys(df, SPEC.with_(piece_rows=299)).collect()
+    assert {(r["_k"], r["_n"]) for r in large} == {("HOT", 4500), (None, 300)}
+    assert S.large_keys(df, SPEC) is None
+    plan = I.sma(df, spec=SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "parquet" not in plan
+
+
+def test_pieces_are_removed_with_their_scope(spark):
+    from tickforge.session import _SCRATCH, scratch_scope
+    from tickforge.sinks.tables import _fs
     df = spark.createDataFrame(_hot_rows(), SCHEMA)
-    sizes = [r["n"] for r in S.cut(df, SPEC.with_(pieces=25)).groupBy(S.PIECE).agg(F.count("*").alias("n")).collect()]
-    assert len(sizes) >= 20 and max(sizes) <= 3 * sum(sizes) / len(sizes)
-    plain = I.technical_indicators(df, spec=SPEC.with_(pieces=1))
-    split = I.technical_indicators(df, spec=SPEC.with_(pieces=25))
-    assert plain.exceptAll(split.select(plain.columns)).count() == 0 and split.count() == df.count()
+    with scratch_scope(spark) as scope:
+        assert I.sma(df, spec=SPEC.with_(piece_rows=250)).count() == df.count()
+        paths = _SCRATCH[id(spark.sparkContext)][scope.before:]
+    assert len(paths) == 3 and not any(_fs(spark, p)[0].exists(_fs(spark, p)[1]) for p in paths)
 
 
 def test_equal_instants_without_a_tie_break_are_cut(spark):
     rows = [("HOT", i, T0, float(i), 1.0) for i in range(2000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    cut = S.cut(df, SPEC.with_(order=("ts",), pieces=10))
-    assert cut.select(S.PIECE).distinct().count() >= 8
-    out = I.sma(df, window=3, spec=SPEC.with_(order=("ts",), pieces=10))
+    spec = SPEC.with_(order=("ts",), piece_rows=200)
+    assert _cut(df, spec).groupBy(S.PIECE).count().filter("count > 200").count() == 0
+    out = I.sma(df, window=3, spec=spec)
     assert out.count() == 2000 and out.filter("sma_3 is null").count() == 0
 
 
 def test_only_series_over_several_pieces_have_halos(spark):
-    pieces = S.cut(spark.createDataFrame(_hot_rows(), SCHEMA), SPEC.with_(pieces=25))
+    pieces = _cut(spark.createDataFrame(_hot_rows(), SCHEMA), SPEC.with_(piece_rows=250))
     halo = S._halo(pieces, ["symbol", "id", "ts", "price", "volume"], SPEC, 10)
     assert halo.groupBy(S.PIECE).count().agg(F.max("count")).first()[0] <= 10
 
 
 def test_recursive_ema_over_pieces(spark):
     df = spark.createDataFrame(_hot_rows(), SCHEMA)
-    plain = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC.with_(pieces=1)).collect()}
-    split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC.with_(pieces=25)).collect()}
+    plain = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC).collect()}
+    split = {r["id"]: r["ema_3_exp"] for r in I.ema_recursive(df, window=3, spec=SPEC.with_(piece_rows=250)).collect()}
     assert plain.keys() == split.keys()
     assert max(abs(plain[k] - split[k]) for k in plain) < 1e-9
 

@@ -1,14 +1,21 @@
 """Per-key time-series evaluation that does not funnel a hot key into one task.
 
 Window indicators look back a bounded number of rows. Partitioning the window by the key
-alone would put every row of a hot symbol (possibly a third of the data) into a single
-task. Instead the whole table is cut by *rank* in the order (key, series order): a range
-partitioning into pieces of about equal size, whatever the keys and instants are. A key
-may run over several pieces; each piece is evaluated in its own window partitions together
-with a *halo*, the last ``lookback`` rows of that key before the piece. Halo rows only feed
-the frames and are dropped afterwards, so results equal the plain per-key window exactly.
-
-There is one path for all sizes. Plan shape (per call):
+alone puts every row of a hot symbol (possibly a third of the data) into a single task. Here no
+window partition has more than ``piece_rows`` rows of its own, whatever the keys, the instants and
+``spark.sql.shuffle.partitions`` are:
+
+* Rows are counted per key (one column read, counts combine map-side). A key of at most
+  ``piece_rows`` rows is a window partition as it stands: one shuffle on the key, nothing written.
+* Only the rows of larger keys are cut by *rank* in the order (key, series order, arrival): a
+  range exchange into counted / ``piece_rows`` parts, sorted, and each part numbered off every
+  ``piece_rows`` rows, so the limit is exact where the range bounds, which the engine samples, are
+  not. A burst at one instant is cut like anything else. A piece is evaluated in its own window
+  partition together with a *halo*, the last ``lookback`` rows of that key before the piece. Halo
+  rows only feed the frames and are dropped afterwards, so results equal the plain per-key
+  window exactly.
+
+Plan shape for large keys (per call):
   * pieces        -> range exchange on (key, order, arrival), written once; the input is
                      read for the sample of range bounds and for the write
   * spans         -> per (piece, key) counts; only keys that run over several pieces are kept:
@@ -28,20 +35,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import materialize
 
 PIECE, ARRIVAL, HALO = "_piece", "_arrival", "_halo"
+PIECE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class SeriesSpec:
     """How rows form ordered per-key series.
 
-    key    - series key column (NULL is a series of its own)
-    order  - order inside a key; rows equal in all of these keep their order of arrival
-    pieces - number of pieces the table is cut into; None takes
-             ``spark.sql.shuffle.partitions``, which is sized with the data anyway
+    key        - series key column (NULL is a series of its own)
+    order      - order inside a key; rows equal in all of these keep their order of arrival
+    piece_rows - most rows of a key that are evaluated in one window partition
     """
     key: str = "symbol"
     order: tuple[str, ...] = ("timestamp",)
-    pieces: int | None = None
+    piece_rows: int = PIECE_ROWS
 
     def with_(self, **kw) -> "SeriesSpec":
         return replace(self, **kw)
@@ -59,13 +66,25 @@ def window(part: Sequence[str], spec: SeriesSpec, lo: int | None = None):
     return w if lo is None else w.rowsBetween(lo, 0)
 
 
-def cut(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """``df`` with its piece and arrival number, written to the shared folder."""
-    n = spec.pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.withColumn(ARRIVAL, F.monotonically_increasing_id())
+def large_keys(df: DataFrame, spec: SeriesSpec) -> DataFrame | None:
+    """(_k, _n): keys with more than ``piece_rows`` rows and their rows, at most one key per
+    ``piece_rows`` rows of ``df``; None if there is none."""
+    large = (df.groupBy(F.col(spec.key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > spec.piece_rows))
+    return materialize(large, "series-large-keys") if large.take(1) else None
+
+
+def cut(rows: DataFrame, n_rows: int, spec: SeriesSpec) -> DataFrame:
+    """``rows`` (with their arrival number) in pieces of at most ``piece_rows`` rows that follow each
+    other in series order, written to the shared folder."""
+    parts = max(1, -(-n_rows // spec.piece_rows))
     # A burst at one instant is cut too: the arrival number is part of the range key.
-    dealt = rows.repartitionByRange(n, F.col(spec.key), *order_cols(spec))
-    return materialize(dealt.withColumn(PIECE, F.spark_partition_id()), "series-pieces")
+    by = [F.col(spec.key), *order_cols(spec)]
+    dealt = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    # The upper bits of the id are the partition, the lower 33 the row's place in it.
+    place, half = F.monotonically_increasing_id(), 1 << 33
+    number = F.shiftright(place, 33) * F.lit(half) + F.floor(F.pmod(place, F.lit(half)) / F.lit(spec.piece_rows))
+    return materialize(dealt.withColumn(PIECE, number), "series-pieces")
 
 
 def _halo(pieces: DataFrame, cols: list[str], spec: SeriesSpec, lookback: int) -> DataFrame:
@@ -100,7 +119,14 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
 
     ``compute`` must only use window frames in series order that look back at most
     ``lookback`` rows (counting chained windows)."""
-    pieces = cut(df, spec)
+    rows = df.withColumn(ARRIVAL, F.monotonically_increasing_id())
+    large = large_keys(df, spec)
+    if large is None:
+        return compute(rows, [spec.key]).drop(ARRIVAL)
+    of_large = F.col(spec.key).eqNullSafe(F.col("_k"))
+    keys = F.broadcast(large.select("_k"))
+    whole = compute(rows.join(keys, of_large, "left_anti"), [spec.key])
+    pieces = cut(rows.join(keys, of_large, "left_semi"), large.agg(F.sum("_n")).first()[0], spec)
     own = pieces.select(*df.columns, ARRIVAL, PIECE, F.lit(False).alias(HALO))
     out = compute(own.unionByName(_halo(pieces, df.columns, spec, lookback)), [PIECE, spec.key])
-    return out.filter(~F.col(HALO)).drop(PIECE, ARRIVAL, HALO)
+    return whole.unionByName(out.filter(~F.col(HALO)).drop(PIECE, HALO)).drop(ARRIVAL)

@@ -104,10 +104,18 @@ class scratch_scope:
         return False
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the session's file systems are closed."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back: cuts lineage, survives executor loss, computes the input once
-    (an eager reliable checkpoint would run the input plan twice)."""
+    (an eager reliable checkpoint would run the input plan twice). The files go with their
+    ``scratch_scope``, or else with the session."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    remove_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
