@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import indicators as I, ingest as G, rollups as R, signals as SG
 from ..session import scratch_path
-from ..sinks import tables as TB
+from ..sinks import tables as TB, versioned as VT
 from ..sources import landing as LD, sql as SQ, tables as TBL
 from . import sql_blocks as Q
 from .catalog import register
@@ -33,8 +33,8 @@ def upsert_table(spark, d):
     path = _folder(spark, "upsert-table")
     target, updates = _split_hourly(spark, d)
     for rows in (target, updates, updates):
-        TB.upsert(spark, path, _dated(rows), ["symbol", "hour_timestamp"], "trade_date")
-    return rounded(spark.read.parquet(path).drop("trade_date"))
+        VT.upsert(spark, path, _dated(rows), ["symbol", "hour_timestamp"], "trade_date")
+    return rounded(VT.read_table(spark, path).drop("trade_date"))
 
 
 @register("append_counted", """SELECT count(*) AS rows_written, 2 * count(*) AS rows_in_table FROM events""")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_conf, scratch_path
 from ..sources import adapters
-from ..streaming import jobs as J, sources as SS, stateful as ST
+from ..sinks import versioned as VT
+from ..streaming import jobs as J, sources as SS
 from . import sql_blocks as Q
 from .catalog import register
 from .common import flat_window, rounded
@@ -96,25 +97,26 @@ def stream_dedup(spark, d):
     return rounded(out.withColumn("trade_timestamp", F.col("trade_timestamp").cast("timestamp_ntz")))
 
 
+def _detailed(spark, base):
+    out = VT.read_batches(spark, f"{base}/detailed")
+    return rounded(out.withColumn("partition_date", F.col("partition_date").cast("string")))
+
+
 @register("stream_indicators", Q.indicators(), IND_D)
 def stream_indicators(spark, d):
-    base, ck = _run(spark, "indicators")
-    enriched = ST.stream_indicators(adapters.ticks(_events_stream(spark, d)))
-    with J.state_partitions(spark):
-        q = J._writer(enriched, ck, None).format("parquet").option("path", f"{base}/out").start()
-    J.run_to_completion(q)
-    return rounded(spark.read.parquet(f"{base}/out"))
+    """The ticker job over the whole stream, drained after it has stopped."""
+    base, _ = _run(spark, "indicators")
+    J.run_to_completion(J.ticker_stream(adapters.ticks(_events_stream(spark, d)), base))
+    J.drain_ticker(spark, base)
+    return _detailed(spark, base)
 
 
 @register("stream_market_5min", f"""SELECT * FROM ({Q.market_5min(Q.indicators())}) AS m
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""", M5_D)
 def stream_market_5min(spark, d):
-    base, ck = _run(spark, "market")
-    _, market = J.market_stream(adapters.ticks(_events_stream(spark, d)))
-    with J.state_partitions(spark):
-        q = J._writer(market, ck, None).format("parquet").option("path", f"{base}/out").start()
-    J.run_to_completion(q)
-    return rounded(flat_window(spark.read.parquet(f"{base}/out")))
+    base, _ = _run(spark, "market")
+    J.run_to_completion(J.ticker_stream(adapters.ticks(_events_stream(spark, d)), base))
+    return rounded(flat_window(VT.read_batches(spark, f"{base}/aggregated").drop("partition_date")))
 
 
 @register("stream_latest_price", f"""SELECT symbol, "timestamp", price, volume, "timestamp" + 86400 AS ttl
@@ -126,22 +128,35 @@ def stream_latest_price(spark, d):
     with J.state_partitions(spark):
         q = J._writer(t, ck, None).foreachBatch(J.latest_price_batches(f"{base}/kv")).start()
     J.run_to_completion(q)
-    return rounded(J.read_kv(spark, f"{base}/kv", drop=J.KV_ORDER))
+    return rounded(J.read_latest_price(spark, f"{base}/kv"))
+
 
+# Puts that overlap: every event, then two batches that put some of the last days' items again.
+PUTS = (("true", 0.0), ("ts >= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AND event_id % 3 = 0", 1.0),
+        ("ts >= (SELECT max(ts) FROM events) - INTERVAL 12 HOUR AND event_id % 2 = 0", 2.0))
+PUT_SQL = " UNION ALL ".join(f"SELECT symbol, \"timestamp\", event_id, price + {more} AS price, {n}::BIGINT AS write_batch FROM ({Q.TICKS}) AS t "
+                             f"WHERE {cond.replace('ts >=', 'watermark_time >=')}" for n, (cond, more) in enumerate(PUTS))
 
-@register("stream_kv_items", f"""SELECT symbol, "timestamp", price, "timestamp" + 86400 AS ttl, 0::BIGINT AS write_batch
-FROM (SELECT *, row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY event_id DESC) AS rn
-      FROM ({Q.TICKS}) AS t) AS r
+
+@register("stream_kv_items", f"""SELECT symbol, "timestamp", price, "timestamp" + 86400 AS ttl, write_batch
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY write_batch DESC, event_id DESC) AS rn
+      FROM ({PUT_SQL}) AS t) AS r
 WHERE rn = 1 AND "timestamp" + 86400 > (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) FROM events)""", ("price",))
 def stream_kv_items(spark, d):
-    """K4: the key-value item table after replaying the tick stream: one item
-    per (symbol, timestamp), items older than the TTL on the data clock gone."""
+    """K4: the key-value item table after three micro-batches whose puts overlap: the newest put of a (symbol,
+    timestamp) stays, items older than the TTL on the data clock are gone."""
     base, ck = _run(spark, "kvitems")
-    t = adapters.ticks(_events_stream(spark, d)).select("symbol", "timestamp", "event_id", "price")
-    with J.state_partitions(spark):
-        q = J._writer(t, ck, None).foreachBatch(J.kv_item_batches(f"{base}/kv")).start()
-    J.run_to_completion(q)
-    return rounded(J.read_kv(spark, f"{base}/kv"))
+    ensure_conf(spark)
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    newest = ev.agg(F.max("ts")).first()[0]
+    keep = (F.lit(True), (F.col("ts") >= F.lit(newest) - F.expr("INTERVAL 2 DAYS")) & (F.col("event_id") % 3 == 0),
+            (F.col("ts") >= F.lit(newest) - F.expr("INTERVAL 12 HOURS")) & (F.col("event_id") % 2 == 0))
+    for n, (cond, (_, more)) in enumerate(zip(keep, PUTS)):
+        ev.filter(cond).withColumn("value", F.col("value") + F.lit(more)).write.parquet(f"{base}/landing/slice={n}")
+        src = SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema)
+        t = adapters.ticks(src).select("symbol", "timestamp", "event_id", "price")
+        J.run_to_completion(J._writer(t, ck, None).foreachBatch(J.kv_item_batches(f"{base}/kv")).start())
+    return rounded(J.KvTable(spark, f"{base}/kv").read())
 
 
 SLICES = 4
@@ -149,11 +164,10 @@ SLICES = 4
 
 @register("stream_indicators_sliced", Q.indicators(), IND_D)
 def stream_indicators_sliced(spark, d):
-    """T8 across micro-batches: events land as time-ordered slices; after each
-    landing the same streaming query is triggered again (availableNow) and
-    processes only the new files, so the per-symbol state has to carry the
-    series across four micro-batches."""
-    base, ck = _run(spark, "sliced")
+    """T8 across micro-batches: events land as time-ordered slices; after each landing the same job is
+    triggered again (availableNow) and sees only the new files, so its state has to carry
+    the series across four micro-batches."""
+    base, _ = _run(spark, "sliced")
     ev = spark.read.parquet(f"{d}/events.parquet")
     ensure_conf(spark)
     bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
@@ -167,28 +181,30 @@ def stream_indicators_sliced(spark, d):
             cond = cond & (F.col("ts") < F.lit(cuts[i]))
         ev.filter(cond).write.parquet(f"{base}/landing/slice={i}")
         src = SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema)
-        with J.state_partitions(spark):
-            q = (ST.stream_indicators(adapters.ticks(src)).writeStream
-                 .option("checkpointLocation", ck).trigger(availableNow=True)
-                 .format("parquet").option("path", f"{base}/out").start())
-        J.run_to_completion(q)
-    return rounded(spark.read.parquet(f"{base}/out"))
+        J.run_to_completion(J.ticker_stream(adapters.ticks(src), f"{base}/out"))
+    J.drain_ticker(spark, f"{base}/out")
+    return _detailed(spark, f"{base}/out")
 
 
 # ---- event-time order: every third event arrives six hours late, the watermark waits twelve
 LATE, DELAY, LANDINGS = "6 HOURS", "12 HOURS", 3
-PASSED = f"(SELECT max(ts) FROM events) - INTERVAL {DELAY}"
+# Windows that the final watermark has passed are evaluated.
+PASSED = f"time_bucket(INTERVAL 5 MINUTE, (SELECT max(ts) FROM events) - INTERVAL {DELAY})"
 
 
-def _late_run(spark, d, key):
-    """The ticker job over events that land in order of arrival, in three micro-batches."""
+def _late_run(spark, d, key, arrival=None, time=None):
+    """The ticker job over events that land in order of ``arrival``, in three micro-batches; ``time`` is their
+    event time."""
     base, _ = _run(spark, key)
     ensure_conf(spark)
     ev = spark.read.parquet(f"{d}/events.parquet")
-    arrival = F.when(F.col("event_id") % 3 == 0, F.col("ts") + F.expr(f"INTERVAL {LATE}")).otherwise(F.col("ts"))
+    if arrival is None:
+        arrival = F.when(F.col("event_id") % 3 == 0, F.col("ts") + F.expr(f"INTERVAL {LATE}")).otherwise(F.col("ts"))
     landed = ev.withColumn("arrival", arrival)
     bounds = landed.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
     step = (bounds["hi"] - bounds["lo"]) / LANDINGS
+    if time is not None:
+        landed = landed.withColumn("ts", time)
     for i in range(LANDINGS):
         part = landed.filter((F.col("arrival") >= F.lit(bounds["lo"] + step * i))
                              & (F.lit(i == LANDINGS - 1) | (F.col("arrival") < F.lit(bounds["lo"] + step * (i + 1)))))
@@ -201,14 +217,13 @@ def _late_run(spark, d, key):
 @register("stream_indicators_late", f"SELECT * FROM ({Q.indicators()}) AS i WHERE watermark_time < {PASSED}", IND_D)
 def stream_indicators_late(spark, d):
     """Late rows inside the watermark change nothing: equal to the batch operator."""
-    out = spark.read.parquet(f"{_late_run(spark, d, 'late')}/detailed").drop("batch_id")
-    return rounded(out.withColumn("partition_date", F.col("partition_date").cast("string")))
+    return _detailed(spark, _late_run(spark, d, "late"))
 
 
 @register("stream_market_late", f"SELECT * FROM ({Q.market_5min(Q.indicators())}) AS m WHERE window_end <= {PASSED}", M5_D)
 def stream_market_late(spark, d):
     """T9 behind T8: closed windows of the same run."""
-    out = spark.read.parquet(f"{_late_run(spark, d, 'late-market')}/aggregated").drop("batch_id", "partition_date")
+    out = VT.read_batches(spark, f"{_late_run(spark, d, 'late-market')}/aggregated").drop("partition_date")
     return rounded(flat_window(out))
 
 
@@ -218,4 +233,28 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC
           ("price", "volume", "rsi", "macd_line"))
 def stream_latest_late(spark, d):
     """K4 of the same run."""
-    return rounded(J.read_kv(spark, f"{_late_run(spark, d, 'late-kv')}/kv", drop=J.KV_ORDER))
+    return rounded(J.read_latest_price(spark, f"{_late_run(spark, d, 'late-kv')}/kv"))
+
+
+# Landing of the audited run: every eleventh event a week late, every 13th without event time.
+LOST_SQL = f"""e AS (SELECT event_id, ts, CASE WHEN event_id % 11 = 0 THEN ts + INTERVAL 7 DAY ELSE ts END AS arrival FROM events),
+b AS (SELECT min(arrival) AS lo, CAST(round(epoch_us(max(arrival)) - epoch_us(min(arrival))) AS BIGINT) AS width FROM e),
+l AS (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS t,
+        CASE WHEN epoch_us(arrival) - epoch_us(lo) < CAST(round(width / 3.0) AS BIGINT) THEN 0
+             WHEN epoch_us(arrival) - epoch_us(lo) < 2 * CAST(round(width / 3.0) AS BIGINT) THEN 1 ELSE 2 END AS n FROM e, b),
+s AS (SELECT *, max(t) OVER (ORDER BY n RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM l),
+o AS (SELECT *, CASE WHEN t IS NULL THEN 'no_event_time' WHEN t < seen - INTERVAL {DELAY} THEN 'behind_watermark'
+               WHEN t < time_bucket(INTERVAL 5 MINUTE, (SELECT max(t) FROM l) - INTERVAL {DELAY}) THEN 'written' ELSE 'pending' END AS outcome FROM s)"""
+
+
+@register("stream_ticker_audit", f"""WITH {LOST_SQL}
+SELECT outcome, count(*) AS n, true AS adds_up FROM o GROUP BY outcome""")
+def stream_ticker_audit(spark, d):
+    """Every row sent is written, pending or audited with its reason."""
+    arrival = F.when(F.col("event_id") % 11 == 0, F.col("ts") + F.expr("INTERVAL 7 DAYS")).otherwise(F.col("ts"))
+    time = F.when(F.col("event_id") % 13 != 0, F.col("ts"))
+    out = _late_run(spark, d, "audit", arrival, time)
+    account = J.ticker_account(spark, out).filter("n > 0")
+    sent = spark.read.parquet(f"{d}/events.parquet").agg(F.count(F.lit(1)).alias("sent"))
+    total = account.agg(F.sum("n").alias("total"))
+    return account.withColumn("adds_up", F.lit(sent.first()[0]) == F.lit(total.first()[0]))

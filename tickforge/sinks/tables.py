@@ -1,8 +1,7 @@
 """Writers and table maintenance on Parquet folders / catalog tables.
 
-Parquet has no MERGE / DELETE, so keyed upserts are an anti-join + union of
-the *touched partitions only*, staged to the shared checkpoint folder (lineage
-cut, retry-safe) and then written with dynamic partition overwrite.
+Parquet has no MERGE / DELETE, so keyed upserts (``sinks.versioned``) are an anti-join + union of
+the *touched partitions only*, written to new folders that a manifest commit makes live.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from .. import fixed as FX
 from ..functions.columns import order_key
-from ..session import materialize, scratch_scope
 
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite",
                 "WRITE_EMPTY": "errorifexists"}
@@ -54,25 +52,6 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
     return target.join(u.select(*keys), list(keys), "left_anti").select(*cols).unionByName(u)
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys, partition_col: str) -> None:
-    """K9: idempotent keyed upsert into a partitioned Parquet table. Only the
-    partitions present in ``updates`` are read, merged and rewritten. ``updates`` is
-    computed once; what is staged is removed when the table is written."""
-    with scratch_scope(spark):
-        updates = materialize(updates, "upsert-updates")
-        fs, root = _fs(spark, path)
-        merged = updates          # first write: the table folder does not exist yet
-        if fs.exists(root):
-            # semi-join on the partition column: dynamic partition pruning reads
-            # only the partitions the updates touch
-            touched = updates.select(partition_col).distinct()
-            cur = spark.read.parquet(path).join(touched, partition_col, "left_semi")
-            # staged: cuts lineage to the files being replaced
-            merged = materialize(merge_rows(cur.select(*updates.columns), updates, keys), "upsert")
-        write_table(merged, path, [partition_col], mode="overwrite",
-                    options={"partitionOverwriteMode": "dynamic"})
-
-
 def retention_keep(df: DataFrame, date_col: str, days: int = FX.RETENTION_DAYS, as_of=None) -> DataFrame:
     """K12 as a DataFrame: rows whose ``date_col`` is within ``days`` of as_of
     (default: newest date in the table)."""
@@ -190,13 +169,3 @@ def newest_of(df: DataFrame, keys, order) -> DataFrame:
     task before the shuffle."""
     first = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-
-
-def kv_put(current: DataFrame | None, items: DataFrame, now_epoch: Column | None = None) -> DataFrame:
-    """K4 put semantics over a whole table: items replace same-key items
-    (the newer write wins), then expired items (ttl <= now) are dropped.
-    ``now_epoch`` defaults to the newest timestamp in the table (data clock)."""
-    merged = items if current is None else current.unionByName(items)
-    keep = newest_of(merged, ["symbol", "timestamp"], [F.col("write_batch").desc()])
-    now = now_epoch if now_epoch is not None else keep.select(F.max("timestamp")).scalar()
-    return keep.filter(F.col("ttl") > now)

@@ -1,5 +1,5 @@
 """Streaming jobs: trade validation with dead-letter fan-out (K1, K2, T4-T7,
-T10-T13), ticker indicators -> lake + 5-minute aggregates + latest price
+T10-T13), ticker indicators -> lake + 5-minute aggregates + latest price + audit of late rows
 (K3, K4, T1-T3, T8, T9), and stream-side dedup.
 
 Every sink has its own checkpoint under the shared checkpoint folder; a
@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .. import fixed as FX
 from ..operators import indicators as I, ingest as G, quality as QL, rollups as R
 from ..session import materialize, scratch_scope
-from ..sinks import tables as TB
-from . import stateful
+from ..sinks import manifest as M, tables as TB
+from ..sinks.kvstore import KvTable
+from ..sinks.versioned import read_batches
 
 
 class state_partitions:
@@ -80,82 +81,36 @@ def dedup_stream(trades: DataFrame, watermark: str = FX.WATERMARK_DELAY,
                   .dropDuplicatesWithinWatermark(list(keys)))
 
 
-def market_stream(ticks: DataFrame, watermark: str = FX.WATERMARK_DELAY) -> tuple[DataFrame, DataFrame]:
-    """(enriched tick stream, 5-minute market aggregate stream).
-    Windows are emitted once the watermark passes their end (append mode), so the last ones
-    of a stream that stops are never emitted; rows behind the watermark are dropped by the engine and counted in the
-    query progress (numRowsDroppedByWatermark)."""
-    t = ticks.withColumn("watermark_time", F.col("watermark_time").cast("timestamp")) \
-             .withWatermark("watermark_time", watermark)
-    enriched = stateful.stream_indicators(t, event_time="watermark_time")
-    return enriched, R.market_5min(enriched, ts="watermark_time")
-
-
-def _complete(spark: SparkSession, kv_path: str) -> list[int]:
-    """Complete snapshot versions (folders v=<batch id> with a _SUCCESS marker)."""
-    fs, root = TB._fs(spark, kv_path)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(
-                st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-# What orders writes of a key; not part of the items.
+# Columns that order puts of a symbol's price; not part of the items.
 KV_ORDER = ("event_id", "write_batch")
 
 
-def read_kv(spark: SparkSession, kv_path: str, drop=()) -> DataFrame:
-    """The key-value table as of its newest complete snapshot, without the columns to ``drop``."""
-    versions = _complete(spark, kv_path)
-    if not versions:
-        raise FileNotFoundError(f"no complete snapshot under {kv_path}")
-    return spark.read.parquet(f"{kv_path}/v={versions[-1]}").drop(*drop)
+def latest_price_table(spark: SparkSession, path: str) -> KvTable:
+    """One item per symbol, the newest: equal timestamps go to the later batch, inside a batch to the higher
+    event id. Items do not expire."""
+    return KvTable(spark, path, ["symbol"], ["timestamp", "write_batch", "event_id"], expires=False)
 
 
-def latest_price_batches(kv_path: str, keep_versions: int = 3):
-    """K4: foreachBatch body keeping one item per symbol (newest wins).
-
-    Batch N merges its items into the newest complete snapshot older than N
-    and writes snapshot v=N; a replay of N (after any failure, even one in
-    the middle of a write) rebuilds the same v=N from the same inputs, and
-    readers never see a half-written table. Old snapshots are pruned."""
+def latest_price_batches(kv_path: str):
+    """K4: foreachBatch body that puts the newest price of every symbol in the batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         items = TB.latest_price_items(batch, as_decimal=False, keep=("event_id",))
-        items = items.withColumn("write_batch", F.lit(batch_id).cast("long"))
-        prev = [v for v in _complete(spark, kv_path) if v < batch_id]
-        if prev:
-            # Equal timestamps: the later batch wins, inside a batch the higher event id.
-            cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}")
-            order = [F.col(c).desc_nulls_last() for c in ("timestamp", "write_batch", "event_id") if c in items.columns]
-            items = TB.newest_of(cur.unionByName(items), ["symbol"], order)
-        merged = items
-        merged.write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
-        for v in prev[:-keep_versions]:
-            fs, p = TB._fs(spark, f"{kv_path}/v={v}")
-            fs.delete(p, True)
+        for c in KV_ORDER[:1]:
+            if c not in items.columns:
+                items = items.withColumn(c, F.lit(None).cast("long"))
+        latest_price_table(batch.sparkSession, kv_path).put(items.withColumn("write_batch", F.lit(batch_id).cast("long")), batch_id)
     return run
 
 
-def kv_item_batches(kv_path: str, ttl_seconds: int = FX.KV_TTL_SECONDS, keep_versions: int = 3):
-    """K4 faithful: every micro-batch puts one item per (symbol, timestamp)
-    into the key-value table (newer write wins), expiring items whose TTL
-    passed on the data clock; stored as complete snapshots like
-    ``latest_price_batches``."""
+def read_latest_price(spark: SparkSession, kv_path: str) -> DataFrame:
+    return latest_price_table(spark, kv_path).read().drop(*KV_ORDER)
+
+
+def kv_item_batches(kv_path: str, ttl_seconds: int = FX.KV_TTL_SECONDS):
+    """K4 faithful: every micro-batch puts one item per (symbol, timestamp) into the key-value table
+    (the newer batch wins); items whose TTL passed on the data clock are gone."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        items = TB.kv_items(batch, ttl_seconds, write_batch=batch_id)
-        prev = [v for v in _complete(spark, kv_path) if v < batch_id]
-        cur = spark.read.parquet(f"{kv_path}/v={prev[-1]}") if prev else None
-        TB.kv_put(cur, items).write.mode("overwrite").parquet(f"{kv_path}/v={batch_id}")
-        for v in prev[:-keep_versions]:
-            fs, p = TB._fs(spark, f"{kv_path}/v={v}")
-            fs.delete(p, True)
+        KvTable(batch.sparkSession, kv_path).put(TB.kv_items(batch, ttl_seconds, write_batch=batch_id), batch_id)
     return run
 
 
@@ -205,74 +160,197 @@ def stop_all(spark: SparkSession) -> None:
         q.stop()
 
 
+AUDIT = ("behind_watermark", "no_event_time")
+TAILS_MERGED = 16               # batches between full versions of the tails
+
+
+def _state_versions(spark: SparkSession, out_root: str) -> list[int]:
+    """Batches whose state is complete."""
+    return M.versions(spark, f"{out_root}/_state")
+
+
+class _TickerState:
+    """State of the ordered ticker job under ``out_root/_state``, written in proportion to the batch:
+
+    * ``pending/batch_id=N/hour=H`` - rows of batch N that have to wait, as they came, by the hour of their event
+      time. They stay where they are until their time is evaluated; hours behind the mark are dropped as folders.
+    * ``tails/b=N`` - the last rows of the symbols evaluated in batch N, merged every ``TAILS_MERGED`` batches.
+    * the manifest - newest event time and mark (all rows before it are evaluated), which tails are live.
+    """
+
+    def __init__(self, spark: SparkSession, out_root: str, spec, batch_id: int):
+        self.spark, self.root, self.spec, self.batch_id = spark, f"{out_root}/_state", spec, batch_id
+        # A replayed batch starts from the state before it.
+        _, self.before = M.read(spark, self.root, below=batch_id)
+
+    @property
+    def newest(self):
+        return self.before.get("newest")
+
+    @property
+    def mark(self):
+        return self.before.get("mark")
+
+    def add(self, rows: DataFrame) -> None:
+        """Put down the batch's waiting rows."""
+        hour = F.floor(F.unix_micros(F.col("watermark_time").cast("timestamp")) / F.lit(HOUR_US)).cast("long")
+        rows.withColumn("hour", hour).write.mode("overwrite").partitionBy("hour").parquet(f"{self.root}/pending/batch_id={self.batch_id}")
+
+    def between(self, schema, lo: int | None, hi: int) -> DataFrame:
+        """Waiting rows of earlier batches with event times (epoch microseconds) from ``lo`` on and before ``hi``: only
+        their hours are read."""
+        us = F.unix_micros(F.col("watermark_time").cast("timestamp"))
+        folders = []
+        for b in M.folders(self.spark, f"{self.root}/pending", "batch_id="):
+            if int(b[9:]) < self.batch_id:
+                for h in M.folders(self.spark, f"{self.root}/pending/{b}", "hour="):
+                    if int(h[5:]) * HOUR_US < hi and (lo is None or (int(h[5:]) + 1) * HOUR_US > lo):
+                        folders.append(f"{self.root}/pending/{b}/{h}")
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(*folders).filter(us < hi)
+        return rows if lo is None else rows.filter(us >= lo)
+
+    def tails(self, schema) -> DataFrame:
+        """The newest tail of every symbol."""
+        live = [f"{self.root}/{x}" for x in self.before.get("tails", [])]
+        if not live:
+            return self.spark.createDataFrame([], schema).withColumn("_b", F.lit(0).cast("long"))
+        rows = self.spark.read.parquet(*live)
+        newest = Window.partitionBy(self.spec.key)
+        return rows.withColumn("_top", F.max("_b").over(newest)).filter("_b = _top").drop("_top")
+
+    def commit(self, tail: DataFrame, newest: int, mark: int) -> None:
+        name = f"tails/b={self.batch_id}"
+        live = self.before.get("tails", [])
+        if len(live) >= TAILS_MERGED:
+            rest = self.tails(tail.schema).drop("_b").join(tail.select(self.spec.key).distinct().withColumnRenamed(self.spec.key, "_k"),
+                                                           F.col(self.spec.key).eqNullSafe(F.col("_k")), "left_anti")
+            tail, live = tail.unionByName(rest), []
+        tail.withColumn("_b", F.lit(self.batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        if self.batch_id in M.versions(self.spark, self.root):
+            return                                      # a replay: the same state is there
+        M.commit(self.spark, self.root, self.batch_id, {"newest": newest, "mark": mark, "tails": [*live, name]})
+        self._drop()
+
+    def _drop(self) -> None:
+        """Remove what the batch before did not need any more: this batch cannot be followed by its replay."""
+        kept = {f"tails/{n}" for n in M.folders(self.spark, f"{self.root}/tails")}
+        for x in kept - set(self.before.get("tails", [])) - {f"tails/b={self.batch_id}"}:
+            M.remove(self.spark, f"{self.root}/{x}")
+        if self.mark is None:
+            return
+        for b in M.folders(self.spark, f"{self.root}/pending", "batch_id="):
+            inside = M.folders(self.spark, f"{self.root}/pending/{b}", "hour=")
+            done = [h for h in inside if (int(h[5:]) + 1) * HOUR_US <= self.mark]
+            for x in [b] if len(done) == len(inside) and int(b[9:]) < self.batch_id else [f"{b}/{h}" for h in done]:
+                M.remove(self.spark, f"{self.root}/pending/{x}")
+
+
+HOUR_US = 3_600_000_000
+WINDOW_US = 300_000_000         # FX.MARKET_WINDOW
+
+
+def _interval_us(text: str) -> int:
+    """Microseconds of an interval such as '10 minutes'."""
+    n, unit = text.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}[unit.lower().rstrip("s")] * 1_000_000
+
+
 def ordered_ticker_batches(out_root: str, delay: str = FX.WATERMARK_DELAY, spec=None):
-    """T8/T9/T11 in event-time order: foreachBatch body for tick rows that may come late.
+    """T3/T8/T9/T11 in event-time order: foreachBatch body for tick rows that may come late.
 
-    Rows wait in ``pending`` until the watermark (newest event time seen less ``delay``) passes
-    them; then they are evaluated in series order behind each symbol's ``tail`` by the batch
-    operator, which cuts hot symbols into pieces. Rows that come behind the watermark
-    are left out, as the engine's own operators do. One state serves all three sinks: enriched
-    rows (``detailed``), 5-minute aggregates of closed windows (``aggregated``, which wait in ``open``)
-    and the newest price per symbol (``kv``).
+    Rows wait until the watermark (newest event time seen less ``delay``) has passed their 5-minute window;
+    then the rows of all windows passed are evaluated in series order behind each symbol's last rows by the
+    batch operator, which cuts hot symbols. A window is evaluated once and whole, so its aggregate needs no
+    state. Outputs, each by batch: enriched rows (``detailed``), 5-minute aggregates (``aggregated``), the newest
+    price per symbol (``kv``), and ``audited``: rows that cannot take part, as they came, with the reason
+    (behind the watermark of the batches before, or without event time). Every row sent is in ``detailed``, still
+    pending, or audited (``ticker_account``).
 
-    Every batch writes its own versions of state and output from the newest complete state
-    before it, so a replayed batch rewrites the same files."""
+    A replayed batch starts from the same state and rewrites the same files."""
     spec = spec or I.SeriesSpec(key="symbol", order=("watermark_time", "event_id"))
-    kv = latest_price_batches(f"{out_root}/kv")
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = f"{out_root}/_state/v={batch_id}"
-        fs, _ = TB._fs(spark, out_root)
-        done = [v for v in _complete(spark, f"{out_root}/_state") if v < batch_id]
-        before = {n: spark.read.parquet(f"{out_root}/_state/v={done[-1]}/{n}")
-                  for n in ("pending", "tail", "open", "clock")} if done else {}
-        t = F.col("watermark_time")
-        rows = batch.withColumn("watermark_time", t.cast("timestamp_ntz"))
-        seen = before["clock"].first()["newest"] if before else None
-        wait = F.expr(f"INTERVAL {delay}")
-        if seen is not None:
-            rows = rows.filter(t >= F.lit(seen) - wait)
-        if before:
-            rows = rows.unionByName(before["pending"])
-        with scratch_scope(spark):
-            rows = materialize(rows, "ordered-rows")
-            newest = max((x for x in (seen, rows.agg(F.max(t)).first()[0]) if x is not None), default=None)
-            passed = t < F.lit(newest).cast("timestamp_ntz") - wait
-            ready = rows.filter(passed).withColumn("_tail", F.lit(False))
-            if before:
-                ready = ready.unionByName(before["tail"].withColumn("_tail", F.lit(True)))
-            enriched = materialize(I.technical_indicators(ready, spec=spec).filter(~F.col("_tail")).drop("_tail"),
-                                   "ordered-enriched")
-            days = ("partition_date", "symbol") if "partition_date" in enriched.columns else ()
-            TB.write_table(enriched, f"{out_root}/detailed/batch_id={batch_id}", days, mode="overwrite")
-            kv(enriched, batch_id)
-            windows = enriched.unionByName(before["open"]) if before else enriched
-            closes = F.window(t.cast("timestamp"), FX.MARKET_WINDOW)["end"].cast("timestamp_ntz")
-            windows = windows.withColumn("_closes", closes)
-            closed = F.col("_closes") <= F.lit(newest).cast("timestamp_ntz") - wait
-            agg = R.market_5min(windows.filter(closed), ts="watermark_time", window=FX.MARKET_WINDOW)
-            # the aggregate has no date of its own: the window's
-            agg = agg.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
-            TB.write_table(agg, f"{out_root}/aggregated/batch_id={batch_id}", ("partition_date",), mode="overwrite")
-            newest_first = [F.col(c).desc() for c in spec.order]
-            last = Window.partitionBy(spec.key).orderBy(*newest_first)
-            tail = (ready.withColumn("_nth", F.row_number().over(last))
-                    .filter(F.col("_nth") <= I.COMPOSITE_LOOKBACK).drop("_nth", "_tail"))
-            for name, df in (("pending", rows.filter(~passed)), ("tail", tail), ("open", windows.filter(~closed).drop("_closes")),
-                             ("clock", spark.createDataFrame([(newest,)], "newest timestamp_ntz"))):
-                df.write.mode("overwrite").parquet(f"{state}/{name}")
-        fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/_SUCCESS"), True).close()
-        for v in done[:-2]:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{out_root}/_state/v={v}"), True)
-    return run
+    return lambda batch, batch_id: _ticker_step(batch, batch_id, out_root, _interval_us(delay), spec)
+
+
+def _ticker_step(batch: DataFrame, batch_id: int, out_root: str, wait: int, spec, drain: bool = False) -> None:
+    spark = batch.sparkSession
+    state = _TickerState(spark, out_root, spec, batch_id)
+    with scratch_scope(spark):
+        rows = materialize(batch.withColumn("watermark_time", F.col("watermark_time").cast("timestamp_ntz")), "ticker-rows")
+        us = F.unix_micros(F.col("watermark_time").cast("timestamp"))
+        late = F.lit(False) if state.newest is None else us < F.lit(state.newest - wait)
+        reason = F.when(us.isNull(), F.lit(AUDIT[1])).when(late, F.lit(AUDIT[0]))
+        (rows.withColumn("audit_reason", reason).filter("audit_reason is not null")
+         .write.mode("overwrite").parquet(f"{out_root}/audited/batch_id={batch_id}"))
+        accepted = rows.filter(reason.isNull())
+        newest = max((x for x in (state.newest, accepted.agg(F.max(us)).first()[0]) if x is not None), default=None)
+        if newest is None:
+            mark = None
+        else:
+            # The start of the first window the watermark has not passed.
+            mark = newest // WINDOW_US * WINDOW_US + WINDOW_US if drain else (newest - wait) // WINDOW_US * WINDOW_US
+            mark = max(mark, state.mark or mark)
+        state.add(accepted if mark is None else accepted.filter(us >= F.lit(mark)))
+        ready = accepted.limit(0) if mark is None else accepted.filter(us < F.lit(mark)).unionByName(
+            state.between(rows.schema, state.mark, mark))
+        ready = ready.withColumn("_tail", F.lit(False)).unionByName(
+            state.tails(rows.schema).drop("_b").withColumn("_tail", F.lit(True)))
+        ready = materialize(ready, "ticker-ready")
+        enriched = materialize(I.technical_indicators(ready, spec=spec).filter(~F.col("_tail")).drop("_tail"), "ticker-enriched")
+        days = ("partition_date", "symbol") if "partition_date" in enriched.columns else ()
+        TB.write_table(enriched, f"{out_root}/detailed/batch_id={batch_id}", days, mode="overwrite")
+        latest_price_batches(f"{out_root}/kv")(enriched, batch_id)
+        agg = R.market_5min(enriched, ts="watermark_time", window=FX.MARKET_WINDOW)
+        # the aggregate has no date of its own: the window's
+        agg = agg.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
+        TB.write_table(agg, f"{out_root}/aggregated/batch_id={batch_id}", ("partition_date",), mode="overwrite")
+        # Tails of the symbols evaluated now; the others' are as they were.
+        moved = Window.partitionBy(spec.key)
+        last = moved.orderBy(*[F.col(c).desc() for c in spec.order])
+        tail = (ready.withColumn("_new", F.max(~F.col("_tail")).over(moved)).filter("_new")
+                .withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") <= I.COMPOSITE_LOOKBACK)
+                .drop("_nth", "_new", "_tail"))
+        state.commit(tail, newest, mark)
+
+
+def drain_ticker(spark: SparkSession, out_root: str, spec=None) -> None:
+    """T12 for the ticker job: evaluate everything that still waits, after its query has stopped for good."""
+    spec = spec or I.SeriesSpec(key="symbol", order=("watermark_time", "event_id"))
+    done = _state_versions(spark, out_root)
+    folders = M.folders(spark, f"{out_root}/_state/pending", "batch_id=")
+    hours = [f"{out_root}/_state/pending/{b}/{h}" for b in folders for h in M.folders(spark, f"{out_root}/_state/pending/{b}", "hour=")]
+    if done and hours:
+        none = spark.read.parquet(*hours[:1]).limit(0)
+        _ticker_step(none, done[-1] + 1, out_root, 0, spec, drain=True)
+
+
+def ticker_account(spark: SparkSession, out_root: str) -> DataFrame:
+    """(outcome, n): where every row of the ticker job is: ``written``, ``pending``, or audited by reason."""
+    written = read_batches(spark, f"{out_root}/detailed")
+    audited = read_batches(spark, f"{out_root}/audited")
+    done = _state_versions(spark, out_root)
+    mark = M.read(spark, f"{out_root}/_state")[1].get("mark") if done else None
+    folders = M.folders(spark, f"{out_root}/_state/pending", "batch_id=")
+    hours = [f"{out_root}/_state/pending/{b}/{h}" for b in folders for h in M.folders(spark, f"{out_root}/_state/pending/{b}", "hour=")]
+    counts = spark.createDataFrame([(o, 0) for o in ("written", "pending", *AUDIT)], "outcome string, n long")
+    if written is not None:
+        counts = counts.unionByName(written.select(F.lit("written").alias("outcome"), F.lit(1).cast("long").alias("n")))
+    if hours:
+        pending = spark.read.parquet(*hours)
+        if mark is not None:
+            pending = pending.filter(F.unix_micros(F.col("watermark_time").cast("timestamp")) >= F.lit(mark))
+        counts = counts.unionByName(pending.select(F.lit("pending").alias("outcome"), F.lit(1).cast("long").alias("n")))
+    if audited is not None:
+        counts = counts.unionByName(audited.select(F.col("audit_reason").alias("outcome"), F.lit(1).cast("long").alias("n")))
+    return counts.groupBy("outcome").agg(F.sum("n").alias("n"))
 
 
 def ticker_stream(ticks: DataFrame, out_root: str, trigger: dict | None = None,
                   watermark: str = FX.WATERMARK_DELAY):
-    """Ticker stream job (K3, K4, T8, T9, T11): one query whose batches write enriched ticks,
-    5-minute market aggregates and the latest-price table from one state, in event-time
-    order. Rows and windows the final watermark has not passed stay in the state."""
+    """Ticker stream job (K3, K4, T3, T8, T9, T11): one query whose batches write enriched ticks,
+    5-minute market aggregates, the latest-price table and the audit of late rows from one state, in
+    event-time order. Rows of windows the final watermark has not passed stay in the state (``drain_ticker``)."""
     return (_writer(ticks, f"{out_root}/_ck", trigger)
             .foreachBatch(ordered_ticker_batches(out_root, watermark)).start())
 
