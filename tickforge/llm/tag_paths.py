@@ -4,15 +4,16 @@ Every text node of a page belongs to the path of open tags from the root to
 it. Over a page, text length, punctuation, node count and linked characters
 are added up per tag path; a path's ratio (text per node, raised by punctuation
 and lowered by links) is fused with the ratio smoothed over neighbouring
-nodes in page order, and paths whose ratio reaches a share of the page's mean are content.
+nodes in page order, and paths whose ratio reaches a share of the mean over the page's text are content.
 Where the page names its article or main element, ratios compete inside it.
 Elements that never hold main text (menus, headers, footers, asides, forms, dialogs, scripts,
-styles, hidden ones) are taken out by element, role or attribute. A class or id name of adverts,
-notices, comments and the like takes an element out only if the whole name is made of such words, no article or main
-element is inside and the element holds at most ``NAMED_SHARE`` of the page's text; a name that
-only contains such a word lowers the ratio of its paths.
+styles, hidden ones) are taken out by element, role or attribute. A class or id name made of words for adverts,
+notices, teasers and the like alone takes an element out, however much text it holds, unless an article or main
+element is inside; one made of words for reader comments takes it out in any case. An article element with such
+a name is a comment or teaser itself. A name that only contains such a word lowers the ratio of its paths.
+A page with no text but links outside such elements keeps what stands under names that may be its subject.
 
-Defined results: null, empty or text-free html gives an empty text; broken or
+Defined results: of paths with equal ratios all are kept or none; null, empty or text-free html gives an empty text; broken or
 cut-off markup is read as far as it goes; repeated pages repeat; very long pages
 are read whole in one pass; other columns are ignored; an empty table gives an empty result.
 """
@@ -46,7 +47,15 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponso
                   "footer foot header masthead topbar cookie cookies consent gdpr notice alert popup modal overlay "
                   "newsletter subscribe subscription signup login comment comments commentlist disqus reply replies "
                   "discussion respond share sharing social related recommended recommendations trending widget "
-                  "toolbar copyright legal disclaimer skip hidden form search tags".split())
+                  "toolbar copyright legal disclaimer skip hidden form search tags teaser teasers".split())
+# Those for what readers write, and those that an article element of its own may bear.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
+ASIDE_ARTICLES = COMMENTS | frozenset("teaser teasers related recommended recommendations promo promotion sponsored "
+                                      "sponsor ad ads advert advertisement trending widget".split())
+# Marks that can also name what a page is about.
+SUBJECTS = frozenset("legal copyright disclaimer notice alert search form tags widget overlay hidden".split())
+# Words that say how an element is laid out, not what it is.
+LAYOUT = frozenset("list area section block box container wrap wrapper inner outer content item items thread".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -57,18 +66,31 @@ _BLANK = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 SMOOTH = 2          # neighbours on either side
-THRESHOLD = 0.2     # share of the page's mean smoothed ratio
-NAMED = 0.02        # part of that share asked for inside a named article
-NAMED_SHARE = 1 / 3 # of the page's text in an element that its class or id sets apart
+THRESHOLD = 0.2     # share of the mean smoothed ratio of the page's text
+NAMED = 0.1         # part of that share asked for inside a named article
 DOUBT = 0.5         # of a path's ratio lost where all its text lies under names that contain a mark
 
 
-APART, NAME, PART = 3, 2, 1
+APART, TALK, NAME, LOOSE, PART = 5, 4, 3, 2, 1
+
+
+def _named(words: list[str], tag: str) -> int:
+    """What a class or id name of ``words`` says: TALK for reader comments (words of layout beside them do not
+    count), NAME for other marks, LOOSE for those that may name a page's own subject, PART if it only
+    contains a mark, else 0."""
+    telling = [w for w in words if w not in LAYOUT]
+    if telling and COMMENTS.issuperset(telling):
+        return TALK
+    if tag == "article":
+        return NAME if telling and ASIDE_ARTICLES.issuperset(telling) else 0
+    if words and MARKS.issuperset(words):
+        return LOOSE if SUBJECTS.issuperset(words) else NAME
+    return PART if not MARKS.isdisjoint(words) else 0
 
 
 def _marked(tag: str, attrs: str) -> int:
-    """Whether an element is set apart from the article: APART by its name, role or being hidden,
-    NAME by a class or id name of marks alone, PART by a mark in one, else 0."""
+    """Whether an element is set apart from the article: APART by its name, role or being hidden, else
+    the most that its class and id names say."""
     if tag in BOILERPLATE:
         return APART
     found = 0
@@ -82,18 +104,15 @@ def _marked(tag: str, attrs: str) -> int:
             return APART
         if name == "role" and value in ROLES:
             return APART
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+        if name in ("class", "id") and tag not in ("body", "html", "main"):
             for words in map(_NAME.findall, value.split()):
-                if words and MARKS.issuperset(words):
-                    found = NAME
-                elif not MARKS.isdisjoint(words):
-                    found = max(found, PART)
+                found = max(found, _named(words, tag))
     return found
 
 
 def _nodes(page: str):
     """Text nodes in page order, (path, block, raw text, in article, link, set apart, named, in
-    doubt), and of each element with a marked name (element around it, holds an article).
+    doubt), and of each element with a marked name (element around it, holds an article, mark).
     ``block`` numbers the runs of inline content, ``named`` is the innermost such element (-1: none)."""
     stack: list[tuple] = []      # (tag, path, in article, in link, set apart, named, in doubt)
     path, inside, link, apart, named, doubt = "", False, False, False, -1, False
@@ -152,15 +171,15 @@ def _nodes(page: str):
         path = f"{path}/{tag}"
         mark = _marked(tag, m[3])
         apart = apart or mark == APART or tag == "header" and not inside
-        article = tag in CONTENT_ROLES or "role" in m[3] and any(
-            x[1].lower() == "role" and (x[2] or x[3] or x[4] or "").lower() in CONTENT_ROLES for x in _ATTR.finditer(m[3]))
+        article = mark < LOOSE and (tag in CONTENT_ROLES or "role" in m[3] and any(
+            x[1].lower() == "role" and (x[2] or x[3] or x[4] or "").lower() in CONTENT_ROLES for x in _ATTR.finditer(m[3])))
         if article:
             inside, doubt, e = True, False, named
             while e >= 0 and not elements[e][1]:
                 elements[e][1] = True
                 e = elements[e][0]
-        elif mark == NAME:
-            elements.append([named, False])
+        elif mark >= LOOSE:
+            elements.append([named, False, mark])
             named = len(elements) - 1
         elif mark == PART:
             doubt = True
@@ -172,20 +191,16 @@ def _kept_nodes(page: str) -> list[tuple]:
     """(path, block, text, in article, link, in doubt) of the text nodes that nothing sets apart."""
     nodes, elements = _nodes(page)
     nodes = [(p, b, _html.unescape(t) if "&" in t else t, *rest) for p, b, t, *rest in nodes]
-    size, total = [0] * len(elements), 0
-    for _, _, t, _, _, apart, named, _ in nodes:
-        n = 0 if apart else len(_BLANK.sub(" ", t).strip())
-        total += n
-        if named >= 0:
-            size[named] += n
-    for e in range(len(elements) - 1, -1, -1):           # elements follow the one around them
-        if elements[e][0] >= 0:
-            size[elements[e][0]] += size[e]
-    out = []
-    for e, (around, article) in enumerate(elements):
-        out.append(around >= 0 and out[around] or not article and size[e] <= NAMED_SHARE * total)
-    return [(p, b, t, inside, link, doubt or named >= 0) for p, b, t, inside, link, apart, named, doubt in nodes
-            if not apart and not (named >= 0 and out[named])]
+    out, sure = [], []                                   # elements follow the one around them
+    for around, article, mark in elements:
+        gone = mark == TALK or not article
+        out.append(around >= 0 and out[around] or gone)
+        sure.append(around >= 0 and sure[around] or gone and mark != LOOSE)
+    left = [x for x in nodes if not x[5]]
+    kept = [x for x in left if x[6] < 0 or not out[x[6]]]
+    if not any(x[2].strip() and not x[4] for x in kept):
+        kept = [x for x in left if x[6] < 0 or not sure[x[6]]]
+    return [(p, b, t, inside, link, doubt or named >= 0) for p, b, t, inside, link, apart, named, doubt in kept]
 
 
 def extract(page: str, threshold: float = THRESHOLD, smooth: int = SMOOTH) -> str:
@@ -222,8 +237,10 @@ def extract(page: str, threshold: float = THRESHOLD, smooth: int = SMOOTH) -> st
         p = leaf[nodes[k][0]]
         fused[p] += (own[i] + flat[i]) / 2
         seen[p] += 1
-    # Inside a named article a path has less to prove.
-    limit = threshold * (NAMED if nodes[filled[0]][3] else 1) * sum(flat) / len(flat)
+    # The mean is one of the text: many short nodes do not lower it. Inside a named article a path has
+    # less to prove.
+    size = [len(nodes[k][2].strip()) for k in filled]
+    limit = threshold * (NAMED if nodes[filled[0]][3] else 1) * sum(map(float.__mul__, flat, map(float, size))) / sum(size)
     content = {p for p in fused if fused[p] / seen[p] >= limit and linked[p] <= 0.5 * text[p]}
     blocks, at = [], None
     for p, b, t, *_ in nodes:
