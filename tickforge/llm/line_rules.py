@@ -2,8 +2,8 @@
 
 Base figures of each text come from its own words and lines. The method then
 hashes every normalised line (lower case, runs of white space as one blank),
-counts the documents of each host that hold it, removes lines found in more
-than ``max_docs`` documents of a host and rejects documents that lose more
+counts the documents of each host that hold it, removes lines found in more than ``max_share``
+of the host's documents and more than ``few`` of them, and rejects documents that lose more
 than ``max_lost`` of their words that way.
 
 Plan: one narrow pass for the figures; one pass that explodes distinct line
@@ -15,24 +15,26 @@ execution splits where a line is hot. Texts are never shuffled.
 Defined results: null or empty texts have no words, so their base rule fails
 and they are rejected; a null host counts as the host ''; rows that repeat
 (same id, host and text) each count as a document and each get their row; very long
-texts are handled whole; other columns are ignored; empty tables give empty results.
+texts are handled whole; a line found in just the limit of documents stays, and a document that loses just
+``max_lost`` of its words is kept; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import written
+from .common import small_side, written
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[^#*$%&|<>]+"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-# Method: a line of at least MIN_LINE_WORDS words is frequent in a host when more
-# than MAX_DOCS of its documents hold it.
-MIN_LINE_WORDS = 3
-MAX_DOCS = 200
+# Method: a line with at least MIN_LINE_WORDS words is frequent in a host when more than MAX_SHARE
+# of its documents, and more than FEW, hold it.
+MIN_LINE_WORDS = 1
+MAX_SHARE = 0.1
+FEW = 4
 MAX_LOST = 0.5
 # Two longs and a string per frequent line: a million of them stay near 100 MB.
 BROADCAST_LINES = 1_000_000
@@ -100,12 +102,16 @@ def base_figures(keyed: DataFrame) -> DataFrame:
         _repeated_words(F.col("hashes")).cast("long").alias("n_repeat_words"))
 
 
-def frequent_lines(keyed: DataFrame, max_docs: int = MAX_DOCS, min_line_words: int = MIN_LINE_WORDS) -> DataFrame:
-    """(host, h, n_docs): lines held by more than ``max_docs`` documents of a host.
-    A document counts once per line; the count combines before the shuffle."""
+def frequent_lines(keyed: DataFrame, max_share: float = MAX_SHARE, few: int = FEW,
+                   min_line_words: int = MIN_LINE_WORDS) -> DataFrame:
+    """(host, h, n_docs): lines held by more than ``max_share`` and more than ``few`` of a host's
+    documents. A document counts once per line; the count combines before the shuffle."""
     found = F.filter(_hashed_lines(F.col("text")), lambda x: x["w"] >= min_line_words)
     rows = keyed.select("host", F.explode(F.array_distinct(F.transform(found, lambda x: x["h"]))).alias("h"))
-    return rows.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > max_docs)
+    lines = rows.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > few)
+    hosts = written(keyed.groupBy("host").agg(F.count(F.lit(1)).alias("docs")), "host-sizes")
+    return (lines.join(small_side(hosts), "host").filter(F.col("n_docs") > max_share * F.col("docs"))
+            .select("host", "h", "n_docs"))
 
 
 def _lost_words(keyed: DataFrame, frequent: DataFrame, min_line_words: int) -> DataFrame:
@@ -137,12 +143,12 @@ def without_frequent_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "
 
 
 def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-               max_docs: int = MAX_DOCS, min_line_words: int = MIN_LINE_WORDS,
+               max_share: float = MAX_SHARE, few: int = FEW, min_line_words: int = MIN_LINE_WORDS,
                max_lost: float = MAX_LOST) -> DataFrame:
     """One row per input row: the base figures, ``base_failed``, words lost with
     frequent lines (``n_line_words_removed``) and ``kept``."""
     keyed = _keyed(docs, id_col, text_col, host_col)
-    lost = _lost_words(keyed, frequent_lines(keyed, max_docs, min_line_words), min_line_words)
+    lost = _lost_words(keyed, frequent_lines(keyed, max_share, few, min_line_words), min_line_words)
     figures = base_figures(keyed)
     out = figures.join(lost, ["host", "key"], "left")
     removed = F.coalesce("lost", F.lit(0).cast("long"))

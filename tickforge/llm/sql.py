@@ -62,7 +62,9 @@ ln AS (
   SELECT doc_id, host, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS l
   FROM (SELECT doc_id, host, unnest(lines) AS l FROM d)),
 lw AS (SELECT doc_id, host, l, len(string_split(l, ' ')) AS w FROM ln),
-freq AS (SELECT host, l FROM lw WHERE w >= 3 GROUP BY host, l HAVING count(DISTINCT doc_id) > 200),
+hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+freq AS (SELECT host, l FROM lw JOIN hosts USING (host) GROUP BY host, l, docs
+  HAVING count(DISTINCT doc_id) > 4 AND count(DISTINCT doc_id) > 0.1 * docs),
 lost AS (SELECT doc_id, sum(w) AS lost FROM lw JOIN freq USING (host, l) GROUP BY doc_id),
 f AS (
   SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
