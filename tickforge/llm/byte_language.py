@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import in_parts
 
@@ -231,18 +231,15 @@ def predict(model: ByteGRU | None, texts: list[bytes], width: int = 4096) -> tup
 
 
 def training_spans(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, span: int = SPAN) -> DataFrame:
-    """(lang, span) of about ``per_lang`` rows of each language, chosen and cut by hash.
-    ``docs`` has doc_id, text and lang."""
+    """(doc_id, lang, u, span) of at most ``per_lang`` rows of each language: those with the least hashes of id
+    and text, cut by hash. ``docs`` has doc_id, text and lang."""
     d = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    counts = docs.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), per_lang / F.col("n"))
-    # Uniform in [0, 1) by id: the same rows whatever the partitioning.
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
     at = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id")), F.greatest(F.length("text") - span, F.lit(1)))
-    # One row per language on the right.
-    return (d.withColumns({"u": u, "at": at.cast("int") + 1}).join(F.broadcast(counts), "lang")
-            .filter(F.col("u") < share)
-            .select("doc_id", "lang", "u", F.substring("text", F.col("at"), F.lit(span)).alias("span")))
+    # The same rows whatever the partitioning; a task passes on at most per_lang of a language.
+    d = d.select("doc_id", "lang", F.xxhash64("doc_id", "text", F.lit(SEED)).alias("u"),
+                 F.substring("text", at.cast("int") + 1, F.lit(span)).alias("span"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("u", "span"))
+    return d.withColumn("nth", nth).filter(F.col("nth") <= per_lang).drop("nth")
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> ByteGRU | None:
