@@ -26,7 +26,7 @@ OPERATORS = {
     "merge_dropout": lambda s, d: merge_dropout.round_trip(d, vocabulary("piece_bpe_32k.model")),
     "hyperminhash": lambda s, d: hyperminhash.near_duplicates(d),
     "passage_attention": lambda s, d: passage_attention.quality(d, _labels(s)),
-    "line_rules": lambda s, d: line_rules.line_rules(d, max_docs=2),
+    "line_rules": lambda s, d: line_rules.line_rules(d, max_share=0, few=2),
     "suffix_dedup": lambda s, d: suffix_dedup.substring_dedup(d),
     "byte_language": lambda s, d: byte_language.language_id(d, per_lang=3),
 }
@@ -83,9 +83,9 @@ def test_defined_results(results):
 def test_lines_above_the_limit_go(spark):
     text = "a line that many share\n" + prose(9, 30)
     d = edge_docs(spark, [(i, text + str(i), "en", "h") for i in range(5)] + [(9, "a line that many share", "en", "g")])
-    rows = {r["doc_id"]: r for r in line_rules.line_rules(d, max_docs=4).collect()}
+    rows = {r["doc_id"]: r for r in line_rules.line_rules(d, max_share=0.8, few=4).collect()}
     assert rows[0]["n_line_words_removed"] == 5 and rows[0]["kept"] and rows[9]["n_line_words_removed"] == 0
-    freq = line_rules.frequent_lines(line_rules._keyed(d, "doc_id", "text", "source"), 4)
+    freq = line_rules.frequent_lines(line_rules._keyed(d, "doc_id", "text", "source"), 0.8, 4)
     kept = {r["doc_id"]: r["text"] for r in line_rules.without_frequent_lines(d, freq).collect()}
     assert kept[0] == prose(9, 30) + "0" and kept[9] == "a line that many share"
 

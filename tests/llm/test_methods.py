@@ -71,7 +71,14 @@ def test_token_store_files(spark, docs, tmp_path):
     import pyarrow.orc as orc
     ids = [i for f in files for i in orc.ORCFile(f).read(columns=["doc_id"]).column(0).to_pylist()]
     assert ids == sorted(ids)
-    assert any(b"bloom" in open(f, "rb").read().lower() or orc.ORCFile(f).nrows for f in files)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for f in files:
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        stripes = list(reader.getStripes())
+        rows = reader.rows()
+        for stripe in stripes:
+            kinds = {(x.getColumn(), str(x.getKind())) for x in rows.readStripeFooter(stripe).getStreamsList()}
+            assert (1, "BLOOM_FILTER_UTF8") in kinds and (1, "ROW_INDEX") in kinds and not any("BLOOM" in k for c, k in kinds if c != 1)
 
 
 def test_piece_encoder_on_odd_texts():
@@ -387,6 +394,86 @@ def test_marked_wrappers_keep_the_article(wrapper):
     assert tag_paths.extract(page) == f"{para}{para}".strip()
 
 
+TALK = "".join(f"<p>I do not agree with number {k}, as I said before, and I will say it again. " for k in range(9))
+STORY = "<h1>A title</h1><p>It was a long day, and nobody said a word; the rain fell.<p>Then it was over, and they left."
+STORY_TEXT = "A title It was a long day, and nobody said a word; the rain fell. Then it was over, and they left."
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><article>{STORY}</article><div id=comments>{TALK}</div>", f"<body><div>{STORY}</div><div id='comments'>{TALK}</div>",
+    f"<body><article>{STORY}<section class=comments>{TALK}</section></article>",
+    f"<body><article>{STORY}<div class='comment-list'><article>{TALK}</article></div></article>",
+    f"<body><article>{STORY}</article><div class=discussion><article class=comment>{TALK}</article></div>",
+    f"<body><article>{STORY}</article><article class=teaser>{TALK}</article><article class='related-item'>{TALK}</article>",
+    f"<body><main>{STORY}<div class='ad'>{TALK}</div></main>", f"<body><div>{STORY}</div><div class=newsletter>{TALK}</div>",
+    f"<body class='comments-open'><div class=story>{STORY}</div><ol class=commentlist><li>{TALK}</ol>"])
+def test_marked_elements_go_whatever_their_share(page):
+    assert tag_paths.extract(page) == STORY_TEXT
+
+
+def test_page_under_marks_alone_keeps_its_text():
+    assert tag_paths.extract(f"<body><div class=legal>{STORY}</div>") == STORY_TEXT
+    assert tag_paths.extract(f"<body><div class=comments>{STORY}</div>") == ""
+
+
+def test_ratios_decide_inside_an_article():
+    """Without a name or mark: a long run of unpunctuated fragments goes by its path's ratio."""
+    rows = "".join(f"<tr><td>cell {k}</td></tr>" for k in range(120))
+    paras = "".join(f"<p>{STORY_TEXT} {STORY_TEXT}</p>" for _ in range(6))
+    page = f"<body><article>{paras}<table>{rows}</table></article>"
+    kept = " ".join([f"{STORY_TEXT} {STORY_TEXT}"] * 6)
+    assert tag_paths.extract(page) == kept and tag_paths.extract(page, threshold=0) == kept + "".join(f" cell {k}" for k in range(120))
+    short = f"<body><article>{paras}<ul><li>one</li><li>two</li><li>three</li></ul>{paras}</article>"
+    assert tag_paths.extract(short) == f"{kept} one two three {kept}"
+
+
+def test_given_pages_equal_a_plain_parser(spark):
+    """Independent of paths, ratios and marks: the blocks of the article element, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.blocks = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            if tag not in tag_paths.INLINE or tag == "br":
+                self.blocks.append("") if tag != "br" else self.handle_data(" ")
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            if tag not in tag_paths.INLINE:
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside and self.blocks:
+                self.blocks[-1] += data
+
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    assert len(rows) > 20
+    for r in rows:
+        p = Article()
+        p.feed(r["html"])
+        p.close()
+        assert tag_paths.extract(r["html"]) == " ".join(x for x in (re.sub(r"\s+", " ", b).strip() for b in p.blocks) if x)
+
+
+# --- bounded samples --------------------------------------------------------------------
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    rows = [(7, prose(k, 30), "en", "h") for k in range(900)] + [(None, prose(k, 30), "de", "h") for k in range(500)]
+    rows += [(7, prose(1, 30), "en", "h")] * 300 + [(100 + k, prose(k, 30), "fr", "h") for k in range(20)]
+    d = edge_docs(spark, rows)
+    sample = byte_language.training_spans(d.select("doc_id", "text", "lang"), per_lang=40).collect()
+    assert Counter(r["lang"] for r in sample) == {"en": 40, "de": 40, "fr": 20}
+    again = byte_language.training_spans(d.select("doc_id", "text", "lang").repartition(5), per_lang=40).collect()
+    assert sorted(map(tuple, sample), key=str) == sorted(map(tuple, again), key=str)
+    labels = spark.createDataFrame([(7, 1), (7, 0), (7, 1)] + [(100 + k, k % 2) for k in range(20)], "doc_id long, label int")
+    found = passage_attention.training_rows(d.select("doc_id", "text"), labels, per_class=15).collect()
+    assert Counter(r["label"] for r in found)[1] == 15 and Counter(r["label"] for r in found)[0] <= 15
+
+
 # --- decontamination --------------------------------------------------------------------
 
 def _align(item, passage):

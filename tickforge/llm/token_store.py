@@ -186,9 +186,10 @@ def token_table(spark: SparkSession, path: str) -> DataFrame:
     rows = written(rows, "token-counts")        # read twice below; a few bytes per document
     within = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    # One row per file: files are numbered in writing order, which is the order of ids.
+    # One row per file: files bear the number of their task, and tasks the order of ids.
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("all"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    task = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long")
+    earlier = Window.orderBy(task, "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"))
     return rows.join(files, "file").select(
         "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
