@@ -21,9 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import in_parts
+from .common import in_parts, least_of
 
 SEGMENT = 64
 HIDDEN = 8
@@ -235,11 +235,10 @@ def training_spans(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, span: int =
     and text, cut by hash. ``docs`` has doc_id, text and lang."""
     d = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     at = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id")), F.greatest(F.length("text") - span, F.lit(1)))
-    # The same rows whatever the partitioning; a task passes on at most per_lang of a language.
+    # The same rows whatever the partitioning.
     d = d.select("doc_id", "lang", F.xxhash64("doc_id", "text", F.lit(SEED)).alias("u"),
                  F.substring("text", at.cast("int") + 1, F.lit(span)).alias("span"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("u", "span"))
-    return d.withColumn("nth", nth).filter(F.col("nth") <= per_lang).drop("nth")
+    return least_of(d, "lang", "u", per_lang)
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> ByteGRU | None:

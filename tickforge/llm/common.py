@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
 
@@ -110,6 +110,16 @@ def sorted_groups(batches, keys: list[str]):
         yield joined()
 
 
+def least_of(rows: DataFrame, group: str, by: str, n: int, salts: int = 256) -> DataFrame:
+    """At most ``n`` rows of each ``group``, those with the least ``by`` (a 64-bit hash): first within salts of the
+    group, so that no task gets what all tasks pass on, then among what these left."""
+    salted = rows.withColumn("__salt", F.pmod(F.col(by), F.lit(salts)))
+    for part in ((group, "__salt"), (group,)):
+        nth = F.row_number().over(Window.partitionBy(*part).orderBy(by))
+        salted = salted.withColumn("__nth", nth).filter(F.col("__nth") <= n)
+    return salted.drop("__nth", "__salt")
+
+
 def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """``df`` (few short columns, already written) marked for broadcast if it has at most
     ``rows`` rows; else as it is, for a shuffled join that adaptive execution splits where hot."""

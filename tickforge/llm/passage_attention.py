@@ -21,9 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import filter_rows, id_text, in_parts, utf8
+from .common import filter_rows, id_text, in_parts, least_of, utf8
 
 PASSAGE = 256
 BUCKETS = 256
@@ -187,22 +187,16 @@ def score_texts(model: AttentionModel | None, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def _least(rows: DataFrame, by: str, n: int) -> DataFrame:
-    """At most ``n`` rows of each label, those with the least ``by``; a task passes on no more."""
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(by))
-    return rows.withColumn("nth", nth).filter(F.col("nth") <= n).drop("nth")
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, span: int = SPAN) -> DataFrame:
     """(doc_id, label, u, span) of at most ``per_class`` rows of each class: of the labels with the least hashes of
     the id, the rows with the least hashes of id and text."""
     known = labels.filter(F.col("label").isin(0, 1)).withColumn("v", F.xxhash64("doc_id", F.lit(SEED)))
-    chosen = _least(known, "v", per_class).select("doc_id", "label")       # at most two times per_class short rows
+    chosen = least_of(known, "label", "v", per_class).select("doc_id", "label")       # at most two times per_class short rows
     at = F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id")), F.greatest(F.length("text") - span, F.lit(1))).cast("int") + 1
     rows = (docs.withColumn("at", at).join(F.broadcast(chosen), "doc_id")
             .select("doc_id", "label", F.xxhash64("doc_id", "text", F.lit(SEED)).alias("u"),
                     F.substring("text", F.col("at"), F.lit(span)).alias("span")))
-    return _least(rows, "u", per_class)
+    return least_of(rows, "label", "u", per_class)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> AttentionModel | None:
