@@ -106,6 +106,36 @@ def test_recursive_ema_over_pieces(spark):
     assert max(abs(plain[k] - split[k]) for k in plain) < 1e-9
 
 
+def test_indicators_over_a_look_back(spark):
+    """Only as many days are read as the rarest key that trades near the cut-off needs; results from the cut-off on
+    are those of the whole history."""
+    from tickforge.session import scratch_path
+    import uuid
+    day0 = dt.date(2024, 1, 1)
+    rows = [("BUSY", 1000 * d + i, T0 + dt.timedelta(days=d, minutes=10 * i), float(10 + (i * 7 + d) % 13), 1.0) for d in range(60) for i in range(50)]
+    rows += [("SLOW", 100_000 + d, T0 + dt.timedelta(days=d), float(5 + d % 7), 1.0) for d in range(60)]
+    rows += [("GONE", 200_000 + d, T0 + dt.timedelta(days=d), 1.0, 1.0) for d in range(3)]
+    rows += [("NEW", 300_000 + i, T0 + dt.timedelta(days=58, minutes=i), float(i), 1.0) for i in range(5)]
+    path = scratch_path(spark, f"t-since-{uuid.uuid4().hex}")
+    spark.createDataFrame(rows, SCHEMA).withColumn("day", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("day").parquet(path)
+    df = spark.read.schema(f"{SCHEMA}, day string").parquet(path)
+    cutoff = day0 + dt.timedelta(days=55)
+    # SLOW has a row a day: 4 rows before the cut-off lie in 4 days, 40 of them in 64; NEW has none at all
+    four = df.filter("symbol != 'NEW'")
+    assert S.history_start(four, cutoff, SPEC, 4, "day") == cutoff - dt.timedelta(days=4)
+    near = S.since(four, cutoff, SPEC, 4, "day")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and cutoff.replace(day=21).isoformat() in plan
+    files = near.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r["f"].split("day=")[1][:10] for r in files} == {(cutoff + dt.timedelta(days=k)).isoformat() for k in range(-4, 5)}
+    for table, lookback in ((four, 4), (df, 4), (df, 19)):
+        whole = I.sma(table, window=lookback + 1, spec=SPEC).filter(F.col("day") >= cutoff.isoformat())
+        part = I.sma(S.since(table, cutoff, SPEC, lookback, "day"), window=lookback + 1, spec=SPEC).filter(F.col("day") >= cutoff.isoformat())
+        assert whole.count() == part.count() > 0 and whole.exceptAll(part.select(whole.columns)).count() == 0
+    by_time = S.history_start(spark.createDataFrame(rows, SCHEMA), cutoff, SPEC, 4, "ts")
+    assert by_time <= cutoff - dt.timedelta(days=4)
+
+
 def test_blocked_correlation_equals_brute_force(spark):
     import numpy as np
     from tickforge.operators import analytics as A

@@ -169,10 +169,26 @@ def test_latest_price_items_decimal_and_ttl(spark):
     assert r0["market_cap"] is None          # only stored when truthy
 
 
-def test_file_stats_and_table_info(spark):
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
-    info = LD.table_info(ev, "events").first()
-    assert info["num_rows"] == ev.count() and info["num_bytes"] > 0 and info["num_fields"] == 6
+def test_table_stats_and_info(spark, tmp_path):
+    """Rows come from footers without reading a column; bytes are those of the file system."""
+    import os
+    from tickforge.operators import metrics as MT
+    path = f"{SF001}/events.parquet"
+    ev = spark.read.parquet(path)
+    info = LD.table_info(spark, path, "events").first()
+    assert (info["num_rows"], info["num_bytes"], info["num_fields"]) == (ev.count(), os.path.getsize(path), 6)
+    with LD._footers_only(spark):
+        plan = LD.counted(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "event_id" not in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    folder = str(tmp_path / "t")
+    ev.repartition(5).write.partitionBy("event_type").parquet(folder)
+    sizes = [os.path.getsize(f"{p}/{n}") for p, _, names in os.walk(folder) for n in names if n.endswith(".parquet")]
+    stats = LD.table_stats(spark, folder, "t")
+    assert tuple(stats.first()) == ("t", ev.count(), sum(sizes), len(sizes))
+    rows = [("a", 12_345_678, 5 * 2**30 + 2**20), ("a", 10, 2**29), ("b", 4_999, 7), ("c", 0, 0)]
+    report = MT.storage_report(spark.createDataFrame(rows, "table_name string, rows long, bytes long")).collect()
+    assert [tuple(r)[:3] for r in report] == [("a", 12.35, 5.5), ("b", 0.0, 0.0), ("c", 0.0, 0.0)]
 
 
 def test_load_files_formats_and_dispositions(spark):

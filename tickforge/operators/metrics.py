@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed as FX
 from ..functions.columns import resolve_as_of
@@ -61,16 +61,16 @@ def batch_metrics(batches: DataFrame, batch_col: str = "batch_id", by_symbol: bo
     return out.withColumn("throughput", thr.cast("double"))
 
 
-def storage_report(files: DataFrame) -> DataFrame:
+def storage_report(tables: DataFrame) -> DataFrame:
     """Per table rows (millions) and size (GiB), largest first; input is
-    (table_name, file_path, file_size, rows) per file, see sources.landing."""
-    return (files.groupBy("table_name")
-                 .agg(F.sum("rows").alias("total_rows"), F.sum("file_size").alias("total_bytes"))
-                 .select("table_name",
-                         F.round(F.col("total_rows") / 1e6, 2).alias("rows_millions"),
-                         F.round(F.col("total_bytes") / F.pow(F.lit(1024.0), 3), 2).alias("size_gb"),
-                         "total_bytes")
-                 .orderBy(F.col("total_bytes").desc()))
+    (table_name, rows, bytes) per table, or per part of one, see sources.landing."""
+    return (tables.groupBy("table_name")
+                  .agg(F.sum("rows").alias("total_rows"), F.sum("bytes").alias("total_bytes"))
+                  .select("table_name",
+                          F.round(F.col("total_rows") / 1e6, 2).alias("rows_millions"),
+                          F.round(F.col("total_bytes") / F.pow(F.lit(1024.0), 3), 2).alias("size_gb"),
+                          "total_bytes")
+                  .orderBy(F.col("total_bytes").desc()))
 
 
 # Alert rules: anomaly rate above the limit for the sustain period ->
@@ -81,14 +81,17 @@ MIN_RECORDS = FX.MIN_RECORDS
 SUSTAIN_MINUTES = FX.SUSTAIN_MINUTES
 
 
-def _trailing(df: DataFrame, n: int, aggs) -> DataFrame:
-    """Aggregate each minute's trailing ``n``-minute span without a global
-    window: every row is copied to the n minutes whose span contains it and
-    grouped by that target minute (distributed groupBy, n copies per row)."""
-    spread = df.withColumn("_off", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    spread = spread.withColumn(
-        "_target", F.col("minute") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("_off")))
-    return spread.groupBy(F.col("_target").alias("minute")).agg(*aggs)
+def _trailing(minutes: DataFrame, n: int, aggs: dict) -> DataFrame:
+    """``aggs`` over the ``n`` minutes up to each row of a gapless minute table: windows per day, each
+    day behind the last n - 1 minutes of the day before (n - 1 of 1,440 rows are copied)."""
+    day = F.date_trunc("day", "minute")
+    own = minutes.withColumns({"_day": day, "_halo": F.lit(False)})
+    shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(n - 1))
+    halo = (minutes.withColumns({"_day": F.date_trunc("day", F.col("minute") + shift), "_halo": F.lit(True)})
+            .filter(F.col("_day") > day))
+    w = Window.partitionBy("_day").orderBy("minute").rowsBetween(1 - n, 0)
+    return (own.unionByName(halo).withColumns({k: v.over(w) for k, v in aggs.items()})
+            .filter(~F.col("_halo")).drop("_day", "_halo"))
 
 
 def minute_grid(lo: Column, hi: Column, bounds: DataFrame) -> DataFrame:
@@ -122,7 +125,7 @@ def alert_states(series: DataFrame, ts: str = "watermark_time") -> DataFrame:
                      .agg(F.count(F.lit(1)).alias("records"),
                           (F.count(F.when(F.col("is_anomaly"), 1)) * 100.0 / F.count(F.lit(1)))
                           .cast("double").alias("anomaly_rate")))
-    # One row per minute, read by three branches below: materialise it once
+    # One row per minute, read by two branches below: materialise it once
     # as a table in the shared checkpoint folder instead of re-running the upstream plan.
     per_min = materialize(per_min, "alert-per-minute")
     bounds = per_min.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
@@ -131,9 +134,7 @@ def alert_states(series: DataFrame, ts: str = "watermark_time") -> DataFrame:
     m = m.withColumn("_high", F.coalesce(F.col("anomaly_rate") > ANOMALY_RATE_LIMIT,
                                          F.lit(False)).cast("int"))
     m = m.withColumn("_low", (F.col("records") < MIN_RECORDS).cast("int"))
-    spans = _trailing(m, n, [F.count(F.lit(1)).alias("_n"), F.min("_high").alias("_high_all"),
-                             F.min("_low").alias("_low_all")])
-    out = m.join(spans, "minute")
+    out = _trailing(m, n, {"_n": F.count(F.lit(1)), "_high_all": F.min("_high"), "_low_all": F.min("_low")})
     full = F.col("_n") == n
     rate_state = (F.when(F.col("records") == 0, "no_data")
                    .when(full & (F.col("_high_all") == 1), "alerting").otherwise("ok"))

@@ -27,6 +27,7 @@ Plan shape for large keys (per call):
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 from typing import Callable, Sequence
 
@@ -130,3 +131,32 @@ def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
     own = pieces.select(*df.columns, ARRIVAL, PIECE, F.lit(False).alias(HALO))
     out = compute(own.unionByName(_halo(pieces, df.columns, spec, lookback)), [PIECE, spec.key])
     return whole.unionByName(out.filter(~F.col(HALO)).drop(PIECE, HALO)).drop(ARRIVAL)
+
+
+def _on(day: dt.date, dtype: str):
+    """A day as a literal of a date, timestamp or yyyy-MM-dd string column."""
+    return F.lit(day.isoformat()) if dtype == "string" else F.lit(day).cast(dtype)
+
+
+def history_start(df: DataFrame, cutoff: dt.date, spec: SeriesSpec, lookback: int, day_col: str) -> dt.date:
+    """The latest day (of ``day_col``: date, timestamp or yyyy-MM-dd text) to read from, so that every key with rows from
+    ``cutoff`` on has ``lookback`` rows before it or has none further back than that. Walks back 1, 2, 4, ... days;
+    every step reads the key column of the days in question only."""
+    day, dtype = F.col(day_col), dict(df.dtypes)[day_col]
+    keys = materialize(df.filter(day >= _on(cutoff, dtype)).select(F.col(spec.key).alias("_k")).distinct(), "series-keys")
+    span = 1
+    while True:
+        start = cutoff - dt.timedelta(days=span)
+        counts = (df.filter((day >= _on(start, dtype)) & (day < _on(cutoff, dtype)))
+                  .groupBy(F.col(spec.key).alias("_c")).agg(F.count(F.lit(1)).alias("_n")))
+        short = keys.join(counts, F.col("_k").eqNullSafe(F.col("_c")), "left").filter(F.coalesce("_n", F.lit(0)) < lookback)
+        if not short.take(1) or not df.filter(day < _on(start, dtype)).take(1):
+            return start
+        span *= 2
+
+
+def since(df: DataFrame, cutoff: dt.date, spec: SeriesSpec, lookback: int, day_col: str) -> DataFrame:
+    """Rows of ``df`` from which windows that look back ``lookback`` rows are exact from ``cutoff`` on. The
+    filter is on ``day_col``, so it prunes partitions or row groups."""
+    start = history_start(df, cutoff, spec, lookback, day_col)
+    return df.filter(F.col(day_col) >= _on(start, dict(df.dtypes)[day_col]))

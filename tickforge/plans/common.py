@@ -52,6 +52,11 @@ def ticks(spark: SparkSession, d: str) -> DataFrame:
     return adapters.ticks(events(spark, d))
 
 
+def newest_day(spark: SparkSession, d: str):
+    """Day of the newest event."""
+    return events(spark, d).agg(F.to_date(F.max("ts"))).first()[0]
+
+
 def bulk(spark: SparkSession, d: str) -> DataFrame:
     return adapters.trades_bulk(tables.load(spark, d, "lineitem"))
 

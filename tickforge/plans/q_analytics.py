@@ -1,9 +1,12 @@
 """Queries: daily returns, pairwise correlation, anomaly summary."""
 
+import datetime as dt
+
 from ..operators import analytics as A, indicators as I
+from ..operators.series import since
 from . import sql_blocks as Q
 from .catalog import register
-from .common import TICK_SPEC, rounded, ticks
+from .common import TICK_SPEC, newest_day, rounded, ticks
 
 RETURNS_SQL = f"""WITH p AS (
   SELECT symbol, partition_date, avg(price) AS daily_price FROM ({Q.TICKS}) AS t
@@ -41,5 +44,6 @@ WHERE CAST(partition_date AS DATE) >= {Q.AS_OF_DATE} - INTERVAL 7 DAY
 GROUP BY 1, 2 HAVING count(CASE WHEN is_anomaly THEN 1 END) > 0""",
           ("anomaly_percentage", "avg_anomaly_severity"))
 def anomaly_summary(spark, d):
-    enriched = I.technical_indicators(ticks(spark, d), spec=TICK_SPEC)
-    return rounded(A.anomaly_summary(enriched, days=7))
+    now = newest_day(spark, d)
+    near = since(ticks(spark, d), now - dt.timedelta(days=7), TICK_SPEC, I.COMPOSITE_LOOKBACK, "watermark_time")
+    return rounded(A.anomaly_summary(I.technical_indicators(near, spec=TICK_SPEC), days=7, as_of=now))

@@ -1,7 +1,9 @@
 """Queries: data quality, metrics, alerts, table maintenance and schema tooling
 (A13, A15-A17, M10, K9, K12, K15, W11, S8, S9, S10, M1-M9)."""
 
-from pyspark.sql import Window, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import to_ntz
 from ..operators import indicators as I, metrics as MT, quality as QL, rollups as R
@@ -54,6 +56,19 @@ def custom_metrics(spark, d):
     return rounded(MT.custom_metrics_windows(enriched, seconds=300))
 
 
+@register("custom_metrics_recent", f"""WITH w AS (
+  SELECT count(*) AS n, count(CASE WHEN is_anomaly THEN 1 END) AS a, count(DISTINCT symbol) AS s
+  FROM ({IND}) AS i WHERE "timestamp" > (SELECT max("timestamp") FROM ({Q.TICKS}) AS t) - 3600)
+SELECT 'TotalRecords' AS metric_name, CAST(n AS DOUBLE) AS value, 'Count' AS unit FROM w
+UNION ALL SELECT 'AnomalyCount', CAST(a AS DOUBLE), 'Count' FROM w
+UNION ALL SELECT 'AnomalyRate', CASE WHEN n > 0 THEN a * 100.0 / n ELSE 0.0 END, 'Percent' FROM w
+UNION ALL SELECT 'ActiveSymbols', CAST(s AS DOUBLE), 'Count' FROM w""", ("value",))
+def custom_metrics_recent(spark, d):
+    """S7 + A15 as asked at a moment: the rows of the last hour (the table has a row every few minutes)."""
+    enriched = I.technical_indicators(ticks(spark, d), spec=TICK_SPEC)
+    return rounded(MT.custom_metrics(enriched, seconds=3600))
+
+
 @register("batch_metrics", f"""SELECT CAST(strftime(trade_timestamp, '%Y%m%d%H') AS BIGINT) AS batch_id, symbol,
   count(*) FILTER (WHERE coalesce(symbol IS NOT NULL AND price > 0 AND quantity > 0 AND trade_id IS NOT NULL, false)) AS messages_processed,
   count(*) FILTER (WHERE NOT coalesce(symbol IS NOT NULL AND price > 0 AND quantity > 0 AND trade_id IS NOT NULL, false)) AS messages_failed,
@@ -150,6 +165,18 @@ def latest_price(spark, d):
     return rounded(items)
 
 
+@register("latest_price_decimal", f"""SELECT symbol, "timestamp", CAST(price AS DECIMAL(38, 6)) AS price,
+  CAST(volume AS DECIMAL(38, 6)) AS volume, CAST(nullif(market_cap, 0) AS DECIMAL(38, 6)) AS market_cap, "timestamp" + 86400 AS ttl
+FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 0.0 ELSE round(price * 4, 2) END AS market_cap,
+        row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC, event_id DESC) AS rn
+      FROM ({Q.TICKS}) AS t) AS r WHERE rn = 1""")
+def latest_price_decimal(spark, d):
+    """Items as the key-value store takes them, decimals, and ``market_cap`` only when it is not zero."""
+    t = ticks(spark, d).withColumn("market_cap", F.when(F.col("event_id") % 2 == 0, F.lit(0.0)).otherwise(F.round(F.col("price") * 4, 2)))
+    items = TB.latest_price_items(t.select("symbol", "timestamp", "event_id", "price", "volume", "market_cap"))
+    return items.withColumns({c: F.col(c).cast("decimal(38,6)") for c in ("price", "volume", "market_cap")})
+
+
 @register("list_partitions", f"""SELECT DISTINCT strftime(CAST(trade_timestamp AS DATE), '%Y%m%d') AS partition_id
 FROM ({Q.TRADES}) AS t""")
 def list_partitions(spark, d):
@@ -160,17 +187,17 @@ def list_partitions(spark, d):
 def storage_report(spark, d):
     """S8 + A16: file metadata of every driver table (no SQL oracle: file
     sizes are not visible to the SQL views)."""
-    frames = [LD.file_stats(TBL.load(spark, d, t), t) for t in TBL.TABLES]
-    allf = frames[0]
-    for f in frames[1:]:
-        allf = allf.unionByName(f)
-    return MT.storage_report(allf)
+    return MT.storage_report(_stats_of_all(spark, d))
+
+
+def _stats_of_all(spark, d):
+    return reduce(DataFrame.unionByName, [LD.table_stats(spark, f"{d}/{t}.parquet", t) for t in TBL.TABLES])
 
 
 @register("table_info", None)
 def table_info(spark, d):
     """S10 for the trade source table."""
-    return LD.table_info(events(spark, d), "events", partition_cols=(), cluster_cols=("event_type",))
+    return LD.table_info(spark, f"{d}/events.parquet", "events", partition_cols=(), cluster_cols=("event_type",))
 
 
 # ---- schema tooling over JSON records serialised from events

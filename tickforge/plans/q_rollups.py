@@ -1,9 +1,12 @@
 """Queries: OHLCV roll-ups and market aggregates."""
 
+import datetime as dt
+
 from ..operators import indicators as I, rollups as R
+from ..operators.series import since
 from . import sql_blocks as Q
 from .catalog import register
-from .common import TICK_SPEC, flat_window, rounded, ticks, trades
+from .common import TICK_SPEC, flat_window, newest_day, rounded, ticks, trades
 
 OHLC_D = ("open_price", "high_price", "low_price", "close_price", "total_volume",
           "total_value_usd", "avg_trade_size", "buy_volume", "sell_volume", "vwap")
@@ -108,7 +111,9 @@ WHERE CAST(partition_date AS DATE) >= {Q.AS_OF_DATE} - INTERVAL 30 DAY
 GROUP BY 1, 2""", ("avg_daily_price", "max_daily_price", "min_daily_price", "daily_volatility",
                    "total_daily_volume", "avg_rsi"))
 def daily_performance(spark, d):
-    return rounded(R.daily_performance(_enriched(spark, d), days=30))
+    now = newest_day(spark, d)
+    near = since(ticks(spark, d), now - dt.timedelta(days=30), TICK_SPEC, I.COMPOSITE_LOOKBACK, "watermark_time")
+    return rounded(R.daily_performance(I.technical_indicators(near, spec=TICK_SPEC), days=30, as_of=now))
 
 
 @register("hourly_volume", f"""SELECT symbol,

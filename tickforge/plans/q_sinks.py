@@ -11,10 +11,14 @@ from ..session import scratch_path
 from ..sinks import tables as TB, versioned as VT
 from ..sources import landing as LD, sql as SQ, tables as TBL
 from . import sql_blocks as Q
-from .catalog import register
+from .catalog import REGISTRY, register
 from .common import TICK_SPEC, events, rounded, ticks, trades
-from .q_ops import TGT_H, UPD_H, _split_hourly
-from .q_rollups import OHLC_D
+from .q_ops import TGT_H, UPD_H, _split_hourly, _stats_of_all
+from .q_rollups import OHLC_D, market_summary
+
+
+def registry_sql(key):
+    return REGISTRY[key].oracle()
 
 
 def _folder(spark, key):
@@ -177,21 +181,39 @@ def sql_parameters(spark, d):
         {"least": 10.5, "kind": "error"}, ev=events(spark, d)))
 
 
+@register("sql_dry_run", """SELECT 'good' AS query, true AS valid, true AS has_size, NULL::VARCHAR AS error
+UNION ALL SELECT 'unknown column', false, false, 'UNRESOLVED_COLUMN' UNION ALL SELECT 'unbound parameter', false, false, 'UNBOUND_SQL_PARAMETER'""")
+def sql_dry_run(spark, d):
+    """Dry runs of parametrised queries, each as a row."""
+    asked = {"good": ("SELECT count(*) AS n FROM {ev} WHERE value > :least", {"least": 1.0}),
+             "unknown column": ("SELECT nothing FROM {ev}", {}), "unbound parameter": ("SELECT * FROM {ev} WHERE value > :least", {})}
+    rows = [SQ.estimate(spark, q, p, ev=events(spark, d)).withColumn("query", F.lit(k)) for k, (q, p) in asked.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select(
+        "query", "valid", (F.coalesce("bytes", F.lit(0)) > 0).alias("has_size"), F.substring_index("error", ".", 1).alias("error"))
+
+
+@register("summary_refresh", f"""SELECT * FROM ({registry_sql("market_summary")}) AS s""")
+def summary_refresh(spark, d):
+    """The unpartitioned market summary, written over an older one whose rows must all be gone."""
+    path = _folder(spark, "summary")
+    summary = market_summary(spark, d)
+    old = summary.withColumn("active_symbols", F.lit(-1).cast("long")).unionByName(summary)
+    TB.write_table(old, path, mode="WRITE_TRUNCATE")
+    TB.write_table(summary, path, mode="WRITE_TRUNCATE")
+    return spark.read.parquet(path)
+
+
 @register("table_rows", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS total_rows FROM {t}" for t in TBL.TABLES))
 def table_rows(spark, d):
-    """S8 + A16: rows per table from the file metadata listing."""
-    out = None
-    for t in TBL.TABLES:
-        files = LD.file_stats(TBL.load(spark, d, t), t).groupBy("table_name").agg(F.sum("rows").alias("total_rows"))
-        out = files if out is None else out.unionByName(files)
-    return out
+    """S8 + A16: rows per table from file footers."""
+    return _stats_of_all(spark, d).select("table_name", F.col("rows").alias("total_rows"))
 
 
 @register("table_fields", """SELECT 'events' AS table_name, count(*) AS num_rows, 6 AS num_fields, '' AS partition_columns,
   'event_type' AS cluster_columns FROM events""")
 def table_fields(spark, d):
     """S10 without the byte count."""
-    return LD.table_info(events(spark, d), "events", cluster_cols=("event_type",)).drop("num_bytes")
+    return LD.table_info(spark, f"{d}/events.parquet", "events", cluster_cols=("event_type",)).drop("num_bytes")
 
 
 NEWEST_DAY = "(SELECT CAST(max(ts) AS DATE) FROM events)"
