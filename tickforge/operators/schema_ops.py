@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import fixed as FX
@@ -196,26 +197,43 @@ def compatible(old_names: Column, new_names: Column, mode: Column) -> Column:
     return F.when(old_names.isNull(), True).otherwise(asked)
 
 
-_DECIDED = "array<struct<run: bigint, status: string, number: int>>"
+def _fits(old: list | None, new: list | None, mode: str | None) -> bool:
+    """``compatible`` of plain values."""
+    if old is None:
+        return True
+    # A missing mode asks for both, and a definition without names passes no check.
+    known, old = new is not None, set(old)
+    kept, nothing_new = known and old <= set(new), known and set(new) <= old
+    return (mode not in (None, "backward", "full") or kept) and (mode not in (None, "forward", "full") or nothing_new)
 
 
-def _decide(runs: Column, known: Column, names: Column, number: Column) -> Column:
-    """Decisions on a subject's proposal runs (run, hash, names, mode) in order, against
-    the registered hashes, the newest field names and the newest version number."""
-    start = F.struct(known.alias("known"), names.alias("names"), number.alias("number"),
-                     F.array().cast(_DECIDED).alias("out"))
+_KNOWN, _NEWEST, _RUN = 0, 1, 2
 
-    def step(state, r):
-        status = (F.when(F.array_contains(state["known"], r["hash"]), "duplicate")
-                  .when(compatible(state["names"], r["names"], r["mode"]), "registered").otherwise("incompatible"))
-        new = status == "registered"
-        number = F.when(new, state["number"] + 1).otherwise(state["number"])
-        decision = F.struct(r["run"].alias("run"), status.alias("status"), number.alias("number"))
-        return F.struct(F.when(new, F.array_append(state["known"], r["hash"])).otherwise(state["known"]).alias("known"),
-                        F.when(new, r["names"]).otherwise(state["names"]).alias("names"), number.alias("number"),
-                        F.array_append(state["out"], decision).alias("out"))
 
-    return F.aggregate(runs, start, step, lambda state: state["out"])
+def _decide(batches):
+    """Decisions on proposal runs, in one pass over rows sorted by (subject, kind, run). Of a subject only
+    what is registered is held: hashes, the newest field names and version number."""
+    subject, known, names, number, started = None, set(), None, 0, False
+    for batch in batches:
+        out = {"subject": [], "run": [], "status": [], "number": []}
+        for r in batch.to_pylist():
+            if not started or r["subject"] != subject:
+                subject, known, names, number, started = r["subject"], set(), None, 0, True
+            if r["kind"] == _KNOWN:
+                known.add(r["hash"])
+            elif r["kind"] == _NEWEST:
+                names, number = r["names"], r["run"]
+            else:
+                status = "duplicate" if r["hash"] in known else "registered" if _fits(names, r["names"], r["mode"]) else "incompatible"
+                if status == "registered":
+                    known.add(r["hash"])
+                    names, number = r["names"], number + 1
+                for k, v in zip(out, (subject, r["run"], status, number)):
+                    out[k].append(v)
+        yield pa.RecordBatch.from_pydict(out, schema=_DECIDED)
+
+
+_DECIDED = pa.schema([("subject", pa.string()), ("run", pa.int64()), ("status", pa.string()), ("number", pa.int32())])
 
 
 def register_schemas(registry: DataFrame, proposals: DataFrame,
@@ -230,7 +248,8 @@ def register_schemas(registry: DataFrame, proposals: DataFrame,
     Returns (new registry rows with the definitions as proposed, decisions).
 
     Neighbouring proposals with the same hash and mode meet the same registry, so each run of them
-    is decided once: what a subject gathers is its changes of definition, not its proposals."""
+    is decided once. Runs are folded in order as they stream by, subject after subject: a task holds
+    what a subject has registered, never its proposals."""
     order = Window.partitionBy("subject").orderBy("proposed_at", "schema_hash", "mode")
     p = proposals.withColumns({"schema_hash": schema_hash(F.col("schema_definition")),
                                "names": field_names(F.col("schema_definition")),
@@ -242,15 +261,16 @@ def register_schemas(registry: DataFrame, proposals: DataFrame,
                        "_nth": F.row_number().over(order)})
     runs = (p.groupBy("subject", "run").agg(F.any_value("schema_hash").alias("hash"), F.any_value("names").alias("names"),
                                             F.any_value("mode").alias("mode"))
-            .groupBy("subject").agg(F.array_sort(F.collect_list(F.struct("run", "hash", "names", "mode"))).alias("_runs")))
-    latest = latest_schemas(registry).select(
-        "subject", field_names(F.col("schema_definition")).alias("_names"),
-        F.split("version_id", "-").getItem(1).cast("int").alias("_number"))
-    known = registry.groupBy("subject").agg(F.collect_set("schema_hash").alias("_known"))
-    state = runs.join(latest, "subject", "left").join(known, "subject", "left")
-    decided = state.select("subject", F.inline(_decide(
-        F.col("_runs"), F.coalesce("_known", F.array().cast("array<string>")), F.col("_names"),
-        F.coalesce("_number", F.lit(0)))))
+            .select("subject", F.lit(_RUN).alias("kind"), F.col("run").cast("long").alias("run"), "hash", "names", "mode"))
+    none = F.lit(None).cast("string")
+    newest = latest_schemas(registry).select(
+        "subject", F.lit(_NEWEST).alias("kind"), F.split("version_id", "-").getItem(1).cast("long").alias("run"),
+        none.alias("hash"), field_names(F.col("schema_definition")).alias("names"), none.alias("mode"))
+    known = registry.select("subject", F.lit(_KNOWN).alias("kind"), F.lit(0).cast("long").alias("run"),
+                            F.col("schema_hash").alias("hash"), F.lit(None).cast("array<string>").alias("names"), none.alias("mode"))
+    decided = (known.unionByName(newest).unionByName(runs).repartition("subject")
+               .sortWithinPartitions("subject", "kind", "run")
+               .mapInArrow(_decide, "subject string, run long, status string, number int"))
     first = F.row_number().over(Window.partitionBy("subject", "run").orderBy("_nth")) == 1
     j = p.withColumn("_leads", first).join(decided, ["subject", "run"])
     # Behind the first of a run, what was registered is known.
