@@ -543,3 +543,24 @@ def test_matches_equal_search_of_all_pairs(spark, docs, texts):
                 want.add((i, item))
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op10_decontaminate"](spark, SF).collect()}
     assert got == want and want
+
+
+def test_seeds_find_every_edited_copy_above_the_limit(spark):
+    """Copies with a growing share of words replaced at random: found are those whose alignment reaches the limit."""
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    index = decontaminate.SeedIndex.build(items)
+    counts = np.zeros(len(index.codes), np.int64)
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        counts[np.unique(index.find(index.encode(r["text"] or ""))[0])] += 1
+    seed, rng = index.rare(counts), random.Random(1)
+    for share, least in ((0.0, 1.0), (0.1, 1.0), (0.2, 0.95), (0.3, 0.8)):
+        found = above = n = 0
+        for i, (_, text) in enumerate(items):
+            w = decontaminate.words_of(text)
+            if len(w) >= 20:
+                doc = " ".join(["zz"] * 30 + [x if rng.random() >= share else f"q{rng.randrange(10**6)}" for x in w] + ["zz"] * 30)
+                reaches = decontaminate.align(index.items[i], index.encode(doc))[0] >= decontaminate.limit_of(len(w), decontaminate.MIN_SCORE)
+                got = any(m[0] == i for m in decontaminate.matches_of(index, seed, doc, decontaminate.MIN_SCORE))
+                found, above, n = found + got, above + reaches, n + 1
+                assert got <= reaches
+        assert n > 5 and found >= 0.95 * above and above >= least * n
