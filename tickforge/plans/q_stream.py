@@ -48,6 +48,24 @@ def stream_validate(spark, d):
     return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts_cols}))
 
 
+@register("stream_validate_packed", VALID_SQL, PARSED_D)
+def stream_validate_packed(spark, d):
+    """K1: the same rows from four micro-batches whose day folders are packed between them, under the reader."""
+    base, ck = _run(spark, "packed")
+    ensure_conf(spark)
+    ev = spark.read.parquet(f"{d}/events.parquet")
+    for i in range(4):
+        ev.filter(F.col("event_id") % 4 == i).write.parquet(f"{base}/landing/slice={i}")
+        env = envelopes_of(SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema))
+        parsed = J.G.transform_trades(J.G.flatten_trades(J.G.parse_envelopes(env)), processing_time=F.col("pubsub_publish_time"))
+        J.run_to_completion(J._writer(parsed, ck, None).foreachBatch(J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq")).start())
+        if i % 2:
+            VT.compact(spark, f"{base}/valid", "trade_date", ("symbol", "trade_hour"), small_folders=0)
+    out = VT.read_batches(spark, f"{base}/valid", "trade_date")
+    ts_cols = ("pubsub_publish_time", "event_timestamp", "trade_timestamp", "processing_time")
+    return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts_cols}))
+
+
 @register("stream_validate_dlq", f"""SELECT trade_id, price, symbol, validation_error, 'trade_stream' AS source,
   publish AS processing_time, true AS keeps_nulls
 FROM (SELECT *, pubsub_publish_time AS publish FROM ({INVALID_SQL}) AS i) AS p""", ("price",))
