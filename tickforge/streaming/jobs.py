@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import fixed as FX
 from ..operators import indicators as I, ingest as G, quality as QL, rollups as R
-from ..session import materialize, scratch_scope
+from ..session import scratch_scope
 from ..sinks import manifest as M, tables as TB
 from ..sinks.kvstore import KvTable
 from ..sinks.versioned import read_batches
@@ -276,42 +276,49 @@ def ordered_ticker_batches(out_root: str, delay: str = FX.WATERMARK_DELAY, spec=
 def _ticker_step(batch: DataFrame, batch_id: int, out_root: str, wait: int, spec, drain: bool = False) -> None:
     spark = batch.sparkSession
     state = _TickerState(spark, out_root, spec, batch_id)
-    with scratch_scope(spark):
-        rows = materialize(batch.withColumn("watermark_time", F.col("watermark_time").cast("timestamp_ntz")), "ticker-rows")
-        us = F.unix_micros(F.col("watermark_time").cast("timestamp"))
-        late = F.lit(False) if state.newest is None else us < F.lit(state.newest - wait)
-        reason = F.when(us.isNull(), F.lit(AUDIT[1])).when(late, F.lit(AUDIT[0]))
-        (rows.withColumn("audit_reason", reason).filter("audit_reason is not null")
-         .write.mode("overwrite").parquet(f"{out_root}/audited/batch_id={batch_id}"))
-        accepted = rows.filter(reason.isNull())
-        newest = max((x for x in (state.newest, accepted.agg(F.max(us)).first()[0]) if x is not None), default=None)
-        if newest is None:
-            mark = None
-        else:
-            # The start of the first window the watermark has not passed.
-            mark = newest // WINDOW_US * WINDOW_US + WINDOW_US if drain else (newest - wait) // WINDOW_US * WINDOW_US
-            mark = max(mark, state.mark or mark)
-        state.add(accepted if mark is None else accepted.filter(us >= F.lit(mark)))
-        ready = accepted.limit(0) if mark is None else accepted.filter(us < F.lit(mark)).unionByName(
-            state.between(rows.schema, state.mark, mark))
-        ready = ready.withColumn("_tail", F.lit(False)).unionByName(
-            state.tails(rows.schema).drop("_b").withColumn("_tail", F.lit(True)))
-        ready = materialize(ready, "ticker-ready")
-        enriched = materialize(I.technical_indicators(ready, spec=spec).filter(~F.col("_tail")).drop("_tail"), "ticker-enriched")
-        days = ("partition_date", "symbol") if "partition_date" in enriched.columns else ()
-        TB.write_table(enriched, f"{out_root}/detailed/batch_id={batch_id}", days, mode="overwrite")
-        latest_price_batches(f"{out_root}/kv")(enriched, batch_id)
-        agg = R.market_5min(enriched, ts="watermark_time", window=FX.MARKET_WINDOW)
-        # the aggregate has no date of its own: the window's
-        agg = agg.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
-        TB.write_table(agg, f"{out_root}/aggregated/batch_id={batch_id}", ("partition_date",), mode="overwrite")
-        # Tails of the symbols evaluated now; the others' are as they were.
-        moved = Window.partitionBy(spec.key)
-        last = moved.orderBy(*[F.col(c).desc() for c in spec.order])
-        tail = (ready.withColumn("_new", F.max(~F.col("_tail")).over(moved)).filter("_new")
-                .withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") <= I.COMPOSITE_LOOKBACK)
-                .drop("_nth", "_new", "_tail"))
-        state.commit(tail, newest, mark)
+    rows = batch.withColumn("watermark_time", F.col("watermark_time").cast("timestamp_ntz")).persist()
+    enriched = None
+    try:
+        with scratch_scope(spark):
+            us = F.unix_micros(F.col("watermark_time").cast("timestamp"))
+            late = F.lit(False) if state.newest is None else us < F.lit(state.newest - wait)
+            reason = F.when(us.isNull(), F.lit(AUDIT[1])).when(late, F.lit(AUDIT[0]))
+            seen = rows.agg(F.max(F.when(reason.isNull(), us)).alias("newest"), F.count(reason).alias("audited")).first()
+            if seen["audited"]:
+                (rows.withColumn("audit_reason", reason).filter("audit_reason is not null")
+                 .write.mode("overwrite").parquet(f"{out_root}/audited/batch_id={batch_id}"))
+            accepted = rows.filter(reason.isNull())
+            newest = max((x for x in (state.newest, seen["newest"]) if x is not None), default=None)
+            if newest is None:
+                mark = None
+            else:
+                # The start of the first window the watermark has not passed.
+                mark = newest // WINDOW_US * WINDOW_US + WINDOW_US if drain else (newest - wait) // WINDOW_US * WINDOW_US
+                mark = max(mark, state.mark or mark)
+            state.add(accepted if mark is None else accepted.filter(us >= F.lit(mark)))
+            ready = accepted.limit(0) if mark is None else accepted.filter(us < F.lit(mark)).unionByName(
+                state.between(rows.schema, state.mark, mark))
+            ready = ready.withColumn("_tail", F.lit(False)).unionByName(
+                state.tails(rows.schema).drop("_b").withColumn("_tail", F.lit(True)))
+            enriched = I.technical_indicators(ready, spec=spec).filter(~F.col("_tail")).drop("_tail").persist()
+            days = ("partition_date", "symbol") if "partition_date" in enriched.columns else ()
+            TB.write_table(enriched, f"{out_root}/detailed/batch_id={batch_id}", days, mode="overwrite")
+            latest_price_batches(f"{out_root}/kv")(enriched, batch_id)
+            agg = R.market_5min(enriched, ts="watermark_time", window=FX.MARKET_WINDOW)
+            # the aggregate has no date of its own: the window's
+            agg = agg.withColumn("partition_date", F.date_format(F.col("window.start"), "yyyy-MM-dd"))
+            TB.write_table(agg, f"{out_root}/aggregated/batch_id={batch_id}", ("partition_date",), mode="overwrite")
+            # Tails of the symbols evaluated now; the others' are as they were.
+            moved = Window.partitionBy(spec.key)
+            last = moved.orderBy(*[F.col(c).desc() for c in spec.order])
+            # (New rows are later than a tail, so they are among the last ones.)
+            tail = (ready.withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") <= I.COMPOSITE_LOOKBACK)
+                    .withColumn("_new", F.max(~F.col("_tail")).over(moved)).filter("_new").drop("_nth", "_new", "_tail"))
+            state.commit(tail, newest, mark)
+    finally:
+        rows.unpersist()
+        if enriched is not None:
+            enriched.unpersist()
 
 
 def drain_ticker(spark: SparkSession, out_root: str, spec=None) -> None:
