@@ -113,6 +113,25 @@ def test_trade_stream_fan_out_and_replay(spark):
     assert spark.read.parquet(f"{base}/valid").count() == n_valid
 
 
+def test_trade_sinks_are_packed(spark):
+    """Valid rows and dead letters of many micro-batches: the same rows in few folders."""
+    from tickforge.plans.q_ingest import envelopes_of
+    from tickforge.sinks import manifest as M
+    from tickforge.sinks.versioned import read_batches
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    base = scratch_path(spark, f"t-packed-{uuid.uuid4().hex}")
+    body = J.validated_batches(None, f"{base}/valid", f"{base}/dlq", pack_every=5, small_folders=1)
+    for n in range(11):
+        part = ev.filter(F.col("event_id") % 11 == n)
+        batch = J.G.transform_trades(J.G.flatten_trades(J.G.parse_envelopes(envelopes_of(part))))
+        body(batch, n)
+    body(batch, 10)                                          # a replay
+    valid, dlq = read_batches(spark, f"{base}/valid", "trade_date"), read_batches(spark, f"{base}/dlq")
+    assert valid.count() + dlq.count() == ev.count() and valid.select("symbol", "trade_id").distinct().count() == valid.count()
+    doc = M.read(spark, f"{base}/dlq")[1]
+    assert len(doc["folders"][""]) <= 2 and doc["upto"] == 8
+
+
 def test_ticker_stream_writes_three_sinks(spark):
     from tickforge.sources import adapters
     d = "/root/testdata/sf0.001"

@@ -58,9 +58,8 @@ def stream_validate_packed(spark, d):
         ev.filter(F.col("event_id") % 4 == i).write.parquet(f"{base}/landing/slice={i}")
         env = envelopes_of(SS.replay_stream(spark, f"{base}/landing/slice=*/*.parquet", ev.schema))
         parsed = J.G.transform_trades(J.G.flatten_trades(J.G.parse_envelopes(env)), processing_time=F.col("pubsub_publish_time"))
-        J.run_to_completion(J._writer(parsed, ck, None).foreachBatch(J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq")).start())
-        if i % 2:
-            VT.compact(spark, f"{base}/valid", "trade_date", ("symbol", "trade_hour"), small_folders=0)
+        body = J.validated_batches(parsed, f"{base}/valid", f"{base}/dlq", pack_every=2, small_folders=0)
+        J.run_to_completion(J._writer(parsed, ck, None).foreachBatch(body).start())
     out = VT.read_batches(spark, f"{base}/valid", "trade_date")
     ts_cols = ("pubsub_publish_time", "event_timestamp", "trade_timestamp", "processing_time")
     return rounded(out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts_cols}))

@@ -16,7 +16,7 @@ from ..operators import indicators as I, ingest as G, quality as QL, rollups as
 from ..session import scratch_scope
 from ..sinks import manifest as M, tables as TB
 from ..sinks.kvstore import KvTable
-from ..sinks.versioned import read_batches
+from ..sinks.versioned import compact, read_batches
 
 
 class state_partitions:
@@ -45,10 +45,11 @@ def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str = "a
 
 
 def validated_batches(parsed: DataFrame, valid_path: str, dlq_path: str,
-                      null_policy: str = "dead_letter"):
+                      null_policy: str = "dead_letter", pack_every: int | None = None, small_folders: int = 4):
     """T10/T11 body: one persisted micro-batch written to both sinks.
     Output folders are keyed by batch id, so a replayed batch overwrites its
-    own files instead of appending duplicates."""
+    own files instead of appending duplicates. With ``pack_every`` the folders of the batches before
+    are packed every so many batches (``versioned.compact``); readers then use ``read_batches``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
@@ -60,17 +61,20 @@ def validated_batches(parsed: DataFrame, valid_path: str, dlq_path: str,
               .write.mode("overwrite").parquet(f"{dlq_path}/batch_id={batch_id}")
         finally:
             b.unpersist()
+        if pack_every and batch_id % pack_every == pack_every - 1:
+            compact(batch.sparkSession, valid_path, "trade_date", ("symbol", "trade_hour"), small_folders=small_folders)
+            compact(batch.sparkSession, dlq_path, small_folders=small_folders)
     return run
 
 
 def trade_stream(envelopes: DataFrame, valid_path: str, dlq_path: str, checkpoint: str,
-                 trigger: dict | None = None, truncate_to_second: bool = False):
+                 trigger: dict | None = None, truncate_to_second: bool = False, pack_every: int | None = None):
     """Trade stream job: parse -> transform -> validate -> valid + DLQ sinks,
     with the source read once per micro-batch."""
     flat = G.flatten_trades(G.parse_envelopes(envelopes), truncate_to_second)
     parsed = G.transform_trades(flat)
     return (_writer(parsed, checkpoint, trigger)
-            .foreachBatch(validated_batches(parsed, valid_path, dlq_path)).start())
+            .foreachBatch(validated_batches(parsed, valid_path, dlq_path, pack_every=pack_every)).start())
 
 
 def dedup_stream(trades: DataFrame, watermark: str = FX.WATERMARK_DELAY,
