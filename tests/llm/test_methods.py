@@ -13,6 +13,7 @@ from edge import edge_docs, prose
 
 from tickforge.llm import (byte_language, decontaminate, graph, hyperminhash, licenses, merge_dropout,
                            passage_attention, suffix_array, suffix_dedup, tag_paths, token_store)
+from tickforge.llm.common import written
 from tickforge.llm.queries import QUERIES, vocabulary
 from tickforge.llm.shingles import shingle_set
 
@@ -178,6 +179,25 @@ def test_components_equal_brute_force(spark, texts, monkeypatch, block):
     assert all(r["n_shingles"] == len(sets[i]) and r["kept"] == (want[i] == i) for i, r in got.items())
 
 
+def test_blocks_meet_only_across_components(spark, monkeypatch):
+    """A bucket of one component sends nothing across its blocks; one with few others sends each member
+    as often as those have blocks, not as often as the bucket has."""
+    monkeypatch.setattr(hyperminhash, "BLOCK_DOCS", 10)
+    bands = spark.createDataFrame([(1, i, 5) for i in range(200)] + [(2, i, 5) for i in range(200)], "key long, id long, n long")
+    stars = spark.createDataFrame([(i, 0) for i in range(1, 200)], "node long, root long")
+    wide = written(bands.select("key").distinct(), "wide")
+    assert hyperminhash._across(bands, wide, stars).count() == 0
+    apart = bands.filter("key = 2").unionByName(spark.createDataFrame([(2, 1000 + i, 5) for i in range(10)], bands.schema))
+    rows = hyperminhash._across(apart, wide, stars).collect()
+    assert len(rows) == 200 + 10 * 21                   # the rest meets itself and 20 blocks
+    met = {}
+    for r in rows:
+        met.setdefault((r["i"], r["j"]), set()).add(r["id"])
+    for a in range(1000, 1010):
+        partners = set().union(*(ids for ids in met.values() if a in ids))
+        assert partners == set(range(200)) | set(range(1000, 1010))
+
+
 def test_shingles_are_words_in_order():
     def plain(text):
         w = bytes(text, "utf8").lower().split()

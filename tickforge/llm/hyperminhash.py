@@ -11,8 +11,10 @@ pairs far below the threshold are dropped; the rest are confirmed on full shingl
 What moves is never a pair of documents before it is a confirmed link:
 
 * equal sets are one node from the start, so exact copies cost one row per document;
-* a bucket with many members is cut into blocks by hash, and every two blocks meet in
-  a task of their own, where sketches are compared as matrices;
+* a bucket with many members is cut into blocks by hash; sketches are compared as matrices, first inside
+  the blocks only. Blocks of different bands mix members anew, so members that belong together are
+  mostly one component by then; across blocks only members of different components meet (a bucket's largest
+  component with the rest, and the rest among each other), in a task for every two blocks;
 * a pair is taken up only in the first band it agrees in, so no pair is confirmed twice;
 * texts join only the nodes that have a pair left to confirm;
 * of the links a task confirms it returns a spanning forest, which names the same components.
@@ -121,9 +123,9 @@ def estimates(registers: np.ndarray, size: np.ndarray, i: int, js: np.ndarray, m
     return est, occupied, by_band.argmax(1)
 
 
-def _close_pairs(registers, size, block, band, here: tuple[int, int], m: Measure):
-    """Index pairs of a bucket's rows that may be linked and first agree in ``band``.
-    With two blocks only pairs across them are looked at."""
+def _close_pairs(registers, size, block, root, band, here: tuple[int, int], m: Measure):
+    """Index pairs of a bucket's rows of different ``root`` that may be linked and first agree in
+    ``band``. With two blocks only pairs across them are looked at."""
     goal = m.percent / 100
     rows = np.arange(len(size))
     for i in rows:
@@ -132,7 +134,7 @@ def _close_pairs(registers, size, block, band, here: tuple[int, int], m: Measure
             continue
         # Sets whose sizes differ too much can't reach the threshold.
         lo, hi = np.minimum(size[i], size[js]), np.maximum(size[i], size[js])
-        js = js[100 * lo >= m.percent * hi]
+        js = js[(100 * lo >= m.percent * hi) & (root[js] != root[i])]
         if not len(js):
             continue
         est, occupied, first = estimates(registers, size, i, js, m)
@@ -188,19 +190,48 @@ def _bands(nodes: DataFrame, m: Measure) -> DataFrame:
 
 
 _GROUP = ["key", "i", "j"]
-_MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("id", pa.int64())])
-
-
-def _members(bands: DataFrame) -> DataFrame:
-    """Rows of buckets with two members or more, each in all block pairs (i, j) of its block."""
-    shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
-                     .select("key", F.ceil(F.greatest(F.col("c") / BLOCK_DOCS, F.col("s") / BLOCK_SHINGLES))
-                             .cast("int").alias("blocks")), "shared-bands")
-    rows = bands.join(small_side(shared), "key")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+_MEMBER = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("id", pa.int64()),
+                     ("root", pa.int64())])
+
+
+def _blocks_of(docs, shingles):
+    """Blocks that so many members with so many shingles are cut into."""
+    return F.ceil(F.greatest(docs / BLOCK_DOCS, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _shared(bands: DataFrame) -> DataFrame:
+    """(key, blocks) of the buckets with two members or more."""
+    return written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).filter("c > 1")
+                   .select("key", _blocks_of(F.col("c"), F.col("s")).alias("blocks")), "shared-bands")
+
+
+def _inside(bands: DataFrame, shared: DataFrame) -> DataFrame:
+    """Rows of shared buckets, each in its block alone."""
+    block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
+    return (bands.join(small_side(shared), "key").withColumn("block", block)
+            .select("key", F.col("block").alias("i"), F.col("block").alias("j"), "block", "id", F.col("id").alias("root")))
+
+
+def _across(bands: DataFrame, wide: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows of the buckets ``wide`` (key) that hold members of several components (``stars``: node, root), in
+    all block pairs in which members of different components may meet. Blocks of the rest come
+    first, those of the largest component behind them; the latter meet blocks of the rest only."""
+    rows = bands.join(small_side(wide), "key").join(stars.withColumnRenamed("node", "id"), "id", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "id"))
+    parts = written(rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")), "bucket-parts")
+    both = (parts.groupBy("key").agg(F.max(F.struct("c", "root", "s")).alias("t"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+            .filter("c > t.c"))
+    cuts = written(both.select("key", F.col("t.root").alias("top"), _blocks_of(F.col("c") - F.col("t.c"), F.col("s") - F.col("t.s")).alias("rest"),
+                               _blocks_of(F.col("t.c"), F.col("t.s")).alias("tops")), "bucket-cuts")
+    discard(parts)
+    rows = rows.join(small_side(cuts), "key")
+    hashed, of_top = F.xxhash64("id", "key"), F.col("root") == F.col("top")
+    rows = rows.withColumn("block", F.when(of_top, F.col("rest") + F.pmod(hashed, F.col("tops")))
+                           .otherwise(F.pmod(hashed, F.col("rest"))).cast("int"))
+    last = F.when(of_top, F.col("rest")).otherwise(F.col("rest") + F.col("tops")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "id")
+                       "block", "id", "root")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -220,13 +251,13 @@ def _survivors(members: DataFrame, nodes: DataFrame, m: Measure) -> DataFrame:
                 continue
             band, here = _place(g)
             pairs = _close_pairs(_registers(g.column("registers"), m), g.column("n").to_numpy(),
-                                 g.column("block").to_numpy(), band, here, m)
+                                 g.column("block").to_numpy(), g.column("root").to_numpy(), band, here, m)
             keep = sorted({x for pair in pairs for x in pair})
             if keep:
                 yield g.select(_MEMBER.names).take(pa.array(keep)).cast(_MEMBER)
 
     rows = members.join(nodes.select("id", "n", "registers"), "id")
-    return _grouped(rows).mapInArrow(run, "key long, i int, j int, block int, id long")
+    return _grouped(rows).mapInArrow(run, "key long, i int, j int, block int, id long, root long")
 
 
 def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
@@ -259,7 +290,7 @@ def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
 
             found = []
             for x, y in _close_pairs(regs, np.array([len(s) for s in sets]), g.column("block").to_numpy()[seen],
-                                     band, here, m):
+                                     g.column("root").to_numpy()[seen], band, here, m):
                 if top(x) == top(y):
                     continue
                 both = len(sets[x]) + len(sets[y])
@@ -273,6 +304,17 @@ def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
     return _grouped(survivors.join(texts, "id")).mapInArrow(run, "a long, b long")
 
 
+def _confirmed(d: DataFrame, sets: DataFrame, nodes: DataFrame, members: DataFrame, m: Measure) -> DataFrame:
+    """(a, b): links among ``members`` of shared buckets, written."""
+    survivors = written(_survivors(members, nodes, m), "survivors")
+    # Texts of the sets that survived, by the key of a row that has the set.
+    wanted = written(survivors.select("id").distinct().join(sets, "id").select("id", "node", "key"), "wanted")
+    texts = d.join(small_side(wanted), "key").select("id", "node", "text")
+    links = written(_links(survivors, texts, m).distinct(), "links")
+    discard(survivors, wanted)
+    return links
+
+
 def _linked_sets(d: DataFrame, rows: DataFrame, k: int, m: Measure) -> tuple[DataFrame, DataFrame]:
     """((node, rep, key, id) of every set of measure ``k`` in the sketch table, links (a, b) between ids)."""
     mine = rows.select("doc_id", "key", "row", F.col(f"n_{k}").alias("n"), F.col(f"node_{k}").alias("node"),
@@ -282,13 +324,15 @@ def _linked_sets(d: DataFrame, rows: DataFrame, k: int, m: Measure) -> tuple[Dat
                    .agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.min("row").alias("id")), "sets")
     nodes = mine.join(small_side(sets.select("id")), F.col("row") == F.col("id"))
     bands = written(_bands(nodes, m), "bands")
-    survivors = written(_survivors(_members(bands), nodes, m), "survivors")
-    discard(bands)
-    # Texts of the sets that survived, by the key of a row that has the set.
-    wanted = written(survivors.select("id").distinct().join(sets, "id").select("id", "node", "key"), "wanted")
-    texts = d.join(small_side(wanted), "key").select("id", "node", "text")
-    links = written(_links(survivors, texts, m).distinct(), "links")
-    discard(survivors, wanted)
+    shared = _shared(bands)
+    links = _confirmed(d, sets, nodes, _inside(bands, shared), m)
+    wide = shared.filter("blocks > 1").select("key")
+    if wide.take(1):
+        stars = components(links).filter("node != root")
+        more = _confirmed(d, sets, nodes, _across(bands, wide, stars), m)
+        # Stars name the same components as the links they come from.
+        links = written(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
+    discard(bands, shared)
     return sets, links
 
 
