@@ -214,10 +214,10 @@ def _inside(bands: DataFrame, shared: DataFrame) -> DataFrame:
 
 def _across(bands: DataFrame, wide: DataFrame, stars: DataFrame) -> DataFrame:
     """Rows of the buckets ``wide`` (key) that hold members of several components (``stars``: node, root), in
-    all block pairs in which members of different components may meet. Blocks of the rest come
+    all block pairs in which members of different components may meet, written. Blocks of the rest come
     first, those of the largest component behind them; the latter meet blocks of the rest only."""
-    rows = bands.join(small_side(wide), "key").join(stars.withColumnRenamed("node", "id"), "id", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "id"))
+    rows = bands.join(small_side(wide), "key").join(small_side(stars.withColumnRenamed("node", "id")), "id", "left")
+    found = rows = written(rows.withColumn("root", F.coalesce("root", "id")), "wide-rows")
     parts = written(rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")), "bucket-parts")
     both = (parts.groupBy("key").agg(F.max(F.struct("c", "root", "s")).alias("t"), F.sum("c").alias("c"), F.sum("s").alias("s"))
             .filter("c > t.c"))
@@ -230,8 +230,10 @@ def _across(bands: DataFrame, wide: DataFrame, stars: DataFrame) -> DataFrame:
                            .otherwise(F.pmod(hashed, F.col("rest"))).cast("int"))
     last = F.when(of_top, F.col("rest")).otherwise(F.col("rest") + F.col("tops")) - 1
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-    return rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "block", "id", "root")
+    out = written(rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                              "block", "id", "root"), "across")
+    discard(found, cuts)
+    return out
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
@@ -328,11 +330,18 @@ def _linked_sets(d: DataFrame, rows: DataFrame, k: int, m: Measure) -> tuple[Dat
     links = _confirmed(d, sets, nodes, _inside(bands, shared), m)
     wide = shared.filter("blocks > 1").select("key")
     if wide.take(1):
-        stars = components(links).filter("node != root")
-        more = _confirmed(d, sets, nodes, _across(bands, wide, stars), m)
+        stars = written(components(links).filter("node != root"), "stars")
+        across = _across(bands, wide, stars)
+        discard(bands)
+        # Only sketches of sets that meet others there move again.
+        ids = written(across.select("id").distinct(), "across-ids")
+        more = _confirmed(d, sets, nodes.join(small_side(ids), "id", "left_semi"), across, m)
         # Stars name the same components as the links they come from.
         links = written(stars.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "links")
-    discard(bands, shared)
+        discard(across, ids, stars, more)
+    else:
+        discard(bands)
+    discard(shared)
     return sets, links
 
 
