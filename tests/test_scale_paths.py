@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +159,26 @@ def test_blocked_correlation_equals_brute_force(spark):
         assert got[k][1] == n
         if np.isfinite(cv):
             assert abs(got[k][0] - cv) < 1e-8, (k, got[k], cv)
+
+
+def test_recursive_ema_is_exact_over_pieces_and_missing_prices(spark):
+    """A slow average (no halo would be long enough), with missing prices at the start, inside and over
+    whole pieces, equals the definition row by row."""
+    rng = np.random.default_rng(3)
+    prices = rng.uniform(1, 9, 900)
+    prices[:7] = np.nan
+    prices[rng.integers(0, 900, 120)] = np.nan
+    prices[300:460] = np.nan
+    rows = [(k, i, None if np.isnan(p) else float(p)) for k in ("a", None) for i, p in enumerate(prices)]
+    rows += [("b", 0, 2.0), ("b", 1, 4.0), ("c", 0, None)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp long, price double").repartition(5)
+    want = pd.Series(prices).ewm(alpha=0.001, adjust=False).mean()
+    for piece_rows in (50, 1_000_000):
+        out = I.ema_recursive(df, alpha=0.001, spec=I.SeriesSpec(piece_rows=piece_rows))
+        assert out.columns == ["symbol", "timestamp", "price", "ema_20_exp"]
+        got = {(r[0], r[1]): r[3] for r in out.collect()}
+        assert len(got) == len(rows)
+        for k in ("a", None):
+            mine = np.array([got[k, i] for i in range(900)], float)
+            np.testing.assert_allclose(mine, want, rtol=1e-12)
+        assert got["b", 1] == pytest.approx(2.0 * 0.999 + 4.0 * 0.001) and got["c", 0] is None

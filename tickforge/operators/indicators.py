@@ -13,13 +13,14 @@ the exponential version.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fixed as FX
 from ..functions.columns import safe_div
+from ..session import materialize
 from . import series as S
 from .series import SeriesSpec
 
@@ -181,27 +182,158 @@ INDICATOR_COLUMNS = ["price_lag_1", "price_change", "price_change_pct", "sma_20"
 
 # ---------------------------------------------------------------- exponential EMA
 
+_STATE = ("_ema", "_gap")       # average before a series or piece (null: none yet), rows without a price since
+
+
+def _behind(ema: float, gap: int, price: float, a: float) -> float:
+    """The average at ``price``, ``gap`` rows without a price behind average ``ema``."""
+    old = (1.0 - a) ** (gap + 1)
+    return (old * ema + a * price) / (old + a)
+
+
+def _averages(prices: np.ndarray, a: float, state: tuple) -> tuple[np.ndarray, tuple]:
+    """Averages of ``prices`` (NaN: none) behind a state, and the state after them."""
+    ema, gap = state
+    out = np.full(len(prices), np.nan if ema is None else ema)
+    has = np.flatnonzero(~np.isnan(prices))
+    if not len(has):
+        return out, (ema, gap + len(prices))
+    first = int(has[0])
+    rest = prices[first:].copy()
+    if ema is not None:
+        rest[0] = _behind(ema, gap + first, rest[0], a)
+    out[first:] = pd.Series(rest).ewm(alpha=a, adjust=False).mean()
+    return out, (float(out[-1]), len(prices) - 1 - int(has[-1]))
+
+
+def _runs(batches, keys: list):
+    """(batch, [(start, end, goes on)]) of sorted Arrow batches: runs of equal ``keys``, and whether a run
+    goes on with the last one of the batch before."""
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        change = np.zeros(n, bool)
+        for k in keys:
+            code = batch.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            change[1:] |= code[1:] != code[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), n]
+        here = [batch.column(k)[0].as_py() for k in keys]
+        yield batch, [(x, y, x == 0 and here == last) for x, y in zip(cuts[:-1], cuts[1:])]
+        last = [batch.column(k)[n - 1].as_py() for k in keys]
+
+
+def _prices(batch) -> np.ndarray:
+    return batch.column("_price").to_numpy(zero_copy_only=False)
+
+
+def _piece_maps(pieces: DataFrame, spec: SeriesSpec, a: float) -> DataFrame:
+    """(key, piece, first, lead, mul, add, trail) of every key's piece: an average that is e at the piece's first price
+    (``first``, behind ``lead`` rows without one) is mul * e + add at its end, ``trail`` rows behind its last price."""
+    def run(batches):
+        held, done = None, []
+        for batch, runs in _runs(batches, [S.PIECE, spec.key]):
+            prices = _prices(batch)
+            for x, y, goes_on in runs:
+                if not goes_on:
+                    done += [held] if held else []
+                    held = [batch.column(spec.key)[x].as_py(), batch.column(S.PIECE)[x].as_py(), None, 0, (1.0, 0), (0.0, 0)]
+                v = prices[x:y]
+                if held[2] is None:
+                    has = np.flatnonzero(~np.isnan(v))
+                    held[3] += int(has[0]) if len(has) else len(v)
+                    if not len(has):
+                        continue
+                    held[2], v = float(v[has[0]]), v[has[0] + 1:]
+                if len(v):
+                    held[4] = _averages(np.where(np.isnan(v), np.nan, 0.0), a, held[4])[1]
+                    held[5] = _averages(v, a, held[5])[1]
+            if done:
+                yield rows(done, batch)
+                done = []
+        if held:
+            yield rows([held], batch)
+
+    def rows(found, batch):
+        keys, piece, first, lead, mul, add = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, batch.schema.field(spec.key).type), pa.array(piece, pa.int64()), pa.array(first, pa.float64()),
+             pa.array(lead, pa.int64()), pa.array([m[0] for m in mul], pa.float64()),
+             pa.array([d[0] for d in add], pa.float64()), pa.array([d[1] for d in add], pa.int64())],
+            names=["_k", "_from", "first", "lead", "mul", "add", "trail"])
+
+    schema = T.StructType([T.StructField("_k", pieces.schema[spec.key].dataType)]
+                          + [T.StructField(n, t()) for n, t in (("_from", T.LongType), ("first", T.DoubleType), ("lead", T.LongType),
+                                                                ("mul", T.DoubleType), ("add", T.DoubleType), ("trail", T.LongType))])
+    cols = list(dict.fromkeys([spec.key, S.PIECE, *spec.order, S.ARRIVAL, "_price"]))
+    return _in_order(pieces.select(*cols), [S.PIECE, spec.key], spec).mapInArrow(run, schema)
+
+
+def _piece_states(maps: DataFrame, a: float) -> DataFrame:
+    """(_k, _from, _ema, _gap): the state before every piece, by composing a key's maps in order."""
+    def run(batches):
+        state = (None, 0)
+        for batch, runs in _runs(batches, ["_k"]):
+            values = [batch.column(c).to_pylist() for c in ("first", "lead", "mul", "add", "trail")]
+            before = []
+            for x, y, goes_on in runs:
+                state = state if goes_on else (None, 0)
+                for first, lead, mul, add, trail in zip(*(v[x:y] for v in values)):
+                    before.append(state)
+                    ema, gap = state
+                    if first is None:
+                        state = (ema, gap + lead)
+                    else:
+                        state = (mul * (first if ema is None else _behind(ema, gap + lead, first, a)) + add, trail)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_k"), batch.column("_from"), pa.array([e for e, _ in before], pa.float64()),
+                 pa.array([g for _, g in before], pa.int64())], names=["_k", "_from", *_STATE])
+
+    schema = T.StructType([maps.schema["_k"], maps.schema["_from"], T.StructField("_ema", T.DoubleType()), T.StructField("_gap", T.LongType())])
+    return maps.repartition("_k").sortWithinPartitions("_k", "_from").mapInArrow(run, schema)
+
+
+def _in_order(rows: DataFrame, part: list, spec: SeriesSpec) -> DataFrame:
+    return rows.repartition(*part).sortWithinPartitions(*part, *S.order_cols(spec))
+
+
 def ema_recursive(df: DataFrame, price: str = "price", window: int = FX.SMA_WINDOW,
-                  alpha: float | None = None, spec: SeriesSpec = TICKS,
-                  tolerance: float = 1e-15) -> DataFrame:
+                  alpha: float | None = None, spec: SeriesSpec = TICKS) -> DataFrame:
     """Exponential moving average ema_t = a*p_t + (1-a)*ema_{t-1}, seeded with
-    the first price of the series; column ``ema_{window}_exp``.
+    the first price of the series; column ``ema_{window}_exp``. A row without a price repeats the
+    average (null before the first price), and later prices weigh more by its age.
 
-    Runs as ``applyInPandas`` over (piece, key) groups, bounded by the size of a piece, with
-    a halo of L rows, L chosen so (1-a)^L < tolerance: rows within L of the series start
-    are exact; later rows carry at most ``tolerance`` relative truncation error."""
+    Exact for any alpha by an affine scan: a piece of a large key maps the average before it to the one at its
+    end; the maps, a row per piece, are composed in order, and every piece starts from its
+    state. Rows stream by in Arrow batches: a task holds one batch and one average."""
     a = alpha if alpha is not None else 2.0 / (window + 1)
-    L = max(1, int(math.ceil(math.log(tolerance) / math.log(1.0 - a)))) if a < 1 else 1
     out_col = f"ema_{window}_exp"
-    order = [*spec.order, S.ARRIVAL]
-
-    def comp(d, part):
-        schema = T.StructType(d.schema.fields + [T.StructField(out_col, T.DoubleType())])
-
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, kind="mergesort")
-            pdf[out_col] = pdf[price].astype("float64").ewm(alpha=a, adjust=False).mean()
-            return pdf
-        return d.groupBy(*part).applyInPandas(run, schema)
 
-    return S.evaluate(df, comp, spec, L)
+    def averages(rows: DataFrame, part: list) -> DataFrame:
+        def run(batches):
+            state = None
+            for batch, runs in _runs(batches, part):
+                prices, ema, gap = _prices(batch), batch.column("_ema"), batch.column("_gap")
+                out = np.empty(batch.num_rows)
+                for x, y, goes_on in runs:
+                    if not goes_on:
+                        state = (ema[x].as_py(), gap[x].as_py())
+                    out[x:y], state = _averages(prices[x:y], a, state)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, mask=np.isnan(out))],
+                                                 names=[*batch.schema.names, out_col])
+
+        schema = T.StructType(rows.schema.fields + [T.StructField(out_col, T.DoubleType())])
+        return _in_order(rows, part, spec).mapInArrow(run, schema).select(*df.columns, out_col)
+
+    whole, pieces = S.split(df, spec)
+    double = F.col(price).cast("double")
+    start = {"_price": double, "_ema": F.lit(None).cast("double"), "_gap": F.lit(0).cast("long")}
+    out = averages(whole.withColumns(start), [spec.key])
+    if pieces is None:
+        return out
+    pieces = pieces.withColumn("_price", double)
+    # At most two rows per piece, as only one key crosses each boundary.
+    states = materialize(_piece_states(_piece_maps(pieces, spec, a), a), "series-states")
+    behind = pieces.join(F.broadcast(states), F.col(spec.key).eqNullSafe(F.col("_k")) & (F.col(S.PIECE) == F.col("_from")))
+    return out.unionByName(averages(behind.drop("_k", "_from"), [S.PIECE, spec.key]))

@@ -114,20 +114,28 @@ def _halo(pieces: DataFrame, cols: list[str], spec: SeriesSpec, lookback: int) -
             .select(*cols, ARRIVAL, F.col("_to").alias(PIECE), F.lit(True).alias(HALO)))
 
 
-def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
-             spec: SeriesSpec, lookback: int) -> DataFrame:
-    """Run ``compute(frame, partition_cols)`` over every key's series.
-
-    ``compute`` must only use window frames in series order that look back at most
-    ``lookback`` rows (counting chained windows)."""
+def split(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of the keys that are evaluated whole, pieces of the larger keys or None), with arrival numbers."""
     rows = df.withColumn(ARRIVAL, F.monotonically_increasing_id())
     large = large_keys(df, spec)
     if large is None:
-        return compute(rows, [spec.key]).drop(ARRIVAL)
+        return rows, None
     of_large = F.col(spec.key).eqNullSafe(F.col("_k"))
     keys = F.broadcast(large.select("_k"))
-    whole = compute(rows.join(keys, of_large, "left_anti"), [spec.key])
     pieces = cut(rows.join(keys, of_large, "left_semi"), large.agg(F.sum("_n")).first()[0], spec)
+    return rows.join(keys, of_large, "left_anti"), pieces
+
+
+def evaluate(df: DataFrame, compute: Callable[[DataFrame, list], DataFrame],
+             spec: SeriesSpec, lookback: int) -> DataFrame:
+    """Run ``compute(frame, partition_cols)`` over every key's series.
+
+    ``compute`` must only use window frames in series order that look back at most
+    ``lookback`` rows (counting chained windows)."""
+    rows, pieces = split(df, spec)
+    whole = compute(rows, [spec.key])
+    if pieces is None:
+        return whole.drop(ARRIVAL)
     own = pieces.select(*df.columns, ARRIVAL, PIECE, F.lit(False).alias(HALO))
     out = compute(own.unionByName(_halo(pieces, df.columns, spec, lookback)), [PIECE, spec.key])
     return whole.unionByName(out.filter(~F.col(HALO)).drop(PIECE, HALO)).drop(ARRIVAL)
