@@ -220,6 +220,49 @@ def test_estimates_follow_jaccard():
         assert abs(est - share) < 0.13
 
 
+def _bucket(n: int, changed: int, seed: int):
+    """Registers and sizes of ``n`` sets of 2,000 elements, all but ``changed`` of them shared."""
+    rng = np.random.default_rng(seed)
+    draw = lambda k: rng.integers(0, 2**63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    core = draw(2_000 - changed)
+    sets = [np.unique(np.concatenate([core, draw(changed)])) for _ in range(n)]
+    return sets, np.stack([hyperminhash.sketch(x) for x in sets]), np.array([len(x) for x in sets])
+
+
+@pytest.mark.parametrize("changed", [40, 200, 330, 1_500])
+def test_pairs_of_a_bucket(changed):
+    m, goal = hyperminhash.QUERY, hyperminhash.QUERY.percent / 100
+    sets, r, size = _bucket(40, changed, changed)
+    blocks, one = np.arange(40) % 3, np.zeros(40, int)
+    for band, block, here in ((0, one, (0, 0)), (3, one, (0, 0)), (20, one, (0, 0)), (3, blocks, (0, 2))):
+        want = set()
+        for i in range(40):
+            for j in range(40):
+                if (i < j if here[0] == here[1] else (block[i], block[j]) == here):
+                    same = (r[i] == r[j]) & (r[i] > 0)
+                    used = ((r[i] > 0) | (r[j] > 0)).sum()
+                    est = (same.sum() - hyperminhash.expected_collisions(float(size[i]), float(size[j]))) / used
+                    earlier = ((r[i] == r[j]).reshape(m.bands, m.rows).all(1) & (r[i].reshape(m.bands, m.rows) > 0).any(1))[:band].any()
+                    if not earlier and est >= goal - hyperminhash.MARGIN * np.sqrt(goal * (1 - goal) / used):
+                        want.add((i, j))
+        got = hyperminhash._close_pairs(r, size, block, np.arange(40), band, here, m, lambda i, js: np.ones(len(js), bool))
+        assert set(got) == want
+    for a in sets[:5]:
+        for b in (sets[7], sets[7][:300], a, a[5:6]):
+            assert hyperminhash._common(a, b) == hyperminhash._common(b, a) == len(set(a.tolist()) & set(b.tolist()))
+
+
+def test_members_with_a_pair_are_not_compared_again(monkeypatch):
+    _, r, size = _bucket(300, 20, 1)
+    compared, plain = [], hyperminhash.estimates
+    monkeypatch.setattr(hyperminhash, "estimates", lambda r, n, i, js, m: compared.append(len(js)) or plain(r, n, i, js, m))
+    kept = np.zeros(300, bool)
+    for pair in hyperminhash._close_pairs(r, size, np.zeros(300, int), np.arange(300), 0, (0, 0), hyperminhash.QUERY,
+                                          lambda i, js: ~(kept[i] & kept[js])):
+        kept[list(pair)] = True
+    assert kept.all() and sum(compared) < 600
+
+
 def test_graph_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)]

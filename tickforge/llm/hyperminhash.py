@@ -15,7 +15,9 @@ What moves is never a pair of documents before it is a confirmed link:
   the blocks only. Blocks of different bands mix members anew, so members that belong together are
   mostly one component by then; across blocks only members of different components meet (a bucket's largest
   component with the rest, and the rest among each other), in a task for every two blocks;
-* a pair is taken up only in the first band it agrees in, so no pair is confirmed twice;
+* a pair is taken up only in the first band it agrees in, so no pair is confirmed twice; inside a task rows that
+  both have a pair left are not compared again, nor are sets that its links have joined already, so a
+  group of near copies costs about one comparison a member;
 * texts join only the nodes that have a pair left to confirm;
 * of the links a task confirms it returns a spanning forest, which names the same components.
 
@@ -112,37 +114,47 @@ def expected_collisions(n, m, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def estimates(registers: np.ndarray, size: np.ndarray, i: int, js: np.ndarray, m: Measure = QUERY):
-    """(Jaccard estimates, occupied registers, first agreeing band) of row ``i`` with rows ``js``."""
+    """(Jaccard estimates, occupied registers) of row ``i`` with rows ``js``."""
     a, b = registers[i], registers[js]
-    occupied = ((a > 0) | (b > 0)).sum(1)
-    equal = a == b
-    agree = (equal & (a > 0)).sum(1)
-    by_band = equal.reshape(len(js), m.bands, m.rows).all(2) & a.reshape(m.bands, m.rows).any(1)
+    occupied = np.count_nonzero(a) + (np.count_nonzero(b[:, a == 0], axis=1) if not a.all() else np.zeros(len(js), np.int64))
+    equal = np.zeros((len(js), -(-m.buckets // 8) * 8), bool)
+    np.logical_and(b == a, a > 0, out=equal[:, :m.buckets])
+    # Eight counts to a word: a byte's count is at most an eighth of the registers.
+    agree = equal.view(np.uint64).sum(1).view(np.uint8).reshape(-1, 8).sum(1, dtype=np.int64)
     accidental = expected_collisions(float(size[i]), size[js].astype(np.float64), m.buckets)
-    est = (agree - accidental) / np.maximum(occupied, 1)
-    return est, occupied, by_band.argmax(1)
+    return (agree - accidental) / np.maximum(occupied, 1), occupied
 
 
-def _close_pairs(registers, size, block, root, band, here: tuple[int, int], m: Measure):
+def _close_pairs(registers, size, block, root, band, here: tuple[int, int], m: Measure, left):
     """Index pairs of a bucket's rows of different ``root`` that may be linked and first agree in
-    ``band``. With two blocks only pairs across them are looked at."""
+    ``band``. With two blocks only pairs across them are looked at. ``left(i, js)`` marks the rows ``js`` that row
+    ``i`` still has to meet after the pairs taken so far."""
     goal = m.percent / 100
     rows = np.arange(len(size))
+    # All rows agree in this band; those that agree in one before meet there.
+    before = np.ascontiguousarray(band_keys(registers, m)[:, :band])
     for i in rows:
         js = rows[block == here[1]] if here[0] != here[1] else rows[i + 1:]
         if here[0] != here[1] and block[i] != here[0] or not len(js):
             continue
         # Sets whose sizes differ too much can't reach the threshold.
         lo, hi = np.minimum(size[i], size[js]), np.maximum(size[i], size[js])
-        js = js[(100 * lo >= m.percent * hi) & (root[js] != root[i])]
+        js = js[(100 * lo >= m.percent * hi) & (root[js] != root[i]) & left(i, js)]
+        js = js[~((before[js] == before[i]) & (before[i] != 0)).any(1)]
         if not len(js):
             continue
-        est, occupied, first = estimates(registers, size, i, js, m)
-        near = (first == band) & (est >= goal - MARGIN * np.sqrt(goal * (1 - goal) / np.maximum(occupied, 1)))
+        est, occupied = estimates(registers, size, i, js, m)
+        near = (est >= goal - MARGIN * np.sqrt(goal * (1 - goal) / np.maximum(occupied, 1)))
         for j in js[near]:
             yield int(i), int(j)
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Elements that two sorted non-empty sets share."""
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    return int(np.count_nonzero(a[np.minimum(a.searchsorted(b), len(a) - 1)] == b))
+
+
 def _registers(column: pa.Array, m: Measure) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, m.buckets)
 
@@ -252,11 +264,14 @@ def _survivors(members: DataFrame, nodes: DataFrame, m: Measure) -> DataFrame:
             if g.num_rows < 2:
                 continue
             band, here = _place(g)
-            pairs = _close_pairs(_registers(g.column("registers"), m), g.column("n").to_numpy(),
-                                 g.column("block").to_numpy(), g.column("root").to_numpy(), band, here, m)
-            keep = sorted({x for pair in pairs for x in pair})
-            if keep:
-                yield g.select(_MEMBER.names).take(pa.array(keep)).cast(_MEMBER)
+            kept = np.zeros(g.num_rows, bool)
+            # Two rows that both have a pair already need not be compared.
+            for pair in _close_pairs(_registers(g.column("registers"), m), g.column("n").to_numpy(),
+                                     g.column("block").to_numpy(), g.column("root").to_numpy(), band, here, m,
+                                     lambda i, js: ~(kept[i] & kept[js])):
+                kept[list(pair)] = True
+            if kept.any():
+                yield g.select(_MEMBER.names).take(pa.array(np.flatnonzero(kept))).cast(_MEMBER)
 
     rows = members.join(nodes.select("id", "n", "registers"), "id")
     return _grouped(rows).mapInArrow(run, "key long, i int, j int, block int, id long, root long")
@@ -282,23 +297,16 @@ def _links(survivors: DataFrame, texts: DataFrame, m: Measure) -> DataFrame:
             ids, sets = list(sets), list(sets.values())
             regs = np.stack([sketch(s, m.buckets) for s in sets])
             band, here = _place(g)
-            root = list(range(len(ids)))
-
-            def top(x):
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
+            part = np.arange(len(ids))                  # component of each set so far
             found = []
             for x, y in _close_pairs(regs, np.array([len(s) for s in sets]), g.column("block").to_numpy()[seen],
-                                     g.column("root").to_numpy()[seen], band, here, m):
-                if top(x) == top(y):
+                                     g.column("root").to_numpy()[seen], band, here, m,
+                                     lambda i, js: part[js] != part[i]):
+                if part[x] == part[y]:
                     continue
-                both = len(sets[x]) + len(sets[y])
-                same = both - len(np.union1d(sets[x], sets[y]))
+                both, same = len(sets[x]) + len(sets[y]), _common(sets[x], sets[y])
                 if 100 * same >= m.percent * (both - same):
-                    root[top(x)] = top(y)
+                    part[part == part[x]] = part[y]
                     found.append((ids[x], ids[y]))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
                                               pa.array([f[1] for f in found], pa.int64())], schema=schema)
