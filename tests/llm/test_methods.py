@@ -417,6 +417,20 @@ def test_long_texts_are_scored_whole(monkeypatch):
     assert abs(passage_attention.score_texts(m, [text])[0] - whole) < 1e-4
 
 
+def test_texts_are_scored_in_small_slices(spark, monkeypatch):
+    rows = [(i, prose(i, 500)) for i in range(300)]
+    size = sum(len(t) for _, t in rows)
+    longest = max(len(t) for _, t in rows)
+    held = passage_attention.PART + longest
+    assert size > 3 * held
+    # Keeps nothing of a slice that is too large.
+    monkeypatch.setattr(passage_attention, "train", lambda *a: None)
+    monkeypatch.setattr(passage_attention, "score_texts", lambda model, texts: np.full(len(texts), float(sum(map(len, texts)) <= held)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert passage_attention.PART <= 256 << 10
+    assert passage_attention.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == len(rows)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     q = QUERIES["op5_passage_attention"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").toPandas()

@@ -37,7 +37,8 @@ RATE = 0.01
 DECAY = 1e-4
 SEED = 11
 ACCEPT = 0.7
-BLOCK = PASSAGE * 4_096
+BLOCK = PASSAGE * 1_024               # bytes of a text that are described at once
+PART = 256 << 10                      # bytes of texts scored at once: about 40 times that is held meanwhile
 
 
 def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +212,7 @@ def score_documents(docs: DataFrame, model: AttentionModel | None, accept: float
 
     def run(batches):
         for batch in batches:
-            for part in in_parts(batch, "text", 2 << 20):
+            for part in in_parts(batch, "text", PART):
                 s = score_texts(model, utf8(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(s), pa.array((s >= accept).astype(np.int32))], schema=schema)
@@ -237,4 +238,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", ac
     """Rows of ``docs`` (all columns) whose score reaches ``accept``; trained like ``quality``."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     model = train(id_text(docs), known.filter(~held_out()))
-    return filter_rows(docs, lambda: lambda texts: (score_texts(model, texts) >= accept).tolist())
+    return filter_rows(docs, lambda: lambda texts: (score_texts(model, texts) >= accept).tolist(), limit=PART)
