@@ -361,6 +361,27 @@ def test_repeats_of_fifty_words_keep_their_first_copy(spark, texts, monkeypatch,
     assert all(other in by_id[5_000 + k] for k in range(25))       # 49 words are no window
 
 
+@pytest.mark.parametrize("hot", [1 << 20, 1_000])
+def test_lines_that_go_on_are_one_row(spark, monkeypatch, hot):
+    """A line repeated all through many texts: its segments join with what goes as runs, not one by one."""
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", hot)
+    seen, solve = [], suffix_dedup._solve
+
+    def counted(rows, unit, temporary, level=0):
+        if not level:
+            seen.append(rows.count())
+        return solve(rows, unit, temporary, level)
+
+    monkeypatch.setattr(suffix_dedup, "_solve", counted)
+    line = "one very common line of eight words here "
+    rows = [(k, prose(300 + k, 60) + " " + line * (200 + k % 3) + prose(400 + k, 30 + k)) for k in range(30)] + [(90, line * 150)]
+    out = suffix_dedup.without_repeats(edge_docs(spark, [(i, t, "en", str(k)) for k, (i, t) in enumerate(rows)])).collect()
+    want = brute_kept(rows)
+    assert {r["doc_id"]: (r["text"] or "").split() for r in out} == {i: want[(i, t)] for i, t in rows}
+    # Before: a row for each of the 200 lines of a text.
+    assert len(seen) == 1 and seen[0] <= 20 * len(rows)
+
+
 # --- learned models ---------------------------------------------------------------------
 
 def _numeric(loss, params, grads, rng, eps=1e-3):
