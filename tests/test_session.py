@@ -62,3 +62,18 @@ def test_scratch_scope_removes_its_intermediates(spark):
         path = os.path.dirname(t.inputFiles()[0].removeprefix("file://"))
         assert t.count() == 5 and os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_wide_rows_run_compiled(spark):
+    """Generated methods stay within what the JVM compiles, unless the session has a limit of its own."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit, None)
+    try:
+        spark.conf.unset(limit)
+        S.ensure_conf(spark)
+        assert int(spark.conf.get(limit)) <= 8_000
+        spark.conf.set(limit, "9000")
+        S.ensure_conf(spark)
+        assert spark.conf.get(limit) == "9000"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
